@@ -1,0 +1,40 @@
+"""Rule (mapping method) expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from .text import col_
+
+RULE_STRUCT = ("struct<field_name:string,values_include:array<string>,"
+               "values_exclude:array<string>,operator:string>")
+
+
+def mapping_method(field_name, values_include, values_exclude, operator) -> Column:
+    """A mapping method in its serialized field order."""
+    return F.struct(col_(field_name).alias("field_name"),
+                    col_(values_include).alias("values_include"),
+                    col_(values_exclude).alias("values_exclude"),
+                    col_(operator).alias("operator"))
+
+
+def rule_signature(field_name, operator, values_include, values_exclude) -> Column:
+    """Identity of a rule: field, operator and the sorted value lists.
+
+    NULL lists count as empty; the struct is hashable, so it works directly as a
+    join / grouping key.
+    """
+    inc = F.array_sort(F.coalesce(col_(values_include), F.array().cast("array<string>")))
+    exc = F.array_sort(F.coalesce(col_(values_exclude), F.array().cast("array<string>")))
+    return F.struct(col_(field_name).alias("field_name"), col_(operator).alias("operator"),
+                    inc.alias("values_include"), exc.alias("values_exclude"))
+
+
+def signature_text(sig) -> Column:
+    """Readable one-line form of a signature (for flat exports and oracle checks)."""
+    s = col_(sig)
+    return F.concat_ws("|", F.coalesce(s["field_name"], F.lit("")),
+                       F.coalesce(s["operator"], F.lit("")),
+                       F.array_join(s["values_include"], ","),
+                       F.array_join(s["values_exclude"], ","))

@@ -1,0 +1,86 @@
+"""Coercion of schemaless JSON values (VARIANT) into the typed training record.
+
+These reproduce the job's ``isinstance`` branches with variant casts: a value is a
+list when it casts to ``array<variant>``, a dict when it casts to
+``map<string,variant>``; ``str(x)`` is Spark's cast to string (see README for the
+few renderings that differ from Python's, e.g. ``true`` vs ``True``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from .text import col_, empty_strings, py_strip
+
+CLASS_CODE = "struct<system:string,code:string>"
+CLASS_CODES = f"array<{CLASS_CODE}>"
+
+
+def is_missing(v) -> Column:
+    """Python ``None``: SQL NULL or JSON null."""
+    v = col_(v)
+    return v.isNull() | F.is_variant_null(v)
+
+
+def as_list(v) -> Column:
+    """The value as ``array<variant>`` when it is a JSON array, else NULL."""
+    return F.try_variant_get(col_(v), "$", "array<variant>")
+
+
+def as_dict(v) -> Column:
+    """The value as ``map<string,variant>`` when it is a JSON object, else NULL."""
+    return F.try_variant_get(col_(v), "$", "map<string,variant>")
+
+
+def as_text(v) -> Column:
+    """``str(x)`` for a non-null value, NULL for None."""
+    return col_(v).cast("string")
+
+
+def is_falsy(v) -> Column:
+    """Python truthiness of a JSON value is False: None, false, 0, "", [], {}."""
+    v = col_(v)
+    kind = F.schema_of_variant(v)
+    number = F.try_variant_get(v, "$", "double")
+    return (F.when(is_missing(v), F.lit(True))
+            .when(kind == "STRING", as_text(v) == "")
+            .when(kind == "BOOLEAN", as_text(v) == "false")
+            .when(kind.startswith("ARRAY"), F.size(as_list(v)) == 0)
+            .when(kind.startswith("OBJECT"), F.size(F.map_keys(as_dict(v))) == 0)
+            .when(number.isNotNull(), number == 0)
+            .otherwise(F.lit(False)))
+
+
+def extraction_keywords(v) -> Column:
+    """Keywords as extracted: None -> []; list -> str(k) of non-null, non-blank
+    elements (untrimmed); any other value -> [str(v)] unless blank."""
+    v = col_(v)
+    items = as_list(v)
+    from_list = F.filter(F.transform(items, as_text),
+                         lambda s: s.isNotNull() & (py_strip(s) != ""))
+    scalar = as_text(v)
+    return (F.when(is_missing(v), empty_strings())
+            .when(items.isNotNull(), from_list)
+            .when(py_strip(scalar) != "", F.array(scalar))
+            .otherwise(empty_strings()))
+
+
+def _class_code(e: Column) -> Column:
+    obj = as_dict(e)
+    return (F.when(obj.isNotNull(),
+                   F.struct(as_text(obj["system"]).alias("system"),
+                            as_text(obj["code"]).alias("code")))
+            .otherwise(F.struct(F.lit(None).cast("string").alias("system"),
+                                as_text(e).alias("code"))))
+
+
+def class_codes(v) -> Column:
+    """Class codes as a list of {system, code}: None -> []; list -> one entry per
+    element (dicts keep system, others become the code); dict / scalar -> one entry.
+    A JSON null element gives code NULL (the job wrote the text "None")."""
+    v = col_(v)
+    items = as_list(v)
+    return (F.when(is_missing(v), F.array().cast(CLASS_CODES))
+            .when(items.isNotNull(), F.transform(items, _class_code))
+            .otherwise(F.array(_class_code(v))))

@@ -1,0 +1,20 @@
+"""Join helpers shared by operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..config import BROADCAST_MAX_ROWS
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a category-level table only after checking its row count.
+
+    Category tables are bounded by the taxonomy, not by the data, but the bound is
+    checked here (one small aggregate job) rather than assumed; above ``max_rows``
+    the plain DataFrame is returned and the join shuffles (AQE may still pick a
+    broadcast from runtime sizes).
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
