@@ -16,6 +16,14 @@ KEYWORD_SPLIT_PATTERN = r"[ \t\n\r\f]+"
 
 EMPTY_STRINGS = "array<string>"
 
+_ASCII_SEPARATORS = " \t\n\r\f"
+_OTHER_WHITESPACE = "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE if c not in _ASCII_SEPARATORS)
+# Separator runs, plus any token made only of other whitespace (it sits between two
+# separators or a text end), so that such a token -- blank after strip() -- vanishes
+# in the split itself instead of in a per-element lambda.
+_KEYWORD_SPLIT_EXACT = (r"(?:[ \t\n\r\f]|(?<![^ \t\n\r\f])[" + _OTHER_WHITESPACE
+                        + r"]+(?![^ \t\n\r\f]))+")
+
 
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -41,8 +49,17 @@ def empty_strings() -> Column:
 
 
 def split_keywords(text) -> Column:
-    """Keyword list of a free text as extraction keeps it: untrimmed, non-blank tokens."""
-    return F.filter(F.split(col_(text), KEYWORD_SPLIT_PATTERN), lambda k: py_strip(k) != "")
+    """Keyword list of a free text as extraction keeps it: the tokens between runs of
+    ``[ \\t\\n\\r\\f]``, untrimmed, without the ones that are blank after strip().
+
+    One regex split plus ``array_remove`` (both code-generated); no lambda per token.
+    """
+    return F.array_remove(F.split(col_(text), _KEYWORD_SPLIT_EXACT), "")
+
+
+def split_tokens(text) -> Column:
+    """Raw tokens of the binding split; callers strip and drop blanks after exploding."""
+    return F.split(col_(text), KEYWORD_SPLIT_PATTERN)
 
 
 def clean_keywords(arr) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..config import ACCEPTED_STATUSES
 from ..functions.rules import mapping_method, rule_signature, signature_text
 from ..functions.text import py_strip
-from .common import bounded_broadcast
 
 CATEGORY_COLUMNS = ("cat_key", "pim_category_id", "pim_category_name", "pim_category_path",
                     "vendor_mappings", "entry_json", "position")
@@ -70,9 +69,9 @@ def rebuild_reference(old_categories: DataFrame, proposals: DataFrame, dim: Data
              .select("cat_key", "r.*"))
     rule_cats = rules.select("cat_key").distinct()
     # name / path of a new category: looked up by the *raw* id, as the job did
-    lookup = bounded_broadcast(dim.select(F.col("pim_category_id").alias("cat_key"),
-                                          F.col("pim_category_name").alias("_dim_name"),
-                                          F.col("pim_category_path").alias("_dim_path")))
+    lookup = dim.select(F.col("pim_category_id").alias("cat_key"),
+                        F.col("pim_category_name").alias("_dim_name"),
+                        F.col("pim_category_path").alias("_dim_path"))
     cats = (old.join(rule_cats.withColumn("_has_rules", F.lit(True)), "cat_key", "full_outer")
             .join(lookup, "cat_key", "left"))
     is_old = F.col("position").isNotNull()
@@ -114,8 +113,8 @@ def rule_changes(old_categories: DataFrame, old_rules: DataFrame,
     a repeated signature keeps its last rule object (verbatim JSON). One full outer
     join on (category, signature) yields both differences.
     """
-    first = bounded_broadcast(_first_entries(old_categories)
-                              .select("cat_key", F.col("position").alias("entry_position")))
+    first = (_first_entries(old_categories)
+             .select("cat_key", F.col("position").alias("entry_position")))
     old = _keyed_rules(old_rules.join(first, ["cat_key", "entry_position"], "left_semi"))
     old = (old.groupBy("cat_key", "signature")
            .agg(F.max_by("rule_json", F.col("rule_position")).alias("old_rule")))
@@ -123,10 +122,10 @@ def rule_changes(old_categories: DataFrame, old_rules: DataFrame,
            .agg(F.min("rule_json").alias("new_rule")))
     diff = (old.join(new, ["cat_key", "signature"], "full_outer")
             .where(F.col("old_rule").isNull() | F.col("new_rule").isNull()))
-    names = bounded_broadcast(
-        new_categories.select("cat_key", F.col("pim_category_name").alias("_new_name"))
-        .join(_first_entries(old_categories).select("cat_key", F.col("pim_category_name").alias("_old_name")),
-              "cat_key", "full_outer"))
+    names = (new_categories.select("cat_key", F.col("pim_category_name").alias("_new_name"))
+             .join(_first_entries(old_categories)
+                   .select("cat_key", F.col("pim_category_name").alias("_old_name")),
+                   "cat_key", "full_outer"))
     out = diff.join(names, "cat_key", "left")
     added = F.col("old_rule").isNull()
     return out.select(

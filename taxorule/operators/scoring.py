@@ -9,7 +9,6 @@ from ..config import (DEFAULT_THRESHOLDS, RULE_FIELD_NAME, RULE_OPERATOR, STATUS
                       STATUS_NOT_IMPACTED, STATUS_SUPPORTED, STATUS_VIOLATED, Thresholds)
 from ..functions.text import empty_strings, py_strip
 from ..schemas import COUNT_COLUMNS, SCORED_COLUMNS
-from .common import bounded_broadcast
 
 
 def _global_candidate(th: Thresholds) -> Column:
@@ -126,8 +125,9 @@ def strict_candidates(scored: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) ->
 def rule_proposals(scored: DataFrame, dim: DataFrame) -> DataFrame:
     """Publishable rules: global candidates with a status, as rule-proposal rows."""
     out = scored.where(F.col("global_candidate") & F.col("vendor_status").isNotNull())
-    names = bounded_broadcast(dim.select("pim_category_id", "pim_category_name"))
-    out = out.join(names, "pim_category_id", "left")
+    # category-level lookup against pair-level rows: AQE broadcasts it from its measured
+    # size (no extra job re-running the scoring), or falls back to a shuffle join
+    out = out.join(dim.select("pim_category_id", "pim_category_name"), "pim_category_id", "left")
     stats = F.struct(*[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in COUNT_COLUMNS],
                      F.col("vendor_status"))
     return out.select(

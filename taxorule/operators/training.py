@@ -10,7 +10,6 @@ from ..functions.text import clean_keywords, falsy_text_key, is_blank, py_strip
 from ..schemas import TRAINING_COLUMNS
 from .common import bounded_broadcast
 
-RECORD_VALUE_COLUMNS = tuple(c for c in TRAINING_COLUMNS if c != "ordinal")
 
 
 def _trusted(products: DataFrame):
@@ -39,30 +38,41 @@ def normalize_training(records: DataFrame) -> DataFrame:
     return records.withColumn("keywords", clean_keywords("keywords"))
 
 
+# Position in the stable dataset: source (existing 0 < new 1) above the record ordinal,
+# packed into one long so winners are picked by a hash aggregate on primitive buffers.
+_SOURCE_BIT = 1 << 62
+
+
 def merge_stable(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Upsert new records into the stable dataset, keyed by (vendor, article).
 
     Both key parts are stripped, and keyless rows (blank or falsy key) are dropped.
     Existing records come first. A later record with the same key replaces the whole
-    row, but the key keeps its first position. One shuffle: partial ``max_by`` / ``min``
-    per key, so even a very hot key combines map-side.
+    row, but the key keeps its first position. Ordinals are non-negative, < 2^62 and
+    unique within each input.
+
+    Plan: winners are picked on narrow columns (key, position) by a hash aggregate
+    with a map-side partial step. The full records then meet their winner in an
+    equi-join on (key, position): the payload is shuffled once, a hot key is spread
+    over its positions, and consumers that only need a few columns (category counts)
+    never move the keyword lists.
     """
-    pos = F.struct(F.col("_src"), F.col("ordinal"))
     e = existing.select(*TRAINING_COLUMNS, F.lit(0).alias("_src"))
     n = new.select(*TRAINING_COLUMNS, F.lit(1).alias("_src"))
     both = e.unionByName(n).select(
         "*",
         falsy_text_key("vendor_short_name", F.lit(False)).alias("_k_vendor"),
-        falsy_text_key("article_id", "article_id_falsy").alias("_k_article"))
+        falsy_text_key("article_id", "article_id_falsy").alias("_k_article"),
+        (F.col("ordinal") + F.col("_src") * F.lit(_SOURCE_BIT)).alias("_pos"))
     both = both.where((F.col("_k_vendor") != "") & (F.col("_k_article") != ""))
-    merged = both.groupBy("_k_vendor", "_k_article").agg(
-        F.max_by(F.struct(*RECORD_VALUE_COLUMNS), pos).alias("rec"),
-        F.min(pos).alias("first"))
+    winners = both.groupBy("_k_vendor", "_k_article").agg(
+        F.max("_pos").alias("_pos"), F.min("_pos").alias("_first"))
+    merged = both.drop("ordinal").join(winners, ["_k_vendor", "_k_article", "_pos"], "inner")
     # new records are numbered after every existing one: a scalar subquery, no join
     base = existing.select(F.coalesce(F.max("ordinal") + 1, F.lit(0))).scalar()
-    ordinal = (F.when(F.col("first._src") == 0, F.col("first.ordinal"))
-               .otherwise(base + F.col("first.ordinal")))
-    return merged.select("rec.*", ordinal.alias("ordinal")).select(*TRAINING_COLUMNS)
+    first_src = F.col("_first") >= F.lit(_SOURCE_BIT)
+    ordinal = F.when(first_src, base + (F.col("_first") - F.lit(_SOURCE_BIT))).otherwise(F.col("_first"))
+    return merged.withColumn("ordinal", ordinal).select(*TRAINING_COLUMNS)
 
 
 def category_key(c="pim_category_id"):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_THRESHOLDS, RULE_FIELD_NAME, RULE_OPERATOR, Thresholds
 from ..functions.rules import mapping_method
-from ..functions.text import py_strip
+from ..functions.text import py_strip, split_tokens
 from ..operators import keywords as kw
 from ..operators import reference as ref
 from ..operators import scoring as sc
@@ -43,9 +43,35 @@ class BindingRun:
         merged = tr.merge_stable(existing, new)
         subset = tr.training_subset(merged, th.min_products)
         previous = tr.training_subset(existing, th.min_products)
-        return cls(products, existing, new, merged, subset, previous, th)
+        return cls(products, existing, new, merged, subset, previous, th, spark, sf_dir)
+
+    spark: SparkSession | None = None
+    sf_dir: str | None = None
 
     def scored(self) -> DataFrame:
+        """Scoring with late materialization of the keyword lists.
+
+        In the binding a record's keywords are a function of its document, and
+        (vendor, article) names the document. So the training and previous roles
+        are decided on narrow key columns (the merge and both category subsets prune
+        to keys), joined once onto the documents, and each text is tokenized once
+        with all its role flags -- instead of once per role.
+        """
+        keys = ["vendor_short_name", "article_id", "pim_category_id"]
+        train = self.subset.select(*keys).distinct().withColumn("in_training", F.lit(1))
+        prev = self.previous.select(*keys).distinct().withColumn("in_previous", F.lit(1))
+        roles = train.join(prev, keys, "full_outer")
+        docs = dt.bound_documents(self.spark, self.sf_dir)
+        records = docs.join(roles, keys, "left").select(
+            "pim_category_id", split_tokens("text").alias("keywords"),
+            F.coalesce("in_training", F.lit(0)).alias("in_training"),
+            F.when(F.col("vendor_short_name") == dt.RUN_VENDOR, 1).otherwise(0).alias("in_vendor"),
+            F.coalesce("in_previous", F.lit(0)).alias("in_previous"))
+        records = records.where(F.col("in_training") + F.col("in_vendor") + F.col("in_previous") > 0)
+        return sc.pair_scores(records, self.th)
+
+    def scored_by_role(self) -> DataFrame:
+        """The general form: each source's records stacked once per role."""
         return sc.pair_scores(sc.role_records(self.subset, self.products, self.previous), self.th)
 
     def dim(self) -> DataFrame:
@@ -168,6 +194,11 @@ def q_scored_candidates_joins(spark, sf_dir):
     return sc.score_rules(stats, v_in, v_tot, kw.keyword_pairs(run.previous), run.th)
 
 
+def q_scored_candidates_by_role(spark, sf_dir):
+    """The same scoring with every source stacked per role (no late materialization)."""
+    return BindingRun.build(spark, sf_dir).scored_by_role()
+
+
 def q_strict_candidates(spark, sf_dir):
     return sc.strict_candidates(BindingRun.build(spark, sf_dir).scored())
 
@@ -225,6 +256,7 @@ QUERIES = {
     "previous_pairs_min60": q_previous_pairs_min60,
     "scored_candidates": q_scored_candidates,
     "scored_candidates_joins": q_scored_candidates_joins,
+    "scored_candidates_by_role": q_scored_candidates_by_role,
     "strict_candidates": q_strict_candidates,
     "rule_proposals": q_rule_proposals,
     "status_summary": q_status_summary,

@@ -182,6 +182,7 @@ WHERE trim(e.pim_category_id, WS_CHARS) IN (SELECT cat_key FROM pcnt WHERE n_pro
 """.replace("WS_CHARS", f"({_WS})")),
     "scored_candidates": _q("SELECT * FROM scored"),
     "scored_candidates_joins": _q("SELECT * FROM scored"),
+    "scored_candidates_by_role": _q("SELECT * FROM scored"),
     "strict_candidates": _q("SELECT * FROM scored WHERE vendor_supports"),
     "rule_proposals": _q("""
 SELECT pim_category_id, pim_category_name, 'KEYWORD' AS field_name, 'contains_any' AS operator,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import TRUSTED_SOURCE
 from ..functions.text import KEYWORD_SPLIT_PATTERN, split_keywords
 from ..schemas import PRODUCT_COLUMNS, TRAINING_COLUMNS
-from ..session import widen
+from ..session import relayout_small
 
 # Fixed values of the binding.
 RUN_VENDOR = "vendorA"
@@ -47,9 +47,7 @@ def _rotated(lang: Column) -> Column:
 def bound_documents(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """One row per document with every model attribute except the keyword list."""
     cols = ["doc_id", "lang", "source"] + (["text"] if with_text else [])
-    docs = read_table(spark, sf_dir, "documents").select(*cols)
-    if with_text:
-        docs = widen(docs, "doc_id")
+    docs = relayout_small(read_table(spark, sf_dir, "documents"), "documents", "doc_id").select(*cols)
     vendor = F.when(_src_no() < 10, F.lit(RUN_VENDOR)).otherwise(F.lit(OTHER_VENDOR))
     untrusted = (vendor == RUN_VENDOR) & (F.col("doc_id") % 10 == 0)
     category = F.when(untrusted, _rotated(F.col("lang"))).otherwise(F.col("lang"))
