@@ -70,7 +70,7 @@ def default_parallelism(spark: SparkSession) -> int:
 # Inputs up to this size may be re-laid out (see relayout_small); larger ones are
 # assumed to come in many splits already.
 RELAYOUT_MAX_BYTES = 2 << 30
-_relayouts: dict[tuple, str] = {}
+_relayouts: dict[tuple, DataFrame] = {}
 
 
 def _input_bytes(df: DataFrame) -> int:
@@ -102,8 +102,8 @@ def relayout_small(df: DataFrame, name: str, *keys: str) -> DataFrame:
         digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
         path = f"{checkpoint_dir(spark).rstrip('/')}/relayout/{name}-{digest}"
         df.repartition(target, *keys).write.mode("overwrite").parquet(path)
-        _relayouts[key] = path
-    return spark.read.parquet(_relayouts[key])
+        _relayouts[key] = spark.read.parquet(path)
+    return _relayouts[key]
 
 
 def widen(df: DataFrame, *keys: str) -> DataFrame:
