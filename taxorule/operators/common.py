@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from ..config import BROADCAST_MAX_ROWS
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a category-level table only after checking its row count.
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      upper_bound: int | None = None) -> DataFrame:
+    """Broadcast ``small`` only when its row count is proven to be at most ``max_rows``.
 
-    Category tables are bounded by the taxonomy, not by the data, but the bound is
-    checked here (one small aggregate job) rather than assumed; above ``max_rows``
-    the plain DataFrame is returned and the join shuffles (AQE may still pick a
-    broadcast from runtime sizes).
+    The proof is ``upper_bound`` when the caller has one (e.g. a key table derived
+    from N input records has at most N rows; categories with >= m products number at
+    most N / m), else one row-count job on ``small`` capped at ``max_rows + 1``. Beyond
+    the bound the plain DataFrame is returned and the join shuffles (AQE may still
+    switch to a broadcast from measured sizes).
     """
+    if upper_bound is not None and upper_bound <= max_rows:
+        return F.broadcast(small)
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small

@@ -8,33 +8,38 @@ so a keyword present in a third of all products reaches the shuffle as one row p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.text import py_strip
+from ..functions import sqltext as q
 
 
 def keyword_occurrences(records: DataFrame) -> DataFrame:
     """(pim_category_id, article_id, keyword) for every keyword of normalized records."""
-    kw = F.col("keyword")
-    return (records.select("pim_category_id", "article_id", F.explode("keywords").alias("keyword"))
-            .where(kw.isNotNull() & (F.trim(kw) != "")))
+    return q.run(records.sparkSession, """
+        SELECT pim_category_id, article_id, keyword
+        FROM {r} LATERAL VIEW explode(keywords) t AS keyword
+        WHERE keyword IS NOT NULL AND trim(keyword) <> ''""", r=records)
 
 
-def _stripped_keywords(records: DataFrame, *keep: str) -> DataFrame:
-    exploded = records.select(*keep, F.explode("keywords").alias("_raw"))
-    return (exploded.select(*keep, py_strip("_raw").alias("keyword"))
-            .where(F.col("keyword") != ""))
+def _stripped_keywords(records: DataFrame) -> DataFrame:
+    return q.run(records.sparkSession, f"""
+        SELECT pim_category_id, keyword FROM (
+          SELECT pim_category_id, {q.strip('_raw')} AS keyword
+          FROM {{r}} LATERAL VIEW explode(keywords) t AS _raw)
+        WHERE keyword <> ''""", r=records)
 
 
 def keyword_pairs(records: DataFrame) -> DataFrame:
     """Distinct (pim_category_id, keyword) of a record set (keywords stripped)."""
-    return _stripped_keywords(records, "pim_category_id").distinct()
+    return q.run(records.sparkSession, "SELECT DISTINCT pim_category_id, keyword FROM {o}",
+                 o=_stripped_keywords(records))
 
 
 def keyword_totals(occurrences: DataFrame) -> DataFrame:
     """train_total_count: occurrences per keyword over all categories."""
-    return occurrences.groupBy("keyword").agg(F.count(F.lit(1)).alias("train_total_count"))
+    return q.run(occurrences.sparkSession,
+                 "SELECT keyword, count(1) AS train_total_count FROM {o} GROUP BY keyword",
+                 o=occurrences)
 
 
 def keyword_stats(occurrences: DataFrame) -> DataFrame:
@@ -44,11 +49,16 @@ def keyword_stats(occurrences: DataFrame) -> DataFrame:
     the occurrences instead of two aggregates and a join; the window partition of a
     keyword holds at most one row per category.
     """
-    inside = (occurrences.groupBy("pim_category_id", "keyword")
-              .agg(F.count(F.lit(1)).alias("inside_count")))
-    total = F.sum("inside_count").over(Window.partitionBy("keyword"))
-    return (inside.withColumn("train_total_count", total)
-            .withColumn("hard_outside_count", F.col("train_total_count") - F.col("inside_count")))
+    spark = occurrences.sparkSession
+    inside = q.run(spark, """
+        SELECT pim_category_id, keyword, count(1) AS inside_count
+        FROM {o} GROUP BY pim_category_id, keyword""", o=occurrences)
+    return q.run(spark, """
+        SELECT pim_category_id, keyword, inside_count, train_total_count,
+               train_total_count - inside_count AS hard_outside_count
+        FROM (SELECT pim_category_id, keyword, inside_count,
+                     sum(inside_count) OVER (PARTITION BY keyword) AS train_total_count
+              FROM {i})""", i=inside)
 
 
 def vendor_keyword_stats(products: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,9 +68,11 @@ def vendor_keyword_stats(products: DataFrame) -> tuple[DataFrame, DataFrame]:
     NULL category stays a group of its own, which only adds to the keyword total.
     The total is a second-level aggregate over the pair counts.
     """
-    occ = _stripped_keywords(products, "pim_category_id")
-    inside = (occ.groupBy("pim_category_id", "keyword")
-              .agg(F.count(F.lit(1)).alias("vendor_inside_count")))
-    totals = (inside.groupBy("keyword")
-              .agg(F.sum("vendor_inside_count").alias("vendor_total_count")))
+    spark = products.sparkSession
+    inside = q.run(spark, """
+        SELECT pim_category_id, keyword, count(1) AS vendor_inside_count
+        FROM {o} GROUP BY pim_category_id, keyword""", o=_stripped_keywords(products))
+    totals = q.run(spark, """
+        SELECT keyword, sum(vendor_inside_count) AS vendor_total_count
+        FROM {i} GROUP BY keyword""", i=inside)
     return inside, totals

@@ -9,47 +9,49 @@ JSON text.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..config import ACCEPTED_STATUSES
-from ..functions.rules import mapping_method, rule_signature, signature_text
-from ..functions.text import py_strip
+from ..functions import sqltext as q
 
 CATEGORY_COLUMNS = ("cat_key", "pim_category_id", "pim_category_name", "pim_category_path",
                     "vendor_mappings", "entry_json", "position")
 RULE_COLUMNS = ("cat_key", "entry_position", "rule_position", "field_name", "operator",
                 "values_include", "values_exclude", "rule_json")
 
+_EMPTY = "cast(array() AS array<string>)"
+# Identity of a rule: field, operator and the sorted value lists (NULL lists = empty).
+SIGNATURE = (f"named_struct('field_name', field_name, 'operator', operator, "
+             f"'values_include', array_sort(coalesce(values_include, {_EMPTY})), "
+             f"'values_exclude', array_sort(coalesce(values_exclude, {_EMPTY})))")
+SIGNATURE_TEXT = ("concat_ws('|', coalesce(signature.field_name, ''), coalesce(signature.operator, ''), "
+                  "array_join(signature.values_include, ','), array_join(signature.values_exclude, ','))")
+_RULE_JSON = ("to_json(named_struct('field_name', field_name, 'values_include', values_include, "
+              "'values_exclude', values_exclude, 'operator', operator))")
+
 
 def accepted_rules(proposals: DataFrame) -> DataFrame:
     """Accepted proposals as mapping methods: status new / supported / not_impacted,
     category stripped and non-blank, values stripped, blanks dropped, empty rules dropped."""
-    cat_key = py_strip(F.col("pim_category_id"))
-    values = F.filter(F.transform(F.coalesce("values_include", F.array().cast("array<string>")),
-                                  py_strip), lambda v: v.isNotNull() & (v != ""))
-    rules = (proposals
-             .where(F.col("stats.vendor_status").isin(*ACCEPTED_STATUSES))
-             .select(cat_key.alias("cat_key"),
-                     F.coalesce("field_name", F.lit("KEYWORD")).alias("field_name"),
-                     F.coalesce("operator", F.lit("contains_any")).alias("operator"),
-                     values.alias("values_include"))
-             .where(F.col("cat_key").isNotNull() & (F.col("cat_key") != "")
-                    & (F.size("values_include") > 0)))
-    return rules.withColumn("values_exclude", F.array().cast("array<string>"))
+    statuses = ", ".join(q.lit(s) for s in ACCEPTED_STATUSES)
+    values = q.clean_keywords(f"coalesce(values_include, {_EMPTY})")
+    return q.run(proposals.sparkSession, f"""
+        WITH a AS (
+          SELECT {q.strip('pim_category_id')} AS cat_key,
+                 coalesce(field_name, 'KEYWORD') AS field_name,
+                 coalesce(operator, 'contains_any') AS operator,
+                 {values} AS values_include
+          FROM {{p}} WHERE stats.vendor_status IN ({statuses}))
+        SELECT cat_key, field_name, operator, values_include, {_EMPTY} AS values_exclude
+        FROM a WHERE cat_key IS NOT NULL AND cat_key <> '' AND size(values_include) > 0""", p=proposals)
 
 
 def _first_entries(categories: DataFrame) -> DataFrame:
     """One entry per stripped category id: the first one in file order."""
-    cols = [c for c in CATEGORY_COLUMNS if c != "cat_key"]
-    return (categories.where(F.col("cat_key").isNotNull() & (F.col("cat_key") != ""))
-            .groupBy("cat_key")
-            .agg(F.min_by(F.struct(*cols), F.col("position")).alias("e"))
-            .select("cat_key", "e.*"))
-
-
-def _keyed_rules(rules: DataFrame) -> DataFrame:
-    sig = rule_signature("field_name", "operator", "values_include", "values_exclude")
-    return rules.withColumn("signature", sig).where(F.col("signature").isNotNull())
+    fields = ", ".join(f"'{c}', {c}" for c in CATEGORY_COLUMNS if c != "cat_key")
+    return q.run(categories.sparkSession, f"""
+        SELECT cat_key, e.* FROM (
+          SELECT cat_key, min_by(named_struct({fields}), position) AS e
+          FROM {{c}} WHERE cat_key IS NOT NULL AND cat_key <> '' GROUP BY cat_key)""", c=categories)
 
 
 def rebuild_reference(old_categories: DataFrame, proposals: DataFrame, dim: DataFrame,
@@ -58,39 +60,42 @@ def rebuild_reference(old_categories: DataFrame, proposals: DataFrame, dim: Data
 
     Every old category is carried over (first entry per id; NULL ``vendor_mappings``
     become ``[]``) with its rules cleared; categories that only appear in accepted
-    rules are added with name and path from ``dim``. Rules are the accepted ones,
-    one per signature. With ``allow_empty=False`` an empty reference raises.
+    rules are added with name and path from ``dim``, looked up by the raw id as the
+    job did. Rules are the accepted ones, one per signature. With
+    ``allow_empty=False`` an empty reference raises.
     """
-    old = _first_entries(old_categories)
-    rules = _keyed_rules(accepted_rules(proposals))
-    rules = (rules.groupBy("cat_key", "signature")
-             .agg(F.min_by(F.struct("field_name", "operator", "values_include", "values_exclude"),
-                           F.array_join("values_include", "\u0000")).alias("r"))
-             .select("cat_key", "r.*"))
-    rule_cats = rules.select("cat_key").distinct()
-    # name / path of a new category: looked up by the *raw* id, as the job did
-    lookup = dim.select(F.col("pim_category_id").alias("cat_key"),
-                        F.col("pim_category_name").alias("_dim_name"),
-                        F.col("pim_category_path").alias("_dim_path"))
-    cats = (old.join(rule_cats.withColumn("_has_rules", F.lit(True)), "cat_key", "full_outer")
-            .join(lookup, "cat_key", "left"))
-    is_old = F.col("position").isNotNull()
-    categories = cats.select(
-        "cat_key",
-        F.when(is_old, F.col("pim_category_id")).otherwise(F.col("cat_key")).alias("pim_category_id"),
-        F.when(is_old, F.col("pim_category_name")).otherwise(F.col("_dim_name")).alias("pim_category_name"),
-        F.when(is_old, F.col("pim_category_path")).otherwise(F.col("_dim_path")).alias("pim_category_path"),
-        F.coalesce(F.when(F.col("vendor_mappings") != "null", F.col("vendor_mappings")), F.lit("[]"))
-        .alias("vendor_mappings"),
-        "entry_json",
-        # one entry per category from here on, so every position is 0
-        F.lit(0).cast("bigint").alias("position"))
-    rule_rows = rules.select(
-        "cat_key", F.lit(0).cast("bigint").alias("entry_position"),
-        F.lit(0).cast("bigint").alias("rule_position"),
-        "field_name", "operator", "values_include", "values_exclude",
-        F.to_json(mapping_method("field_name", "values_include", "values_exclude", "operator"))
-        .alias("rule_json"))
+    spark = proposals.sparkSession
+    rules = q.run(spark, f"""
+        SELECT cat_key, r.* FROM (
+          SELECT cat_key, min_by(named_struct('field_name', field_name, 'operator', operator,
+                                              'values_include', values_include,
+                                              'values_exclude', values_exclude),
+                                 array_join(values_include, ' ')) AS r
+          FROM (SELECT *, {SIGNATURE} AS signature FROM {{a}})
+          GROUP BY cat_key, signature)""", a=accepted_rules(proposals))
+    categories = q.run(spark, """
+        WITH rc AS (SELECT DISTINCT cat_key FROM {r}),
+        c AS (
+          SELECT coalesce(o.cat_key, rc.cat_key) AS cat_key, o.pim_category_id, o.pim_category_name,
+                 o.pim_category_path, o.vendor_mappings, o.entry_json, o.position
+          FROM {o} o FULL OUTER JOIN rc ON o.cat_key = rc.cat_key)
+        SELECT c.cat_key,
+               CASE WHEN c.position IS NOT NULL THEN c.pim_category_id ELSE c.cat_key END AS pim_category_id,
+               CASE WHEN c.position IS NOT NULL THEN c.pim_category_name ELSE d.pim_category_name END
+                 AS pim_category_name,
+               CASE WHEN c.position IS NOT NULL THEN c.pim_category_path ELSE d.pim_category_path END
+                 AS pim_category_path,
+               coalesce(CASE WHEN c.vendor_mappings <> 'null' THEN c.vendor_mappings END, '[]')
+                 AS vendor_mappings,
+               c.entry_json,
+               -- one entry per category from here on, so every position is 0
+               cast(0 AS bigint) AS position
+        FROM c LEFT JOIN {d} d ON d.pim_category_id = c.cat_key""",
+                       r=rules, o=_first_entries(old_categories), d=dim)
+    rule_rows = q.run(spark, f"""
+        SELECT cat_key, cast(0 AS bigint) AS entry_position, cast(0 AS bigint) AS rule_position,
+               field_name, operator, values_include, values_exclude, {_RULE_JSON} AS rule_json
+        FROM {{r}}""", r=rules)
     if not allow_empty and categories.isEmpty():
         raise RuntimeError("mapping reference has 0 categories")
     return categories, rule_rows
@@ -98,11 +103,10 @@ def rebuild_reference(old_categories: DataFrame, proposals: DataFrame, dim: Data
 
 def reference_rule_counts(categories: DataFrame, rules: DataFrame) -> DataFrame:
     """Rules per category of a reference (0 for categories without rules)."""
-    n = rules.groupBy("cat_key").agg(F.count(F.lit(1)).alias("n_rules"))
-    return (categories.select("cat_key", "pim_category_id", "pim_category_name")
-            .join(n, "cat_key", "left")
-            .select("pim_category_id", "pim_category_name",
-                    F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_rules")))
+    return q.run(categories.sparkSession, """
+        SELECT c.pim_category_id, c.pim_category_name, cast(coalesce(n.n_rules, 0) AS bigint) AS n_rules
+        FROM {c} c LEFT JOIN (SELECT cat_key, count(1) AS n_rules FROM {r} GROUP BY cat_key) n
+          ON c.cat_key = n.cat_key""", c=categories, r=rules)
 
 
 def rule_changes(old_categories: DataFrame, old_rules: DataFrame,
@@ -113,24 +117,30 @@ def rule_changes(old_categories: DataFrame, old_rules: DataFrame,
     a repeated signature keeps its last rule object (verbatim JSON). One full outer
     join on (category, signature) yields both differences.
     """
-    first = (_first_entries(old_categories)
-             .select("cat_key", F.col("position").alias("entry_position")))
-    old = _keyed_rules(old_rules.join(first, ["cat_key", "entry_position"], "left_semi"))
-    old = (old.groupBy("cat_key", "signature")
-           .agg(F.max_by("rule_json", F.col("rule_position")).alias("old_rule")))
-    new = (_keyed_rules(new_rules).groupBy("cat_key", "signature")
-           .agg(F.min("rule_json").alias("new_rule")))
-    diff = (old.join(new, ["cat_key", "signature"], "full_outer")
-            .where(F.col("old_rule").isNull() | F.col("new_rule").isNull()))
-    names = (new_categories.select("cat_key", F.col("pim_category_name").alias("_new_name"))
-             .join(_first_entries(old_categories)
-                   .select("cat_key", F.col("pim_category_name").alias("_old_name")),
-                   "cat_key", "full_outer"))
-    out = diff.join(names, "cat_key", "left")
-    added = F.col("old_rule").isNull()
-    return out.select(
-        F.col("cat_key").alias("pim_category_id"),
-        F.coalesce("_new_name", "_old_name").alias("pim_category_name"),
-        F.when(added, F.lit("added")).otherwise(F.lit("removed")).alias("change"),
-        F.when(added, F.col("new_rule")).otherwise(F.col("old_rule")).alias("rule_json"),
-        signature_text("signature").alias("signature"))
+    return q.run(old_categories.sparkSession, f"""
+        WITH old AS (
+          SELECT r.cat_key, {SIGNATURE} AS signature, r.rule_json, r.rule_position
+          FROM {{orr}} r LEFT SEMI JOIN {{first}} f
+            ON r.cat_key = f.cat_key AND r.entry_position = f.position),
+        old_map AS (
+          SELECT cat_key, signature, max_by(rule_json, rule_position) AS old_rule
+          FROM old WHERE signature IS NOT NULL GROUP BY cat_key, signature),
+        new_map AS (
+          SELECT cat_key, signature, min(rule_json) AS new_rule
+          FROM (SELECT cat_key, {SIGNATURE} AS signature, rule_json FROM {{nr}})
+          GROUP BY cat_key, signature),
+        diff AS (
+          SELECT coalesce(o.cat_key, n.cat_key) AS cat_key, coalesce(o.signature, n.signature) AS signature,
+                 o.old_rule, n.new_rule
+          FROM old_map o FULL OUTER JOIN new_map n ON o.cat_key = n.cat_key AND o.signature = n.signature
+          WHERE o.old_rule IS NULL OR n.new_rule IS NULL),
+        names AS (
+          SELECT coalesce(n.cat_key, f.cat_key) AS cat_key,
+                 coalesce(n.pim_category_name, f.pim_category_name) AS pim_category_name
+          FROM {{nc}} n FULL OUTER JOIN {{first}} f ON n.cat_key = f.cat_key)
+        SELECT d.cat_key AS pim_category_id, names.pim_category_name,
+               CASE WHEN d.old_rule IS NULL THEN 'added' ELSE 'removed' END AS change,
+               CASE WHEN d.old_rule IS NULL THEN d.new_rule ELSE d.old_rule END AS rule_json,
+               {SIGNATURE_TEXT.replace('signature.', 'd.signature.')} AS signature
+        FROM diff d LEFT JOIN names ON d.cat_key = names.cat_key""",
+                 orr=old_rules, first=_first_entries(old_categories), nr=new_rules, nc=new_categories)

@@ -2,41 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..config import (DEFAULT_THRESHOLDS, RULE_FIELD_NAME, RULE_OPERATOR, STATUS_NEW,
                       STATUS_NOT_IMPACTED, STATUS_SUPPORTED, STATUS_VIOLATED, Thresholds)
-from ..functions.text import empty_strings, py_strip
+from ..functions import sqltext as q
 from ..schemas import COUNT_COLUMNS, SCORED_COLUMNS
 
-
-def _global_candidate(th: Thresholds) -> Column:
-    return ((F.col("inside_count") >= F.lit(th.min_inside))
-            & (F.col("hard_outside_count") <= F.lit(th.max_hard_outside)))
+_SCORED = q.cols(SCORED_COLUMNS)
+
+
+def _global_candidate(th: Thresholds) -> str:
+    return f"(inside_count >= {int(th.min_inside)} AND hard_outside_count <= {int(th.max_hard_outside)})"
+
+
+def _classified(source: str, th: Thresholds) -> str:
+    """SQL: flags and vendor_status over a relation carrying the six counts and
+    ``known_in_previous_training`` (first matching status wins)."""
+    return f"""
+        f1 AS (
+          SELECT *, vendor_total_count > 0 AS has_vendor_usage,
+                 {_global_candidate(th)} AS global_candidate
+          FROM {source}),
+        f2 AS (
+          SELECT *,
+                 global_candidate AND vendor_inside_count >= {int(th.min_vendor_inside)}
+                   AND vendor_outside_count <= {int(th.max_vendor_outside)} AS vendor_supports,
+                 global_candidate AND vendor_outside_count > {int(th.max_vendor_outside)} AS vendor_violates,
+                 global_candidate AND NOT known_in_previous_training AS is_new_rule
+          FROM f1),
+        f3 AS (
+          SELECT *, CASE WHEN is_new_rule AND vendor_supports THEN {q.lit(STATUS_NEW)}
+                         WHEN global_candidate AND vendor_supports THEN {q.lit(STATUS_SUPPORTED)}
+                         WHEN global_candidate AND vendor_violates THEN {q.lit(STATUS_VIOLATED)}
+                         WHEN global_candidate AND NOT has_vendor_usage THEN {q.lit(STATUS_NOT_IMPACTED)}
+                    END AS vendor_status
+          FROM f2)"""
 
 
 def classify(stats: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Flags and vendor_status of scored pairs (first matching status wins)."""
-    gc = _global_candidate(th)
-    supports = (F.col("global_candidate")
-                & (F.col("vendor_inside_count") >= F.lit(th.min_vendor_inside))
-                & (F.col("vendor_outside_count") <= F.lit(th.max_vendor_outside)))
-    violates = F.col("global_candidate") & (F.col("vendor_outside_count") > F.lit(th.max_vendor_outside))
-    out = stats.withColumns({
-        "has_vendor_usage": F.col("vendor_total_count") > F.lit(0),
-        "global_candidate": gc,
-    }).withColumns({
-        "vendor_supports": supports,
-        "vendor_violates": violates,
-        "is_new_rule": F.col("global_candidate") & ~F.col("known_in_previous_training"),
-    })
-    status = (F.when(F.col("is_new_rule") & F.col("vendor_supports"), F.lit(STATUS_NEW))
-              .when(F.col("global_candidate") & F.col("vendor_supports"), F.lit(STATUS_SUPPORTED))
-              .when(F.col("global_candidate") & F.col("vendor_violates"), F.lit(STATUS_VIOLATED))
-              .when(F.col("global_candidate") & ~F.col("has_vendor_usage"), F.lit(STATUS_NOT_IMPACTED))
-              .otherwise(F.lit(None).cast("string")))
-    return out.withColumn("vendor_status", status).select(*SCORED_COLUMNS)
+    """Flags and vendor_status of scored pairs."""
+    return q.run(stats.sparkSession, f"WITH {_classified('{s}', th)} SELECT {_SCORED} FROM f3", s=stats)
 
 
 def role_records(training: DataFrame | None = None, vendor: DataFrame | None = None,
@@ -46,17 +52,14 @@ def role_records(training: DataFrame | None = None, vendor: DataFrame | None = N
     A source row that plays several roles for one category may also be given once
     with several flags set (the documents binding does this); counts are the same.
     """
-    parts = []
-    for df, flags in ((training, (1, 0, 0)), (vendor, (0, 1, 0)), (previous, (0, 0, 1))):
+    parts, dfs = [], {}
+    for name, df, flags in (("t", training, (1, 0, 0)), ("v", vendor, (0, 1, 0)), ("p", previous, (0, 0, 1))):
         if df is not None:
-            parts.append(df.select("pim_category_id", "keywords",
-                                   F.lit(flags[0]).alias("in_training"),
-                                   F.lit(flags[1]).alias("in_vendor"),
-                                   F.lit(flags[2]).alias("in_previous")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            dfs[name] = df
+            parts.append(f"SELECT pim_category_id, keywords, {flags[0]} AS in_training, "
+                         f"{flags[1]} AS in_vendor, {flags[2]} AS in_previous FROM {{{name}}}")
+    spark = next(iter(dfs.values())).sparkSession
+    return q.run(spark, " UNION ALL ".join(parts), **dfs)
 
 
 def pair_scores(records: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
@@ -69,29 +72,29 @@ def pair_scores(records: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
     vendor inside, vendor totals, previous pairs), in two shuffles and with no join.
     Keys are the raw category strings, exactly as the joins matched them.
     """
-    exploded = records.select("pim_category_id", "in_training", "in_vendor", "in_previous",
-                              F.explode("keywords").alias("_raw"))
-    occ = (exploded.select("pim_category_id", py_strip("_raw").alias("keyword"),
-                           "in_training", "in_vendor", "in_previous")
-           .where(F.col("keyword") != ""))
-    pairs = occ.groupBy("pim_category_id", "keyword").agg(
-        F.sum("in_training").cast("long").alias("inside_count"),
-        F.sum("in_vendor").cast("long").alias("vendor_inside_count"),
-        (F.max("in_previous") > 0).alias("known_in_previous_training"))
-    # previous-only pairs add nothing to either total
-    pairs = pairs.where((F.col("inside_count") > 0) | (F.col("vendor_inside_count") > 0))
-    w = Window.partitionBy("keyword")
-    stats = pairs.select(
-        "*",
-        F.sum("inside_count").over(w).alias("train_total_count"),
-        F.sum("vendor_inside_count").over(w).alias("vendor_total_count"))
-    stats = stats.where(F.col("inside_count") > 0).withColumns({
-        "hard_outside_count": F.col("train_total_count") - F.col("inside_count"),
-        "vendor_outside_count": F.col("vendor_total_count") - F.col("vendor_inside_count"),
-    })
-    if candidates_only:
-        stats = stats.where(_global_candidate(th))
-    return classify(stats, th)
+    cand = f"WHERE {_global_candidate(th)}" if candidates_only else ""
+    return q.run(records.sparkSession, f"""
+        WITH occ AS (
+          SELECT pim_category_id, {q.strip('_raw')} AS keyword, in_training, in_vendor, in_previous
+          FROM {{r}} LATERAL VIEW explode(keywords) t AS _raw),
+        pairs AS (
+          SELECT pim_category_id, keyword,
+                 cast(sum(in_training) AS bigint) AS inside_count,
+                 cast(sum(in_vendor) AS bigint) AS vendor_inside_count,
+                 max(in_previous) > 0 AS known_in_previous_training
+          FROM occ WHERE keyword <> '' GROUP BY pim_category_id, keyword),
+        totals AS (
+          SELECT *, sum(inside_count) OVER (PARTITION BY keyword) AS train_total_count,
+                 sum(vendor_inside_count) OVER (PARTITION BY keyword) AS vendor_total_count
+          -- previous-only pairs add nothing to either total
+          FROM pairs WHERE inside_count > 0 OR vendor_inside_count > 0),
+        stats AS (
+          SELECT *, train_total_count - inside_count AS hard_outside_count,
+                 vendor_total_count - vendor_inside_count AS vendor_outside_count
+          FROM totals WHERE inside_count > 0),
+        cand AS (SELECT * FROM stats {cand}),
+        {_classified('cand', th)}
+        SELECT {_SCORED} FROM f3""", r=records)
 
 
 def score_rules(stats: DataFrame, vendor_inside: DataFrame, vendor_totals: DataFrame,
@@ -102,45 +105,50 @@ def score_rules(stats: DataFrame, vendor_inside: DataFrame, vendor_totals: DataF
     The candidate test only reads training counts, so it runs before the three left
     joins and they see the (small) candidate set.
     """
-    s = stats.where(_global_candidate(th)) if candidates_only else stats
-    prev = previous_pairs.select("pim_category_id", "keyword").distinct().withColumn("_known", F.lit(True))
-    joined = (s.join(vendor_inside, ["pim_category_id", "keyword"], "left")
-              .join(vendor_totals, "keyword", "left")
-              .join(prev, ["pim_category_id", "keyword"], "left"))
-    joined = joined.withColumns({
-        "vendor_inside_count": F.coalesce("vendor_inside_count", F.lit(0)).cast("long"),
-        "vendor_total_count": F.coalesce("vendor_total_count", F.lit(0)).cast("long"),
-        "known_in_previous_training": F.coalesce("_known", F.lit(False)),
-    }).withColumn("vendor_outside_count", F.col("vendor_total_count") - F.col("vendor_inside_count"))
-    return classify(joined, th)
+    cand = f"WHERE {_global_candidate(th)}" if candidates_only else ""
+    return q.run(stats.sparkSession, f"""
+        WITH s AS (SELECT * FROM {{s}} {cand}),
+        prev AS (SELECT DISTINCT pim_category_id, keyword FROM {{p}}),
+        j AS (
+          SELECT s.pim_category_id, s.keyword, s.inside_count, s.train_total_count, s.hard_outside_count,
+                 cast(coalesce(vi.vendor_inside_count, 0) AS bigint) AS vendor_inside_count,
+                 cast(coalesce(vt.vendor_total_count, 0) AS bigint) AS vendor_total_count,
+                 prev.keyword IS NOT NULL AS known_in_previous_training
+          FROM s
+          LEFT JOIN {{vi}} vi ON vi.pim_category_id = s.pim_category_id AND vi.keyword = s.keyword
+          LEFT JOIN {{vt}} vt ON vt.keyword = s.keyword
+          LEFT JOIN prev ON prev.pim_category_id = s.pim_category_id AND prev.keyword = s.keyword),
+        k AS (SELECT *, vendor_total_count - vendor_inside_count AS vendor_outside_count FROM j),
+        {_classified('k', th)}
+        SELECT {_SCORED} FROM f3""", s=stats, vi=vendor_inside, vt=vendor_totals, p=previous_pairs)
 
 
 def strict_candidates(scored: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Pairs passing all four thresholds at once (the job's conservative probe)."""
-    return scored.where(_global_candidate(th)
-                        & (F.col("vendor_inside_count") >= F.lit(th.min_vendor_inside))
-                        & (F.col("vendor_outside_count") <= F.lit(th.max_vendor_outside)))
+    return q.run(scored.sparkSession, f"""
+        SELECT * FROM {{s}} WHERE {_global_candidate(th)}
+          AND vendor_inside_count >= {int(th.min_vendor_inside)}
+          AND vendor_outside_count <= {int(th.max_vendor_outside)}""", s=scored)
 
 
 def rule_proposals(scored: DataFrame, dim: DataFrame) -> DataFrame:
-    """Publishable rules: global candidates with a status, as rule-proposal rows."""
-    out = scored.where(F.col("global_candidate") & F.col("vendor_status").isNotNull())
-    # category-level lookup against pair-level rows: AQE broadcasts it from its measured
-    # size (no extra job re-running the scoring), or falls back to a shuffle join
-    out = out.join(dim.select("pim_category_id", "pim_category_name"), "pim_category_id", "left")
-    stats = F.struct(*[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in COUNT_COLUMNS],
-                     F.col("vendor_status"))
-    return out.select(
-        "pim_category_id", "pim_category_name",
-        F.lit(RULE_FIELD_NAME).alias("field_name"), F.lit(RULE_OPERATOR).alias("operator"),
-        F.array("keyword").alias("values_include"), empty_strings().alias("values_exclude"),
-        stats.alias("stats"))
-
+    """Publishable rules: global candidates with a status, as rule-proposal rows.
 
-def status_summary(proposals: DataFrame) -> DataFrame:
-    return (proposals.groupBy(F.col("stats.vendor_status").alias("vendor_status"))
-            .agg(F.count(F.lit(1)).alias("n_rules")))
+    The category lookup is category-level against pair-level rows: AQE broadcasts it
+    from its measured size, or falls back to a shuffle join.
+    """
+    stats = ", ".join(f"'{c}', cast(coalesce(s.{c}, 0) AS bigint)" for c in COUNT_COLUMNS)
+    return q.run(scored.sparkSession, f"""
+        SELECT s.pim_category_id, d.pim_category_name,
+               {q.lit(RULE_FIELD_NAME)} AS field_name, {q.lit(RULE_OPERATOR)} AS operator,
+               array(s.keyword) AS values_include, cast(array() AS array<string>) AS values_exclude,
+               named_struct({stats}, 'vendor_status', s.vendor_status) AS stats
+        FROM {{s}} s LEFT JOIN (SELECT pim_category_id, pim_category_name FROM {{d}}) d
+          ON s.pim_category_id = d.pim_category_id
+        WHERE s.global_candidate AND s.vendor_status IS NOT NULL""", s=scored, d=dim)
 
 
-__all__ = ["classify", "pair_scores", "role_records", "rule_proposals", "score_rules",
-           "status_summary", "strict_candidates", "py_strip"]
+def status_summary(proposals: DataFrame) -> DataFrame:
+    return q.run(proposals.sparkSession, """
+        SELECT stats.vendor_status AS vendor_status, count(1) AS n_rules
+        FROM {p} GROUP BY stats.vendor_status""", p=proposals)

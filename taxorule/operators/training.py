@@ -3,30 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..config import TRUSTED_SOURCE
-from ..functions.text import clean_keywords, falsy_text_key, is_blank, py_strip
+from ..config import KEY_BROADCAST_MAX_ROWS, TRUSTED_SOURCE
+from ..functions import sqltext as q
 from ..schemas import TRAINING_COLUMNS
 from .common import bounded_broadcast
 
-
-
-def _trusted(products: DataFrame):
-    return F.coalesce(F.col("assignment_source") == F.lit(TRUSTED_SOURCE), F.lit(False))
+_COLS = q.cols(TRAINING_COLUMNS)
+_TRUSTED = f"coalesce(assignment_source = {q.lit(TRUSTED_SOURCE)}, false)"
 
 
 def extract_training(products: DataFrame) -> DataFrame:
     """New training records: trusted matches whose product has a non-blank article id."""
-    return (products.where(_trusted(products) & ~is_blank("article_id"))
-            .select(*TRAINING_COLUMNS))
+    return q.run(products.sparkSession,
+                 f"SELECT {_COLS} FROM {{p}} WHERE {_TRUSTED} AND NOT {q.blank('article_id')}",
+                 p=products)
 
 
 def extraction_rejects(products: DataFrame) -> DataFrame:
     """Trusted products skipped for a missing / blank article id, per vendor category."""
-    return (products.where(_trusted(products) & is_blank("article_id"))
-            .groupBy("vendor_short_name", "vendor_category_id")
-            .agg(F.count(F.lit(1)).alias("rejected_products")))
+    return q.run(products.sparkSession, f"""
+        SELECT vendor_short_name, vendor_category_id, count(1) AS rejected_products
+        FROM {{p}} WHERE {_TRUSTED} AND {q.blank('article_id')}
+        GROUP BY vendor_short_name, vendor_category_id""", p=products)
 
 
 def normalize_training(records: DataFrame) -> DataFrame:
@@ -35,7 +34,9 @@ def normalize_training(records: DataFrame) -> DataFrame:
     Ids and text fields are strings and class codes are typed from ingest on, so the
     only value change left is keyword trimming.
     """
-    return records.withColumn("keywords", clean_keywords("keywords"))
+    sel = ", ".join(q.clean_keywords("keywords") + " AS keywords" if c == "keywords" else c
+                    for c in records.columns)
+    return q.run(records.sparkSession, f"SELECT {sel} FROM {{r}}", r=records)
 
 
 # Position in the stable dataset: source (existing 0 < new 1) above the record ordinal,
@@ -43,7 +44,7 @@ def normalize_training(records: DataFrame) -> DataFrame:
 _SOURCE_BIT = 1 << 62
 
 
-def merge_stable(existing: DataFrame, new: DataFrame) -> DataFrame:
+def merge_stable(existing: DataFrame, new: DataFrame, rows_bound: int | None = None) -> DataFrame:
     """Upsert new records into the stable dataset, keyed by (vendor, article).
 
     Both key parts are stripped, and keyless rows (blank or falsy key) are dropped.
@@ -55,63 +56,76 @@ def merge_stable(existing: DataFrame, new: DataFrame) -> DataFrame:
     with a map-side partial step. The full records then meet their winner in an
     equi-join on (key, position): the payload is shuffled once, a hot key is spread
     over its positions, and consumers that only need a few columns (category counts)
-    never move the keyword lists.
+    never move the keyword lists. ``rows_bound`` (an upper bound of the input rows, if
+    known) proves the winner table small enough to broadcast without counting it.
     """
-    e = existing.select(*TRAINING_COLUMNS, F.lit(0).alias("_src"))
-    n = new.select(*TRAINING_COLUMNS, F.lit(1).alias("_src"))
-    both = e.unionByName(n).select(
-        "*",
-        falsy_text_key("vendor_short_name", F.lit(False)).alias("_k_vendor"),
-        falsy_text_key("article_id", "article_id_falsy").alias("_k_article"),
-        (F.col("ordinal") + F.col("_src") * F.lit(_SOURCE_BIT)).alias("_pos"))
-    both = both.where((F.col("_k_vendor") != "") & (F.col("_k_article") != ""))
-    winners = both.groupBy("_k_vendor", "_k_article").agg(
-        F.max("_pos").alias("_pos"), F.min("_pos").alias("_first"))
-    merged = both.drop("ordinal").join(winners, ["_k_vendor", "_k_article", "_pos"], "inner")
+    spark = existing.sparkSession
+    both = q.run(spark, f"""
+        WITH u AS (
+          SELECT {_COLS}, 0 AS _src FROM {{e}}
+          UNION ALL
+          SELECT {_COLS}, 1 AS _src FROM {{n}}),
+        k AS (
+          SELECT *, {q.falsy_key('vendor_short_name', None)} AS _k_vendor,
+                 {q.falsy_key('article_id', 'article_id_falsy')} AS _k_article,
+                 ordinal + _src * {_SOURCE_BIT} AS _pos
+          FROM u)
+        SELECT * FROM k WHERE _k_vendor <> '' AND _k_article <> ''""", e=existing, n=new)
+    winners = q.run(spark, """
+        SELECT _k_vendor, _k_article, max(_pos) AS _pos, min(_pos) AS _first
+        FROM {b} GROUP BY _k_vendor, _k_article""", b=both)
+    # small key sets (proven or checked) are broadcast so the payload stays in place
+    winners = bounded_broadcast(winners, KEY_BROADCAST_MAX_ROWS, rows_bound)
     # new records are numbered after every existing one: a scalar subquery, no join
-    base = existing.select(F.coalesce(F.max("ordinal") + 1, F.lit(0))).scalar()
-    first_src = F.col("_first") >= F.lit(_SOURCE_BIT)
-    ordinal = F.when(first_src, base + (F.col("_first") - F.lit(_SOURCE_BIT))).otherwise(F.col("_first"))
-    return merged.withColumn("ordinal", ordinal).select(*TRAINING_COLUMNS)
-
-
-def category_key(c="pim_category_id"):
-    """Category as counted by the threshold: stripped text."""
-    return py_strip(c)
+    ordinal = (f"CASE WHEN w._first >= {_SOURCE_BIT} "
+               f"THEN (SELECT coalesce(max(ordinal) + 1, 0) FROM {{e}}) + (w._first - {_SOURCE_BIT}) "
+               f"ELSE w._first END AS ordinal")
+    sel = ", ".join(ordinal if c == "ordinal" else f"b.{c}" for c in TRAINING_COLUMNS)
+    return q.run(spark, f"""
+        SELECT {sel}
+        FROM {{b}} b JOIN {{w}} w
+          ON b._k_vendor = w._k_vendor AND b._k_article = w._k_article AND b._pos = w._pos""",
+                 b=both, w=winners, e=existing)
 
 
 def category_counts(records: DataFrame) -> DataFrame:
     """Products per category (stripped id; NULL / blank ids skipped)."""
-    key = category_key()
-    return (records.where(key.isNotNull() & (key != ""))
-            .groupBy(key.alias("cat_key"))
-            .agg(F.count(F.lit(1)).alias("n_products")))
+    key = q.strip("pim_category_id")
+    return q.run(records.sparkSession, f"""
+        SELECT {key} AS cat_key, count(1) AS n_products FROM {{r}}
+        WHERE {key} IS NOT NULL AND {key} <> '' GROUP BY 1""", r=records)
 
 
 def usable_categories(records: DataFrame, min_products: int = 10) -> DataFrame:
     """Categories with at least ``min_products`` products (the HAVING step)."""
-    return (category_counts(records).where(F.col("n_products") >= F.lit(min_products))
-            .select("cat_key"))
+    return q.run(records.sparkSession,
+                 f"SELECT cat_key FROM {{c}} WHERE n_products >= {int(min_products)}",
+                 c=category_counts(records))
 
 
 def training_subset(records: DataFrame, min_products: int = 10,
-                    normalize: bool = True) -> DataFrame:
+                    normalize: bool = True, rows_bound: int | None = None) -> DataFrame:
     """Records of usable categories, normalized for training.
 
-    The usable-category table is category-level (size-checked broadcast), so the
-    record side is filtered in place, never shuffled.
+    The usable-category table is category-level and broadcast once its size is
+    proven (at most ``rows_bound / min_products`` categories can reach the minimum,
+    else a row-count check), so the record side is filtered in place, never shuffled.
     """
-    usable = bounded_broadcast(usable_categories(records, min_products))
-    keyed = (records.where(~F.coalesce(F.col("pim_category_id_falsy"), F.lit(False)))
-             .withColumn("cat_key", category_key()))
-    subset = keyed.join(usable, "cat_key", "left_semi").drop("cat_key")
-    return normalize_training(subset) if normalize else subset
+    cat_bound = None if rows_bound is None else rows_bound // max(min_products, 1)
+    usable = bounded_broadcast(usable_categories(records, min_products), upper_bound=cat_bound)
+    sel = ", ".join((q.clean_keywords("r.keywords") + " AS keywords") if (c == "keywords" and normalize)
+                    else f"r.{c}" for c in records.columns)
+    return q.run(records.sparkSession, f"""
+        SELECT {sel} FROM {{r}} r LEFT SEMI JOIN {{u}} u ON {q.strip('r.pim_category_id')} = u.cat_key
+        WHERE NOT coalesce(r.pim_category_id_falsy, false)""", r=records, u=usable)
 
 
 def category_dim(records: DataFrame) -> DataFrame:
     """First non-null name and path per raw category id, in dataset order."""
-    name, path, order = F.col("pim_category_name"), F.col("pim_category_path"), F.col("ordinal")
-    return (records.where(F.col("pim_category_id").isNotNull())
-            .groupBy("pim_category_id")
-            .agg(F.min_by(name, F.when(name.isNotNull(), order)).alias("pim_category_name"),
-                 F.min_by(path, F.when(path.isNotNull(), order)).alias("pim_category_path")))
+    return q.run(records.sparkSession, """
+        SELECT pim_category_id,
+               min_by(pim_category_name, CASE WHEN pim_category_name IS NOT NULL THEN ordinal END)
+                 AS pim_category_name,
+               min_by(pim_category_path, CASE WHEN pim_category_path IS NOT NULL THEN ordinal END)
+                 AS pim_category_path
+        FROM {r} WHERE pim_category_id IS NOT NULL GROUP BY pim_category_id""", r=records)

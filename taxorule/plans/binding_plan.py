@@ -10,12 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..config import DEFAULT_THRESHOLDS, RULE_FIELD_NAME, RULE_OPERATOR, Thresholds
-from ..functions.rules import mapping_method
-from ..functions.text import py_strip, split_tokens
+from ..config import DEFAULT_THRESHOLDS, KEY_BROADCAST_MAX_ROWS, RULE_FIELD_NAME, RULE_OPERATOR, Thresholds
+from ..functions import sqltext as q
 from ..operators import keywords as kw
+from ..operators.common import bounded_broadcast
 from ..operators import reference as ref
 from ..operators import scoring as sc
 from ..operators import training as tr
@@ -40,9 +39,10 @@ class BindingRun:
         products = dt.vendor_products(spark, sf_dir)
         existing = dt.existing_training(spark, sf_dir)
         new = tr.extract_training(products)
-        merged = tr.merge_stable(existing, new)
-        subset = tr.training_subset(merged, th.min_products)
-        previous = tr.training_subset(existing, th.min_products)
+        bound = dt.documents_rows(spark, sf_dir)     # every record set is a subset of documents
+        merged = tr.merge_stable(existing, new, bound)
+        subset = tr.training_subset(merged, th.min_products, rows_bound=bound)
+        previous = tr.training_subset(existing, th.min_products, rows_bound=bound)
         return cls(products, existing, new, merged, subset, previous, th, spark, sf_dir)
 
     spark: SparkSession | None = None
@@ -57,17 +57,29 @@ class BindingRun:
         to keys), joined once onto the documents, and each text is tokenized once
         with all its role flags -- instead of once per role.
         """
-        keys = ["vendor_short_name", "article_id", "pim_category_id"]
-        train = self.subset.select(*keys).distinct().withColumn("in_training", F.lit(1))
-        prev = self.previous.select(*keys).distinct().withColumn("in_previous", F.lit(1))
-        roles = train.join(prev, keys, "full_outer")
-        docs = dt.bound_documents(self.spark, self.sf_dir)
-        records = docs.join(roles, keys, "left").select(
-            "pim_category_id", split_tokens("text").alias("keywords"),
-            F.coalesce("in_training", F.lit(0)).alias("in_training"),
-            F.when(F.col("vendor_short_name") == dt.RUN_VENDOR, 1).otherwise(0).alias("in_vendor"),
-            F.coalesce("in_previous", F.lit(0)).alias("in_previous"))
-        records = records.where(F.col("in_training") + F.col("in_vendor") + F.col("in_previous") > 0)
+        roles = q.run(self.spark, """
+            WITH t AS (SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {t}),
+            p AS (SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {p})
+            SELECT coalesce(t.vendor_short_name, p.vendor_short_name) AS vendor_short_name,
+                   coalesce(t.article_id, p.article_id) AS article_id,
+                   coalesce(t.pim_category_id, p.pim_category_id) AS pim_category_id,
+                   CASE WHEN t.article_id IS NOT NULL THEN 1 ELSE 0 END AS in_training,
+                   CASE WHEN p.article_id IS NOT NULL THEN 1 ELSE 0 END AS in_previous
+            FROM t FULL OUTER JOIN p
+              ON t.vendor_short_name = p.vendor_short_name AND t.article_id = p.article_id
+             AND t.pim_category_id = p.pim_category_id""", t=self.subset, p=self.previous)
+        roles = bounded_broadcast(roles, KEY_BROADCAST_MAX_ROWS, dt.documents_rows(self.spark, self.sf_dir))
+        records = q.run(self.spark, f"""
+            SELECT d.pim_category_id, split(d.text, {q.SPLIT}) AS keywords,
+                   coalesce(r.in_training, 0) AS in_training,
+                   CASE WHEN d.vendor_short_name = {q.lit(dt.RUN_VENDOR)} THEN 1 ELSE 0 END AS in_vendor,
+                   coalesce(r.in_previous, 0) AS in_previous
+            FROM {{d}} d LEFT JOIN {{r}} r
+              ON d.vendor_short_name = r.vendor_short_name AND d.article_id = r.article_id
+             AND d.pim_category_id = r.pim_category_id
+            WHERE coalesce(r.in_training, 0) + coalesce(r.in_previous, 0) > 0
+               OR d.vendor_short_name = {q.lit(dt.RUN_VENDOR)}""",
+                        d=dt.bound_documents(self.spark, self.sf_dir), r=roles)
         return sc.pair_scores(records, self.th)
 
     def scored_by_role(self) -> DataFrame:
@@ -82,24 +94,22 @@ class BindingRun:
 
     def old_reference(self) -> tuple[DataFrame, DataFrame]:
         """Old reference of the binding: the global candidates of the previous subset alone."""
-        prev_dim = tr.category_dim(self.previous)
-        cats = prev_dim.select(
-            py_strip("pim_category_id").alias("cat_key"), "pim_category_id", "pim_category_name",
-            "pim_category_path", F.lit(None).cast("string").alias("vendor_mappings"),
-            F.lit(None).cast("string").alias("entry_json"), F.lit(0).cast("bigint").alias("position"))
+        cats = q.run(self.spark, f"""
+            SELECT {q.strip('pim_category_id')} AS cat_key, pim_category_id, pim_category_name,
+                   pim_category_path, cast(NULL AS string) AS vendor_mappings,
+                   cast(NULL AS string) AS entry_json, cast(0 AS bigint) AS position
+            FROM {{d}}""", d=tr.category_dim(self.previous))
         stats = kw.keyword_stats(kw.keyword_occurrences(self.previous))
-        cand = stats.where((F.col("inside_count") >= self.th.min_inside)
-                           & (F.col("hard_outside_count") <= self.th.max_hard_outside))
-        inc = F.array("keyword")
-        exc = F.array().cast("array<string>")
-        rules = cand.select(
-            py_strip("pim_category_id").alias("cat_key"),
-            F.lit(0).cast("bigint").alias("entry_position"),
-            F.lit(0).cast("bigint").alias("rule_position"),
-            F.lit(RULE_FIELD_NAME).alias("field_name"), F.lit(RULE_OPERATOR).alias("operator"),
-            inc.alias("values_include"), exc.alias("values_exclude"),
-            F.to_json(mapping_method(F.lit(RULE_FIELD_NAME), inc, exc, F.lit(RULE_OPERATOR)))
-            .alias("rule_json"))
+        rule = (f"named_struct('field_name', {q.lit(RULE_FIELD_NAME)}, 'values_include', array(keyword), "
+                f"'values_exclude', cast(array() AS array<string>), 'operator', {q.lit(RULE_OPERATOR)})")
+        rules = q.run(self.spark, f"""
+            SELECT {q.strip('pim_category_id')} AS cat_key, cast(0 AS bigint) AS entry_position,
+                   cast(0 AS bigint) AS rule_position, {q.lit(RULE_FIELD_NAME)} AS field_name,
+                   {q.lit(RULE_OPERATOR)} AS operator, array(keyword) AS values_include,
+                   cast(array() AS array<string>) AS values_exclude, to_json({rule}) AS rule_json
+            FROM {{s}}
+            WHERE inside_count >= {int(self.th.min_inside)}
+              AND hard_outside_count <= {int(self.th.max_hard_outside)}""", s=stats)
         return cats, rules
 
     def new_reference(self) -> tuple[DataFrame, DataFrame]:
@@ -108,8 +118,13 @@ class BindingRun:
 
 
 def _record_view(df: DataFrame) -> DataFrame:
-    return df.select(*STRING_FIELDS, F.size("keywords").cast("long").alias("n_keywords"),
-                     "ordinal")
+    return q.run(df.sparkSession, f"""
+        SELECT {q.cols(STRING_FIELDS)}, cast(size(keywords) AS bigint) AS n_keywords, ordinal
+        FROM {{r}}""", r=df)
+
+
+def _select(df: DataFrame, text: str) -> DataFrame:
+    return q.run(df.sparkSession, f"SELECT {text} FROM {{x}}", x=df)
 
 
 # ---- driver queries -------------------------------------------------------------
@@ -118,12 +133,11 @@ def q_vendor_match_products(spark, sf_dir):
     """Match-document ingest: the vendor's JSON fragments (rendered from documents) flattened."""
     from ..sources.match import match_products
     prods = match_products(dt.match_document_lines(spark, sf_dir))
-    return prods.select(
-        "vendor_short_name", "vendor_category_id", "vendor_category_name", "vendor_category_path",
-        "pim_category_id", "pim_category_name", "pim_category_path", "assignment_source",
-        "article_id", "description_short",
-        F.size("keywords").cast("long").alias("n_keywords"),
-        F.size("class_codes").cast("long").alias("n_class_codes"))
+    return _select(prods, """
+        vendor_short_name, vendor_category_id, vendor_category_name, vendor_category_path,
+        pim_category_id, pim_category_name, pim_category_path, assignment_source, article_id,
+        description_short, cast(size(keywords) AS bigint) AS n_keywords,
+        cast(size(class_codes) AS bigint) AS n_class_codes""")
 
 
 def q_accepted_training(spark, sf_dir):
@@ -133,11 +147,12 @@ def q_accepted_training(spark, sf_dir):
 
 def q_stable_merge(spark, sf_dir):
     products = dt.vendor_products(spark, sf_dir)
-    merged = tr.merge_stable(dt.merge_existing(spark, sf_dir), tr.extract_training(products))
+    merged = tr.merge_stable(dt.merge_existing(spark, sf_dir), tr.extract_training(products),
+                             2 * dt.documents_rows(spark, sf_dir))
     return _record_view(merged)
 
 
-def q_category_counts(spark, sf_dir):
+def q_category_counts(spark, sf_dir):  # noqa: D103
     return tr.category_counts(BindingRun.build(spark, sf_dir).merged)
 
 
@@ -151,9 +166,10 @@ def q_training_subset(spark, sf_dir):
 
 def q_keyword_occurrences(spark, sf_dir):
     occ = kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset)
-    return occ.groupBy("pim_category_id", "article_id").agg(
-        F.count(F.lit(1)).alias("n_occurrences"),
-        F.count_distinct("keyword").alias("n_distinct_keywords"))
+    return q.run(spark, """
+        SELECT pim_category_id, article_id, count(1) AS n_occurrences,
+               count(DISTINCT keyword) AS n_distinct_keywords
+        FROM {o} GROUP BY pim_category_id, article_id""", o=occ)
 
 
 def q_keyword_stats(spark, sf_dir):
@@ -179,7 +195,7 @@ def q_previous_pairs(spark, sf_dir):
 def q_previous_pairs_min60(spark, sf_dir):
     """Previous pairs with a raised category minimum (the threshold branch at sf0.01)."""
     existing = dt.existing_training(spark, sf_dir)
-    return kw.keyword_pairs(tr.training_subset(existing, 60))
+    return kw.keyword_pairs(tr.training_subset(existing, 60, rows_bound=dt.documents_rows(spark, sf_dir)))
 
 
 def q_scored_candidates(spark, sf_dir):
@@ -205,10 +221,9 @@ def q_strict_candidates(spark, sf_dir):
 
 def q_rule_proposals(spark, sf_dir):
     p = BindingRun.build(spark, sf_dir).proposals()
-    return p.select("pim_category_id", "pim_category_name", "field_name", "operator",
-                    F.array_join("values_include", ",").alias("values_include"),
-                    F.array_join("values_exclude", ",").alias("values_exclude"),
-                    "stats.*")
+    return _select(p, """pim_category_id, pim_category_name, field_name, operator,
+        array_join(values_include, ',') AS values_include,
+        array_join(values_exclude, ',') AS values_exclude, stats.*""")
 
 
 def q_status_summary(spark, sf_dir):
@@ -217,9 +232,9 @@ def q_status_summary(spark, sf_dir):
 
 def q_accepted_rules(spark, sf_dir):
     r = ref.accepted_rules(BindingRun.build(spark, sf_dir).proposals())
-    return r.select(F.col("cat_key").alias("pim_category_id"), "field_name", "operator",
-                    F.array_join("values_include", ",").alias("values_include"),
-                    F.array_join("values_exclude", ",").alias("values_exclude"))
+    return _select(r, """cat_key AS pim_category_id, field_name, operator,
+        array_join(values_include, ',') AS values_include,
+        array_join(values_exclude, ',') AS values_exclude""")
 
 
 def q_category_dim(spark, sf_dir):
@@ -236,8 +251,7 @@ def q_rule_changes(spark, sf_dir):
     old_cats, old_rules = run.old_reference()
     new_cats, new_rules = run.new_reference()
     ch = ref.rule_changes(old_cats, old_rules, new_cats, new_rules)
-    return ch.select("pim_category_id", "pim_category_name", "change",
-                     F.col("signature").alias("rule"))
+    return _select(ch, "pim_category_id, pim_category_name, change, signature AS rule")
 
 
 QUERIES = {

@@ -13,12 +13,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..config import TRUSTED_SOURCE
-from ..functions.text import KEYWORD_SPLIT_PATTERN, split_keywords
-from ..schemas import PRODUCT_COLUMNS, TRAINING_COLUMNS
+from ..functions import sqltext as q
 from ..session import relayout_small
 
 # Fixed values of the binding.
@@ -44,6 +42,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _scans[key]
 
 
+def documents_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Row count of the documents table (Parquet footers; once per session). Every
+    record or key table of the binding has at most this many rows."""
+    key = (spark.sparkContext.applicationId, sf_dir, "documents:rows")
+    if key not in _scans:
+        _scans[key] = read_table(spark, sf_dir, "documents").count()
+    return _scans[key]
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, "documents:relayout")
     if key not in _scans:
@@ -51,15 +58,6 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scans[key]
 
 
-def _src_no() -> Column:
-    return F.substring("source", 4, 1_000_000).cast("int")
-
-
-def _rotated(lang: Column) -> Column:
-    return (F.when(lang == "en", "fr").when(lang == "fr", "de").when(lang == "de", "es")
-            .otherwise("en"))
-
-
 def bound_documents(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """One row per document with every model attribute except the keyword list.
 
@@ -71,61 +69,61 @@ def bound_documents(spark: SparkSession, sf_dir: str, with_text: bool = True) ->
     return _scans[key]
 
 
+_ROTATED = ("(CASE WHEN lang = 'en' THEN 'fr' WHEN lang = 'fr' THEN 'de' "
+            "WHEN lang = 'de' THEN 'es' ELSE 'en' END)")
+
+
 def _bound_documents(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
-    cols = ["doc_id", "lang", "source"] + (["text"] if with_text else [])
-    docs = _documents(spark, sf_dir).select(*cols)
-    vendor = F.when(_src_no() < 10, F.lit(RUN_VENDOR)).otherwise(F.lit(OTHER_VENDOR))
-    untrusted = (vendor == RUN_VENDOR) & (F.col("doc_id") % 10 == 0)
-    category = F.when(untrusted, _rotated(F.col("lang"))).otherwise(F.col("lang"))
-    out = docs.select(
-        "*",
-        vendor.alias("vendor_short_name"),
-        F.when(untrusted, F.lit(UNTRUSTED_SOURCE)).otherwise(F.lit(TRUSTED_SOURCE))
-        .alias("assignment_source"),
-        category.alias("pim_category_id"))
-    return out.select(
-        "*",
-        F.upper("pim_category_id").alias("pim_category_name"),
-        F.concat(F.lit("Products/"), F.upper("pim_category_id")).alias("pim_category_path"),
-        F.col("source").alias("vendor_category_id"),
-        F.upper("source").alias("vendor_category_name"),
-        F.concat("vendor_short_name", F.lit("/"), "source").alias("vendor_category_path"),
-        F.col("doc_id").cast("string").alias("article_id"),
-        F.col("doc_id").alias("ordinal"))
-
-
-def _with_record_columns(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        "*",
-        F.substring("text", 1, 40).alias("description_short"),
-        split_keywords("text").alias("keywords"),
-        F.array(F.struct(F.lit("LANG").alias("system"), F.col("lang").alias("code")))
-        .alias("class_codes"),
-        F.lit(False).alias("article_id_falsy"),
-        F.lit(False).alias("pim_category_id_falsy"),
-        F.lit(0).alias("vcat_pos"), F.lit(0).alias("match_pos"), F.lit(0).alias("product_pos"))
+    text = ", text" if with_text else ""
+    vendor = (f"CASE WHEN cast(substring(source, 4) AS int) < 10 THEN {q.lit(RUN_VENDOR)} "
+              f"ELSE {q.lit(OTHER_VENDOR)} END")
+    return q.run(spark, f"""
+        WITH d AS (
+          SELECT doc_id, lang, source{text}, {vendor} AS vendor_short_name FROM {{docs}}),
+        r AS (
+          SELECT *, (vendor_short_name = {q.lit(RUN_VENDOR)} AND doc_id % 10 = 0) AS _untrusted FROM d),
+        c AS (
+          SELECT *, CASE WHEN _untrusted THEN {_ROTATED} ELSE lang END AS pim_category_id FROM r)
+        SELECT doc_id, lang, source{text}, vendor_short_name,
+               CASE WHEN _untrusted THEN {q.lit(UNTRUSTED_SOURCE)} ELSE {q.lit(TRUSTED_SOURCE)} END
+                 AS assignment_source,
+               pim_category_id, upper(pim_category_id) AS pim_category_name,
+               concat('Products/', upper(pim_category_id)) AS pim_category_path,
+               source AS vendor_category_id, upper(source) AS vendor_category_name,
+               concat(vendor_short_name, '/', source) AS vendor_category_path,
+               cast(doc_id AS string) AS article_id, doc_id AS ordinal
+        FROM c""", docs=_documents(spark, sf_dir))
+
+
+def _record_sql(where: str, extra: str = "", description: str = "substring(text, 1, 40)") -> str:
+    return f"""
+        SELECT pim_category_id, pim_category_name, pim_category_path, vendor_short_name,
+               vendor_category_id, vendor_category_name, vendor_category_path, article_id,
+               {description} AS description_short, {q.split_keywords('text')} AS keywords,
+               array(named_struct('system', 'LANG', 'code', lang)) AS class_codes, ordinal,
+               false AS article_id_falsy, false AS pim_category_id_falsy{extra}
+        FROM {{docs}} WHERE {where}"""
 
 
 def vendor_products(spark: SparkSession, sf_dir: str, vendor: str = RUN_VENDOR) -> DataFrame:
     """The run vendor's flat match products (trusted and untrusted)."""
-    docs = bound_documents(spark, sf_dir).where(F.col("vendor_short_name") == vendor)
-    return _with_record_columns(docs).select(*PRODUCT_COLUMNS)
+    text = _record_sql(f"vendor_short_name = {q.lit(vendor)}",
+                       ", assignment_source, 0 AS vcat_pos, 0 AS match_pos, 0 AS product_pos")
+    return q.run(spark, text, docs=bound_documents(spark, sf_dir))
 
 
 def existing_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stable training dataset before this run: every vendorB record."""
-    docs = bound_documents(spark, sf_dir).where(F.col("vendor_short_name") == OTHER_VENDOR)
-    return _with_record_columns(docs).select(*TRAINING_COLUMNS)
+    return q.run(spark, _record_sql(f"vendor_short_name = {q.lit(OTHER_VENDOR)}"),
+                 docs=bound_documents(spark, sf_dir))
 
 
 def merge_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing set of the merge check: vendorB plus stale copies of vendorA's src0/src1 rows."""
-    docs = bound_documents(spark, sf_dir)
-    stale = (F.col("vendor_short_name") == RUN_VENDOR) & (F.col("doc_id") % 20 <= 1)
-    rows = _with_record_columns(docs.where((F.col("vendor_short_name") == OTHER_VENDOR) | stale))
-    rows = rows.withColumn("description_short", F.when(stale, F.lit(STALE_DESCRIPTION))
-                           .otherwise(F.col("description_short")))
-    return rows.select(*TRAINING_COLUMNS)
+    stale = f"(vendor_short_name = {q.lit(RUN_VENDOR)} AND doc_id % 20 <= 1)"
+    text = _record_sql(f"vendor_short_name = {q.lit(OTHER_VENDOR)} OR {stale}", "",
+                       f"CASE WHEN {stale} THEN {q.lit(STALE_DESCRIPTION)} ELSE substring(text, 1, 40) END")
+    return q.run(spark, text, docs=bound_documents(spark, sf_dir))
 
 
 def match_document_lines(spark: SparkSession, sf_dir: str, vendor: str = RUN_VENDOR) -> DataFrame:
@@ -135,18 +133,17 @@ def match_document_lines(spark: SparkSession, sf_dir: str, vendor: str = RUN_VEN
     Ids are JSON numbers and keyword lists keep raw split tokens (incl. the empty
     token a leading separator gives), so ingest coercion has real work to do.
     """
-    docs = bound_documents(spark, sf_dir).where(F.col("vendor_short_name") == vendor)
-    product = F.struct(
-        F.col("doc_id").alias("article_id"),
-        F.substring("text", 1, 40).alias("description_short"),
-        F.split("text", KEYWORD_SPLIT_PATTERN).alias("keywords"),
-        F.array(F.struct(F.lit("LANG").alias("system"), F.col("lang").alias("code")))
-        .alias("class_codes"))
-    match = F.struct(
-        F.col("pim_category_id"), F.col("pim_category_name"), F.col("pim_category_path"),
-        F.col("assignment_source"), F.array(product).alias("products"))
-    fragment = F.create_map(F.col("vendor_category_id"), F.struct(
-        F.col("vendor_category_name"), F.col("vendor_category_path"),
-        F.array(match).alias("pim_matches")))
-    return docs.select(F.col("vendor_short_name"), F.to_json(fragment).alias("value"),
-                       F.concat(F.lit("documents#"), F.col("doc_id")).alias("source"))
+    return q.run(spark, f"""
+        SELECT vendor_short_name,
+               to_json(map(vendor_category_id, named_struct(
+                 'vendor_category_name', vendor_category_name,
+                 'vendor_category_path', vendor_category_path,
+                 'pim_matches', array(named_struct(
+                   'pim_category_id', pim_category_id, 'pim_category_name', pim_category_name,
+                   'pim_category_path', pim_category_path, 'assignment_source', assignment_source,
+                   'products', array(named_struct(
+                     'article_id', doc_id, 'description_short', substring(text, 1, 40),
+                     'keywords', split(text, {q.SPLIT}),
+                     'class_codes', array(named_struct('system', 'LANG', 'code', lang))))))))) AS value,
+               concat('documents#', doc_id) AS source
+        FROM {{docs}} WHERE vendor_short_name = {q.lit(vendor)}""", docs=bound_documents(spark, sf_dir))
