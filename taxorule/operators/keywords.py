@@ -17,7 +17,7 @@ def keyword_occurrences(records: DataFrame) -> DataFrame:
     """(pim_category_id, article_id, keyword) for every keyword of normalized records."""
     return q.run(records.sparkSession, """
         SELECT pim_category_id, article_id, keyword
-        FROM {r} LATERAL VIEW explode(keywords) t AS keyword
+        FROM (SELECT pim_category_id, article_id, explode(keywords) AS keyword FROM {r})
         WHERE keyword IS NOT NULL AND trim(keyword) <> ''""", r=records)
 
 
@@ -25,7 +25,7 @@ def _stripped_keywords(records: DataFrame) -> DataFrame:
     return q.run(records.sparkSession, f"""
         SELECT pim_category_id, keyword FROM (
           SELECT pim_category_id, {q.strip('_raw')} AS keyword
-          FROM {{r}} LATERAL VIEW explode(keywords) t AS _raw)
+          FROM (SELECT pim_category_id, explode(keywords) AS _raw FROM {{r}}))
         WHERE keyword <> ''""", r=records)
 
 

@@ -17,32 +17,31 @@ def _global_candidate(th: Thresholds) -> str:
 
 
 def _classified(source: str, th: Thresholds) -> str:
-    """SQL: flags and vendor_status over a relation carrying the six counts and
-    ``known_in_previous_training`` (first matching status wins)."""
+    """SQL: flags and vendor_status over a relation (SQL text) carrying the six counts
+    and ``known_in_previous_training`` (first matching status wins). Nested subqueries
+    rather than a WITH chain: plans stay plain projections for later re-analysis."""
+    f1 = f"""(SELECT *, vendor_total_count > 0 AS has_vendor_usage,
+                     {_global_candidate(th)} AS global_candidate
+              FROM {source}) f1"""
+    f2 = f"""(SELECT *,
+                     global_candidate AND vendor_inside_count >= {int(th.min_vendor_inside)}
+                       AND vendor_outside_count <= {int(th.max_vendor_outside)} AS vendor_supports,
+                     global_candidate AND vendor_outside_count > {int(th.max_vendor_outside)} AS vendor_violates,
+                     global_candidate AND NOT known_in_previous_training AS is_new_rule
+              FROM {f1}) f2"""
     return f"""
-        f1 AS (
-          SELECT *, vendor_total_count > 0 AS has_vendor_usage,
-                 {_global_candidate(th)} AS global_candidate
-          FROM {source}),
-        f2 AS (
-          SELECT *,
-                 global_candidate AND vendor_inside_count >= {int(th.min_vendor_inside)}
-                   AND vendor_outside_count <= {int(th.max_vendor_outside)} AS vendor_supports,
-                 global_candidate AND vendor_outside_count > {int(th.max_vendor_outside)} AS vendor_violates,
-                 global_candidate AND NOT known_in_previous_training AS is_new_rule
-          FROM f1),
-        f3 AS (
-          SELECT *, CASE WHEN is_new_rule AND vendor_supports THEN {q.lit(STATUS_NEW)}
-                         WHEN global_candidate AND vendor_supports THEN {q.lit(STATUS_SUPPORTED)}
-                         WHEN global_candidate AND vendor_violates THEN {q.lit(STATUS_VIOLATED)}
-                         WHEN global_candidate AND NOT has_vendor_usage THEN {q.lit(STATUS_NOT_IMPACTED)}
-                    END AS vendor_status
-          FROM f2)"""
+        SELECT {_SCORED.replace('vendor_status', '')}
+               CASE WHEN is_new_rule AND vendor_supports THEN {q.lit(STATUS_NEW)}
+                    WHEN global_candidate AND vendor_supports THEN {q.lit(STATUS_SUPPORTED)}
+                    WHEN global_candidate AND vendor_violates THEN {q.lit(STATUS_VIOLATED)}
+                    WHEN global_candidate AND NOT has_vendor_usage THEN {q.lit(STATUS_NOT_IMPACTED)}
+               END AS vendor_status
+        FROM {f2}"""
 
 
 def classify(stats: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Flags and vendor_status of scored pairs."""
-    return q.run(stats.sparkSession, f"WITH {_classified('{s}', th)} SELECT {_SCORED} FROM f3", s=stats)
+    return q.run(stats.sparkSession, _classified("{s}", th), s=stats)
 
 
 def role_records(training: DataFrame | None = None, vendor: DataFrame | None = None,
@@ -72,29 +71,29 @@ def pair_scores(records: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
     vendor inside, vendor totals, previous pairs), in two shuffles and with no join.
     Keys are the raw category strings, exactly as the joins matched them.
     """
+    spark = records.sparkSession
+    pairs = q.run(spark, f"""
+        SELECT pim_category_id, keyword,
+               cast(sum(in_training) AS bigint) AS inside_count,
+               cast(sum(in_vendor) AS bigint) AS vendor_inside_count,
+               max(in_previous) > 0 AS known_in_previous_training
+        FROM (SELECT pim_category_id, {q.strip('_raw')} AS keyword, in_training, in_vendor, in_previous
+              FROM (SELECT pim_category_id, in_training, in_vendor, in_previous,
+                           explode(keywords) AS _raw FROM {{r}}))
+        WHERE keyword <> ''
+        GROUP BY pim_category_id, keyword""", r=records)
+    # previous-only pairs add nothing to either total
+    totals = q.run(spark, """
+        SELECT pim_category_id, keyword, inside_count, vendor_inside_count, known_in_previous_training,
+               sum(inside_count) OVER (PARTITION BY keyword) AS train_total_count,
+               sum(vendor_inside_count) OVER (PARTITION BY keyword) AS vendor_total_count
+        FROM {p} WHERE inside_count > 0 OR vendor_inside_count > 0""", p=pairs)
     cand = f"WHERE {_global_candidate(th)}" if candidates_only else ""
-    return q.run(records.sparkSession, f"""
-        WITH occ AS (
-          SELECT pim_category_id, {q.strip('_raw')} AS keyword, in_training, in_vendor, in_previous
-          FROM {{r}} LATERAL VIEW explode(keywords) t AS _raw),
-        pairs AS (
-          SELECT pim_category_id, keyword,
-                 cast(sum(in_training) AS bigint) AS inside_count,
-                 cast(sum(in_vendor) AS bigint) AS vendor_inside_count,
-                 max(in_previous) > 0 AS known_in_previous_training
-          FROM occ WHERE keyword <> '' GROUP BY pim_category_id, keyword),
-        totals AS (
-          SELECT *, sum(inside_count) OVER (PARTITION BY keyword) AS train_total_count,
-                 sum(vendor_inside_count) OVER (PARTITION BY keyword) AS vendor_total_count
-          -- previous-only pairs add nothing to either total
-          FROM pairs WHERE inside_count > 0 OR vendor_inside_count > 0),
-        stats AS (
-          SELECT *, train_total_count - inside_count AS hard_outside_count,
-                 vendor_total_count - vendor_inside_count AS vendor_outside_count
-          FROM totals WHERE inside_count > 0),
-        cand AS (SELECT * FROM stats {cand}),
-        {_classified('cand', th)}
-        SELECT {_SCORED} FROM f3""", r=records)
+    stats = f"""(SELECT * FROM (
+                   SELECT *, train_total_count - inside_count AS hard_outside_count,
+                          vendor_total_count - vendor_inside_count AS vendor_outside_count
+                   FROM {{t}} WHERE inside_count > 0) s0 {cand}) s1"""
+    return q.run(spark, _classified(stats, th), t=totals)
 
 
 def score_rules(stats: DataFrame, vendor_inside: DataFrame, vendor_totals: DataFrame,
@@ -106,21 +105,18 @@ def score_rules(stats: DataFrame, vendor_inside: DataFrame, vendor_totals: DataF
     joins and they see the (small) candidate set.
     """
     cand = f"WHERE {_global_candidate(th)}" if candidates_only else ""
-    return q.run(stats.sparkSession, f"""
-        WITH s AS (SELECT * FROM {{s}} {cand}),
-        prev AS (SELECT DISTINCT pim_category_id, keyword FROM {{p}}),
-        j AS (
+    joined = f"""(SELECT *, vendor_total_count - vendor_inside_count AS vendor_outside_count FROM (
           SELECT s.pim_category_id, s.keyword, s.inside_count, s.train_total_count, s.hard_outside_count,
                  cast(coalesce(vi.vendor_inside_count, 0) AS bigint) AS vendor_inside_count,
                  cast(coalesce(vt.vendor_total_count, 0) AS bigint) AS vendor_total_count,
                  prev.keyword IS NOT NULL AS known_in_previous_training
-          FROM s
+          FROM (SELECT * FROM {{s}} {cand}) s
           LEFT JOIN {{vi}} vi ON vi.pim_category_id = s.pim_category_id AND vi.keyword = s.keyword
           LEFT JOIN {{vt}} vt ON vt.keyword = s.keyword
-          LEFT JOIN prev ON prev.pim_category_id = s.pim_category_id AND prev.keyword = s.keyword),
-        k AS (SELECT *, vendor_total_count - vendor_inside_count AS vendor_outside_count FROM j),
-        {_classified('k', th)}
-        SELECT {_SCORED} FROM f3""", s=stats, vi=vendor_inside, vt=vendor_totals, p=previous_pairs)
+          LEFT JOIN (SELECT DISTINCT pim_category_id, keyword FROM {{p}}) prev
+            ON prev.pim_category_id = s.pim_category_id AND prev.keyword = s.keyword) j) k"""
+    return q.run(stats.sparkSession, _classified(joined, th),
+                 s=stats, vi=vendor_inside, vt=vendor_totals, p=previous_pairs)
 
 
 def strict_candidates(scored: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

@@ -19,9 +19,22 @@ from ..operators import reference as ref
 from ..operators import scoring as sc
 from ..operators import training as tr
 from ..schemas import STRING_FIELDS
+from ..session import cut_lineage
 from ..sources import driver_tables as dt
 
 
+def _memo(method):
+    """Build a run's derived plan once (plans are lazy and pure; building costs analysis)."""
+    def wrapper(self):
+        cache = self.__dict__.setdefault("_plans", {})
+        if method.__name__ not in cache:
+            cache[method.__name__] = method(self)
+        return cache[method.__name__]
+    wrapper.__name__ = method.__name__
+    wrapper.__doc__ = method.__doc__
+    return wrapper
+
+
 @dataclass
 class BindingRun:
     """Lazy DataFrames of one vendor run over the documents binding."""
@@ -48,6 +61,7 @@ class BindingRun:
     spark: SparkSession | None = None
     sf_dir: str | None = None
 
+    @_memo
     def scored(self) -> DataFrame:
         """Scoring with late materialization of the keyword lists.
 
@@ -82,16 +96,35 @@ class BindingRun:
                         d=dt.bound_documents(self.spark, self.sf_dir), r=roles)
         return sc.pair_scores(records, self.th)
 
+    @_memo
     def scored_by_role(self) -> DataFrame:
         """The general form: each source's records stacked once per role."""
         return sc.pair_scores(sc.role_records(self.subset, self.products, self.previous), self.th)
 
+    @_memo
+    def scored_cut(self) -> DataFrame:
+        """The scored pairs written to the shared checkpoint folder: the reference steps
+        after it read the written copy (shallow plans, no recomputation, and a lost
+        executor does not send them back through the scoring)."""
+        return cut_lineage(self.scored())
+
+    @_memo
     def dim(self) -> DataFrame:
         return tr.category_dim(self.subset)
 
+    @_memo
+    def dim_cut(self) -> DataFrame:
+        return cut_lineage(self.dim())
+
+    @_memo
     def proposals(self) -> DataFrame:
         return sc.rule_proposals(self.scored(), self.dim())
 
+    @_memo
+    def proposals_cut(self) -> DataFrame:
+        return sc.rule_proposals(self.scored_cut(), self.dim_cut())
+
+    @_memo
     def old_reference(self) -> tuple[DataFrame, DataFrame]:
         """Old reference of the binding: the global candidates of the previous subset alone."""
         cats = q.run(self.spark, f"""
@@ -110,11 +143,12 @@ class BindingRun:
             FROM {{s}}
             WHERE inside_count >= {int(self.th.min_inside)}
               AND hard_outside_count <= {int(self.th.max_hard_outside)}""", s=stats)
-        return cats, rules
+        return cut_lineage(cats), cut_lineage(rules)
 
+    @_memo
     def new_reference(self) -> tuple[DataFrame, DataFrame]:
         old_cats, _ = self.old_reference()
-        return ref.rebuild_reference(old_cats, self.proposals(), self.dim())
+        return ref.rebuild_reference(old_cats, self.proposals_cut(), self.dim_cut())
 
 
 def _record_view(df: DataFrame) -> DataFrame:
@@ -227,11 +261,11 @@ def q_rule_proposals(spark, sf_dir):
 
 
 def q_status_summary(spark, sf_dir):
-    return sc.status_summary(BindingRun.build(spark, sf_dir).proposals())
+    return sc.status_summary(BindingRun.build(spark, sf_dir).proposals_cut())
 
 
 def q_accepted_rules(spark, sf_dir):
-    r = ref.accepted_rules(BindingRun.build(spark, sf_dir).proposals())
+    r = ref.accepted_rules(BindingRun.build(spark, sf_dir).proposals_cut())
     return _select(r, """cat_key AS pim_category_id, field_name, operator,
         array_join(values_include, ',') AS values_include,
         array_join(values_exclude, ',') AS values_exclude""")

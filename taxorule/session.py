@@ -58,9 +58,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Later plans start from the written copy: they stay shallow, do not recompute
+    ``df``, and survive the loss of any executor (the files live in the shared folder).
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
