@@ -61,30 +61,32 @@ def role_records(training: DataFrame | None = None, vendor: DataFrame | None = N
     return q.run(spark, " UNION ALL ".join(parts), **dfs)
 
 
-def pair_scores(records: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
-                candidates_only: bool = True) -> DataFrame:
-    """Score every training pair from role-tagged records in one aggregation.
-
-    ``explode -> strip -> groupBy(pair)`` sums the training and vendor roles and
-    marks the previous one; a keyword-partitioned window then adds both keyword
-    totals. This is the same as the job's four aggregates and joins (inside, totals,
-    vendor inside, vendor totals, previous pairs), in two shuffles and with no join.
-    Keys are the raw category strings, exactly as the joins matched them.
-    """
-    spark = records.sparkSession
-    pairs = q.run(spark, f"""
+def pair_counts(records: DataFrame) -> DataFrame:
+    """Occurrences per (category, keyword) of every role, in one pass:
+    ``explode -> strip -> groupBy(pair)`` with a map-side partial aggregate, so a keyword
+    used by a third of all products reaches the shuffle as one row per (task, category).
+    Keys are the raw category strings, exactly as the job's joins matched them."""
+    return q.run(records.sparkSession, f"""
         SELECT pim_category_id, keyword,
                cast(sum(in_training) AS bigint) AS inside_count,
                cast(sum(in_vendor) AS bigint) AS vendor_inside_count,
-               max(in_previous) > 0 AS known_in_previous_training
+               cast(sum(in_previous) AS bigint) AS previous_count
         FROM (SELECT pim_category_id, {q.strip('_raw')} AS keyword, in_training, in_vendor, in_previous
               FROM (SELECT pim_category_id, in_training, in_vendor, in_previous,
                            explode(keywords) AS _raw FROM {{r}}))
         WHERE keyword <> ''
         GROUP BY pim_category_id, keyword""", r=records)
+
+
+def score_pairs(pairs: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
+                candidates_only: bool = True) -> DataFrame:
+    """Keyword totals by a keyword-partitioned window over the pair counts (a keyword's
+    partition holds at most one row per category), then flags and status."""
+    spark = pairs.sparkSession
     # previous-only pairs add nothing to either total
     totals = q.run(spark, """
-        SELECT pim_category_id, keyword, inside_count, vendor_inside_count, known_in_previous_training,
+        SELECT pim_category_id, keyword, inside_count, vendor_inside_count,
+               previous_count > 0 AS known_in_previous_training,
                sum(inside_count) OVER (PARTITION BY keyword) AS train_total_count,
                sum(vendor_inside_count) OVER (PARTITION BY keyword) AS vendor_total_count
         FROM {p} WHERE inside_count > 0 OR vendor_inside_count > 0""", p=pairs)
@@ -96,6 +98,16 @@ def pair_scores(records: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
     return q.run(spark, _classified(stats, th), t=totals)
 
 
+def pair_scores(records: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
+                candidates_only: bool = True) -> DataFrame:
+    """Score every training pair from role-tagged records in one aggregation.
+
+    This is the same as the job's four aggregates and joins (inside, totals, vendor
+    inside, vendor totals, previous pairs), in two shuffles and with no join.
+    """
+    return score_pairs(pair_counts(records), th, candidates_only)
+
+
 def score_rules(stats: DataFrame, vendor_inside: DataFrame, vendor_totals: DataFrame,
                 previous_pairs: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
                 candidates_only: bool = True) -> DataFrame:

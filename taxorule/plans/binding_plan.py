@@ -63,7 +63,11 @@ class BindingRun:
 
     @_memo
     def scored(self) -> DataFrame:
-        """Scoring with late materialization of the keyword lists.
+        return sc.score_pairs(self.pair_counts(), self.th)
+
+    @_memo
+    def pair_counts(self) -> DataFrame:
+        """Pair counts of all three roles with late materialization of the keyword lists.
 
         In the binding a record's keywords are a function of its document, and
         (vendor, article) names the document. So the training and previous roles
@@ -94,19 +98,24 @@ class BindingRun:
             WHERE coalesce(r.in_training, 0) + coalesce(r.in_previous, 0) > 0
                OR d.vendor_short_name = {q.lit(dt.RUN_VENDOR)}""",
                         d=dt.bound_documents(self.spark, self.sf_dir), r=roles)
-        return sc.pair_scores(records, self.th)
+        return sc.pair_counts(records)
 
     @_memo
     def scored_by_role(self) -> DataFrame:
         """The general form: each source's records stacked once per role."""
         return sc.pair_scores(sc.role_records(self.subset, self.products, self.previous), self.th)
 
+    @_memo
+    def pairs_cut(self) -> DataFrame:
+        """The pair counts written to the shared checkpoint folder: the scoring and the
+        reference steps after it read the written copy (shallow plans, one tokenization
+        for current and previous statistics, and a lost executor does not send them
+        back through it)."""
+        return cut_lineage(self.pair_counts())
+
     @_memo
     def scored_cut(self) -> DataFrame:
-        """The scored pairs written to the shared checkpoint folder: the reference steps
-        after it read the written copy (shallow plans, no recomputation, and a lost
-        executor does not send them back through the scoring)."""
-        return cut_lineage(self.scored())
+        return sc.score_pairs(self.pairs_cut(), self.th)
 
     @_memo
     def dim(self) -> DataFrame:
@@ -132,7 +141,12 @@ class BindingRun:
                    pim_category_path, cast(NULL AS string) AS vendor_mappings,
                    cast(NULL AS string) AS entry_json, cast(0 AS bigint) AS position
             FROM {{d}}""", d=tr.category_dim(self.previous))
-        stats = kw.keyword_stats(kw.keyword_occurrences(self.previous))
+        # the previous subset's own statistics come from the same pair counts
+        stats = q.run(self.spark, """
+            SELECT pim_category_id, keyword, inside_count,
+                   sum(inside_count) OVER (PARTITION BY keyword) - inside_count AS hard_outside_count
+            FROM (SELECT pim_category_id, keyword, previous_count AS inside_count FROM {p}
+                  WHERE previous_count > 0)""", p=self.pairs_cut())
         rule = (f"named_struct('field_name', {q.lit(RULE_FIELD_NAME)}, 'values_include', array(keyword), "
                 f"'values_exclude', cast(array() AS array<string>), 'operator', {q.lit(RULE_OPERATOR)})")
         rules = q.run(self.spark, f"""
