@@ -18,6 +18,7 @@ from ..functions.text import is_blank
 from ..operators import reference as ref
 from ..operators import scoring as sc
 from ..operators import training as tr
+from ..sources.json_io import reference_entries, write_json_lines
 from ..sources.match import read_match_products
 from ..sources.store import SnapshotStore
 
@@ -53,9 +54,11 @@ def next_run_ts(spark: SparkSession, store_root: str) -> str:
 def run_vendor(spark: SparkSession, store_root: str, match_paths, vendor: str,
                th: Thresholds = DEFAULT_THRESHOLDS, run_ts: str | None = None,
                json_lines: bool = False, allow_empty: bool = True,
-               products: DataFrame | None = None) -> RunResult:
+               products: DataFrame | None = None, export_json: bool = False) -> RunResult:
     """Run the whole job for one vendor delivery (``products`` may be given instead of
-    ``match_paths``, e.g. by the streaming entry)."""
+    ``match_paths``, e.g. by the streaming entry). ``export_json`` also writes the
+    proposals, the nested reference and the change log as JSON Lines under
+    ``<store>/export/`` (null fields kept)."""
     run_ts = run_ts or next_run_ts(spark, store_root)
     store = SnapshotStore(spark, store_root)
     res = RunResult(vendor=vendor, run_ts=run_ts)
@@ -110,4 +113,11 @@ def run_vendor(spark: SparkSession, store_root: str, match_paths, vendor: str,
                           "changes", vendor, run_ts, part="rules")
     res.changes_path = store.run_path("changes", vendor, run_ts)
     res.metrics.update(cobs.get)
+    if export_json:
+        base = f"{store.root}/export"
+        write_json_lines(proposals, f"{base}/proposals/vendor={vendor}/run_ts={run_ts}")
+        write_json_lines(reference_entries(new_cats, new_rules), f"{base}/reference/snapshot={run_ts}")
+        log = spark.read.parquet(res.changes_path + "/rules")
+        write_json_lines(log, f"{base}/changes/vendor={vendor}/run_ts={run_ts}/rules")
+        write_json_lines(header, f"{base}/changes/vendor={vendor}/run_ts={run_ts}/header")
     return res

@@ -123,6 +123,32 @@ def reference_entries(categories: DataFrame, rules: DataFrame) -> DataFrame:
     return out.orderBy(F.coalesce("pim_category_id", F.lit("")))
 
 
+# The job's reference file names, Category_Mapping_Reference_<yyyyMMdd-HHmmss>.json
+REFERENCE_FILE_PREFIX = "Category_Mapping_Reference_"
+REFERENCE_FILE_PATTERN = r"^Category_Mapping_Reference_\d{8}-\d{6}\.json$"
+
+
+def latest_reference_file(spark: SparkSession, folder: str, strict_names: bool = True) -> str | None:
+    """Newest reference file in ``folder``: the largest name, as the job chose it.
+
+    Only names are listed (no data read). ``strict_names`` keeps stamped names only, so
+    a stray ``..._v2.json`` cannot outrank every stamp; ``False`` takes any ``.json``
+    with the prefix, as the job did.
+    """
+    import re
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(path) if st.isFile()]
+    if strict_names:
+        keep = [n for n in names if re.match(REFERENCE_FILE_PATTERN, n)]
+    else:
+        keep = [n for n in names if n.startswith(REFERENCE_FILE_PREFIX) and n.endswith(".json")]
+    return f"{folder.rstrip('/')}/{max(keep)}" if keep else None
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     """JSON Lines with null fields kept (Spark drops them by default)."""
     df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)

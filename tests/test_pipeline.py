@@ -32,7 +32,7 @@ def test_run_vendor_matches_binding(spark, scratch):
     match = os.path.join(scratch, "vendorA_match.jsonl")
     dt.match_document_lines(spark, SF0001).select("value").write.text(match)
 
-    res = run_vendor(spark, root, match, "vendorA", run_ts=T1, json_lines=True)
+    res = run_vendor(spark, root, match, "vendorA", run_ts=T1, json_lines=True, export_json=True)
     assert res.previous_stable == T0 and res.previous_reference == T0 and res.skipped is None
     assert res.metrics["products"] == 100 and res.metrics["new_records"] == 90
     proposals = spark.read.parquet(res.proposals_path)
@@ -45,6 +45,11 @@ def test_run_vendor_matches_binding(spark, scratch):
     header = spark.read.parquet(res.changes_path + "/header").first()
     assert (header.vendor_name, header.old_reference_key, header.new_reference_key) == ("vendorA", T0, T1)
     assert spark.read.parquet(store.stable_path(T1)).count() == 190
+    ref_json = spark.read.json(f"{root}/export/reference/snapshot={T1}").orderBy("pim_category_id").collect()
+    assert [r.pim_category_id for r in ref_json] == ["de", "en", "es", "fr"]
+    assert all(r.vendor_mappings == [] or r.vendor_mappings is None for r in ref_json)
+    n_methods = sum(len(r.mapping_methods) for r in ref_json)
+    assert n_methods == spark.read.parquet(f"{res.reference_snapshot}/rules").count()
 
     # re-run: history is now the first run's snapshot, so nothing is "new" any more
     res2 = run_vendor(spark, root, match, "vendorA", run_ts=T2, json_lines=True)
