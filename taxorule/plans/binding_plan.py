@@ -7,8 +7,6 @@ exactly the slice of the job it names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT_THRESHOLDS, KEY_BROADCAST_MAX_ROWS, RULE_FIELD_NAME, RULE_OPERATOR, Thresholds
@@ -35,31 +33,51 @@ def _memo(method):
     return wrapper
 
 
-@dataclass
 class BindingRun:
-    """Lazy DataFrames of one vendor run over the documents binding."""
+    """Lazy DataFrames of one vendor run over the documents binding; each step's plan
+    is built on first use only (building a plan costs analysis time)."""
 
-    products: DataFrame
-    existing: DataFrame
-    new: DataFrame
-    merged: DataFrame
-    subset: DataFrame
-    previous: DataFrame
-    th: Thresholds
+    def __init__(self, spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_THRESHOLDS):
+        self.spark, self.sf_dir, self.th = spark, sf_dir, th
 
     @classmethod
     def build(cls, spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_THRESHOLDS):
-        products = dt.vendor_products(spark, sf_dir)
-        existing = dt.existing_training(spark, sf_dir)
-        new = tr.extract_training(products)
-        bound = dt.documents_rows(spark, sf_dir)     # every record set is a subset of documents
-        merged = tr.merge_stable(existing, new, bound)
-        subset = tr.training_subset(merged, th.min_products, rows_bound=bound)
-        previous = tr.training_subset(existing, th.min_products, rows_bound=bound)
-        return cls(products, existing, new, merged, subset, previous, th, spark, sf_dir)
-
-    spark: SparkSession | None = None
-    sf_dir: str | None = None
+        return cls(spark, sf_dir, th)
+
+    @property
+    def bound(self) -> int:
+        """Every record set of the binding is a subset of the documents."""
+        return dt.documents_rows(self.spark, self.sf_dir)
+
+    @property
+    @_memo
+    def products(self) -> DataFrame:
+        return dt.vendor_products(self.spark, self.sf_dir)
+
+    @property
+    @_memo
+    def existing(self) -> DataFrame:
+        return dt.existing_training(self.spark, self.sf_dir)
+
+    @property
+    @_memo
+    def new(self) -> DataFrame:
+        return tr.extract_training(self.products)
+
+    @property
+    @_memo
+    def merged(self) -> DataFrame:
+        return tr.merge_stable(self.existing, self.new, self.bound)
+
+    @property
+    @_memo
+    def subset(self) -> DataFrame:
+        return tr.training_subset(self.merged, self.th.min_products, rows_bound=self.bound)
+
+    @property
+    @_memo
+    def previous(self) -> DataFrame:
+        return tr.training_subset(self.existing, self.th.min_products, rows_bound=self.bound)
 
     @_memo
     def scored(self) -> DataFrame:
@@ -275,11 +293,11 @@ def q_rule_proposals(spark, sf_dir):
 
 
 def q_status_summary(spark, sf_dir):
-    return sc.status_summary(BindingRun.build(spark, sf_dir).proposals_cut())
+    return sc.status_summary(BindingRun.build(spark, sf_dir).proposals())
 
 
 def q_accepted_rules(spark, sf_dir):
-    r = ref.accepted_rules(BindingRun.build(spark, sf_dir).proposals_cut())
+    r = ref.accepted_rules(BindingRun.build(spark, sf_dir).proposals())
     return _select(r, """cat_key AS pim_category_id, field_name, operator,
         array_join(values_include, ',') AS values_include,
         array_join(values_exclude, ',') AS values_exclude""")
