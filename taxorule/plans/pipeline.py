@@ -92,7 +92,11 @@ def run_vendor(spark: SparkSession, store_root: str, match_paths, vendor: str,
     scored = sc.pair_scores(sc.role_records(subset, products, previous), th)
     dim = tr.category_dim(subset)
     pobs = Observation("proposals")
-    proposals = sc.rule_proposals(scored, dim).observe(pobs, F.count(F.lit(1)).alias("proposals"))
+    # the strict probe (all four thresholds) = new + supported, counted while writing
+    strict = F.col("stats.vendor_status").isin("new", "supported")
+    proposals = sc.rule_proposals(scored, dim).observe(
+        pobs, F.count(F.lit(1)).alias("proposals"),
+        F.sum(F.when(strict, 1).otherwise(0)).alias("strict_candidates"))
     proposals = store.write_run_table(proposals, "proposals", vendor, run_ts)
     res.proposals_path = store.run_path("proposals", vendor, run_ts)
     res.metrics.update(pobs.get)

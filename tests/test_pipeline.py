@@ -37,7 +37,7 @@ def test_run_vendor_matches_binding(spark, scratch):
     assert res.metrics["products"] == 100 and res.metrics["new_records"] == 90
     proposals = spark.read.parquet(res.proposals_path)
     assert _prop_key(proposals) == _prop_key(run.proposals())
-    assert res.metrics["proposals"] == 642
+    assert res.metrics["proposals"] == 642 and res.metrics["strict_candidates"] == 406
     changes = spark.read.parquet(res.changes_path + "/rules")
     want = sorted((r.pim_category_id, r.change, r.rule) for r in bp.q_rule_changes(spark, SF0001).collect())
     got = sorted((r.pim_category_id, r.change, r.signature) for r in changes.collect())
