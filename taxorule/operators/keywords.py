@@ -14,11 +14,16 @@ from ..functions import sqltext as q
 
 
 def keyword_occurrences(records: DataFrame) -> DataFrame:
-    """(pim_category_id, article_id, keyword) for every keyword of normalized records."""
-    return q.run(records.sparkSession, """
+    """(pim_category_id, article_id, keyword) for every keyword of the records.
+
+    Keywords are stripped after the explode, so normalized lists pass unchanged and raw
+    lists are normalized on the fly (no per-list lambda).
+    """
+    return q.run(records.sparkSession, f"""
         SELECT pim_category_id, article_id, keyword
-        FROM (SELECT pim_category_id, article_id, explode(keywords) AS keyword FROM {r})
-        WHERE keyword IS NOT NULL AND trim(keyword) <> ''""", r=records)
+        FROM (SELECT pim_category_id, article_id, {q.strip('_raw')} AS keyword
+              FROM (SELECT pim_category_id, article_id, explode(keywords) AS _raw FROM {{r}}))
+        WHERE keyword <> ''""", r=records)
 
 
 def _stripped_keywords(records: DataFrame) -> DataFrame:

@@ -118,6 +118,24 @@ class BindingRun:
                         d=dt.bound_documents(self.spark, self.sf_dir), r=roles)
         return sc.pair_counts(records)
 
+    def late(self, records: DataFrame) -> DataFrame:
+        """``records`` with late-materialized keyword lists: membership from their (narrow)
+        plan, keyword tokens straight from the documents (raw; consumers strip after
+        exploding). Valid because a binding record's keywords are its document's."""
+        keys = q.run(self.spark, "SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {t}",
+                     t=records)
+        keys = bounded_broadcast(keys, KEY_BROADCAST_MAX_ROWS, self.bound)
+        return q.run(self.spark, f"""
+            SELECT d.pim_category_id, d.article_id, split(d.text, {q.SPLIT}) AS keywords
+            FROM {{d}} d LEFT SEMI JOIN {{k}} k
+              ON d.vendor_short_name = k.vendor_short_name AND d.article_id = k.article_id
+             AND d.pim_category_id = k.pim_category_id""",
+                     d=dt.bound_documents(self.spark, self.sf_dir), k=keys)
+
+    @_memo
+    def subset_late(self) -> DataFrame:
+        return self.late(self.subset)
+
     @_memo
     def scored_by_role(self) -> DataFrame:
         """The general form: each source's records stacked once per role."""
@@ -231,7 +249,7 @@ def q_training_subset(spark, sf_dir):
 
 
 def q_keyword_occurrences(spark, sf_dir):
-    occ = kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset)
+    occ = kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset_late())
     return q.run(spark, """
         SELECT pim_category_id, article_id, count(1) AS n_occurrences,
                count(DISTINCT keyword) AS n_distinct_keywords
@@ -239,11 +257,11 @@ def q_keyword_occurrences(spark, sf_dir):
 
 
 def q_keyword_stats(spark, sf_dir):
-    return kw.keyword_stats(kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset))
+    return kw.keyword_stats(kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset_late()))
 
 
 def q_keyword_totals(spark, sf_dir):
-    return kw.keyword_totals(kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset))
+    return kw.keyword_totals(kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset_late()))
 
 
 def q_vendor_inside(spark, sf_dir):
@@ -255,13 +273,14 @@ def q_vendor_totals(spark, sf_dir):
 
 
 def q_previous_pairs(spark, sf_dir):
-    return kw.keyword_pairs(BindingRun.build(spark, sf_dir).previous)
+    run = BindingRun.build(spark, sf_dir)
+    return kw.keyword_pairs(run.late(run.previous))
 
 
 def q_previous_pairs_min60(spark, sf_dir):
     """Previous pairs with a raised category minimum (the threshold branch at sf0.01)."""
-    existing = dt.existing_training(spark, sf_dir)
-    return kw.keyword_pairs(tr.training_subset(existing, 60, rows_bound=dt.documents_rows(spark, sf_dir)))
+    run = BindingRun.build(spark, sf_dir)
+    return kw.keyword_pairs(run.late(tr.training_subset(run.existing, 60, rows_bound=run.bound)))
 
 
 def q_scored_candidates(spark, sf_dir):
