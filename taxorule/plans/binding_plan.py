@@ -193,7 +193,7 @@ class BindingRun:
             FROM {{s}}
             WHERE inside_count >= {int(self.th.min_inside)}
               AND hard_outside_count <= {int(self.th.max_hard_outside)}""", s=stats)
-        return cut_lineage(cats), cut_lineage(rules)
+        return cats, rules
 
     @_memo
     def new_reference(self) -> tuple[DataFrame, DataFrame]:
