@@ -57,10 +57,6 @@ def split_keywords(text) -> Column:
     return F.array_remove(F.split(col_(text), _KEYWORD_SPLIT_EXACT), "")
 
 
-def split_tokens(text) -> Column:
-    """Raw tokens of the binding split; callers strip and drop blanks after exploding."""
-    return F.split(col_(text), KEYWORD_SPLIT_PATTERN)
-
 
 def clean_keywords(arr) -> Column:
     """Keyword normalization: strip every keyword, drop NULL and blank ones; NULL list -> []."""

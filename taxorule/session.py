@@ -111,15 +111,3 @@ def relayout_small(df: DataFrame, name: str, *keys: str) -> DataFrame:
         df.repartition(target, *keys).write.mode("overwrite").parquet(path)
         _relayouts[key] = spark.read.parquet(path)
     return _relayouts[key]
-
-
-def widen(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread rows when the scan yields fewer splits than the cluster has cores.
-
-    A large table has many splits and is left untouched (no shuffle); a small or
-    single-row-group file would otherwise run its heavy per-row work in one task.
-    """
-    target = default_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys)
