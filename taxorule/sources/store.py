@@ -10,9 +10,10 @@ Layout (``<ts>`` = run stamp ``yyyyMMdd-HHmmss``)::
     changes/vendor=<v>/run_ts=<ts>/header|rules/ change log
 
 A snapshot counts only when Spark's ``_SUCCESS`` marker is present, so a run that
-died half-way is invisible; every write goes to a fresh directory (Spark cannot
-overwrite a path it is reading), and "previous" is the latest snapshot strictly
-before the run, so re-running a run is reproducible.
+died half-way is invisible (and its directory is overwritten when the run is
+retried); every run writes fresh directories (Spark cannot overwrite a path it is
+reading), and "previous" is the latest snapshot strictly before the run, so
+re-running a run is reproducible.
 """
 
 from __future__ import annotations
@@ -67,6 +68,16 @@ class SnapshotStore:
         cands = [t for t in self.stamps(base, prefix, marker) if before is None or t < before]
         return cands[-1] if cands else None
 
+    def write(self, df: DataFrame, path: str) -> DataFrame:
+        """Write a snapshot directory and read it back. A complete snapshot is never
+        replaced; an incomplete one (a run that died while writing; no reader trusts
+        it) is overwritten, so re-running a failed run is safe."""
+        if self.complete(path):
+            raise FileExistsError(f"snapshot already complete: {path}")
+        mode = "overwrite" if self.exists(path) else "errorifexists"
+        df.write.mode(mode).parquet(path)
+        return self.spark.read.parquet(path)
+
     # ---- stable training dataset ----
     def stable_path(self, run_ts: str) -> str:
         return f"{self.root}/stable/snapshot={run_ts}"
@@ -78,9 +89,7 @@ class SnapshotStore:
         return self.spark.read.parquet(self.stable_path(ts)).select(*TRAINING_COLUMNS), ts
 
     def write_stable(self, records: DataFrame, run_ts: str) -> DataFrame:
-        path = self.stable_path(run_ts)
-        records.select(*TRAINING_COLUMNS).write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.write(records.select(*TRAINING_COLUMNS), self.stable_path(run_ts))
 
     # ---- per-run tables ----
     def run_path(self, kind: str, vendor: str, run_ts: str) -> str:
@@ -88,9 +97,7 @@ class SnapshotStore:
 
     def write_run_table(self, df: DataFrame, kind: str, vendor: str, run_ts: str,
                         part: str = "") -> DataFrame:
-        path = self.run_path(kind, vendor, run_ts) + (f"/{part}" if part else "")
-        df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.write(df, self.run_path(kind, vendor, run_ts) + (f"/{part}" if part else ""))
 
     # ---- mapping reference ----
     def reference_path(self, run_ts: str) -> str:
@@ -111,8 +118,5 @@ class SnapshotStore:
     def write_reference(self, categories: DataFrame, rules: DataFrame,
                         run_ts: str) -> tuple[DataFrame, DataFrame]:
         base = self.reference_path(run_ts)
-        categories.write.mode("errorifexists").parquet(f"{base}/categories")
         # rules last: their _SUCCESS marks the snapshot complete
-        rules.write.mode("errorifexists").parquet(f"{base}/rules")
-        return (self.spark.read.parquet(f"{base}/categories"),
-                self.spark.read.parquet(f"{base}/rules"))
+        return self.write(categories, f"{base}/categories"), self.write(rules, f"{base}/rules")

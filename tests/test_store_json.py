@@ -58,3 +58,15 @@ def test_json_lines_keep_nulls(spark, scratch):
     write_json_lines(spark.createDataFrame([("a", None)], "k string, v string"), out)
     line = [ln for f in os.listdir(out) if f.endswith(".json") for ln in open(os.path.join(out, f))][0]
     assert json.loads(line) == {"k": "a", "v": None}
+
+
+def test_retry_overwrites_only_incomplete_snapshots(spark, scratch):
+    import pytest
+    store = SnapshotStore(spark, os.path.join(scratch, "s"))
+    path = store.stable_path("20260101-000000")
+    os.makedirs(path)
+    open(os.path.join(path, "part-garbage.parquet"), "w").write("half written")   # a dead attempt
+    df = spark.createDataFrame([(1,)], "x int")
+    assert store.write(df, path).count() == 1
+    with pytest.raises(FileExistsError):
+        store.write(df, path)
