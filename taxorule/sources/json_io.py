@@ -22,6 +22,8 @@ from ..schemas import STRING_FIELDS, TRAINING_COLUMNS
 
 
 def _root_array(spark: SparkSession, path: str, what: str, lenient: bool) -> DataFrame:
+    from .match import json_dict_semantics
+    json_dict_semantics(spark)
     raw = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file_path"))
     parsed = F.try_parse_json("value")
