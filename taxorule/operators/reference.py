@@ -35,14 +35,13 @@ def accepted_rules(proposals: DataFrame) -> DataFrame:
     statuses = ", ".join(q.lit(s) for s in ACCEPTED_STATUSES)
     values = q.clean_keywords(f"coalesce(values_include, {_EMPTY})")
     return q.run(proposals.sparkSession, f"""
-        WITH a AS (
-          SELECT {q.strip('pim_category_id')} AS cat_key,
-                 coalesce(field_name, 'KEYWORD') AS field_name,
-                 coalesce(operator, 'contains_any') AS operator,
-                 {values} AS values_include
-          FROM {{p}} WHERE stats.vendor_status IN ({statuses}))
         SELECT cat_key, field_name, operator, values_include, {_EMPTY} AS values_exclude
-        FROM a WHERE cat_key IS NOT NULL AND cat_key <> '' AND size(values_include) > 0""", p=proposals)
+        FROM (SELECT {q.strip('pim_category_id')} AS cat_key,
+                     coalesce(field_name, 'KEYWORD') AS field_name,
+                     coalesce(operator, 'contains_any') AS operator,
+                     {values} AS values_include
+              FROM {{p}} WHERE stats.vendor_status IN ({statuses})) a
+        WHERE cat_key IS NOT NULL AND cat_key <> '' AND size(values_include) > 0""", p=proposals)
 
 
 def _first_entries(categories: DataFrame) -> DataFrame:
@@ -74,11 +73,6 @@ def rebuild_reference(old_categories: DataFrame, proposals: DataFrame, dim: Data
           FROM (SELECT *, {SIGNATURE} AS signature FROM {{a}})
           GROUP BY cat_key, signature)""", a=accepted_rules(proposals))
     categories = q.run(spark, """
-        WITH rc AS (SELECT DISTINCT cat_key FROM {r}),
-        c AS (
-          SELECT coalesce(o.cat_key, rc.cat_key) AS cat_key, o.pim_category_id, o.pim_category_name,
-                 o.pim_category_path, o.vendor_mappings, o.entry_json, o.position
-          FROM {o} o FULL OUTER JOIN rc ON o.cat_key = rc.cat_key)
         SELECT c.cat_key,
                CASE WHEN c.position IS NOT NULL THEN c.pim_category_id ELSE c.cat_key END AS pim_category_id,
                CASE WHEN c.position IS NOT NULL THEN c.pim_category_name ELSE d.pim_category_name END
@@ -90,7 +84,10 @@ def rebuild_reference(old_categories: DataFrame, proposals: DataFrame, dim: Data
                c.entry_json,
                -- one entry per category from here on, so every position is 0
                cast(0 AS bigint) AS position
-        FROM c LEFT JOIN {d} d ON d.pim_category_id = c.cat_key""",
+        FROM (SELECT coalesce(o.cat_key, rc.cat_key) AS cat_key, o.pim_category_id, o.pim_category_name,
+                     o.pim_category_path, o.vendor_mappings, o.entry_json, o.position
+              FROM {o} o FULL OUTER JOIN (SELECT DISTINCT cat_key FROM {r}) rc ON o.cat_key = rc.cat_key) c
+        LEFT JOIN {d} d ON d.pim_category_id = c.cat_key""",
                        r=rules, o=_first_entries(old_categories), d=dim)
     rule_rows = q.run(spark, f"""
         SELECT cat_key, cast(0 AS bigint) AS entry_position, cast(0 AS bigint) AS rule_position,
@@ -117,30 +114,26 @@ def rule_changes(old_categories: DataFrame, old_rules: DataFrame,
     a repeated signature keeps its last rule object (verbatim JSON). One full outer
     join on (category, signature) yields both differences.
     """
+    old_map = f"""(SELECT cat_key, signature, max_by(rule_json, rule_position) AS old_rule
+                   FROM (SELECT r.cat_key, {SIGNATURE} AS signature, r.rule_json, r.rule_position
+                         FROM {{orr}} r LEFT SEMI JOIN {{first}} f
+                           ON r.cat_key = f.cat_key AND r.entry_position = f.position) x
+                   WHERE signature IS NOT NULL GROUP BY cat_key, signature)"""
+    new_map = f"""(SELECT cat_key, signature, min(rule_json) AS new_rule
+                   FROM (SELECT cat_key, {SIGNATURE} AS signature, rule_json FROM {{nr}}) y
+                   GROUP BY cat_key, signature)"""
+    diff = f"""(SELECT coalesce(o.cat_key, n.cat_key) AS cat_key,
+                       coalesce(o.signature, n.signature) AS signature, o.old_rule, n.new_rule
+                FROM {old_map} o FULL OUTER JOIN {new_map} n
+                  ON o.cat_key = n.cat_key AND o.signature = n.signature
+                WHERE o.old_rule IS NULL OR n.new_rule IS NULL)"""
+    names = """(SELECT coalesce(n.cat_key, f.cat_key) AS cat_key,
+                       coalesce(n.pim_category_name, f.pim_category_name) AS pim_category_name
+                FROM {nc} n FULL OUTER JOIN {first} f ON n.cat_key = f.cat_key)"""
     return q.run(old_categories.sparkSession, f"""
-        WITH old AS (
-          SELECT r.cat_key, {SIGNATURE} AS signature, r.rule_json, r.rule_position
-          FROM {{orr}} r LEFT SEMI JOIN {{first}} f
-            ON r.cat_key = f.cat_key AND r.entry_position = f.position),
-        old_map AS (
-          SELECT cat_key, signature, max_by(rule_json, rule_position) AS old_rule
-          FROM old WHERE signature IS NOT NULL GROUP BY cat_key, signature),
-        new_map AS (
-          SELECT cat_key, signature, min(rule_json) AS new_rule
-          FROM (SELECT cat_key, {SIGNATURE} AS signature, rule_json FROM {{nr}})
-          GROUP BY cat_key, signature),
-        diff AS (
-          SELECT coalesce(o.cat_key, n.cat_key) AS cat_key, coalesce(o.signature, n.signature) AS signature,
-                 o.old_rule, n.new_rule
-          FROM old_map o FULL OUTER JOIN new_map n ON o.cat_key = n.cat_key AND o.signature = n.signature
-          WHERE o.old_rule IS NULL OR n.new_rule IS NULL),
-        names AS (
-          SELECT coalesce(n.cat_key, f.cat_key) AS cat_key,
-                 coalesce(n.pim_category_name, f.pim_category_name) AS pim_category_name
-          FROM {{nc}} n FULL OUTER JOIN {{first}} f ON n.cat_key = f.cat_key)
         SELECT d.cat_key AS pim_category_id, names.pim_category_name,
                CASE WHEN d.old_rule IS NULL THEN 'added' ELSE 'removed' END AS change,
                CASE WHEN d.old_rule IS NULL THEN d.new_rule ELSE d.old_rule END AS rule_json,
                {SIGNATURE_TEXT.replace('signature.', 'd.signature.')} AS signature
-        FROM diff d LEFT JOIN names ON d.cat_key = names.cat_key""",
+        FROM {diff} d LEFT JOIN {names} names ON d.cat_key = names.cat_key""",
                  orr=old_rules, first=_first_entries(old_categories), nr=new_rules, nc=new_categories)

@@ -61,16 +61,14 @@ def merge_stable(existing: DataFrame, new: DataFrame, rows_bound: int | None = N
     """
     spark = existing.sparkSession
     both = q.run(spark, f"""
-        WITH u AS (
-          SELECT {_COLS}, 0 AS _src FROM {{e}}
-          UNION ALL
-          SELECT {_COLS}, 1 AS _src FROM {{n}}),
-        k AS (
+        SELECT * FROM (
           SELECT *, {q.falsy_key('vendor_short_name', None)} AS _k_vendor,
                  {q.falsy_key('article_id', 'article_id_falsy')} AS _k_article,
                  ordinal + _src * {_SOURCE_BIT} AS _pos
-          FROM u)
-        SELECT * FROM k WHERE _k_vendor <> '' AND _k_article <> ''""", e=existing, n=new)
+          FROM (SELECT {_COLS}, 0 AS _src FROM {{e}}
+                UNION ALL
+                SELECT {_COLS}, 1 AS _src FROM {{n}}) u) k
+        WHERE _k_vendor <> '' AND _k_article <> ''""", e=existing, n=new)
     winners = q.run(spark, """
         SELECT _k_vendor, _k_article, max(_pos) AS _pos, min(_pos) AS _first
         FROM {b} GROUP BY _k_vendor, _k_article""", b=both)

@@ -94,14 +94,13 @@ class BindingRun:
         with all its role flags -- instead of once per role.
         """
         roles = q.run(self.spark, """
-            WITH t AS (SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {t}),
-            p AS (SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {p})
             SELECT coalesce(t.vendor_short_name, p.vendor_short_name) AS vendor_short_name,
                    coalesce(t.article_id, p.article_id) AS article_id,
                    coalesce(t.pim_category_id, p.pim_category_id) AS pim_category_id,
                    CASE WHEN t.article_id IS NOT NULL THEN 1 ELSE 0 END AS in_training,
                    CASE WHEN p.article_id IS NOT NULL THEN 1 ELSE 0 END AS in_previous
-            FROM t FULL OUTER JOIN p
+            FROM (SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {t}) t
+            FULL OUTER JOIN (SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {p}) p
               ON t.vendor_short_name = p.vendor_short_name AND t.article_id = p.article_id
              AND t.pim_category_id = p.pim_category_id""", t=self.subset, p=self.previous)
         roles = bounded_broadcast(roles, KEY_BROADCAST_MAX_ROWS, dt.documents_rows(self.spark, self.sf_dir))

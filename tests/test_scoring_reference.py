@@ -134,3 +134,16 @@ def test_lenient_reference(spark, scratch):
         raise AssertionError("strict read must fail")
     except Exception as e:  # noqa: BLE001
         assert "JSON array" in str(e)
+
+
+def test_rule_dedup_by_signature(spark):
+    # " C" and "C" are two raw ids of one stripped category: their rules collapse (A12)
+    rows = [(" C", "k"), ("C", "k"), ("C", " k ")]
+    scored = spark.createDataFrame(
+        [(c, k, 10, 10, 0, 3, 3, 0, True, True, True, True, False, False, "supported") for c, k in rows],
+        ", ".join(f"{c} {'string' if c in ('pim_category_id', 'keyword', 'vendor_status') else 'boolean' if c in ('known_in_previous_training', 'has_vendor_usage', 'global_candidate', 'vendor_supports', 'vendor_violates', 'is_new_rule') else 'bigint'}" for c in SCORED_COLUMNS))
+    dim = spark.createDataFrame([("C", "Gamma", None)], "pim_category_id string, pim_category_name string, pim_category_path string")
+    empty = spark.createDataFrame([], "cat_key string, pim_category_id string, pim_category_name string, pim_category_path string, vendor_mappings string, entry_json string, position bigint")
+    cats, rules = ref.rebuild_reference(empty, sc.rule_proposals(scored, dim), dim)
+    assert [(r.cat_key, r.values_include) for r in rules.collect()] == [("C", ["k"])]
+    assert [(c.cat_key, c.pim_category_name) for c in cats.collect()] == [("C", "Gamma")]
