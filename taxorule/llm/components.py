@@ -38,7 +38,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(max_rounds):
         now = keep(_small_star(keep(_largest_star(now).distinct(), "star")).distinct(), "star")
-        new = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum("b")).first()
+        new = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if new == mark or not new[0]:
             break
         mark = new
