@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from .chat import CHAT_SQL, q_chat
+from .licenses import q_licenses
+from .lzprint import q_lzprint
 from .mixing import MIXING_SQL, q_mixing
+from .packing import q_packing
 from .rulelist import q_rulelist
 from .simhash import q_simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": q_simhash,
     "op3_quality_rules": q_rulelist,
+    "op4_lz_fingerprint": q_lzprint,
+    "op5_license_scan": q_licenses,
     "op7_chat_format": q_chat,
     "op8_source_mixing": q_mixing,
+    "op9_best_fit_packing": q_packing,
 }
 
 ORACLE_SQL = {
+    "op4_lz_fingerprint": q_lzprint,
+    "op5_license_scan": q_licenses,
     "op7_chat_format": CHAT_SQL,
     "op8_source_mixing": MIXING_SQL,
 }
