@@ -7,6 +7,7 @@ from .licenses import q_licenses
 from .lzprint import q_lzprint
 from .mixing import MIXING_SQL, q_mixing
 from .packing import q_packing
+from .ppm import q_ppm
 from .rulelist import q_rulelist
 from .simhash import q_simhash
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_chat_format": q_chat,
     "op8_source_mixing": q_mixing,
     "op9_best_fit_packing": q_packing,
+    "op10_ppm_score": q_ppm,
 }
 
 ORACLE_SQL = {
