@@ -6,6 +6,7 @@ from .chat import CHAT_SQL, q_chat
 from .licenses import q_licenses
 from .lzprint import q_lzprint
 from .mixing import MIXING_SQL, q_mixing
+from .ordinal import q_ordinal
 from .packing import q_packing
 from .ppm import q_ppm
 from .rulelist import q_rulelist
@@ -13,6 +14,7 @@ from .simhash import q_simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": q_simhash,
+    "op2_quality_classifier": q_ordinal,
     "op3_quality_rules": q_rulelist,
     "op4_lz_fingerprint": q_lzprint,
     "op5_license_scan": q_licenses,
