@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import CHAT_SQL, q_chat
+from .columnbwt import q_suffix_dedup
 from .licenses import q_licenses
 from .lzprint import q_lzprint
 from .mixing import MIXING_SQL, q_mixing
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_quality_rules": q_rulelist,
     "op4_lz_fingerprint": q_lzprint,
     "op5_license_scan": q_licenses,
+    "op6_suffix_dedup": q_suffix_dedup,
     "op7_chat_format": q_chat,
     "op8_source_mixing": q_mixing,
     "op9_best_fit_packing": q_packing,
