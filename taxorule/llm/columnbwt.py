@@ -22,6 +22,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -346,8 +347,6 @@ def with_spans(docs: DataFrame, text_col: str = "text", width: int = WIDTH,
 def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text. A character that loses some of
     its bytes goes whole; a text without repeats, null included, stays as it is."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def left(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if s is None or t is None else kept_bytes(_bytes(t), list(s))[0].decode("utf-8", "ignore")

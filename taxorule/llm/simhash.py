@@ -200,9 +200,9 @@ def shuffle_count(spark) -> int:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     max_bits: int = 3, seed: int = 42) -> DataFrame:
-    """``_id, _row, fp, component_id`` for every row of ``docs``.
+    """``_id, _row, fp, root, component_id`` for every row of ``docs``.
 
-    ``fp`` is the signed form of the fingerprint over ``width``-word shingles of the lower-cased
+    ``root`` names the component. ``fp`` is the signed form of the fingerprint over ``width``-word shingles of the lower-cased
     (A-Z) text; ``_row`` hashes the whole row. Exact copies collapse to one fingerprint before
     any link is sought. ``component_id`` is the smallest id reachable over links of at most
     ``max_bits`` bits; null ids take part in linking and count as larger than any id. Null and
@@ -216,10 +216,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = fps.join(linked, fps.fp == linked.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     least = roots.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = keep(roots.join(least, "root").select("fp", "component_id"), "classes")
+    classes = keep(roots.join(least, "root").select("fp", "root", "component_id"), "classes")
     return rows.join(classes, "fp")
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
+                         max_bits: int = 3, seed: int = 42) -> DataFrame:
+    """One row of ``docs`` per component: that of the smallest id, null ids last, ties broken by
+    the hash of the whole row; of equal rows one stays."""
+    found = near_duplicates(docs, id_col, text_col, width, max_bits, seed)
+    chosen = found.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("low"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(docs).alias("_row"))
+    return (rows.join(chosen.select(F.col("low._row").alias("_row")), "_row", "left_semi")
+            .dropDuplicates(["_row"]).select("row.*"))
+
+
 def q_simhash(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
