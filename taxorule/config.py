@@ -28,12 +28,5 @@ ACCEPTED_STATUSES = (STATUS_NEW, STATUS_SUPPORTED, STATUS_NOT_IMPACTED)
 RULE_FIELD_NAME = "KEYWORD"
 RULE_OPERATOR = "contains_any"
 MATCH_FILE_SUFFIX = "_categoryMatchingProposals_oneVendor_to_onePim_match.json"
-RUN_TS_FORMAT = "yyyyMMdd-HHmmss"
 RUN_TS_PATTERN = r"^\d{8}-\d{6}$"
 # -------------------------------------------------------------------------------------
-
-# Largest category-level table (rows) we broadcast; above it joins shuffle.
-BROADCAST_MAX_ROWS = 2_000_000
-# Largest narrow record-key table (key columns + a long) we broadcast against record
-# payload; above it (every large dataset) the join shuffles both sides by key.
-KEY_BROADCAST_MAX_ROWS = 1_000_000

@@ -1,13 +1 @@
-"""Column-expression building blocks (all JVM-side, no Python UDFs)."""
-
-from .rules import mapping_method, rule_signature, signature_text
-from .text import (KEYWORD_SPLIT_PATTERN, PY_WHITESPACE, clean_keywords, falsy_text_key,
-                   is_blank, py_strip, run_timestamp, split_keywords)
-from .variant import as_dict, as_list, as_text, class_codes, extraction_keywords, is_falsy, is_missing
-
-__all__ = [
-    "KEYWORD_SPLIT_PATTERN", "PY_WHITESPACE", "as_dict", "as_list", "as_text", "class_codes",
-    "clean_keywords", "extraction_keywords", "falsy_text_key", "is_blank", "is_falsy",
-    "is_missing", "mapping_method", "py_strip", "rule_signature", "run_timestamp",
-    "signature_text", "split_keywords",
-]
+"""Expression building blocks as Spark SQL text (all JVM-side, no Python UDFs)."""

@@ -1,75 +1,9 @@
-"""Python-compatible text handling as native Spark column expressions."""
+"""Python's notion of white space, as text for Spark expressions."""
 
 from __future__ import annotations
 
 import sys
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Every character Python's str.strip() removes: derived from the interpreter's own
 # str.isspace() rule (29 code points), so trimming matches the original job exactly.
 PY_WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
-
-# Fixed value: keyword separator of the documents binding (space, tab, LF, CR, FF).
-KEYWORD_SPLIT_PATTERN = r"[ \t\n\r\f]+"
-
-EMPTY_STRINGS = "array<string>"
-
-_ASCII_SEPARATORS = " \t\n\r\f"
-_OTHER_WHITESPACE = "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE if c not in _ASCII_SEPARATORS)
-# Separator runs, plus any token made only of other whitespace (it sits between two
-# separators or a text end), so that such a token -- blank after strip() -- vanishes
-# in the split itself instead of in a per-element lambda.
-_KEYWORD_SPLIT_EXACT = (r"(?:[ \t\n\r\f]|(?<![^ \t\n\r\f])[" + _OTHER_WHITESPACE
-                        + r"]+(?![^ \t\n\r\f]))+")
-
-
-def col_(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def py_strip(c) -> Column:
-    """``str.strip()``: Unicode whitespace (incl. U+001C..U+001F) off both ends.
-
-    ``btrim`` with an explicit character set is a plain character scan (no regex),
-    unlike ``trim`` which removes ASCII spaces only.
-    """
-    return F.btrim(col_(c), F.lit(PY_WHITESPACE))
-
-
-def is_blank(c) -> Column:
-    """NULL or whitespace-only."""
-    c = col_(c)
-    return c.isNull() | (py_strip(c) == "")
-
-
-def empty_strings() -> Column:
-    return F.array().cast(EMPTY_STRINGS)
-
-
-def split_keywords(text) -> Column:
-    """Keyword list of a free text as extraction keeps it: the tokens between runs of
-    ``[ \\t\\n\\r\\f]``, untrimmed, without the ones that are blank after strip().
-
-    One regex split plus ``array_remove`` (both code-generated); no lambda per token.
-    """
-    return F.array_remove(F.split(col_(text), _KEYWORD_SPLIT_EXACT), "")
-
-
-
-def clean_keywords(arr) -> Column:
-    """Keyword normalization: strip every keyword, drop NULL and blank ones; NULL list -> []."""
-    stripped = F.transform(col_(arr), py_strip)
-    return F.coalesce(F.filter(stripped, lambda k: k.isNotNull() & (k != "")), empty_strings())
-
-
-def falsy_text_key(text, falsy) -> Column:
-    """``str(x or "").strip()``: falsy JSON values (0, false, "", [], {}) key as ''."""
-    return F.when(F.coalesce(col_(falsy), F.lit(False)), F.lit("")).otherwise(
-        F.coalesce(py_strip(text), F.lit("")))
-
-
-def run_timestamp() -> Column:
-    """UTC run stamp ``yyyyMMdd-HHmmss`` (the session time zone is pinned to UTC)."""
-    return F.date_format(F.current_timestamp(), "yyyyMMdd-HHmmss")

@@ -22,7 +22,7 @@ def keyword_occurrences(records: DataFrame) -> DataFrame:
     return q.run(records.sparkSession, f"""
         SELECT pim_category_id, article_id, keyword
         FROM (SELECT pim_category_id, article_id, {q.strip('_raw')} AS keyword
-              FROM (SELECT pim_category_id, article_id, explode(keywords) AS _raw FROM {{r}}))
+              FROM (SELECT pim_category_id, article_id, explode_outer(keywords) AS _raw FROM {{r}}))
         WHERE keyword <> ''""", r=records)
 
 
@@ -30,7 +30,7 @@ def _stripped_keywords(records: DataFrame) -> DataFrame:
     return q.run(records.sparkSession, f"""
         SELECT pim_category_id, keyword FROM (
           SELECT pim_category_id, {q.strip('_raw')} AS keyword
-          FROM (SELECT pim_category_id, explode(keywords) AS _raw FROM {{r}}))
+          FROM (SELECT pim_category_id, explode_outer(keywords) AS _raw FROM {{r}}))
         WHERE keyword <> ''""", r=records)
 
 

@@ -65,7 +65,9 @@ def pair_counts(records: DataFrame) -> DataFrame:
     """Occurrences per (category, keyword) of every role, in one pass:
     ``explode -> strip -> groupBy(pair)`` with a map-side partial aggregate, so a keyword
     used by a third of all products reaches the shuffle as one row per (task, category).
-    Keys are the raw category strings, exactly as the job's joins matched them."""
+    Keys are the raw category strings, exactly as the job's joins matched them.
+    ``explode_outer`` because of a plain ``explode`` Catalyst infers ``size(...) > 0`` and
+    evaluates the split behind the list a second time; the null it adds is filtered."""
     return q.run(records.sparkSession, f"""
         SELECT pim_category_id, keyword,
                cast(sum(in_training) AS bigint) AS inside_count,
@@ -73,7 +75,7 @@ def pair_counts(records: DataFrame) -> DataFrame:
                cast(sum(in_previous) AS bigint) AS previous_count
         FROM (SELECT pim_category_id, {q.strip('_raw')} AS keyword, in_training, in_vendor, in_previous
               FROM (SELECT pim_category_id, in_training, in_vendor, in_previous,
-                           explode(keywords) AS _raw FROM {{r}}))
+                           explode_outer(keywords) AS _raw FROM {{r}}))
         WHERE keyword <> ''
         GROUP BY pim_category_id, keyword""", r=records)
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..config import KEY_BROADCAST_MAX_ROWS, TRUSTED_SOURCE
+from ..config import TRUSTED_SOURCE
 from ..functions import sqltext as q
 from ..schemas import TRAINING_COLUMNS
-from .common import bounded_broadcast
 
 _COLS = q.cols(TRAINING_COLUMNS)
 _TRUSTED = f"coalesce(assignment_source = {q.lit(TRUSTED_SOURCE)}, false)"
@@ -44,7 +43,7 @@ def normalize_training(records: DataFrame) -> DataFrame:
 _SOURCE_BIT = 1 << 62
 
 
-def merge_stable(existing: DataFrame, new: DataFrame, rows_bound: int | None = None) -> DataFrame:
+def merge_stable(existing: DataFrame, new: DataFrame, first_new: int | None = None) -> DataFrame:
     """Upsert new records into the stable dataset, keyed by (vendor, article).
 
     Both key parts are stripped, and keyless rows (blank or falsy key) are dropped.
@@ -56,8 +55,9 @@ def merge_stable(existing: DataFrame, new: DataFrame, rows_bound: int | None = N
     with a map-side partial step. The full records then meet their winner in an
     equi-join on (key, position): the payload is shuffled once, a hot key is spread
     over its positions, and consumers that only need a few columns (category counts)
-    never move the keyword lists. ``rows_bound`` (an upper bound of the input rows, if
-    known) proves the winner table small enough to broadcast without counting it.
+    never move the keyword lists. Whether the winners are broadcast is left to AQE,
+    which knows their measured size. ``first_new`` is the ordinal of the first new record
+    where ``existing`` is one partition of a larger set; by default it follows ``existing``.
     """
     spark = existing.sparkSession
     both = q.run(spark, f"""
@@ -72,11 +72,10 @@ def merge_stable(existing: DataFrame, new: DataFrame, rows_bound: int | None = N
     winners = q.run(spark, """
         SELECT _k_vendor, _k_article, max(_pos) AS _pos, min(_pos) AS _first
         FROM {b} GROUP BY _k_vendor, _k_article""", b=both)
-    # small key sets (proven or checked) are broadcast so the payload stays in place
-    winners = bounded_broadcast(winners, KEY_BROADCAST_MAX_ROWS, rows_bound)
     # new records are numbered after every existing one: a scalar subquery, no join
+    after = "(SELECT coalesce(max(ordinal) + 1, 0) FROM {e})" if first_new is None else f"{int(first_new)}L"
     ordinal = (f"CASE WHEN w._first >= {_SOURCE_BIT} "
-               f"THEN (SELECT coalesce(max(ordinal) + 1, 0) FROM {{e}}) + (w._first - {_SOURCE_BIT}) "
+               f"THEN {after} + (w._first - {_SOURCE_BIT}) "
                f"ELSE w._first END AS ordinal")
     sel = ", ".join(ordinal if c == "ordinal" else f"b.{c}" for c in TRAINING_COLUMNS)
     return q.run(spark, f"""
@@ -102,15 +101,13 @@ def usable_categories(records: DataFrame, min_products: int = 10) -> DataFrame:
 
 
 def training_subset(records: DataFrame, min_products: int = 10,
-                    normalize: bool = True, rows_bound: int | None = None) -> DataFrame:
+                    normalize: bool = True) -> DataFrame:
     """Records of usable categories, normalized for training.
 
-    The usable-category table is category-level and broadcast once its size is
-    proven (at most ``rows_bound / min_products`` categories can reach the minimum,
-    else a row-count check), so the record side is filtered in place, never shuffled.
+    The usable-category table is category-level; AQE broadcasts it from its measured
+    size, or joins by shuffle and splits a hot category.
     """
-    cat_bound = None if rows_bound is None else rows_bound // max(min_products, 1)
-    usable = bounded_broadcast(usable_categories(records, min_products), upper_bound=cat_bound)
+    usable = usable_categories(records, min_products)
     sel = ", ".join((q.clean_keywords("r.keywords") + " AS keywords") if (c == "keywords" and normalize)
                     else f"r.{c}" for c in records.columns)
     return q.run(records.sparkSession, f"""
@@ -119,11 +116,21 @@ def training_subset(records: DataFrame, min_products: int = 10,
 
 
 def category_dim(records: DataFrame) -> DataFrame:
-    """First non-null name and path per raw category id, in dataset order."""
-    return q.run(records.sparkSession, """
-        SELECT pim_category_id,
-               min_by(pim_category_name, CASE WHEN pim_category_name IS NOT NULL THEN ordinal END)
-                 AS pim_category_name,
-               min_by(pim_category_path, CASE WHEN pim_category_path IS NOT NULL THEN ordinal END)
-                 AS pim_category_path
+    """First non-null name and path per raw category id, in dataset order.
+
+    The first positions are minima of longs, a hash aggregate with a partial step; only the
+    (at most two) records at those positions then give up their strings.
+    """
+    spark = records.sparkSession
+    first = q.run(spark, """
+        SELECT pim_category_id AS _cat, min(ordinal) FILTER (WHERE pim_category_name IS NOT NULL) AS _name_at,
+               min(ordinal) FILTER (WHERE pim_category_path IS NOT NULL) AS _path_at
         FROM {r} WHERE pim_category_id IS NOT NULL GROUP BY pim_category_id""", r=records)
+    return q.run(spark, """
+        SELECT _cat AS pim_category_id,
+               max(CASE WHEN ordinal = _name_at THEN pim_category_name END) AS pim_category_name,
+               max(CASE WHEN ordinal = _path_at THEN pim_category_path END) AS pim_category_path
+        FROM (SELECT f._cat, f._name_at, f._path_at, r.ordinal, r.pim_category_name, r.pim_category_path
+              FROM {f} f LEFT JOIN {r} r
+                ON r.pim_category_id = f._cat AND (r.ordinal = f._name_at OR r.ordinal = f._path_at)) j
+        GROUP BY _cat""", f=first, r=records)

@@ -1,18 +1,19 @@
 """The rule-mining job composed over the documents binding (see sources.driver_tables).
 
-Every function takes ``(spark, sf_dir)`` and returns a lazy DataFrame; nothing is
-collected. Intermediate steps are shared Python functions, so each driver query is
-exactly the slice of the job it names.
+Every function takes ``(spark, sf_dir)`` and returns a DataFrame; nothing is collected.
+Intermediate steps are shared Python functions, so each driver query is exactly the slice
+of the job it names. Building a query runs no Spark job, except for the two on the
+reference (``reference_rule_counts``, ``rule_changes``): like a production run they hand
+pair counts, category lookup and proposals over as written tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import DEFAULT_THRESHOLDS, KEY_BROADCAST_MAX_ROWS, RULE_FIELD_NAME, RULE_OPERATOR, Thresholds
+from ..config import DEFAULT_THRESHOLDS, RULE_FIELD_NAME, RULE_OPERATOR, Thresholds
 from ..functions import sqltext as q
 from ..operators import keywords as kw
-from ..operators.common import bounded_broadcast
 from ..operators import reference as ref
 from ..operators import scoring as sc
 from ..operators import training as tr
@@ -44,11 +45,6 @@ class BindingRun:
     def build(cls, spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT_THRESHOLDS):
         return cls(spark, sf_dir, th)
 
-    @property
-    def bound(self) -> int:
-        """Every record set of the binding is a subset of the documents."""
-        return dt.documents_rows(self.spark, self.sf_dir)
-
     @property
     @_memo
     def products(self) -> DataFrame:
@@ -67,17 +63,17 @@ class BindingRun:
     @property
     @_memo
     def merged(self) -> DataFrame:
-        return tr.merge_stable(self.existing, self.new, self.bound)
+        return tr.merge_stable(self.existing, self.new)
 
     @property
     @_memo
     def subset(self) -> DataFrame:
-        return tr.training_subset(self.merged, self.th.min_products, rows_bound=self.bound)
+        return tr.training_subset(self.merged, self.th.min_products)
 
     @property
     @_memo
     def previous(self) -> DataFrame:
-        return tr.training_subset(self.existing, self.th.min_products, rows_bound=self.bound)
+        return tr.training_subset(self.existing, self.th.min_products)
 
     @_memo
     def scored(self) -> DataFrame:
@@ -103,7 +99,6 @@ class BindingRun:
             FULL OUTER JOIN (SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {p}) p
               ON t.vendor_short_name = p.vendor_short_name AND t.article_id = p.article_id
              AND t.pim_category_id = p.pim_category_id""", t=self.subset, p=self.previous)
-        roles = bounded_broadcast(roles, KEY_BROADCAST_MAX_ROWS, dt.documents_rows(self.spark, self.sf_dir))
         records = q.run(self.spark, f"""
             SELECT d.pim_category_id, split(d.text, {q.SPLIT}) AS keywords,
                    coalesce(r.in_training, 0) AS in_training,
@@ -123,7 +118,6 @@ class BindingRun:
         exploding). Valid because a binding record's keywords are its document's."""
         keys = q.run(self.spark, "SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {t}",
                      t=records)
-        keys = bounded_broadcast(keys, KEY_BROADCAST_MAX_ROWS, self.bound)
         return q.run(self.spark, f"""
             SELECT d.pim_category_id, d.article_id, split(d.text, {q.SPLIT}) AS keywords
             FROM {{d}} d LEFT SEMI JOIN {{k}} k
@@ -166,7 +160,8 @@ class BindingRun:
 
     @_memo
     def proposals_cut(self) -> DataFrame:
-        return sc.rule_proposals(self.scored_cut(), self.dim_cut())
+        """Written once: the categories, the rules and the diff of the reference read it."""
+        return cut_lineage(sc.rule_proposals(self.scored_cut(), self.dim_cut()))
 
     @_memo
     def old_reference(self) -> tuple[DataFrame, DataFrame]:
@@ -230,8 +225,7 @@ def q_accepted_training(spark, sf_dir):
 
 def q_stable_merge(spark, sf_dir):
     products = dt.vendor_products(spark, sf_dir)
-    merged = tr.merge_stable(dt.merge_existing(spark, sf_dir), tr.extract_training(products),
-                             2 * dt.documents_rows(spark, sf_dir))
+    merged = tr.merge_stable(dt.merge_existing(spark, sf_dir), tr.extract_training(products))
     return _record_view(merged)
 
 
@@ -279,7 +273,7 @@ def q_previous_pairs(spark, sf_dir):
 def q_previous_pairs_min60(spark, sf_dir):
     """Previous pairs with a raised category minimum (the threshold branch at sf0.01)."""
     run = BindingRun.build(spark, sf_dir)
-    return kw.keyword_pairs(run.late(tr.training_subset(run.existing, 60, rows_bound=run.bound)))
+    return kw.keyword_pairs(run.late(tr.training_subset(run.existing, 60)))
 
 
 def q_scored_candidates(spark, sf_dir):

@@ -32,7 +32,7 @@ d2 AS (
               ELSE lang END AS pim_category_id,
          source AS vendor_category_id, upper(source) AS vendor_category_name,
          vendor_short_name || '/' || source AS vendor_category_path,
-         CAST(doc_id AS VARCHAR) AS article_id, substr(text, 1, 40) AS description_short,
+         CAST(doc_id AS VARCHAR) AS article_id, text AS description_short,
          doc_id AS ordinal
   FROM d1),
 kw AS (

@@ -2,7 +2,8 @@
 
 Every step is a DataFrame plan; each sink is a Parquet snapshot in the shared store
 that the next step reads back, so lineage is cut at every hand-off (a lost executor
-recomputes at most one step) and no data passes through the driver.
+recomputes at most one step) and no data passes through the driver. Metrics are counted
+on the written copies, so a retry reports the same ones.
 """
 
 from __future__ import annotations
@@ -10,19 +11,24 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_THRESHOLDS, TRUSTED_SOURCE, Thresholds
-from ..functions.text import is_blank
+from ..functions import sqltext as q
 from ..operators import reference as ref
 from ..operators import scoring as sc
 from ..operators import training as tr
-from ..sources.json_io import reference_entries, write_json_lines
+from ..sources.json_io import (change_log_entry, read_reference_json, read_stable_json, reference_entries,
+                               write_entries, write_json_lines)
 from ..sources.match import read_match_products
 from ..sources.store import SnapshotStore
 
 
+#: Stamp of imported files: before every run.
+IMPORT_TS = "00000000-000000"
+
+
 @dataclass
 class RunResult:
     vendor: str
@@ -47,8 +53,23 @@ def new_run_ts(after: str | None = None) -> str:
 
 
 def next_run_ts(spark: SparkSession, store_root: str) -> str:
+    used = SnapshotStore(spark, store_root).last_stamp()
+    return new_run_ts(None if used in (None, IMPORT_TS) else used)
+
+
+def import_files(spark: SparkSession, store_root: str, stable: str | None = None,
+                 reference: str | None = None, lenient: bool = False) -> None:
+    """Take over the original job's files as the store's oldest snapshots, under the stamp
+    ``IMPORT_TS``. A store that already has a snapshot of the kind refuses."""
     store = SnapshotStore(spark, store_root)
-    return new_run_ts(store.latest(f"{store.root}/stable", "snapshot"))
+    if stable:
+        if store.latest_stable():
+            raise FileExistsError(f"{store_root} already has a stable dataset")
+        store.write_stable(read_stable_json(spark, stable), IMPORT_TS)
+    if reference:
+        if store.latest(f"{store.root}/reference", "snapshot", marker="/rules"):
+            raise FileExistsError(f"{store_root} already has a mapping reference")
+        store.write_reference(*read_reference_json(spark, reference, lenient), IMPORT_TS)
 
 
 def run_vendor(spark: SparkSession, store_root: str, match_paths, vendor: str,
@@ -57,71 +78,81 @@ def run_vendor(spark: SparkSession, store_root: str, match_paths, vendor: str,
                products: DataFrame | None = None, export_json: bool = False) -> RunResult:
     """Run the whole job for one vendor delivery (``products`` may be given instead of
     ``match_paths``, e.g. by the streaming entry). ``export_json`` also writes the
-    proposals, the nested reference and the change log as JSON Lines under
-    ``<store>/export/`` (null fields kept)."""
+    proposals, the nested reference and the change log in the original formats under
+    ``<store>/export/``.
+
+    A run that failed is retried by calling it again with its ``run_ts``: tables it completed
+    are reused, and its results are those of an undisturbed run. Under a new stamp it starts
+    over, and the failed run does not count as history.
+    """
+    if not vendor or not vendor.strip():
+        raise ValueError("a run needs the vendor's name")
     run_ts = run_ts or next_run_ts(spark, store_root)
     store = SnapshotStore(spark, store_root)
+    store.open_run(run_ts)
     res = RunResult(vendor=vendor, run_ts=run_ts)
+    count = lambda df, **what: res.metrics.update(
+        df.agg(*[F.expr(e).cast("bigint").alias(k) for k, e in what.items()]).first().asDict())
 
     # A: flatten the match document once; everything else reads the flat copy
-    if products is None:
-        products = read_match_products(spark, match_paths, vendor, json_lines)
-    obs = Observation("products")
-    trusted = F.col("assignment_source") == F.lit(TRUSTED_SOURCE)
-    products = products.observe(
-        obs, F.count(F.lit(1)).alias("products"),
-        F.sum(F.when(trusted & ~is_blank("article_id"), 1).otherwise(0)).alias("new_records"),
-        F.sum(F.when(trusted & is_blank("article_id"), 1).otherwise(0)).alias("rejected"))
-    products = store.write_run_table(products, "products", vendor, run_ts)
-    res.metrics.update(obs.get)
-
-    # B: merge into the stable dataset; the snapshot is written before scoring
-    existing, res.previous_stable = store.read_stable(before=run_ts)
-    merged = tr.merge_stable(existing, tr.extract_training(products))
-    merged = store.write_stable(merged, run_ts)
-    res.stable_snapshot = store.stable_path(run_ts)
+    products = store.once(store.run_path("products", vendor, run_ts), lambda: products if products is not None
+                          else read_match_products(spark, match_paths, vendor, json_lines))
+    trusted, blank = f"assignment_source = {q.lit(TRUSTED_SOURCE)}", q.blank("article_id")
+    count(products, products="count(1)", new_records=f"count_if({trusted} AND NOT {blank})",
+          rejected=f"count_if({trusted} AND {blank})")
+    rejects = store.once(store.run_path("rejects", vendor, run_ts), lambda: tr.extraction_rejects(products))
+    count(rejects, rejecting_categories="count(1)")
+
+    # B: merge into the vendor's partition of the stable dataset; others are carried over
+    res.previous_stable = store.latest_stable(before=run_ts)
+    manifest = store.manifest(res.previous_stable)
+    existing = store.read_records(manifest)
+    mine = [e for e in manifest if e.vendor_key == vendor.strip()]
+    merged = tr.merge_stable(store.read_records(mine), tr.extract_training(products),
+                             max((e.next_ordinal for e in manifest), default=0))
+    merged = store.write_stable(merged, run_ts, [e for e in manifest if e.vendor_key != vendor.strip()])
+    res.stable_snapshot = store.manifest_path(run_ts)
+    counted = tr.category_counts(merged)
+    count(counted, merged_records="coalesce(sum(n_products), 0)", categories="count(1)",
+          usable_categories=f"count_if(n_products >= {int(th.min_products)})")
 
     # C: training subsets (current and previous), each with its own threshold
-    subset = tr.training_subset(merged, th.min_products)
-    if subset.isEmpty():
+    if not res.metrics["usable_categories"]:
         res.skipped = "no category reaches the minimum number of products"
+        store.finish_run(run_ts)
         return res
+    subset = tr.training_subset(merged, th.min_products)
     previous = tr.training_subset(existing, th.min_products)
 
-    # D: score and publish proposals
-    scored = sc.pair_scores(sc.role_records(subset, products, previous), th)
-    dim = tr.category_dim(subset)
-    pobs = Observation("proposals")
-    # the strict probe (all four thresholds) = new + supported, counted while writing
-    strict = F.col("stats.vendor_status").isin("new", "supported")
-    proposals = sc.rule_proposals(scored, dim).observe(
-        pobs, F.count(F.lit(1)).alias("proposals"),
-        F.sum(F.when(strict, 1).otherwise(0)).alias("strict_candidates"))
-    proposals = store.write_run_table(proposals, "proposals", vendor, run_ts)
+    # D: score and publish proposals; pair counts are written once and read by all that follows
+    pairs = store.once(store.run_path("pairs", vendor, run_ts),
+                       lambda: sc.pair_counts(sc.role_records(subset, products, previous)))
+    count(pairs, training_pairs="count_if(inside_count > 0)", previous_pairs="count_if(previous_count > 0)")
+    dim = store.once(store.run_path("categories", vendor, run_ts), lambda: tr.category_dim(subset))
     res.proposals_path = store.run_path("proposals", vendor, run_ts)
-    res.metrics.update(pobs.get)
+    proposals = store.once(res.proposals_path, lambda: sc.rule_proposals(sc.score_pairs(pairs, th), dim))
+    # the strict probe (all four thresholds) = new + supported
+    count(proposals, proposals="count(1)", strict_candidates="count_if(stats.vendor_status IN ('new', 'supported'))")
 
     # E: rebuild the reference from this run's accepted rules, then diff
     old_cats, old_rules, res.previous_reference = store.read_reference(before=run_ts)
     new_cats, new_rules = ref.rebuild_reference(old_cats, proposals, dim, allow_empty)
     new_cats, new_rules = store.write_reference(new_cats, new_rules, run_ts)
     res.reference_snapshot = store.reference_path(run_ts)
-    changes = ref.rule_changes(old_cats, old_rules, new_cats, new_rules)
-    header = spark.range(1).select(
+    res.changes_path = store.run_path("changes", vendor, run_ts)
+    header = store.once(f"{res.changes_path}/header", lambda: spark.range(1).select(
         F.lit(vendor).alias("vendor_name"), F.lit(run_ts).alias("timestamp"),
         F.lit(res.previous_reference).cast("string").alias("old_reference_key"),
-        F.lit(run_ts).alias("new_reference_key"))
-    store.write_run_table(header, "changes", vendor, run_ts, part="header")
-    cobs = Observation("changes")
-    store.write_run_table(changes.observe(cobs, F.count(F.lit(1)).alias("rule_changes")),
-                          "changes", vendor, run_ts, part="rules")
-    res.changes_path = store.run_path("changes", vendor, run_ts)
-    res.metrics.update(cobs.get)
+        F.lit(run_ts).alias("new_reference_key")))
+    changes = store.once(f"{res.changes_path}/rules",
+                         lambda: ref.rule_changes(old_cats, old_rules, new_cats, new_rules))
+    count(changes, rule_changes="count(1)")
     if export_json:
         base = f"{store.root}/export"
-        write_json_lines(proposals, f"{base}/proposals/vendor={vendor}/run_ts={run_ts}")
-        write_json_lines(reference_entries(new_cats, new_rules), f"{base}/reference/snapshot={run_ts}")
-        log = spark.read.parquet(res.changes_path + "/rules")
-        write_json_lines(log, f"{base}/changes/vendor={vendor}/run_ts={run_ts}/rules")
-        write_json_lines(header, f"{base}/changes/vendor={vendor}/run_ts={run_ts}/header")
+        for path, write in ((f"proposals/vendor={vendor}/run_ts={run_ts}", lambda p: write_json_lines(proposals, p)),
+                            (f"reference/snapshot={run_ts}", lambda p: write_entries(reference_entries(new_cats, new_rules), p)),
+                            (f"changes/vendor={vendor}/run_ts={run_ts}", lambda p: write_entries(change_log_entry(header, changes), p))):
+            if not store.complete(f"{base}/{path}"):
+                write(f"{base}/{path}")
+    store.finish_run(run_ts)
     return res

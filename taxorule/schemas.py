@@ -23,11 +23,6 @@ TRAINING_DDL = ", ".join(
 # Flat vendor match products: one row per (vendor category, PIM match, product).
 PRODUCT_COLUMNS = TRAINING_COLUMNS + ("assignment_source", "vcat_pos", "match_pos", "product_pos")
 
-PRODUCT_DDL = TRAINING_DDL + ", assignment_source string, vcat_pos int, match_pos int, product_pos int"
-
-OCCURRENCE_DDL = "pim_category_id string, article_id string, keyword string"
-PAIR_DDL = "pim_category_id string, keyword string"
-
 COUNT_COLUMNS = ("inside_count", "train_total_count", "hard_outside_count",
                  "vendor_inside_count", "vendor_total_count", "vendor_outside_count")
 

@@ -43,14 +43,18 @@ def build_session(master: str | None = None, app_name: str = "taxorule",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when the session has none (tests, a laptop) is a private scratch folder
-    created and registered.
+    Only where the session has none and its master is local (tests, a laptop) is a
+    scratch folder created and registered; on a cluster a machine-local folder would be
+    a different one on every node, so that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not (master.startswith("local") and not master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
     path = tempfile.mkdtemp(prefix="taxorule-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
@@ -68,46 +72,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
-
-
-# Inputs up to this size may be re-laid out (see relayout_small); larger ones are
-# assumed to come in many splits already.
-RELAYOUT_MAX_BYTES = 2 << 30
-_relayouts: dict[tuple, DataFrame] = {}
-
-
-def _input_bytes(df: DataFrame) -> int:
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
-
-
-def relayout_small(df: DataFrame, name: str, *keys: str) -> DataFrame:
-    """A small table stored as one big split (e.g. a single Parquet row group) is
-    copied once per session, hash-partitioned on ``keys``, into the session's shared
-    checkpoint folder, and read from there: every later scan is parallel and no
-    query has to shuffle the wide columns again. Large tables (many splits) are
-    returned unchanged, so at scale this is a no-op.
-    """
-    spark = df.sparkSession
-    target = default_parallelism(spark)
-    files = tuple(sorted(df.inputFiles()))
-    if not files or _input_bytes(df) > RELAYOUT_MAX_BYTES:
-        return df
-    key = (spark.sparkContext.applicationId, name, files, target)
-    if key not in _relayouts:
-        import hashlib
-        digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-        path = f"{checkpoint_dir(spark).rstrip('/')}/relayout/{name}-{digest}"
-        df.repartition(target, *keys).write.mode("overwrite").parquet(path)
-        _relayouts[key] = spark.read.parquet(path)
-    return _relayouts[key]

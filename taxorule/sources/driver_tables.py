@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import TRUSTED_SOURCE
 from ..functions import sqltext as q
-from ..session import relayout_small
 
 # Fixed values of the binding.
 RUN_VENDOR = "vendorA"
@@ -29,51 +28,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_scans: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table; the lazy DataFrame is reused within a session so file
-    listing and footer reads happen once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _scans:
-        _scans[key] = spark.read.parquet(path)
-    return _scans[key]
-
-
-def documents_rows(spark: SparkSession, sf_dir: str) -> int:
-    """Row count of the documents table (Parquet footers; once per session). Every
-    record or key table of the binding has at most this many rows."""
-    key = (spark.sparkContext.applicationId, sf_dir, "documents:rows")
-    if key not in _scans:
-        _scans[key] = read_table(spark, sf_dir, "documents").count()
-    return _scans[key]
-
-
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, "documents:relayout")
-    if key not in _scans:
-        _scans[key] = relayout_small(read_table(spark, sf_dir, "documents"), "documents", "doc_id")
-    return _scans[key]
-
-
-def bound_documents(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
-    """One row per document with every model attribute except the keyword list.
-
-    A pure lazy plan, built once per session (analysis of the projection is not free).
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, "bound", with_text)
-    if key not in _scans:
-        _scans[key] = _bound_documents(spark, sf_dir, with_text)
-    return _scans[key]
+    """Scan of one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _ROTATED = ("(CASE WHEN lang = 'en' THEN 'fr' WHEN lang = 'fr' THEN 'de' "
             "WHEN lang = 'de' THEN 'es' ELSE 'en' END)")
 
 
-def _bound_documents(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
+def bound_documents(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
+    """One row per document with every model attribute except the keyword list."""
     text = ", text" if with_text else ""
     vendor = (f"CASE WHEN cast(substring(source, 4) AS int) < 10 THEN {q.lit(RUN_VENDOR)} "
               f"ELSE {q.lit(OTHER_VENDOR)} END")
@@ -92,10 +57,10 @@ def _bound_documents(spark: SparkSession, sf_dir: str, with_text: bool) -> DataF
                source AS vendor_category_id, upper(source) AS vendor_category_name,
                concat(vendor_short_name, '/', source) AS vendor_category_path,
                cast(doc_id AS string) AS article_id, doc_id AS ordinal
-        FROM c""", docs=_documents(spark, sf_dir))
+        FROM c""", docs=read_table(spark, sf_dir, "documents"))
 
 
-def _record_sql(where: str, extra: str = "", description: str = "substring(text, 1, 40)") -> str:
+def _record_sql(where: str, extra: str = "", description: str = "text") -> str:
     return f"""
         SELECT pim_category_id, pim_category_name, pim_category_path, vendor_short_name,
                vendor_category_id, vendor_category_name, vendor_category_path, article_id,
@@ -122,7 +87,7 @@ def merge_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing set of the merge check: vendorB plus stale copies of vendorA's src0/src1 rows."""
     stale = f"(vendor_short_name = {q.lit(RUN_VENDOR)} AND doc_id % 20 <= 1)"
     text = _record_sql(f"vendor_short_name = {q.lit(OTHER_VENDOR)} OR {stale}", "",
-                       f"CASE WHEN {stale} THEN {q.lit(STALE_DESCRIPTION)} ELSE substring(text, 1, 40) END")
+                       f"CASE WHEN {stale} THEN {q.lit(STALE_DESCRIPTION)} ELSE text END")
     return q.run(spark, text, docs=bound_documents(spark, sf_dir))
 
 
@@ -142,7 +107,7 @@ def match_document_lines(spark: SparkSession, sf_dir: str, vendor: str = RUN_VEN
                    'pim_category_id', pim_category_id, 'pim_category_name', pim_category_name,
                    'pim_category_path', pim_category_path, 'assignment_source', assignment_source,
                    'products', array(named_struct(
-                     'article_id', doc_id, 'description_short', substring(text, 1, 40),
+                     'article_id', doc_id, 'description_short', text,
                      'keywords', split(text, {q.SPLIT}),
                      'class_codes', array(named_struct('system', 'LANG', 'code', lang))))))))) AS value,
                concat('documents#', doc_id) AS source

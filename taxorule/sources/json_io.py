@@ -7,122 +7,161 @@
 
 Imports parse with VARIANT (schemaless) and explode the root array in parallel
 after the parse; a root of the wrong type fails (or, for a lenient reference read,
-yields nothing).
+yields nothing). A text too long for VARIANT always fails: it is no empty file. The
+formats hold a whole array in one text, so one task parses it; the snapshot store is
+the format that scales.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import mapping_method
-from ..functions.text import empty_strings, py_strip
-from ..functions.variant import as_dict, as_list, as_text, class_codes, extraction_keywords, is_falsy
+from ..functions import sqltext as q
 from ..schemas import STRING_FIELDS, TRAINING_COLUMNS
+from .match import json_dict_semantics
+
+#: Texts from this size on may exceed VARIANT's limit, so a failed parse is not taken for bad JSON.
+VARIANT_SAFE_BYTES = 16 << 20
 
 
 def _root_array(spark: SparkSession, path: str, what: str, lenient: bool) -> DataFrame:
-    from .match import json_dict_semantics
+    """``position, item`` of the array that is the whole text of each file."""
     json_dict_semantics(spark)
     raw = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file_path"))
-    parsed = F.try_parse_json("value")
-    items = as_list(parsed)
-    if lenient:
-        checked = items
-    else:
-        checked = F.when(items.isNull(), F.raise_error(F.concat(
-            F.lit(f"{what} must be a JSON array: "), F.col("file_path")))).otherwise(items)
-    return raw.select(F.posexplode(checked).alias("position", "item"))
+    if not lenient and raw.isEmpty():
+        raise ValueError(f"{what} must be a JSON array and all of the text, not an empty file: {path}")
+    # braces as escapes: the statement's own braces name its inputs
+    wrapped = r"""try_parse_json(concat('\u007B"root":', value, ',"end_of_root":1\u007D'))"""
+    wrong = (f"raise_error(concat({q.lit(what + ' must be a JSON array and all of the text: ')}, file_path))")
+    return q.run(spark, f"""
+        SELECT posexplode(CASE
+                 WHEN items IS NOT NULL AND ended IS NOT NULL THEN items
+                 WHEN w IS NULL AND octet_length(value) >= {VARIANT_SAFE_BYTES} THEN
+                   raise_error(concat('JSON text too large to parse, or malformed: ', file_path))
+                 {'' if lenient else f'ELSE {wrong}'} END) AS (position, item)
+        FROM (SELECT value, file_path, w, {q.as_list("try_variant_get(w, '$.root', 'variant')")} AS items,
+                     try_variant_get(w, '$.end_of_root', 'int') AS ended
+              FROM (SELECT value, file_path, {wrapped} AS w FROM {{raw}}))""", raw=raw)
 
 
 def read_stable_json(spark: SparkSession, path: str) -> DataFrame:
     """Stable dataset from its JSON array file into typed training records."""
     rows = _root_array(spark, path, "stable training dataset", lenient=False)
-    rec = rows.select("position", as_dict("item").alias("r")).where(F.col("r").isNotNull())
-    r = F.col("r")
-    return rec.select(
-        *[as_text(r[c]).alias(c) for c in STRING_FIELDS],
-        extraction_keywords(r["keywords"]).alias("keywords"),
-        class_codes(r["class_codes"]).alias("class_codes"),
-        F.col("position").cast("bigint").alias("ordinal"),
-        is_falsy(r["article_id"]).alias("article_id_falsy"),
-        is_falsy(r["pim_category_id"]).alias("pim_category_id_falsy"),
-    ).select(*TRAINING_COLUMNS)
-
-
-def _values(v):
-    """A rule's value list as the job iterated it: list -> str of each element, string ->
-    its characters, object -> its keys, other falsy -> []; else NULL (rule ignored)."""
-    items = as_list(v)
-    obj = as_dict(v)
-    text = as_text(v)
-    kind = F.schema_of_variant(v)
-    return (F.when(v.isNull() | F.is_variant_null(v), empty_strings())
-            .when(items.isNotNull(), F.transform(items, as_text))
-            .when(kind == "STRING", F.when(text == "", empty_strings()).otherwise(F.split(text, "")))
-            .when(obj.isNotNull(), F.map_keys(obj))
-            .when(is_falsy(v), empty_strings())
-            .otherwise(F.lit(None).cast("array<string>")))
+    fields = ", ".join(f"{q.as_text(f'r[{q.lit(c)}]')} AS {c}" for c in STRING_FIELDS)
+    return q.run(spark, f"""
+        SELECT {fields}, {q.extraction_keywords("r['keywords']")} AS keywords,
+               {q.class_codes("r['class_codes']")} AS class_codes, cast(position AS bigint) AS ordinal,
+               {q.is_falsy("r['article_id']")} AS article_id_falsy,
+               {q.is_falsy("r['pim_category_id']")} AS pim_category_id_falsy
+        FROM (SELECT position, {q.as_dict('item')} AS r FROM {{rows}}) WHERE r IS NOT NULL""",
+                 rows=rows).select(*TRAINING_COLUMNS)
+
+
+def _structured(v: str) -> str:
+    return f"coalesce(schema_of_variant({v}) LIKE 'ARRAY%' OR schema_of_variant({v}) LIKE 'OBJECT%', false)"
+
+
+def _values(v: str) -> str:
+    """A rule's value list as the job iterated it: list -> str of each element (null: "None"),
+    string -> its characters, object -> its keys, other falsy -> []; else NULL (rule ignored)."""
+    return (f"(CASE WHEN {q.is_missing(v)} THEN cast(array() AS array<string>) "
+            f"WHEN {q.as_list(v)} IS NOT NULL THEN transform({q.as_list(v)}, e -> coalesce({q.as_text('e')}, 'None')) "
+            f"WHEN schema_of_variant({v}) = 'STRING' THEN "
+            f"CASE WHEN {q.as_text(v)} = '' THEN cast(array() AS array<string>) ELSE split({q.as_text(v)}, '') END "
+            f"WHEN {q.as_dict(v)} IS NOT NULL THEN map_keys({q.as_dict(v)}) "
+            f"WHEN {q.is_falsy(v)} THEN cast(array() AS array<string>) END)")
 
 
 def read_reference_json(spark: SparkSession, path: str,
                         lenient: bool = False) -> tuple[DataFrame, DataFrame]:
     """Mapping reference file -> (categories, rules), flat.
 
-    Entries that are not objects or lack a non-blank id are skipped; a rule that is
-    not an object or whose field / operator is not a scalar gets a NULL signature
-    later and is ignored. ``lenient`` turns an unreadable file into an empty reference.
+    Entries that are not objects or lack a non-blank id are skipped. A rule is left out as
+    malformed if it is not an object, if its field or operator is a list or an object, or if a
+    value list cannot be iterated: it has no identity, so no change log may name it.
+    ``lenient`` turns an unreadable file into an empty reference.
     """
     rows = _root_array(spark, path, "mapping reference", lenient)
-    e = rows.select("position", as_dict("item").alias("e"), F.to_json("item").alias("entry_json"))
-    e = e.where(F.col("e").isNotNull())
-    ent = F.col("e")
-    cid = ent["pim_category_id"]
-    cats = e.select(
-        py_strip(as_text(cid)).alias("cat_key"),
-        as_text(cid).alias("pim_category_id"),
-        as_text(ent["pim_category_name"]).alias("pim_category_name"),
-        as_text(ent["pim_category_path"]).alias("pim_category_path"),
-        F.to_json(ent["vendor_mappings"]).alias("vendor_mappings"),
-        "entry_json", F.col("position").cast("bigint").alias("position"))
-    cats = cats.where(F.col("cat_key").isNotNull() & (F.col("cat_key") != ""))
-    methods = e.select(
-        py_strip(as_text(cid)).alias("cat_key"), F.col("position").cast("bigint").alias("entry_position"),
-        F.posexplode(as_list(ent["mapping_methods"])).alias("rule_position", "m"))
-    m = as_dict("m")
-    scalar = lambda v: F.when(F.schema_of_variant(v).startswith("ARRAY") |
-                              F.schema_of_variant(v).startswith("OBJECT"), F.lit(None)).otherwise(as_text(v))
-    rules = methods.select(
-        "cat_key", "entry_position", F.col("rule_position").cast("bigint").alias("rule_position"),
-        m.alias("md"), F.to_json("m").alias("rule_json"))
-    md = F.col("md")
-    rules = rules.where(md.isNotNull()).select(
-        "cat_key", "entry_position", "rule_position",
-        scalar(md["field_name"]).alias("field_name"), scalar(md["operator"]).alias("operator"),
-        _values(md["values_include"]).alias("values_include"),
-        _values(md["values_exclude"]).alias("values_exclude"), "rule_json")
-    # a rule whose value lists cannot be iterated has no signature
-    rules = rules.where(F.col("values_include").isNotNull() & F.col("values_exclude").isNotNull())
+    entries = q.run(spark, f"""
+        SELECT {q.strip(q.as_text("e['pim_category_id']"))} AS cat_key, e, entry_json,
+               cast(position AS bigint) AS position
+        FROM (SELECT position, {q.as_dict('item')} AS e, to_json(item) AS entry_json FROM {{rows}})
+        WHERE e IS NOT NULL""", rows=rows)
+    cats = q.run(spark, f"""
+        SELECT cat_key, {q.as_text("e['pim_category_id']")} AS pim_category_id,
+               {q.as_text("e['pim_category_name']")} AS pim_category_name,
+               {q.as_text("e['pim_category_path']")} AS pim_category_path,
+               to_json(e['vendor_mappings']) AS vendor_mappings, entry_json, position
+        FROM {{e}} WHERE cat_key IS NOT NULL AND cat_key <> ''""", e=entries)
+    rules = q.run(spark, f"""
+        SELECT * FROM (
+          SELECT cat_key, entry_position, rule_position, {q.as_text("r['field_name']")} AS field_name,
+                 {q.as_text("r['operator']")} AS operator, {_values("r['values_include']")} AS values_include,
+                 {_values("r['values_exclude']")} AS values_exclude, rule_json
+          FROM (SELECT cat_key, position AS entry_position, cast(i AS bigint) AS rule_position,
+                       {q.as_dict('m')} AS r, to_json(m) AS rule_json
+                FROM (SELECT cat_key, position, posexplode({q.as_list("e['mapping_methods']")}) AS (i, m) FROM {{e}}))
+          WHERE r IS NOT NULL AND NOT {_structured("r['field_name']")} AND NOT {_structured("r['operator']")})
+        WHERE values_include IS NOT NULL AND values_exclude IS NOT NULL""", e=entries)
     return cats, rules
 
 
+_METHODS = ("array<struct<field_name:string,values_include:array<string>,"
+            "values_exclude:array<string>,operator:string>>")
+
+
 def reference_entries(categories: DataFrame, rules: DataFrame) -> DataFrame:
-    """Nested export view: one row per category with its ``mapping_methods`` list,
-    sorted by id text. Only for writing the file format; the list is built from the
-    rule rows already grouped by category, so its size is that category's rule count.
+    """Nested export view: ``pim_category_id, entry`` per category, sorted by id text.
+
+    ``entry`` is the JSON text of the whole old entry, fields unknown here included, with the
+    category's current fields and its ``mapping_methods`` in place of the old ones. Only for
+    writing the file format: a category's list is one value there, so its rules meet in one
+    task; the flat rules table is what scales.
     """
-    methods = (rules.groupBy("cat_key")
-               .agg(F.array_sort(F.collect_list(mapping_method(
-                   "field_name", "values_include", "values_exclude", "operator")))
-                    .alias("mapping_methods")))
-    out = categories.join(methods, "cat_key", "left").select(
-        "pim_category_id", "pim_category_name", "pim_category_path",
-        F.parse_json(F.coalesce(F.col("vendor_mappings"), F.lit("[]"))).alias("vendor_mappings"),
-        F.coalesce("mapping_methods", F.array().cast(
-            "array<struct<field_name:string,values_include:array<string>,"
-            "values_exclude:array<string>,operator:string>>")).alias("mapping_methods"))
-    return out.orderBy(F.coalesce("pim_category_id", F.lit("")))
+    return q.run(categories.sparkSession, f"""
+        SELECT c.pim_category_id,
+               to_json(map_concat(
+                 coalesce(map_filter(from_json(c.entry_json, 'map<string,variant>'), (k, v) -> k NOT IN (
+                   'pim_category_id', 'pim_category_name', 'pim_category_path', 'vendor_mappings',
+                   'mapping_methods')), cast(map() AS map<string,variant>)),
+                 map('pim_category_id', coalesce(parse_json(to_json(
+                         from_json(c.entry_json, 'map<string,variant>')['pim_category_id'])), cast(c.pim_category_id AS variant)),
+                     'pim_category_name', cast(c.pim_category_name AS variant),
+                     'pim_category_path', cast(c.pim_category_path AS variant),
+                     'vendor_mappings', parse_json(coalesce(c.vendor_mappings, '[]')),
+                     'mapping_methods', parse_json(to_json(coalesce(m.methods, cast(array() AS {_METHODS}))))))) AS entry
+        FROM {{c}} c LEFT JOIN (
+          SELECT cat_key, array_sort(collect_list(named_struct(
+                   'field_name', field_name, 'values_include', values_include,
+                   'values_exclude', values_exclude, 'operator', operator))) AS methods
+          FROM {{r}} GROUP BY cat_key) m ON c.cat_key = m.cat_key
+        ORDER BY coalesce(c.pim_category_id, '')""", c=categories, r=rules)
+
+
+def change_log_entry(header: DataFrame, changes: DataFrame) -> DataFrame:
+    """The change log as the one JSON object of the file format: the run header and, per
+    category with changes, its added and removed rules. Export only, as ``reference_entries``."""
+    return q.run(header.sparkSession, """
+        SELECT to_json(named_struct(
+                 'vendor_name', h.vendor_name, 'timestamp', h.timestamp,
+                 'old_reference_key', h.old_reference_key, 'new_reference_key', h.new_reference_key,
+                 'changes', coalesce(c.changes, cast(array() AS array<struct<pim_category_id:string,
+                   pim_category_name:string,added_rules:array<variant>,removed_rules:array<variant>>>))),
+               map('ignoreNullFields', 'false')) AS entry
+        FROM {h} h LEFT JOIN (
+          SELECT array_agg(named_struct('pim_category_id', pim_category_id, 'pim_category_name', pim_category_name,
+                   'added_rules', transform(added, x -> parse_json(x)),
+                   'removed_rules', transform(removed, x -> parse_json(x)))) AS changes
+          FROM (SELECT * FROM (
+                  SELECT pim_category_id, max(pim_category_name) AS pim_category_name,
+                         array_sort(collect_list(CASE WHEN change = 'added' THEN rule_json END)) AS added,
+                         array_sort(collect_list(CASE WHEN change = 'removed' THEN rule_json END)) AS removed
+                  FROM {c} GROUP BY pim_category_id) ORDER BY pim_category_id)) c ON true""",
+                 h=header, c=changes)
 
 
 # The job's reference file names, Category_Mapping_Reference_<yyyyMMdd-HHmmss>.json
@@ -137,7 +176,6 @@ def latest_reference_file(spark: SparkSession, folder: str, strict_names: bool =
     a stray ``..._v2.json`` cannot outrank every stamp; ``False`` takes any ``.json``
     with the prefix, as the job did.
     """
-    import re
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -154,3 +192,8 @@ def latest_reference_file(spark: SparkSession, folder: str, strict_names: bool =
 def write_json_lines(df: DataFrame, path: str) -> None:
     """JSON Lines with null fields kept (Spark drops them by default)."""
     df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+
+
+def write_entries(df: DataFrame, path: str) -> None:
+    """JSON Lines of the column ``entry``, which is JSON text already."""
+    df.select("entry").write.mode("errorifexists").text(path)

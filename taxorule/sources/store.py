@@ -3,17 +3,24 @@ change log) under one shared root, in Parquet.
 
 Layout (``<ts>`` = run stamp ``yyyyMMdd-HHmmss``)::
 
-    stable/snapshot=<ts>/                       training records
-    products/vendor=<v>/run_ts=<ts>/            flattened match products of a run
-    proposals/vendor=<v>/run_ts=<ts>/           rule proposals
-    reference/snapshot=<ts>/categories|rules/   mapping reference (flat)
-    changes/vendor=<v>/run_ts=<ts>/header|rules/ change log
-
-A snapshot counts only when Spark's ``_SUCCESS`` marker is present, so a run that
-died half-way is invisible (and its directory is overwritten when the run is
-retried); every run writes fresh directories (Spark cannot overwrite a path it is
-reading), and "previous" is the latest snapshot strictly before the run, so
-re-running a run is reproducible.
+    runs/run_ts=<ts>/OPEN, DONE                              run markers
+    stable/records/snapshot=<ts>/vendor_key=<v>/             training records a run wrote
+    stable/manifest/snapshot=<ts>/                           the partitions that make up a snapshot
+    products/vendor=<v>/run_ts=<ts>/                         flattened match products of a run
+    proposals/vendor=<v>/run_ts=<ts>/                        rule proposals
+    reference/snapshot=<ts>/categories|rules/                mapping reference (flat)
+    changes/vendor=<v>/run_ts=<ts>/header|rules/             change log
+
+A table is complete when Spark's ``_SUCCESS`` marker is present, and a snapshot counts for
+later runs when its run is done: a run opens with a marker and writes the other one last.
+A run that died half-way is therefore invisible to every other run; retried under its own
+stamp it reuses the tables it completed and overwrites the others. Every run writes fresh
+directories (Spark cannot overwrite a path it is reading), and "previous" is the latest
+snapshot of a done run strictly before the run, so a retry computes what the first attempt
+would have.
+
+The stable set is partitioned by vendor. A delivery rewrites its own vendor's partition; the
+manifest (a row per vendor) carries the others over from the snapshots that wrote them.
 """
 
 from __future__ import annotations
@@ -21,12 +28,15 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import RUN_TS_PATTERN
+from ..functions import sqltext as q
 from ..schemas import (REFERENCE_CATEGORY_DDL, REFERENCE_RULE_DDL, TRAINING_COLUMNS,
                        TRAINING_DDL)
 
 _TS = re.compile(RUN_TS_PATTERN)
+MANIFEST_DDL = "vendor_key string, written string, next_ordinal bigint"
 
 
 class SnapshotStore:
@@ -44,61 +54,141 @@ class SnapshotStore:
         p, fs = self._fs_path(path)
         return bool(fs.exists(p))
 
-    def children(self, path: str) -> list[str]:
+    def children(self, path: str, files: bool = False) -> list[str]:
         p, fs = self._fs_path(path)
         if not fs.exists(p):
             return []
-        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile() == files]
+
+    def touch(self, path: str) -> None:
+        p, fs = self._fs_path(path)
+        fs.create(p, True).close()
 
     def complete(self, path: str) -> bool:
         return self.exists(f"{path}/_SUCCESS")
 
-    def stamps(self, base: str, prefix: str, marker: str = "") -> list[str]:
-        """Run stamps of complete snapshots under ``base`` (``prefix=<ts>`` dirs), sorted."""
-        out = []
-        for name in self.children(base):
-            if name.startswith(prefix + "="):
-                ts = name.split("=", 1)[1]
-                if _TS.match(ts) and self.complete(f"{base}/{name}{marker}"):
-                    out.append(ts)
-        return sorted(out)
+    # ---- runs ----
+    def _run(self, run_ts: str) -> str:
+        return f"{self.root}/runs/run_ts={run_ts}"
+
+    def open_run(self, run_ts: str) -> None:
+        """Start a run, or take up one that did not get done."""
+        if self.done(run_ts):
+            raise FileExistsError(f"run already done: {run_ts}")
+        self.touch(f"{self._run(run_ts)}/OPEN")
+
+    def finish_run(self, run_ts: str) -> None:
+        self.touch(f"{self._run(run_ts)}/DONE")
+
+    def opened(self, run_ts: str) -> bool:
+        return self.exists(f"{self._run(run_ts)}/OPEN")
+
+    def done(self, run_ts: str) -> bool:
+        return self.exists(f"{self._run(run_ts)}/DONE")
+
+    def stamps(self, base: str, prefix: str) -> list[str]:
+        """All run stamps with a directory under ``base``, complete or not, sorted."""
+        names = [n.split("=", 1)[1] for n in self.children(base) if n.startswith(prefix + "=")]
+        return sorted(ts for ts in names if _TS.match(ts))
+
+    def last_stamp(self) -> str | None:
+        """The latest stamp that any run or snapshot has used."""
+        used = [*self.stamps(f"{self.root}/runs", "run_ts"), *self.stamps(f"{self.root}/stable/manifest", "snapshot"),
+                *self.stamps(f"{self.root}/reference", "snapshot")]
+        return max(used, default=None)
 
     def latest(self, base: str, prefix: str, before: str | None = None, marker: str = "") -> str | None:
-        """Latest stamp (string order, as the job used) strictly before ``before``."""
-        cands = [t for t in self.stamps(base, prefix, marker) if before is None or t < before]
-        return cands[-1] if cands else None
-
-    def write(self, df: DataFrame, path: str) -> DataFrame:
-        """Write a snapshot directory and read it back. A complete snapshot is never
-        replaced; an incomplete one (a run that died while writing; no reader trusts
-        it) is overwritten, so re-running a failed run is safe."""
+        """Latest stamp (string order, as the job used) strictly before ``before`` whose
+        snapshot is complete and whose run, if it has markers, is done. Looks from the newest
+        back. Directories of which none is usable and none belongs to an unfinished run were
+        written by a committer without ``_SUCCESS``; that raises, lest history be lost."""
+        unexplained = None
+        for ts in reversed(self.stamps(base, prefix)):
+            if before is not None and ts >= before:
+                continue
+            if self.opened(ts) and not self.done(ts):
+                continue
+            if self.complete(f"{base}/{prefix}={ts}{marker}"):
+                return ts
+            unexplained = unexplained or ts
+        if unexplained:
+            raise RuntimeError(f"no usable snapshot under {base}, but {prefix}={unexplained} exists without _SUCCESS")
+        return None
+
+    def write(self, df: DataFrame, path: str, partition: str | None = None) -> None:
+        """Write a table. A complete one is never replaced; an incomplete one (no reader
+        trusts it) is overwritten."""
         if self.complete(path):
-            raise FileExistsError(f"snapshot already complete: {path}")
-        mode = "overwrite" if self.exists(path) else "errorifexists"
-        df.write.mode(mode).parquet(path)
+            raise FileExistsError(f"already complete: {path}")
+        writer = df.write.mode("overwrite" if self.exists(path) else "errorifexists")
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+
+    def once(self, path: str, build, partition: str | None = None) -> DataFrame:
+        """The table at ``path``, written from ``build()`` unless an earlier attempt of the run
+        completed it."""
+        if not self.complete(path):
+            self.write(build(), path, partition)
         return self.spark.read.parquet(path)
 
     # ---- stable training dataset ----
-    def stable_path(self, run_ts: str) -> str:
-        return f"{self.root}/stable/snapshot={run_ts}"
+    def manifest_path(self, run_ts: str) -> str:
+        return f"{self.root}/stable/manifest/snapshot={run_ts}"
+
+    def records_path(self, run_ts: str) -> str:
+        return f"{self.root}/stable/records/snapshot={run_ts}"
+
+    def latest_stable(self, before: str | None = None) -> str | None:
+        return self.latest(f"{self.root}/stable/manifest", "snapshot", before)
+
+    def manifest(self, ts: str | None) -> list:
+        """(vendor_key, written, next_ordinal) of a snapshot: a row per vendor."""
+        return [] if ts is None else self.spark.read.parquet(self.manifest_path(ts)).collect()
+
+    def read_records(self, entries: list) -> DataFrame:
+        """Records of the named partitions; no other directory is listed or read."""
+        if not entries:
+            return self.spark.createDataFrame([], TRAINING_DDL)
+        by_snapshot: dict[str, list] = {}
+        for e in entries:
+            by_snapshot.setdefault(e.written, []).append(e.vendor_key)
+        out = None
+        for written, vendors in sorted(by_snapshot.items()):
+            part = (self.spark.read.schema(f"{TRAINING_DDL}, vendor_key string").parquet(self.records_path(written))
+                    .where(F.col("vendor_key").isin(vendors)).select(*TRAINING_COLUMNS))
+            out = part if out is None else out.unionByName(part)
+        return out
 
     def read_stable(self, before: str | None = None) -> tuple[DataFrame, str | None]:
-        ts = self.latest(f"{self.root}/stable", "snapshot", before)
-        if ts is None:
-            return self.spark.createDataFrame([], TRAINING_DDL), None
-        return self.spark.read.parquet(self.stable_path(ts)).select(*TRAINING_COLUMNS), ts
-
-    def write_stable(self, records: DataFrame, run_ts: str) -> DataFrame:
-        return self.write(records.select(*TRAINING_COLUMNS), self.stable_path(run_ts))
+        ts = self.latest_stable(before)
+        return self.read_records(self.manifest(ts)), ts
+
+    def read_stable_at(self, run_ts: str) -> DataFrame:
+        return self.read_records(self.manifest(run_ts))
+
+    def write_stable(self, records: DataFrame, run_ts: str, carried: list | None = None) -> DataFrame:
+        """Write the records, partitioned by vendor, as a snapshot that also holds the
+        ``carried`` manifest rows of other vendors. Rows without a vendor have no key and could
+        never be merged; they are left out, as the merge leaves them out."""
+        key = q.falsy_key("vendor_short_name", None)
+        path = self.records_path(run_ts)
+        keyed = q.run(self.spark, f"SELECT * FROM (SELECT {q.cols(TRAINING_COLUMNS)}, {key} AS vendor_key "
+                                  f"FROM {{r}}) WHERE vendor_key <> ''", r=records)
+        self.once(path, lambda: keyed, partition="vendor_key")
+
+        def manifest() -> DataFrame:
+            own = (self.spark.read.schema(f"{TRAINING_DDL}, vendor_key string").parquet(path)
+                   .groupBy("vendor_key").agg((F.max("ordinal") + 1).alias("next_ordinal"))
+                   .select("vendor_key", F.lit(run_ts).alias("written"), "next_ordinal"))
+            rows = self.spark.createDataFrame([tuple(e) for e in carried or []], MANIFEST_DDL)
+            return own.unionByName(rows).coalesce(1)
+
+        self.once(self.manifest_path(run_ts), manifest)
+        return self.read_stable_at(run_ts)
 
     # ---- per-run tables ----
     def run_path(self, kind: str, vendor: str, run_ts: str) -> str:
         return f"{self.root}/{kind}/vendor={vendor}/run_ts={run_ts}"
 
-    def write_run_table(self, df: DataFrame, kind: str, vendor: str, run_ts: str,
-                        part: str = "") -> DataFrame:
-        return self.write(df, self.run_path(kind, vendor, run_ts) + (f"/{part}" if part else ""))
-
     # ---- mapping reference ----
     def reference_path(self, run_ts: str) -> str:
         return f"{self.root}/reference/snapshot={run_ts}"
@@ -119,4 +209,5 @@ class SnapshotStore:
                         run_ts: str) -> tuple[DataFrame, DataFrame]:
         base = self.reference_path(run_ts)
         # rules last: their _SUCCESS marks the snapshot complete
-        return self.write(categories, f"{base}/categories"), self.write(rules, f"{base}/rules")
+        return (self.once(f"{base}/categories", lambda: categories),
+                self.once(f"{base}/rules", lambda: rules))

@@ -6,16 +6,34 @@ each micro-batch exactly one vendor delivery, so runs stay in arrival order (eac
 run's merge is the next run's "previous", as in the batch job). ``foreachBatch``
 flattens the batch's document and hands it to the batch pipeline; the checkpoint
 records which files were processed, so a restart resumes after the last run.
+
+A batch's run stamp is noted under the store before the run starts, keyed by the stream and
+the epoch. A replayed batch finds it: a run that was done is left alone, one that failed is
+retried under its own stamp.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_THRESHOLDS, Thresholds
-from ..plans.pipeline import run_vendor
-from ..sources.match import VENDOR_FROM_FILE, match_products
+from ..plans.pipeline import next_run_ts, run_vendor
+from ..sources.match import match_products, vendor_of
+from ..sources.store import SnapshotStore
+
+
+def epoch_stamp(store: SnapshotStore, stream: str, epoch_id: int) -> str:
+    """The run stamp of a micro-batch, the same on every replay."""
+    folder, prefix = f"{store.root}/streams/{stream}", f"epoch={epoch_id}."
+    for name in store.children(folder, files=True):
+        if name.startswith(prefix):
+            return name[len(prefix):]
+    stamp = next_run_ts(store.spark, store.root)
+    store.touch(f"{folder}/{prefix}{stamp}")
+    return stamp
 
 
 def start_vendor_drop_stream(spark: SparkSession, drop_dir: str, store_root: str,
@@ -23,17 +41,20 @@ def start_vendor_drop_stream(spark: SparkSession, drop_dir: str, store_root: str
                              available_now: bool = True, results: list | None = None):
     docs = (spark.readStream.format("text").option("wholetext", True)
             .option("maxFilesPerTrigger", 1).load(drop_dir)
-            .select(F.regexp_extract(F.col("_metadata.file_name"), VENDOR_FROM_FILE, 1)
-                    .alias("vendor_short_name"), "value",
+            .select(vendor_of(F.col("_metadata.file_name")).alias("vendor_short_name"), "value",
                     F.col("_metadata.file_path").alias("source")))
+    store = SnapshotStore(spark, store_root)
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         # one file per batch: its vendor name is a single value from the file name
         first = batch.select("vendor_short_name").limit(1).collect()
         if not first:
             return
-        vendor = first[0][0]
-        res = run_vendor(spark, store_root, None, vendor, th, products=match_products(batch))
+        stamp = epoch_stamp(store, stream, epoch_id)
+        if store.done(stamp):
+            return
+        res = run_vendor(spark, store_root, None, first[0][0], th, run_ts=stamp, products=match_products(batch))
         if results is not None:
             results.append(res)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from taxorule.operators import training as tr
 from taxorule.schemas import TRAINING_DDL
-from taxorule.sources.match import match_products, read_match_products
+from taxorule.sources.match import match_products, read_match_documents, read_match_products
 
 DOC = {
     "vc2": {"vendor_category_name": "Second", "pim_matches": [
@@ -112,3 +112,35 @@ def test_category_dim_first_non_null(spark):
             ("A", "N3", "P3", "V", None, None, None, "3", None, [], [], 2, False, False)]
     dim = tr.category_dim(spark.createDataFrame(full, TRAINING_DDL)).collect()
     assert [(r.pim_category_id, r.pim_category_name, r.pim_category_path) for r in dim] == [("A", "N2", "P1")]
+
+
+@pytest.mark.parametrize("text", ['{"a": {}} trailing', '{"a": {}}\n{"b": {}}', '{"a": {}}}', '{"a": {}},{"b": {}}'])
+def test_text_after_the_root_raises(spark, text):
+    with pytest.raises(Exception, match="all of the text"):
+        match_products(_docs(spark, text)).collect()
+
+
+def test_a_file_without_a_vendor_raises(spark, scratch):
+    path = os.path.join(scratch, "other.json")
+    open(path, "w").write("{}")
+    with pytest.raises(Exception, match="no vendor"):
+        read_match_documents(spark, path).collect()
+
+
+@pytest.mark.parametrize("split", ["64", "300", "100000"])
+def test_last_wins_follows_file_and_line(spark, scratch, split):
+    def line(article, name):
+        return json.dumps({"vc": {"pim_matches": [{"pim_category_id": "A", "assignment_source": "existing_category_match",
+                                                   "products": [{"article_id": article, "description_short": name}]}]}})
+    # the larger files come first in Spark's packing, whatever their names
+    for n, (part, size) in enumerate((("part-00000", 3), ("part-00001", 40), ("part 00002", 1), ("part-00003", 15))):
+        with open(os.path.join(scratch, part), "w") as f:
+            f.writelines(line(i % 5, f"{part}/{i:03d}") + "\n" for i in range(size))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = read_match_products(spark, scratch, "V", json_lines=True).orderBy("ordinal").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    names = [r.description_short for r in rows]
+    assert names == sorted(names) and len(names) == 59

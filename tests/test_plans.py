@@ -3,23 +3,23 @@ and scans read only the columns they need."""
 
 import pytest
 
-import __spark_entry__ as se
+from taxorule.plans.binding_plan import QUERIES
 
 from .conftest import SF0001
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products(spark, name):
-    df = se.queries()[name](spark, SF0001)
+    df = QUERIES[name](spark, SF0001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
 
 
 def test_scoring_scans_are_pruned(spark):
-    df = se.queries()["scored_candidates"](spark, SF0001)
+    df = QUERIES["scored_candidates"](spark, SF0001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "n_chars" not in plan            # unused column never read
     assert "HashAggregate" in plan and "Window" in plan

@@ -120,7 +120,23 @@ def test_reference_rebuild_and_changes(spark, scratch):
     assert counts == {"A": 2, "B": 0, "C": 1}
     entries = reference_entries(cats, rules).collect()
     assert [e.pim_category_id for e in entries] == ["A", "B", "C"]
-    assert [m.values_include for m in entries[0].mapping_methods] == [["k1"], ["k4"]]
+    first = json.loads(entries[0].entry)
+    assert [m["values_include"] for m in first["mapping_methods"]] == [["k1"], ["k4"]]
+    assert first["extra"] == 1 and first["pim_category_path"] == "P/A" and first["vendor_mappings"] == []
+    assert json.loads(entries[1].entry)["vendor_mappings"] == [{"v": 1}]
+
+
+def test_malformed_old_rules_are_no_changes(spark, scratch):
+    good = {"field_name": "KEYWORD", "values_include": ["a", None], "values_exclude": None, "operator": "contains_any"}
+    bad = [dict(good, field_name=["KEYWORD"]), dict(good, operator={"x": 1}), dict(good, values_include=5), "rule", None]
+    path = os.path.join(scratch, "ref.json")
+    with open(path, "w") as f:
+        json.dump([{"pim_category_id": "A", "mapping_methods": [*bad, good]}], f)
+    cats, rules = read_reference_json(spark, path)
+    assert [(r.values_include, r.values_exclude) for r in rules.collect()] == [(["a", "None"], [])]
+    empty = rules.limit(0)
+    changes = ref.rule_changes(cats, rules, cats, empty).collect()
+    assert [(c.change, json.loads(c.rule_json)) for c in changes] == [("removed", good)]
 
 
 def test_lenient_reference(spark, scratch):

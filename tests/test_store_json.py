@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from taxorule.operators import training as tr
 from taxorule.plans.pipeline import new_run_ts
 from taxorule.sources.json_io import latest_reference_file, read_stable_json, write_json_lines
@@ -19,6 +21,12 @@ def test_latest_snapshot_ignores_incomplete_and_later(spark, scratch):
     assert store.latest(f"{store.root}/stable", "snapshot") == "20260104-000000"
     assert store.latest(f"{store.root}/stable", "snapshot", before="20260104-000000") == "20260102-000000"
     assert store.latest(f"{store.root}/stable", "snapshot", before="20260101-000000") is None
+    store.open_run("20260102-000000")                                    # opened, never done
+    with pytest.raises(RuntimeError, match="without _SUCCESS"):          # 0101 stays; hide it to see the rest
+        SnapshotStore(spark, store.root).latest(f"{store.root}/other", "snapshot") or os.makedirs(
+            f"{store.root}/other/snapshot=20260101-000000")
+        store.latest(f"{store.root}/other", "snapshot")
+    assert store.latest(f"{store.root}/stable", "snapshot", before="20260104-000000") == "20260101-000000"
     empty, ts = SnapshotStore(spark, os.path.join(scratch, "none")).read_stable()
     assert ts is None and empty.count() == 0 and "keywords" in empty.columns
 
@@ -60,13 +68,31 @@ def test_json_lines_keep_nulls(spark, scratch):
     assert json.loads(line) == {"k": "a", "v": None}
 
 
-def test_retry_overwrites_only_incomplete_snapshots(spark, scratch):
-    import pytest
+def test_retry_overwrites_only_incomplete_tables(spark, scratch):
     store = SnapshotStore(spark, os.path.join(scratch, "s"))
-    path = store.stable_path("20260101-000000")
+    path = f"{store.root}/stable/snapshot=20260101-000000"
     os.makedirs(path)
     open(os.path.join(path, "part-garbage.parquet"), "w").write("half written")   # a dead attempt
     df = spark.createDataFrame([(1,)], "x int")
-    assert store.write(df, path).count() == 1
+    assert store.once(path, lambda: df).count() == 1
+    assert store.once(path, lambda: df.unionAll(df)).count() == 1                   # complete: reused
     with pytest.raises(FileExistsError):
         store.write(df, path)
+
+
+def test_stable_json_takes_the_whole_text(spark, scratch):
+    path = os.path.join(scratch, "stable.json")
+    for text in ("[] []", "[{}] x", "{}", "", "[1"):
+        open(path, "w").write(text)
+        with pytest.raises(Exception, match="JSON array"):
+            read_stable_json(spark, path).collect()
+
+
+def test_a_vendor_with_a_number_for_a_name(spark, scratch):
+    store = SnapshotStore(spark, os.path.join(scratch, "s"))
+    path = os.path.join(scratch, "stable.json")
+    recs = [{"vendor_short_name": v, "article_id": 1, "pim_category_id": "A"} for v in ("007", "a/b=c d", " ", None)]
+    json.dump(recs, open(path, "w"))
+    store.write_stable(read_stable_json(spark, path), "20260101-000000")
+    assert sorted(e.vendor_key for e in store.manifest("20260101-000000")) == ["007", "a/b=c d"]
+    assert sorted(r.vendor_short_name for r in store.read_stable()[0].collect()) == ["007", "a/b=c d"]
