@@ -133,7 +133,8 @@ new_cats AS (
   LEFT JOIN dim ON dim.pim_category_id = r.cat_key)
 """
 
-_BASE = _BASE.replace("WS_CHARS", f"({_WS})")
+WS_SQL = f"({_WS})"
+ORACLE_BASE = _BASE = _BASE.replace("WS_CHARS", WS_SQL)
 
 
 def _q(body: str) -> str:
