@@ -193,11 +193,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score_udf(spark, model: Ordinal):
     """Column function: text to struct(expected_grade, tail_1, tail_top)."""
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast((model.weights, model.cuts))
 
     @F.pandas_udf("struct<expected_grade:double,tail_1:double,tail_top:double>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = sent.value
+        model = Ordinal(*sent.value)
         weights, known = model.weights, {}
         for texts in batches:
             scores = np.zeros(len(texts))

@@ -253,7 +253,7 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _score(sent, n_total: int, v_total: int):
     """Per document: ids, base sum over frequent words, model score, and the rare words left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent = sent.value
+        model, frequent = Model(*sent.value[0]), sent.value[1]
         row = TaskContext.get().partitionId() << 40
         zero = -math.log10(n_total + 1.0 * (v_total + 1))
         known: dict[bytes, tuple[int, float] | None] = {}
@@ -322,7 +322,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     often = vocabulary.filter(F.col("c") > cut).toPandas()
     bits = {int(w): math.log10(c + 1) for w, c in zip(often["word"], often["c"])}
     model = train(rows.filter("NOT held").select("text"), order, max_contexts)
-    sent = spark.sparkContext.broadcast((model, bits))
+    sent = spark.sparkContext.broadcast(((model.order, model.next, model.cost, model.start), bits))
     scored = keep(rows.select("id", "text").mapInArrow(
         _score(sent, n_total, v_total),
         "row long, id long, n long, known long, base double, score double, rare array<long>, times array<long>"),
