@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,14 +64,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_folders: set[str] = set()
+
+
+def table_path(spark: SparkSession, label: str) -> str:
+    """A fresh path for a table that lives as long as the session: in the shared checkpoint
+    folder, under the application's id. DataFrames may read it until the driver ends; then the
+    application's folder is deleted."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/taxorule-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_delete, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(jvm, conf, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Later plans start from the written copy: they stay shallow, do not recompute
     ``df``, and survive the loss of any executor (the files live in the shared folder).
     """
-    import uuid
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = table_path(spark, "table")
     df.write.parquet(path)
     return spark.read.parquet(path)
