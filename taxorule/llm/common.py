@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import table_path
 
 #: Characters that separate words: space and U+0009..U+000D. ``bytes.split()`` of Python
 #: splits on exactly these.
@@ -25,7 +23,7 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     executor never sends a job back further than this table.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    path = table_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
