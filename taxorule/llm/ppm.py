@@ -1,16 +1,16 @@
 """Language-model scoring by prediction by partial matching over bytes.
 
 Contexts are the last 0 to ``order`` bytes; a document starts and ends with a mark byte that no
-UTF-8 text holds. In a context with T counted symbols of which D differ, a symbol counted c
-times has probability c / (T + D), and D / (T + D) escapes to the next shorter context, where
-symbols already ruled out are excluded from both numbers; below the empty context all symbols
-left are equally likely.
+UTF-8 text holds. In a context with T counted symbols of which t were seen once, a symbol
+counted c times has probability c / (T + t + 1), and (t + 1) / (T + t + 1) escapes to the next
+shorter context, where symbols already ruled out are excluded from all of these numbers; below
+the empty context all symbols left are equally likely.
 
-Pretrained scoring counts byte n-grams of the training documents in Spark and keeps the
-contexts that are frequent enough (see ``train``) as a suffix-closed trie. Every kept context's
-escapes and exclusions are worked out once, which leaves an automaton: state times byte gives
-the log probability and the next state. Texts are scored in pieces side by side; a piece is led
-in by the ``order`` bytes before it, which fix its state.
+Pretrained scoring counts byte n-grams of the training documents in Spark and keeps the most
+frequent contexts (see ``train``) as a suffix-closed trie. Every kept context's escapes and
+exclusions are worked out once, which leaves an automaton: state times byte gives the log
+probability and the next state. Texts are scored in pieces side by side; a piece is led in by
+the ``order`` bytes before it, which fix its state.
 
 ``adaptive_log10`` is the one-document form that learns as it reads.
 """
@@ -35,7 +35,7 @@ from .common import keep, table
 MARK = 0xFF
 ORDER = 5
 #: At most this many contexts are kept: the model's size, and so what is broadcast, is bounded.
-MAX_CONTEXTS = 49_152
+MAX_CONTEXTS = 98_304
 #: Bytes scored side by side in one piece.
 PIECE = 1024
 #: Words counted more often than one in this many training tokens are looked up in a table sent
@@ -66,12 +66,13 @@ def adaptive_log10(data: bytes, order: int = ORDER) -> float:
             seen = {s: c for s, c in trie.get(past[len(past) - k:], {}).items() if s not in out}
             if not seen:
                 continue
-            whole = sum(seen.values()) + len(seen)
+            escape = 1 + sum(c == 1 for c in seen.values())
+            whole = sum(seen.values()) + escape
             if symbol in seen:
                 total += math.log10(seen[symbol] / whole)
                 break
             if len(out) + len(seen) < 256:
-                total += math.log10(len(seen) / whole)
+                total += math.log10(escape / whole)
             out |= seen.keys()
         for k in range(order + 1):
             own = trie.setdefault(past[len(past) - k:], {})
@@ -115,10 +116,12 @@ def _ngrams(order: int):
 
 @dataclass
 class Model:
-    """``next[state, byte]`` and ``cost[state, byte]`` (log10), rows by state; ``start`` is the
-    state after the lead marks."""
+    """``next[state, column]`` and ``cost[state, column]`` (log10); ``column`` maps bytes to
+    columns, of which the last stands for every byte that training did not see; ``start`` is
+    the state after the lead marks."""
 
     order: int
+    column: np.ndarray
     next: np.ndarray
     cost: np.ndarray
     start: int
@@ -126,77 +129,96 @@ class Model:
 
 def build(order: int, contexts: list[np.ndarray], counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
     """The automaton. ``contexts[k]`` are the sorted codes of the kept contexts of order k;
-    ``counts[k]`` are (row in contexts[k], symbol, count). Kept contexts are suffix-closed."""
+    ``counts[k]`` are (row in contexts[k], symbol, count). Kept contexts are suffix-closed, and
+    the empty one has seen every symbol."""
+    symbols = np.unique(counts[0][1]).astype(np.int64)
+    width, unseen = len(symbols), 256 - len(symbols)
+    column = np.full(256, width, np.int64)
+    column[symbols] = np.arange(width)
     first = np.cumsum([0, *map(len, contexts)])
     total = int(first[-1])
-    dense = np.zeros((total, 256), np.float32)
+    dense = np.zeros((total, width), np.float32)
     shorter = np.zeros(total, np.int32)
     for k, (row, symbol, n) in enumerate(counts):
-        dense[first[k] + row, symbol] = n
+        dense[first[k] + row, column[symbol]] = n
         if k:
             tail = contexts[k] & ((1 << (8 * (k - 1))) - 1)
             shorter[first[k]:first[k + 1]] = first[k - 1] + np.searchsorted(contexts[k - 1], tail)
-    cost = np.zeros((total, 256), np.float32)
+    cost = np.zeros((total, width + 1), np.float32)
     for lo in range(0, total, 2048):
         at = np.arange(lo, min(total, lo + 2048))
         depth = np.searchsorted(first, at, "right") - 1
-        left = np.ones((len(at), 256), bool)  # symbols not yet ruled out
-        spent = np.zeros(len(at))
-        result = np.zeros((len(at), 256))
+        left = np.ones((len(at), width), bool)  # symbols not yet ruled out
+        spent, result = np.zeros(len(at)), np.zeros((len(at), width))
         for _ in range(order + 1):
-            live = depth >= 0
-            seen = dense[at].astype(np.float64) * left * live[:, None]
-            kinds, mass = (seen > 0).sum(1), seen.sum(1)
-            known = seen > 0
-            with np.errstate(divide="ignore"):
-                share = np.log10(np.where(known, seen, 1)) - np.log10(np.maximum(mass + kinds, 1))[:, None]
+            seen = dense[at].astype(np.float64) * left * (depth >= 0)[:, None]
+            known, mass = seen > 0, seen.sum(1)
+            escape = (seen == 1).sum(1) + 1
+            whole = np.log10(mass + escape)
+            share = np.log10(np.where(known, seen, 1)) - whole[:, None]
             result = np.where(known, spent[:, None] + share, result)
             left &= ~known
-            open_ = (kinds > 0) & left.any(1)
-            spent = spent + np.where(open_, np.log10(np.maximum(kinds, 1)) - np.log10(np.maximum(mass + kinds, 1)), 0)
+            goes_on = (mass > 0) & (left.sum(1) + unseen > 0)
+            spent = spent + np.where(goes_on, np.log10(escape) - whole, 0)
             depth, at = depth - 1, np.where(depth > 0, shorter[at], at)
-        rest = spent - np.log10(np.maximum(left.sum(1), 1))
-        cost[lo:lo + len(result)] = np.where(left, rest[:, None], result)
+        rest = spent - np.log10(np.maximum(left.sum(1) + unseen, 1))
+        rows = slice(lo, lo + len(result))
+        cost[rows, :width] = np.where(left, rest[:, None], result)
+        cost[rows, width] = rest
     # the next state is the longest kept suffix of context and symbol
-    nxt = np.zeros((total, 256), np.int32)
-    symbols = np.arange(256, dtype=np.int64)
+    nxt = np.zeros((total, width + 1), np.int32)
     for k in range(order + 1):
         rows = slice(int(first[k]), int(first[k + 1]))
         if rows.start == rows.stop:
             continue
-        found = nxt[shorter[rows]].copy() if k else np.zeros((1, 256), np.int32)
-        if k < order and len(contexts[k + 1]):
+        found = nxt[shorter[rows]] if k else np.zeros((1, width + 1), np.int32)
+        if k < order and len(contexts[k + 1]) and width:
             code = (contexts[k][:, None] << 8) | symbols[None, :]
             i = np.minimum(np.searchsorted(contexts[k + 1], code), len(contexts[k + 1]) - 1)
             hit = contexts[k + 1][i] == code
-            found[hit] = (first[k + 1] + i)[hit]
+            found[:, :width][hit] = (first[k + 1] + i)[hit]
         nxt[rows] = found
     state = 0
     for _ in range(order):
-        state = int(nxt[state, MARK])
-    return Model(order, nxt, cost, state)
+        state = int(nxt[state, column[MARK]])
+    return Model(order, column, nxt, cost, state)
+
+
+#: Contexts are ranked by their counts in bands of a factor 2 ** (1 / BANDS).
+BANDS = 4
 
 
 def train(texts: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> Model:
     """The model of the column ``text``. All n-grams of all texts are counted, combined in each
-    task before the shuffle. Of n symbols read, a context of order 1 or more is kept if at
-    least order * n / ``max_contexts`` of them follow it, so that fewer than ``max_contexts``
-    contexts are kept; with every context its shorter forms are. The empty context is kept
-    always. Only kept contexts' counts reach the driver.
+    task before the shuffle. The contexts of order 1 and more that the most symbols follow are
+    kept: whole bands of counts from the top, as long as they are ``max_contexts`` in all. A
+    context's shorter forms count at least as much, so they are kept with it. The empty context
+    is kept always. Only numbers per band and kept contexts' counts reach the driver.
     """
     grams = keep(texts.select("text").mapInArrow(_ngrams(order), "gram long, n long")
                  .groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
-    read = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(1, -(-order * read // max_contexts))
-    contexts, counts = [], []
-    for k in range(order + 1):
-        size = 8 * k
-        rows = (grams.select(F.expr(f"(gram >> 8) & {(1 << size) - 1}L").alias("context"),
+    band = F.floor(F.log2("all") * BANDS)
+
+    def counted(k: int) -> DataFrame:
+        return (grams.select(F.expr(f"(gram >> 8) & {(1 << (8 * k)) - 1}L").alias("context"),
                              F.expr("cast(gram & 255 AS int)").alias("symbol"), "n")
                 .groupBy("context", "symbol").agg(F.sum("n").alias("n")))
+
+    totals = [counted(k).groupBy("context").agg(F.sum("n").alias("all")) for k in range(1, order + 1)]
+    bands: dict[int, int] = {}
+    for t in totals:
+        for b, n in t.groupBy(band.alias("band")).count().collect():
+            bands[b] = bands.get(b, 0) + n
+    kept, least = 0, 1 << 30
+    for b in sorted(bands, reverse=True):
+        if kept + bands[b] > max_contexts:
+            break
+        kept, least = kept + bands[b], b
+    contexts, counts = [], []
+    for k in range(order + 1):
+        rows = counted(k)
         if k:
-            often = rows.groupBy("context").agg(F.sum("n").alias("all")).filter(F.col("all") >= least)
-            rows = rows.join(often.select("context"), "context")
+            rows = rows.join(totals[k - 1].filter(band >= least).select("context"), "context")
         local = rows.toPandas()
         code = np.unique(local["context"].to_numpy(np.int64)) if k else np.zeros(1, np.int64)
         contexts.append(code)
@@ -209,7 +231,7 @@ def log10_batch(model: Model, texts: list[bytes], piece: int = PIECE) -> np.ndar
     """log10 probability of each text and its end under the pretrained model."""
     lead = bytes([MARK]) * model.order
     full = [lead + t + bytes([MARK]) for t in texts]
-    flat = np.frombuffer(b"".join(full), np.uint8)
+    flat = model.column[np.frombuffer(b"".join(full), np.uint8)]
     lens = np.array([len(f) for f in full])
     base = np.cumsum(lens) - lens
     pieces = [-(-(int(n) - model.order) // piece) for n in lens]
@@ -225,11 +247,11 @@ def log10_batch(model: Model, texts: list[bytes], piece: int = PIECE) -> np.ndar
     total = np.zeros(len(begin))
     live = len(size)
     begin = begin + model.order
-    nxt, cost = model.next.reshape(-1), model.cost.reshape(-1)
+    nxt, cost, width = model.next.reshape(-1), model.cost.reshape(-1), model.next.shape[1]
     for i in range(int(size[0]) if len(size) else 0):
         while live and size[live - 1] <= i:
             live -= 1
-        cell = (state[:live].astype(np.int64) << 8) | flat[begin[:live] + i]
+        cell = state[:live].astype(np.int64) * width + flat[begin[:live] + i]
         total[:live] += cost[cell]
         state = nxt[cell]
     out = np.zeros(len(full))
@@ -322,7 +344,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     often = vocabulary.filter(F.col("c") > cut).toPandas()
     bits = {int(w): math.log10(c + 1) for w, c in zip(often["word"], often["c"])}
     model = train(rows.filter("NOT held").select("text"), order, max_contexts)
-    sent = spark.sparkContext.broadcast(((model.order, model.next, model.cost, model.start), bits))
+    sent = spark.sparkContext.broadcast(((model.order, model.column, model.next, model.cost, model.start), bits))
     scored = keep(rows.select("id", "text").mapInArrow(
         _score(sent, n_total, v_total),
         "row long, id long, n long, known long, base double, score double, rare array<long>, times array<long>"),

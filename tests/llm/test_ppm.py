@@ -42,12 +42,13 @@ def plain(seen, text, order, least=1):
             live = {s: c for s, c in own.items() if s not in out}
             if not live:
                 continue
-            whole = sum(live.values()) + len(live)
+            escape = 1 + sum(c == 1 for c in live.values())
+            whole = sum(live.values()) + escape
             if data[i] in live:
                 total += math.log10(live[data[i]] / whole)
                 break
             if len(out) + len(live) < 256:
-                total += math.log10(len(live) / whole)
+                total += math.log10(escape / whole)
             out |= set(live)
     return total
 
@@ -59,8 +60,9 @@ def test_pretrained_equals_the_definition(spark):
     for order, most in ((3, 10**9), (2, 300), (5, 2000)):
         model = M.train(df, order, most)
         seen = tables(texts, order)
-        read = sum(len(M.folded(t)) + 1 for t in texts)
-        least = max(1, -(-order * read // most))
+        bands = Counter(math.floor(math.log2(sum(c.values())) * M.BANDS) for x, c in seen.items() if x)
+        top = [b for b in sorted(bands, reverse=True) if sum(n for a, n in bands.items() if a >= b) <= most]
+        least = 2 ** (min(top) / M.BANDS) - 1e-9
         got = M.log10_batch(model, [M.folded(t) for t in fresh], piece=64)
         want = [plain(seen, t, order, least) for t in fresh]
         assert np.allclose(got, want, rtol=2e-5, atol=1e-3), (order, most)
@@ -71,15 +73,16 @@ def test_pretrained_equals_the_definition(spark):
 def test_every_state_is_a_distribution(spark):
     df = spark.createDataFrame([(t,) for t in corpus()], "text string")
     model = M.train(df, 3, 5000)
-    assert np.allclose((10 ** model.cost.astype(float)).sum(1), 1, atol=1e-4)
+    p = 10 ** model.cost.astype(float)
+    assert np.allclose(p[:, :-1].sum(1) + p[:, -1] * (257 - p.shape[1]), 1, atol=1e-4)
 
 
 def test_adaptive_learns_within_a_document():
     once, thrice = M.adaptive_log10(b"the cat sat. "), M.adaptive_log10(b"the cat sat. " * 3)
     assert thrice > 2 * once
     assert abs(M.adaptive_log10(b"", 2) + math.log10(256)) < 1e-9
-    # "b" then the end: 1/256, then the escape of the only symbol seen and one of the 255 others
-    assert abs(M.adaptive_log10(b"b", 2) + math.log10(256 * 2 * 255)) < 1e-9
+    # "b" then the end: 1/256, then the escape (2 of 3) from the one symbol seen once to 255 others
+    assert abs(M.adaptive_log10(b"b", 2) + math.log10(256 * 1.5 * 255)) < 1e-9
 
 
 def test_query_equals_brute_force(spark):
