@@ -84,6 +84,19 @@ def _delete(jvm, conf, folder: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of an input with fewer splits than cores out to all cores.
+
+    One Parquet row group or one compressed file cannot be split, so everything up to the
+    first shuffle would run in one task. Inputs with a split per core or more, that is all
+    large ones, are returned as they are. The split count is known from planning: no job
+    runs, and nothing is copied ahead of the query.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores, *keys) if splits < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import TRUSTED_SOURCE
 from ..functions import sqltext as q
+from ..session import spread
 
 # Fixed values of the binding.
 RUN_VENDOR = "vendorA"
@@ -57,7 +58,7 @@ def bound_documents(spark: SparkSession, sf_dir: str, with_text: bool = True) ->
                source AS vendor_category_id, upper(source) AS vendor_category_name,
                concat(vendor_short_name, '/', source) AS vendor_category_path,
                cast(doc_id AS string) AS article_id, doc_id AS ordinal
-        FROM c""", docs=read_table(spark, sf_dir, "documents"))
+        FROM c""", docs=spread(read_table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def _record_sql(where: str, extra: str = "", description: str = "text") -> str:
