@@ -263,8 +263,9 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, collection: int = COLLEC
     spark = rows.sparkSession
     n = shuffle_partitions(spark)
     found = rows.mapInArrow(_segment_rows(width), "k long, start int, n int, rel int, anchor long, v long")
-    often = (found.groupBy("anchor").agg(F.count("*").alias("all"), (F.min("v") != F.max("v")).alias("mixed"))
-             .filter("all > 1").select("anchor", "mixed"))
+    # written, so that the join below deals both sides out anew and AQE can split a hot anchor
+    often = keep(found.groupBy("anchor").agg(F.count("*").alias("all"), (F.min("v") != F.max("v")).alias("mixed"))
+                 .filter("all > 1").select("anchor", "mixed"), "anchors")
     live = keep(found.join(often, "anchor"), "segments")
     variants = keep(live.groupBy("anchor", "v", "rel", "n", "mixed").agg(
         F.count("*").alias("copies"), F.min(F.struct("k", "start")).alias("at")), "variants")
