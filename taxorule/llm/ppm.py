@@ -35,7 +35,7 @@ from .common import keep, table
 MARK = 0xFF
 ORDER = 5
 #: At most this many contexts are kept: the model's size, and so what is broadcast, is bounded.
-MAX_CONTEXTS = 98_304
+MAX_CONTEXTS = 32_768
 #: Bytes scored side by side in one piece.
 PIECE = 1024
 #: Words counted more often than one in this many training tokens are looked up in a table sent
@@ -165,6 +165,7 @@ def build(order: int, contexts: list[np.ndarray], counts: list[tuple[np.ndarray,
         rows = slice(lo, lo + len(result))
         cost[rows, :width] = np.where(left, rest[:, None], result)
         cost[rows, width] = rest
+    del dense
     # the next state is the longest kept suffix of context and symbol
     nxt = np.zeros((total, width + 1), np.int32)
     for k in range(order + 1):
