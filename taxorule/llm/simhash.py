@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, row_key, table
+from .common import keep, row_key, shuffle_partitions, table
 from .components import components
 
 BITS = 64
@@ -185,7 +185,7 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, blocks: int | None = None,
                       fps=fps)
     sizes = keep(keyed.groupBy("c", "k").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     small = keyed.join(sizes.filter(F.col("n") <= pairwise_bucket).select("c", "k"), ["c", "k"])
-    n = shuffle_count(spark)
+    n = shuffle_partitions(spark)
     links = (small.select("c", "k", "fp").repartition(n, "c", "k").sortWithinPartitions("c", "k", "fp")
              .mapInArrow(_bucket_links(max_bits), "a long, b long"))
     hot = keyed.join(sizes.filter(F.col("n") > pairwise_bucket).select("c", "k"), ["c", "k"]).select("fp").distinct()
@@ -194,10 +194,6 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, blocks: int | None = None,
     return links.unionAll(far)
 
 
-def shuffle_count(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     max_bits: int = 3, seed: int = 42) -> DataFrame:
     """``_id, _row, fp, root, component_id`` for every row of ``docs``.
@@ -215,7 +211,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = components(hamming_links(fps.select("fp"), max_bits))
     roots = fps.join(linked, fps.fp == linked.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("low").alias("component_id"))
+    # written, so that AQE can split a hot root in the join
+    least = keep(roots.groupBy("root").agg(F.min("low").alias("component_id")), "roots")
     classes = keep(roots.join(least, "root").select("fp", "root", "component_id"), "classes")
     return rows.join(classes, "fp")
 
