@@ -16,15 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` into the shared checkpoint folder and read it back.
+def keep(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` into the shared checkpoint folder, with writer ``options``, and read it back.
 
     Later steps start from the written table: nothing is computed twice, and a lost
     executor never sends a job back further than this table.
     """
     spark = df.sparkSession
     path = table_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,11 +6,15 @@ counted c times has probability c / (T + t + 1), and (t + 1) / (T + t + 1) escap
 shorter context, where symbols already ruled out are excluded from all of these numbers; below
 the empty context all symbols left are equally likely.
 
-Pretrained scoring counts byte n-grams of the training documents in Spark and keeps the most
-frequent contexts (see ``train``) as a suffix-closed trie. Every kept context's escapes and
-exclusions are worked out once, which leaves an automaton: state times byte gives the log
-probability and the next state. Texts are scored in pieces side by side; a piece is led in by
-the ``order`` bytes before it, which fix its state.
+Pretrained scoring keeps every context of the training documents, as tables in Spark. The cost of
+a symbol depends on the (order + 1)-gram that ends in it alone. Texts are packed into blocks; a
+block asks once for each of its distinct grams, one shuffle counts them and notes who asks, grams
+that training does not hold meet the counts of shorter contexts in joins (see ``gram_costs``),
+and each block gets its own grams' costs back.
+No task and no driver holds the model.
+
+``train`` is the small form of a bounded number of contexts: an automaton whose state times byte
+gives the log probability and the next state.
 
 ``adaptive_log10`` is the one-document form that learns as it reads.
 """
@@ -34,8 +38,12 @@ from .common import keep, table
 
 MARK = 0xFF
 ORDER = 5
-#: At most this many contexts are kept: the model's size, and so what is broadcast, is bounded.
+#: Contexts of the small form (``train``); the query keeps all of them.
 MAX_CONTEXTS = 32_768
+#: Bytes of text in a block, in which a gram is asked for once; a longer text is a block of its own.
+BLOCK = 8 << 20
+#: Bytes of a block's text whose grams are listed at a time.
+SLICE = 2 << 20
 #: Bytes scored side by side in one piece.
 PIECE = 1024
 #: Words counted more often than one in this many training tokens are looked up in a table sent
@@ -260,6 +268,167 @@ def log10_batch(model: Model, texts: list[bytes], piece: int = PIECE) -> np.ndar
     return out
 
 
+# ---------------------------------------------------------------- every context, as tables
+
+BLOCK_OUT = "block long, ids array<long>, held array<boolean>, lens array<long>, data binary"
+
+
+def _blocks(limit: int):
+    """Folded texts put together, about ``limit`` bytes a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, held, parts, size = TaskContext.get().partitionId() << 24, [], [], [], 0
+
+        def row() -> pa.RecordBatch:
+            lens = [len(p) for p in parts]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
+                 pa.array([lens], pa.list_(pa.int64())), pa.array([b"".join(parts)], pa.binary())],
+                names=["block", "ids", "held", "lens", "data"])
+
+        for batch in batches:
+            for i, text, out in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                data = folded(text.as_py())
+                if parts and size + len(data) + ORDER > limit:
+                    yield row()
+                    block, ids, held, parts, size = block + 1, [], [], [], 0
+                ids.append(i)
+                held.append(out)
+                parts.append(data)
+                size += len(data) + ORDER
+        if parts:
+            yield row()
+    return run
+
+
+def _texts(data: bytes, lens: list[int]) -> list[bytes]:
+    ends = np.cumsum(lens).tolist()
+    return [data[end - n:end] for end, n in zip(ends, lens)]
+
+
+def _codes(texts: list[bytes], order: int) -> np.ndarray:
+    """The gram of each byte and of the end of each text, in order, as a number."""
+    lead = bytes([MARK]) * order
+    flat = np.frombuffer(b"".join([lead + t for t in texts]) + bytes([MARK]), np.uint8)
+    code = np.zeros(len(flat) - order, np.int64)
+    for i in range(order + 1):
+        code <<= 8
+        code |= flat[i:len(flat) - order + i]
+    # windows that end inside the lead of the next text, past its first mark, are of no text
+    use = np.ones(len(code), bool)
+    ends = np.cumsum([len(t) + order for t in texts])[:-1]
+    for i in range(1, order):
+        use[ends - order + i] = False
+    return code[use]
+
+
+def _slices(texts: list[bytes], limit: int = SLICE) -> Iterator[slice]:
+    """Runs of texts of about ``limit`` bytes."""
+    lo, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > lo and size + len(t) > limit:
+            yield slice(lo, i)
+            lo, size = i, 0
+        size += len(t)
+    yield slice(lo, len(texts))
+
+
+def _asked(order: int):
+    """Distinct grams of each block, in order, and how often its training texts hold them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, held, lens, data in zip(*(batch.column(i) for i in range(4))):
+                texts, held, parts = _texts(data.as_py(), lens.as_py()), np.array(held.as_py(), bool), []
+                for at in _slices(texts):
+                    which, grams = pd.factorize(_codes(texts[at], order))
+                    trained = np.repeat(~held[at], [len(t) + 1 for t in texts[at]])
+                    parts.append((grams, np.bincount(which[trained], minlength=len(grams))))
+                grams, which = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+                n = np.bincount(which, np.concatenate([m for _, m in parts]), len(grams)).astype(np.int64)
+                for lo in range(0, len(grams), 1 << 16):
+                    part = slice(lo, lo + (1 << 16))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(grams[part]), block.as_py())), pa.array(grams[part]), pa.array(n[part])],
+                        names=["block", "gram", "n"])
+    return run
+
+
+def gram_costs(asked: DataFrame, order: int = ORDER) -> DataFrame:
+    """``block, gram, cost`` (log10 probability of the gram's last symbol after the others) of
+    every row of ``asked``: a block, a gram of it and its count ``n`` in the block's training texts.
+
+    Grams that training holds need their longest context alone, whose grams are in one task. The
+    others are joined with the counts of shorter contexts. The counts of each order sum those of
+    the next longer one. What follows a context follows its shorter form too, so the symbols ruled
+    out at a context are those of the next longer one: two sums over a context's symbols, joined
+    with the counts of its shorter form, give its escape there. These joins meet at most 256 rows
+    of a key. Tables that have 65,536 rows at most, whatever the input, are broadcast. A gram's
+    row holds the blocks that ask for it, 8 bytes for some megabytes of text.
+    """
+    grams = keep(
+        asked.withColumn("context", F.expr("gram >> 8")).repartition("context").groupBy("context", "gram")
+        .agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks"))
+        .selectExpr("gram", "n", "blocks", "sum(n) OVER (PARTITION BY context) AS mass",
+                    "count_if(n = 1) OVER (PARTITION BY context) AS once",
+                    "min(n) OVER (PARTITION BY context) = 0 AS open"), "grams")
+    sums = {order: grams.filter("n > 0")}
+    for k in range(order - 1, -1, -1):
+        sums[k] = keep(sums[k + 1].groupBy(F.expr(f"gram & {(1 << (8 * (k + 1))) - 1}L").alias("gram"))
+                       .agg(F.sum("n").alias("n")), f"grams-{k}")
+    contexts: dict[int, DataFrame] = {}
+    for k in range(order + 1):
+        # of the longest contexts, only those before a symbol that training does not hold there
+        here = (sums[k].filter("open") if k == order else sums[k]).selectExpr("gram >> 8 AS context", "n", f"gram & {(1 << (8 * k)) - 1}L AS shorter")
+        if k:
+            below = sums[k - 1].selectExpr("gram AS shorter", "n AS m")
+            rows = here.join(below, "shorter").groupBy("context").agg(
+                F.sum("n").alias("mass"), F.expr("count_if(n = 1)").alias("once"), F.count("*").alias("kinds"),
+                F.sum("m").alias("m"), F.expr("count_if(m = 1)").alias("m_once"))
+            rows = rows.withColumn("shorter", F.expr(f"context & {(1 << (8 * (k - 1))) - 1}L")).join(
+                contexts[k - 1].selectExpr("context AS shorter", "mass AS s_mass", "once AS s_once", "kinds AS s_kinds"),
+                "shorter").selectExpr(
+                    "context", "mass", "once", "kinds", "s_mass - m AS live", "s_once - m_once + 1 AS escape", "s_kinds")
+            rows = rows.selectExpr(
+                "context", "mass", "once", "kinds", "log10(live + escape) AS s_whole",
+                "CASE WHEN live > 0 AND s_kinds < 256 THEN log10(escape) - log10(live + escape) ELSE 0D END AS s_out")
+        else:
+            rows = here.groupBy("context").agg(
+                F.sum("n").alias("mass"), F.expr("count_if(n = 1)").alias("once"), F.count("*").alias("kinds")).selectExpr(
+                    "*", "0D AS s_whole", "0D AS s_out")
+        contexts[k] = keep(rows.selectExpr(
+            "*", "log10(mass + once + 1) AS whole",
+            "CASE WHEN kinds < 256 THEN log10(once + 1) - log10(mass + once + 1) ELSE 0D END AS out"), f"contexts-{k}")
+
+    def joined(rows: DataFrame, k: int) -> DataFrame:
+        context = contexts[k].selectExpr("context", "whole AS x_whole", "out AS x_out", "s_whole AS x_s_whole", "s_out AS x_s_out", "kinds")
+        return (rows.withColumn("context", F.expr(f"(gram >> 8) & {(1 << (8 * k)) - 1}L"))
+                .join(F.broadcast(context) if k <= 2 else context, "context", "left"))
+
+    # spent: escapes so far; s_whole, s_out: at the next shorter context, null until a known one
+    rows = joined(grams.filter("n = 0").select("gram", "blocks"), order).selectExpr(
+        "gram", "blocks", "cast(NULL AS double) AS cost", "coalesce(x_out, 0D) AS spent", "x_s_whole AS s_whole", "x_s_out AS s_out")
+    for k in range(order - 1, -1, -1):
+        own = sums[k].selectExpr("gram AS own", "n")
+        rows = joined(rows.withColumn("own", F.expr(f"gram & {(1 << (8 * (k + 1))) - 1}L"))
+                      .join(F.broadcast(own) if k <= 1 else own, "own", "left"), k).selectExpr(
+            "gram", "blocks", "coalesce(cost, spent + log10(n) - coalesce(s_whole, x_whole)) AS cost",
+            "spent + coalesce(s_out, x_out, 0D) AS spent", "x_s_whole AS s_whole", "x_s_out AS s_out",
+            *(["kinds"] if k == 0 else []))
+    seen = grams.filter("n > 0").selectExpr("gram", "blocks", "log10(n) - log10(mass + once + 1) AS cost")
+    rest = rows.selectExpr("gram", "blocks", "coalesce(cost, spent - log10(256 - coalesce(kinds, 0))) AS cost")
+    return seen.unionByName(rest).selectExpr("explode(blocks) AS block", "gram", "cast(cost AS float) AS cost")
+
+
+def _sums(texts: list[bytes], order: int, grams: np.ndarray, costs: np.ndarray) -> np.ndarray:
+    """Sum of the costs of each text's grams."""
+    by = np.argsort(grams)
+    grams, costs, out = grams[by], costs[by].astype(np.float64), []
+    for at in _slices(texts):
+        which, own = pd.factorize(_codes(texts[at], order))
+        cost = costs[np.searchsorted(grams, own)]
+        out.append(np.add.reduceat(cost[which], np.cumsum([0, *(len(t) + 1 for t in texts[at][:-1])])))
+    return np.concatenate(out)
+
+
 # ---------------------------------------------------------------- words
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,54 +442,83 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                  pa.array(words.to_numpy(np.int64))], names=["word", "c"])
 
 
-def _score(sent, n_total: int, v_total: int):
-    """Per document: ids, base sum over frequent words, model score, and the rare words left."""
+SCORED = "row long, id long, n long, known long, base double, score double, rare array<long>, times array<long>"
+
+
+def _words(sent, n_total: int, v_total: int):
+    """Per text: words, base sum over frequent words, and the rare words left."""
+    zero = -math.log10(n_total + 1.0 * (v_total + 1))
+
+    def run(data: list[bytes], known: dict[bytes, int]) -> tuple[list, list, list, list, list]:
+        frequent = sent.value
+        n, n_known, base, rare, times = [], [], [], [], []
+        for text in data:
+            words = text.split()
+            own: dict[bytes, int] = {}
+            for w in words:
+                own[w] = own.get(w, 0) + 1
+            hit, total, left, left_n = 0, 0.0, [], []
+            for w, c in own.items():
+                code = known.get(w)
+                if code is None:
+                    code = xxhash.xxh64_intdigest(w) - (1 << 63)
+                    if code in frequent:
+                        known[w] = code
+                found = frequent.get(code)
+                if found is None:
+                    left.append(code)
+                    left_n.append(c)
+                else:
+                    hit += c
+                    total += c * found
+            n.append(len(words) + 1)
+            n_known.append(hit)
+            base.append(total + zero * (len(words) + 1))
+            rare.append(left)
+            times.append(left_n)
+        return n, n_known, base, rare, times
+    return run
+
+
+def _rows(first: int, ids: list, scores: np.ndarray, words: tuple) -> pa.RecordBatch:
+    n, n_known, base, rare, times = words
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(first, first + len(ids))), pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
+         pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()),
+         pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
+        names=["row", "id", "n", "known", "base", "score", "rare", "times"])
+
+
+def _score_block(order: int, words):
+    """Scores of the texts of one block, from its row and the costs of its grams."""
+    def run(block: pa.Table, costs: pa.Table) -> pa.Table:
+        ids, lens = block["ids"][0].as_py(), block["lens"][0].as_py()
+        texts = _texts(block["data"][0].as_py(), lens)
+        scores = _sums(texts, order, costs["gram"].to_numpy(), costs["cost"].to_numpy())
+        first, known, out = block["block"][0].as_py() << 20, {}, []
+        for at in range(0, len(ids), 1024):
+            part = slice(at, at + 1024)
+            out.append(_rows(first + at, ids[part], scores[part], words(texts[part], known)))
+        return pa.Table.from_batches(out)
+    return run
+
+
+def _score(sent, words):
+    """Scores under the small form of the model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent = Model(*sent.value[0]), sent.value[1]
+        model, known = Model(*sent.value), {}
         row = TaskContext.get().partitionId() << 40
-        zero = -math.log10(n_total + 1.0 * (v_total + 1))
-        known: dict[bytes, tuple[int, float] | None] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 data = [folded(t.as_py()) for t in part.column(1)]
-                scores = log10_batch(model, data)
-                n, n_known, base, rare, times = [], [], [], [], []
-                for text in data:
-                    words = text.split()
-                    own: dict[bytes, int] = {}
-                    for w in words:
-                        own[w] = own.get(w, 0) + 1
-                    hit, total, left, left_n = 0, 0.0, [], []
-                    for w, c in own.items():
-                        code = known.get(w)
-                        if code is None:
-                            code = xxhash.xxh64_intdigest(w) - (1 << 63)
-                            if code in frequent:
-                                known[w] = code
-                        found = frequent.get(code)
-                        if found is None:
-                            left.append(code)
-                            left_n.append(c)
-                        else:
-                            hit += c
-                            total += c * found
-                    n.append(len(words) + 1)
-                    n_known.append(hit)
-                    base.append(total + zero * (len(words) + 1))
-                    rare.append(left)
-                    times.append(left_n)
+                yield _rows(row, part.column(0).to_pylist(), log10_batch(model, data), words(data, known))
                 row += len(data)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row - len(data), row)), part.column(0), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()),
-                     pa.array(base, pa.float64()), pa.array(scores, pa.float64()),
-                     pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                    names=["row", "id", "n", "known", "base", "score", "rare", "times"])
     return run
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
-              max_contexts: int = MAX_CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+              max_contexts: int | None = None, frequent: int = FREQUENT, block: int = BLOCK) -> DataFrame:
     """Word-unigram base score and PPM score of every row, both learned from the rows whose
     ``crc32(id) mod 7`` is not 2.
 
@@ -331,6 +529,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     Null and empty texts are their end alone. Null ids hash as the empty text. Repeated rows
     are scored alike and count as often as they occur. Without training rows N = V = 0 and
     every byte is equally likely. Other columns are ignored. Empty tables give no rows.
+
+    Every context is kept. Only with a number of ``max_contexts`` the small form of the model
+    (``train``) scores instead.
     """
     spark = docs.sparkSession
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(7)) == 2
@@ -344,12 +545,19 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     cut = n_total // frequent
     often = vocabulary.filter(F.col("c") > cut).toPandas()
     bits = {int(w): math.log10(c + 1) for w, c in zip(often["word"], often["c"])}
-    model = train(rows.filter("NOT held").select("text"), order, max_contexts)
-    sent = spark.sparkContext.broadcast(((model.order, model.column, model.next, model.cost, model.start), bits))
-    scored = keep(rows.select("id", "text").mapInArrow(
-        _score(sent, n_total, v_total),
-        "row long, id long, n long, known long, base double, score double, rare array<long>, times array<long>"),
-        "scored")
+    words = _words(spark.sparkContext.broadcast(bits), n_total, v_total)
+    if max_contexts is None:
+        # a page is closed after each block: else the writer gathers a task's blocks in memory
+        blocks = keep(rows.select("id", "text", "held").mapInArrow(_blocks(block), BLOCK_OUT), "blocks",
+                      **{"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"})
+        asked = blocks.select("block", "held", "lens", "data").mapInArrow(_asked(order), "block long, gram long, n long")
+        answers = gram_costs(asked, order)
+        scored = keep(blocks.groupBy("block").cogroup(answers.groupBy("block"))
+                      .applyInArrow(_score_block(order, words), SCORED), "scored")
+    else:
+        model = train(rows.filter("NOT held").select("text"), order, max_contexts)
+        sent = spark.sparkContext.broadcast((model.order, model.column, model.next, model.cost, model.start))
+        scored = keep(rows.select("id", "text").mapInArrow(_score(sent, words), SCORED), "scored")
     pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     found = (pairs.join(vocabulary.filter(F.col("c") <= cut), "word").groupBy("row")

@@ -118,3 +118,18 @@ def test_held_out_beats_words(spark):
     texts = [(i, " ".join(random.Random(i).choices(["river", "stone", "cloud", "green", "walking"], k=50))) for i in range(150)]
     got = M.lm_scores(spark.createDataFrame(texts, "doc_id long, text string")).filter("held_out").collect()
     assert got and all(r.score > 1.3 * r.base_score for r in got)
+
+
+def test_query_keeps_every_context(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_CONTEXTS", 50)  # the model does not depend on it
+    texts = corpus(7, 150) + ["totally new ÿ bytes"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for order, block in ((5, 2000), (2, 1 << 20)):
+        seen = tables([t for i, t in enumerate(texts) if not M.is_held_out(i)], order)
+        got = M.lm_scores(docs, order=order, block=block).collect()
+        assert len(got) == len(texts) and any(r.held_out for r in got)
+        for r in got:
+            want = plain(seen, texts[r.doc_id], order)
+            assert abs(r.score - want) < 1e-6 * max(1, abs(want)), (order, r.doc_id)
+    alone = M.lm_scores(docs.filter("crc32(cast(doc_id AS string)) % 7 = 2")).collect()
+    assert alone and all(abs(r.score + 8 * math.log10(2) * (len(M.folded(texts[r.doc_id])) + 1)) < 1e-6 * abs(r.score) for r in alone)
