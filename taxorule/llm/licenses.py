@@ -2,12 +2,15 @@
 
 Every rolling word k-gram of every text is hashed and joined, in Spark, to the k-grams of the
 templates. A hit at word i of the text and position j of a template votes for the diagonal
-i - j; votes are summed per diagonal, neighbouring diagonals (a few words inserted or left
-out) are merged into one span, and spans with enough votes are verified on the text itself.
+i - j; each k-gram of the template votes once per diagonal, diagonals less than the template apart
+(words inserted or left out) are merged into one span, and spans with enough votes are verified
+on the text itself: the words in order, the words that tell the licence from others, and of
+overlapping notices the one that covers its template best.
 """
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +47,15 @@ NOTICES = (
 )
 
 
+# Per notice, the phrases of which it must hold one, and words that make it another licence's.
+DECIDING = {
+    "apache-2": ("version 2",), "gpl-3": ("version 3",), "mpl-2": ("v 2", "version 2"),
+    "cc-by": ("attribution",), "cc-by-nc": ("noncommercial", "non commercial"),
+}
+_LESSER, _CC = ("lesser", "library", "affero"), ("sharealike", "alike", "noderivatives", "noderivs", "derivatives", "derivs")
+FOREIGN = {"gpl": _LESSER, "gpl-3": _LESSER, "cc-by": ("noncommercial", "commercial", *_CC), "cc-by-nc": _CC}
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
@@ -88,14 +100,43 @@ def _gram_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["k", "grams"])
 
 
-def covered(words: list[bytes], template: tuple[bytes, ...]) -> float:
-    """Share of the template's words that the words hold in the template's order."""
-    best = [0] * (len(template) + 1)
-    for w in words:
-        last = 0
+def align(words: list[bytes], lo: int, hi: int, template: tuple[bytes, ...]) -> tuple[int, int, int]:
+    """Most template words that ``words[lo:hi]`` hold in order, and the first and last word of them."""
+    best, found = [(0, -1)] * (len(template) + 1), (0, -1, -1)
+    for i in range(lo, hi):
+        w, last = words[i], best[0]
         for j, t in enumerate(template, 1):
-            last, best[j] = best[j], last + 1 if w == t else max(best[j], best[j - 1])
-    return best[-1] / len(template)
+            old = best[j]
+            best[j] = max(old, best[j - 1], (last[0] + 1, last[1] if last[0] else i) if w == t else old)
+            last = old
+        if best[-1][0] > found[0]:
+            found = (*best[-1], i)
+    return found
+
+
+def occurrences(words: list[bytes], lo: int, hi: int, template: tuple[bytes, ...],
+                min_cover: float) -> Iterator[tuple[int, int, int]]:
+    """Places that hold ``min_cover`` of the template within three times its length."""
+    size = len(template)
+    while lo < hi:
+        end = min(hi, lo + 3 * size)
+        n, first, last = align(words, lo, end, template)
+        if n / size >= min_cover:
+            yield from occurrences(words, lo, first, template, min_cover)
+            yield n, first, last
+            lo = last + 1
+        elif end == hi:
+            return
+        else:
+            lo += size
+
+
+def decided(label: str, words: list[bytes]) -> bool:
+    """Whether the words hold what tells the licence from others, and nothing of another's."""
+    text = b" " + b" ".join(words) + b" "
+    needed = DECIDING.get(label, ())
+    return ((not needed or any(f" {p} ".encode() in text for p in needed))
+            and not any(f" {w} ".encode() in text for w in FOREIGN.get(label, ())))
 
 
 OUT = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
@@ -108,7 +149,7 @@ def _verify(min_cover: float):
             rows = []
             for doc_id, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 words = words_of(text.as_py())
-                places, base, extra, score = [], set(), set(), 0.0
+                places, base, extra, score, notices = [], set(), set(), 0.0, []
                 for s in spans or ():
                     t = TEMPLATES[s["template"]]
                     if t.exact:
@@ -118,11 +159,18 @@ def _verify(min_cover: float):
                             base.add(t.label)
                             score = 1.0
                     else:
-                        lo = max(0, s["lo"])
-                        cover = covered(words[lo:s["hi"] + len(t.words)], t.words)
-                        if cover >= min_cover:
-                            extra.add(t.label)
-                            score = max(score, cover)
+                        hi = min(len(words), s["hi"] + 2 * len(t.words))
+                        notices += [(n / len(t.words), n, first, last, t.label) for n, first, last in occurrences(
+                                        words, max(0, s["lo"] - len(t.words)), hi, t.words, min_cover)
+                                    if decided(t.label, words[first:last + 1])]
+                taken: list[tuple[int, int]] = []  # disjoint and sorted
+                for cover, _, first, last, label in sorted(notices, key=lambda x: (-x[0], -x[1], x[2:])):
+                    at = bisect(taken, (first, last))
+                    if (at and taken[at - 1][1] >= first) or (at < len(taken) and taken[at][0] <= last):
+                        continue
+                    taken.insert(at, (first, last))
+                    extra.add(label)
+                    score = max(score, cover)
                 rows.append((doc_id, len(words), len(places), min(places, default=None), max(places, default=None),
                              ",".join(sorted(base)), ",".join(sorted(base | extra)), score))
             if rows:
@@ -133,37 +181,39 @@ def _verify(min_cover: float):
     return run
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_votes: float = 0.5,
-         min_cover: float = 0.8, max_gap: int = 3) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_cover: float = 0.8) -> DataFrame:
     """License labels of every row of ``docs``.
 
-    A phrase needs every vote of its diagonal, then equal words; a notice needs ``min_votes`` of
-    its k-grams on diagonals at most ``max_gap`` apart, then ``min_cover`` of its words in order.
-    Null and empty texts have no words and no labels. Repeated rows share one set of votes and
-    each give a row. Other columns only tell rows apart. Empty tables give no rows. A text of
+    A phrase needs every vote of its diagonal, then equal words; a notice needs the k-grams that are
+    left when each of the words it may lack under ``min_cover`` costs it K, on diagonals at most its
+    own length apart, then ``min_cover`` of its words in order with its deciding words; it must not
+    overlap a notice that covers its template better, or as well and is longer.
+    Null and empty texts have no words and no labels. Repeated rows share one set of votes, in which
+    a k-gram counts once, and each give a row. Other columns only tell rows apart. Empty tables give no rows. A text of
     any length is one list of hashes in one row; its hits, not its words, are regrouped.
     """
     spark = docs.sparkSession
     known: dict[bytes, int] = {}
     positions = [(int(g), i, j) for i, t in enumerate(TEMPLATES) for j, g in enumerate(grams(list(t.words), known))]
     places = spark.createDataFrame(positions, "gram long, template int, j int")  # a few hundred rows, fixed
-    facts = spark.createDataFrame([(i, t.exact, len(t.words) - K + 1) for i, t in enumerate(TEMPLATES)],
-                                  "template int, exact boolean, n_grams int")
+    facts = spark.createDataFrame(
+        [(i, t.exact, len(t.words), max(1, len(t.words) - K + 1 - (0 if t.exact else K * int((1 - min_cover) * len(t.words) + 1e-9))))
+         for i, t in enumerate(TEMPLATES)], "template int, exact boolean, n_words int, bar int")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row_key(docs).alias("k"))
     found = rows.select("k", "text").mapInArrow(_gram_lists, "k long, grams array<long>")
     hits = (found.select("k", F.posexplode("grams").alias("i", "gram")).join(F.broadcast(places), "gram"))
     votes = hits.groupBy("k", "template", (F.col("i") - F.col("j")).alias("diagonal")).agg(
-        F.count("*").alias("votes"))
-    spans = spark.sql(f"""
+        F.expr("bit_or(shiftleft(1L, j))").alias("votes"))  # no template has 64 k-grams
+    spans = spark.sql("""
         SELECT k, collect_set(named_struct('template', template, 'lo', lo, 'hi', hi)) AS spans
-        FROM (SELECT k, template, exact, n_grams, run, min(diagonal) AS lo, max(diagonal) AS hi, sum(votes) AS votes
-              FROM (SELECT *, sum(CASE WHEN diagonal - before <= {max_gap} AND NOT exact THEN 0 ELSE 1 END) OVER (
+        FROM (SELECT k, template, bar, run, min(diagonal) AS lo, max(diagonal) AS hi, bit_count(bit_or(votes)) AS votes
+              FROM (SELECT *, sum(CASE WHEN diagonal - before <= n_words AND NOT exact THEN 0 ELSE 1 END) OVER (
                               PARTITION BY k, template ORDER BY diagonal) AS run
-                    FROM (SELECT v.*, f.exact, f.n_grams,
+                    FROM (SELECT v.*, f.exact, f.n_words, f.bar,
                                  lag(diagonal) OVER (PARTITION BY v.k, v.template ORDER BY diagonal) AS before
-                          FROM {{votes}} v JOIN {{facts}} f ON v.template = f.template))
-              GROUP BY k, template, exact, n_grams, run)
-        WHERE votes >= CASE WHEN exact THEN n_grams ELSE ceil(n_grams * {min_votes}) END
+                          FROM {votes} v JOIN {facts} f ON v.template = f.template))
+              GROUP BY k, template, bar, run)
+        WHERE votes >= bar
         GROUP BY k""", votes=votes, facts=F.broadcast(facts))
     return rows.join(spans, "k", "left").select("id", "text", "spans").mapInArrow(_verify(min_cover), OUT)
 

@@ -47,3 +47,22 @@ def test_notices_with_small_changes(spark):
     got = {r.doc_id: r for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0].labels == got[1].labels == "bsd" and got[0].score == 1.0 > got[1].score > 0.9
     assert got[2].labels == got[3].labels == "" and got[4].labels == "gpl-3" and got[4].n_base == 0
+
+
+def test_notices_that_differ_by_a_word(spark):
+    by_nc, by, apache = (dict(L.NOTICES)[x] for x in ("cc-by-nc", "cc-by", "apache-2"))
+    gpl = "Licensed under the GNU General Public License version "
+    long = by.replace("creative commons", "creative commons as its authors all wish it to be")
+    cases = [(by, "cc-by"), (by_nc, "cc-by-nc"), (gpl + "3", "gpl-3"), (gpl + "2", ""), (apache.replace("version 2 0", "version 1 1"), ""),
+             (by.replace("attribution", "attribution sharealike"), ""), (by_nc.replace("noncommercial", "non-commercial"), "cc-by-nc"),
+             (gpl.replace("General", "Lesser General") + "3", ""), (by + " " + by_nc, "cc-by,cc-by-nc"), (by_nc + " " + by, "cc-by,cc-by-nc"),
+             (by.replace(" is ", " was ").replace("commons", "common"), "cc-by"), (long, "cc-by"),
+             (gpl + "2 or any other that is fit. " + gpl + "3", "gpl-3"), ((by + " ") * 60 + by_nc, "cc-by,cc-by-nc")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in L.scan(df).collect()}
+    assert [got[i] for i in range(len(cases))] == [x for _, x in cases]
+
+
+def test_repeated_rows_vote_once(spark):
+    df = spark.createDataFrame([(0, L.NOTICES[4][1])] * 3, "doc_id long, text string")
+    assert [(r.labels, r.n_base, r.score) for r in L.scan(df).collect()] == [("bsd", 0, 1.0)] * 3
