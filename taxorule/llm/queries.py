@@ -27,8 +27,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
-    "op4_lz_fingerprint": q_lzprint,
-    "op5_license_scan": q_licenses,
     "op7_chat_format": CHAT_SQL,
     "op8_source_mixing": MIXING_SQL,
 }
