@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import CHAT_SQL, q_chat
 from .columnbwt import q_suffix_dedup
+from .filteraudit import AUDIT_SQL, q_filter_audit
 from .licenses import q_licenses
 from .lzprint import q_lzprint
 from .mixing import MIXING_SQL, q_mixing
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_source_mixing": q_mixing,
     "op9_best_fit_packing": q_packing,
     "op10_ppm_score": q_ppm,
+    "op13_filter_audit": q_filter_audit,
 }
 
 ORACLE_SQL = {
     "op7_chat_format": CHAT_SQL,
     "op8_source_mixing": MIXING_SQL,
+    "op13_filter_audit": AUDIT_SQL,
 }

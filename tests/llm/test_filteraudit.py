@@ -1,0 +1,121 @@
+import itertools
+import os
+import random
+from collections import Counter
+
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from taxorule.llm import filteraudit as A
+
+SCHEMA = pa.schema([("key", pa.string()), ("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()),
+                    ("mask", pa.string())])
+
+
+def plain(rows, labels):
+    """Every order applied to every document, one by one."""
+    low = {}
+    for i, text, _ in rows:
+        if i is not None:
+            low[text or ""] = min(i, low.get(text or "", i))
+    out = Counter()
+    parts = {p or "" for _, _, p in rows}
+    for i, text, part in rows:
+        text, part = text or "", part or ""
+        words = text.split()
+        smaller = text in low and (i is None or i > low[text])
+        fails = {"A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words),
+                 "C": 100 * sum("A" <= c <= "Z" for c in text) > 10 * len(text),
+                 "D": any(c in "#$%&*|" for c in text), "E": smaller}
+        good, toxic = (any(x[k] == 1 for x in labels if x[0] == i and i is not None) for k in (1, 2))
+        for order in itertools.permutations("ABCDE"):
+            gone = False
+            for step, f in enumerate(order, 1):
+                at = (part, "".join(order), step)
+                if fails[f]:
+                    out[at, "redundant" if gone else "removed"] += 1
+                    out[at, "unique_fails"] += sum(fails.values()) == 1
+                    out[at, "good_lost"] += good and not gone
+                    out[at, "toxic_lost"] += toxic and not gone
+                    gone = True
+                out[at, "kept"] += not gone
+    names = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")
+    want = {}
+    for part, order, step in itertools.product(parts, map("".join, itertools.permutations("ABCDE")), range(1, 6)):
+        f = order[step - 1]
+        shapley = sum(out[(part, o, o.index(f) + 1), "removed"] for o in map("".join, itertools.permutations("ABCDE")))
+        want[part, order, step] = (*(out[(part, order, step), k] for k in names), shapley)
+    return want
+
+
+def corpus(seed=1, n=160):
+    rng = random.Random(seed)
+    bag = [f"w{k}" for k in range(400)] + ["Ab", "#x", "CAPS"]
+    texts = [" ".join(rng.choices(bag, k=rng.choice([5, 100, 130]))) for _ in range(n // 3)]
+    texts += [" ".join(rng.sample(bag[:400], 120)) for _ in range(5)] + [None, "", "a b " * 3000, "A B é"]
+    rows = [(rng.randrange(1000), rng.choice(texts), rng.choice(["en", "de", None])) for _ in range(n)]
+    rows += [(rng.choice([None, 5000 - k]), texts[0], "en") for k in range(60)]  # a hot text
+    return rows + rows[:10] + [(None, texts[1], "fr"), (None, "only null ids", "fr"), (None, "only null ids", "fr")]
+
+
+def store(folder, rows, files):
+    os.makedirs(folder, exist_ok=True)
+    for k in range(files):
+        some = rows[k::files]
+        pq.write_table(pa.Table.from_pylist([{"key": "x", "doc_id": i, "text": t, "lang": p, "mask": "y"}
+                                             for i, t, p in some], SCHEMA), f"{folder}/part-{k}.parquet")
+    return folder
+
+
+def labelled(spark, labels):
+    return spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+LABELS = [(k, k % 2, int(k % 5 == 0)) for k in range(0, 1000, 2)] + [(4, 1, None), (None, 1, 1), (7, None, 1)]
+
+
+def got(df):
+    return {(r.part, r.filter_order, r.step): (r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost,
+                                               r.toxic_lost, r.shapley) for r in df.collect()}
+
+
+@pytest.mark.parametrize("files", [1, 7])
+def test_orders_equal_brute_force(spark, scratch, files):
+    rows = corpus()
+    df = A.audit_table(spark, store(f"{scratch}/docs.parquet", rows, files), labelled(spark, LABELS))
+    assert got(df) == plain(rows, LABELS)
+
+
+def test_later_smaller_ids_retract_and_a_run_goes_on(spark, scratch):
+    rows = [(i, "same text", "en" if i % 2 else "de") for i in range(20, 0, -1)]
+    folder = store(f"{scratch}/docs.parquet", rows[:10], 10)
+    labels = labelled(spark, LABELS)
+    home = f"{scratch}/home"
+    first = A.counters(spark, folder, labels, batches=10, home=home).collect()
+    assert {(r.part, r["mask"], r.n) for r in first if r["mask"] & 16 == 0} == {("en", 1, 1)}
+    more = pa.Table.from_pylist([{"doc_id": i, "text": t, "lang": p} for i, t, p in rows[10:]], SCHEMA)
+    pq.write_table(more, f"{folder}/part-later.parquet")
+    again = A.audit_table(spark, folder, labels, home=home)
+    assert got(again) == plain(rows, LABELS)
+    negative = spark.read.parquet(f"{home}/changes").filter("n < 0").count()
+    assert negative >= 9
+
+
+def test_empty_table_and_one_null_row(spark, scratch):
+    empty = store(f"{scratch}/none.parquet", [], 1)
+    assert A.audit_table(spark, empty, labelled(spark, [])).count() == 0
+    one = A.audit_table(spark, store(f"{scratch}/one.parquet", [(None, None, None)], 1), labelled(spark, []))
+    assert got(one) == plain([(None, None, None)], [])
+
+
+def test_sql_agrees(spark, scratch):
+    rows = corpus(3)
+    path = store(f"{scratch}/docs.parquet", rows, 3)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INT, toxic INT)")
+    con.executemany("INSERT INTO labels VALUES (?, ?, ?)", LABELS)
+    want = {tuple(r[:3]): tuple(r[3:]) for r in con.execute(A.AUDIT_SQL).fetchall()}
+    assert want == plain(rows, LABELS)
