@@ -136,8 +136,11 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "d
     it the run has a folder of its own. State lives in the RocksDB provider, so it may exceed memory.
     """
     home = home or table_path(spark, "filter-audit")
-    docs = spark.read.parquet(path)
-    each = max(1, -(-len(docs.inputFiles()) // batches))
+    docs, path = spark.read.parquet(path), path.rstrip("/")
+    files = docs.inputFiles()
+    each = max(1, -(-len(files) // batches))
+    if [f.rpartition("/")[2] for f in files] == [path.rpartition("/")[2]]:
+        path = f"{path[:-1]}[{path[-1]}]"  # a stream takes a single file as a pattern only
     changes = f"{home}/changes"
     spark.createDataFrame([], _COUNTS).write.mode("overwrite").parquet(f"{changes}/batch=-1")
 

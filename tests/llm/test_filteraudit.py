@@ -103,6 +103,13 @@ def test_later_smaller_ids_retract_and_a_run_goes_on(spark, scratch):
     assert negative >= 9
 
 
+def test_single_file(spark, scratch):
+    rows = corpus(5, 40)
+    folder = store(f"{scratch}/docs", rows, 1)
+    df = A.audit_table(spark, f"{folder}/part-0.parquet", labelled(spark, LABELS))
+    assert got(df) == plain(rows, LABELS)
+
+
 def test_empty_table_and_one_null_row(spark, scratch):
     empty = store(f"{scratch}/none.parquet", [], 1)
     assert A.audit_table(spark, empty, labelled(spark, [])).count() == 0
