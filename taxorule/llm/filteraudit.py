@@ -1,15 +1,15 @@
 """Filter interaction audit: what every order of five document filters keeps and removes.
 
-The files of the table are processed as available-now micro-batches. A text's digest is the key
-of a state row: the smallest id with that text and how many of its rows each part holds. Each
-batch emits signed counts: a document is counted under the mask of filters that it fails; when
-a smaller id arrives for a text, the earlier holder's rows are retracted from the mask without
-the duplicate filter and counted under the mask with it. The sums of all batches' counts are
-the part counters, from which all orders follow.
-
-Rows of a text are combined inside each input split before they are dealt out by text, so a
-text that very many documents share reaches its state as one row a split and part; the other
-copies of the split fail the duplicate filter for certain and bypass the state.
+The files of the table are processed as available-now micro-batches. The keyed text state holds, for
+each text's digest, the rows with the smallest id so far. A batch counts each document under the
+mask of the filters that it fails; when a smaller id arrives for a text, the earlier holder's rows
+are retracted from the mask without the duplicate filter and counted under the mask with it. The
+sums of all batches' signed counts are the part counters, from which all orders follow.
+
+The state is a table in the shared folder to which every batch adds the rows that now hold their
+text's smallest id; a text's holders are its rows with the least id of them. A batch meets only the
+state of its own texts, in joins that AQE splits where very many documents share one. A batch that is
+replayed overwrites what it wrote.
 """
 
 from __future__ import annotations
@@ -19,28 +19,24 @@ import itertools
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..session import table_path
-from .common import table
+from .common import keep, table
 
 LETTERS = "ABCDE"
 DUPLICATE = 16
 #: Micro-batches that the files of a table are dealt out to.
 BATCHES = 4
-#: Texts that a task combines before it sends them on.
-COMBINE = 50_000
 
 _CAPITALS = bytes(range(65, 91))
 _SIGNS = re.compile(rb"[#$%&*|]")
-_PASS = b"+"
 
-_ROWS = pa.schema([("key", pa.binary()), ("mask", pa.int32()), ("id", pa.int64()), ("part", pa.string()),
-                   ("n", pa.int64())])
+#: A document: its text's digest (128 bits), the filters A to D that it fails, id and part.
+_FACTS = "t long, s long, mask int, id long, part string"
+_STATE = "t long, s long, mask int, id long, part string, n long"
 _COUNTS = "id long, part string, mask int, n long"
 
 
@@ -54,77 +50,36 @@ def text_mask(text: str | None) -> tuple[int, bytes]:
     return mask, hashlib.sha256(data).digest()
 
 
-def _rank(doc_id: int | None) -> tuple[bool, int]:
-    return doc_id is None, doc_id or 0
-
-
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text, part) to candidates for the smallest id of a text and rows that are none."""
-    held: dict[bytes, list] = {}
-    passed: list[tuple] = []
-
-    def rows(some: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), _ROWS.types)], schema=_ROWS)
-
-    def passing() -> pa.RecordBatch:
-        key = _PASS + hashlib.sha256(repr(passed[0]).encode()).digest()
-        return rows([(key, mask, i, part, n) for _, mask, i, part, n in passed])
-
-    def candidates() -> pa.RecordBatch:
-        return rows([(key, mask, i, part, n) for key, (mask, i, parts) in held.items() for part, n in parts.items()])
-
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc_id, text, part in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            mask, key = text_mask(text)
-            part = part or ""
-            seen = held.get(key)
-            if seen is None:
-                held[key] = [mask, doc_id, {part: 1}]
-            elif _rank(doc_id) > _rank(seen[1]):
-                passed.append((key, mask | DUPLICATE, doc_id, part, 1))
-            elif doc_id == seen[1]:
-                seen[2][part] = seen[2].get(part, 0) + 1
-            else:
-                passed += [(key, mask | DUPLICATE, seen[1], p, n) for p, n in seen[2].items()]
-                held[key] = [mask, doc_id, {part: 1}]
-        if len(passed) >= 4096:
-            yield passing()
-            passed = []
-        if len(held) >= COMBINE:
-            yield candidates()
-            held = {}
-    if passed:
-        yield passing()
-    if held:
-        yield candidates()
-
-
-def _retract(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Signed counts of one text's new rows; the state is its smallest id and that id's rows."""
-    rows = [row for f in frames for row in zip(f["mask"].tolist(), f["id"].tolist(), f["part"].tolist(),
-                                                f["n"].tolist())]
-    rows = [(mask, None if i is None or i != i else int(i), part, n) for mask, i, part, n in rows]
-    if bytes(key[0][:1]) == _PASS and len(key[0]) > 32:
-        out = [(i, part, mask, n) for mask, i, part, n in rows]
-    else:
-        mask, out, held = rows[0][0], [], {}
-        least = min((i for _, i, _, _ in rows), key=_rank)
-        if state.exists:
-            known, old, parts, counts = state.get
-            old = old if known else None
-            if _rank(least) < _rank(old):
-                for part, n in zip(parts, counts):
-                    out += [(old, part, mask, -n), (old, part, mask | DUPLICATE, n)]
-            else:
-                least, held = old, dict(zip(parts, counts))
-        for _, i, part, n in rows:
-            if i == least:
-                held[part] = held.get(part, 0) + n
-            out.append((i, part, mask if i == least else mask | DUPLICATE, n))
-        state.update((least is not None, least or 0, list(held), list(held.values())))
-    columns = zip(*out)
-    yield pd.DataFrame({"id": pd.array(next(columns), "Int64"), "part": next(columns),
-                        "mask": next(columns), "n": next(columns)})
+        found = [text_mask(x.as_py()) for x in batch.column(1)]
+        halves = [[int.from_bytes(d[k:k + 8], "little", signed=True) for _, d in found] for k in (0, 8)]
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(h, pa.int64()) for h in halves), pa.array([m for m, _ in found], pa.int32()), batch.column(0),
+             batch.column(2).fill_null("")], names=["t", "s", "mask", "id", "part"])
+
+
+def _advance(facts: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A batch's documents on the state before it: the state rows to add, and the signed counts.
+
+    A null id is larger than all others, as ``min`` has it."""
+    mine = keep(facts.groupBy("t", "s").agg(F.min("id").alias("here")), "audit-texts")
+    earlier = state.join(mine, ["t", "s"])
+    before = earlier.groupBy("t", "s").agg(F.min("id").alias("old"), F.lit(True).alias("known"))
+    texts = keep(mine.join(before, ["t", "s"], "left").select(
+        "t", "s", "old", F.coalesce("known", F.lit(False)).alias("known"), F.least("here", "old").alias("least")),
+        "audit-texts")
+    placed = facts.join(texts, ["t", "s"]).withColumn("holds", F.col("id").eqNullSafe(F.col("least")))
+    holders = placed.filter("holds").groupBy("t", "s", "mask", "id", "part").agg(F.count("*").alias("n"))
+    counted = placed.select("id", "part", F.when(F.col("holds"), F.col("mask"))
+                            .otherwise(F.col("mask") + DUPLICATE).alias("mask"), F.lit(1).alias("n"))
+    retracted = (state.join(texts.filter("known AND NOT old <=> least"), ["t", "s"])
+                 .filter("id <=> old")
+                 .select("id", "part", F.inline(F.array(
+                     F.struct(F.col("mask"), (-F.col("n")).alias("n")),
+                     F.struct((F.col("mask") + DUPLICATE).alias("mask"), F.col("n"))))))
+    return holders, (counted.unionByName(retracted).groupBy("id", "part", "mask").agg(F.sum("n").alias("n"))
+                     .filter("n <> 0"))
 
 
 def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -133,7 +88,7 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "d
 
     ``path`` is a Parquet file or folder. ``home`` is a folder that all nodes share; a run that
     was broken off goes on there, and files that came since are added to its counts. Without
-    it the run has a folder of its own. State lives in the RocksDB provider, so it may exceed memory.
+    it the run has a folder of its own.
     """
     home = home or table_path(spark, "filter-audit")
     docs, path = spark.read.parquet(path), path.rstrip("/")
@@ -141,32 +96,23 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "d
     each = max(1, -(-len(files) // batches))
     if [f.rpartition("/")[2] for f in files] == [path.rpartition("/")[2]]:
         path = f"{path[:-1]}[{path[-1]}]"  # a stream takes a single file as a pattern only
-    changes = f"{home}/changes"
-    spark.createDataFrame([], _COUNTS).write.mode("overwrite").parquet(f"{changes}/batch=-1")
-
-    def note(batch: DataFrame, number: int) -> None:
-        (batch.groupBy("id", "part", "mask").agg(F.sum("n").alias("n")).filter("n <> 0")
-         .write.mode("overwrite").parquet(f"{changes}/batch={number}"))
-
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        rows = (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", each).parquet(path)
-                .select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"),
-                        F.col(f"`{part_col}`").cast("string").alias("part"))
-                .mapInArrow(_combine, "key binary, mask int, id long, part string, n long"))
-        query = (rows.groupBy("key").applyInPandasWithState(
-            _retract, _COUNTS, "known boolean, id long, parts array<string>, counts array<long>", "update",
-            GroupStateTimeout.NoTimeout)
-            .writeStream.outputMode("update").foreachBatch(note).trigger(availableNow=True)
-            .option("checkpointLocation", f"{home}/state").start())
-        query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
+    state, changes = f"{home}/state", f"{home}/changes"
+    for folder, ddl in ((state, _STATE), (changes, _COUNTS)):  # so that there always is a table to read
+        spark.createDataFrame([], ddl).write.mode("overwrite").parquet(f"{folder}/batch=-1")
+
+    def advance(batch: DataFrame, number: int) -> None:
+        facts = keep(batch, "audit-facts")
+        before = (batch.sparkSession.read.schema(f"{_STATE}, batch long").parquet(state)
+                  .filter(F.col("batch") < number).drop("batch"))
+        for df, folder in zip(_advance(facts, before), (state, changes)):
+            df.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", each).parquet(path)
+     .select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"),
+             F.col(f"`{part_col}`").cast("string").alias("part"))
+     .mapInArrow(_facts, _FACTS)
+     .writeStream.foreachBatch(advance).trigger(availableNow=True)
+     .option("checkpointLocation", f"{home}/progress").start().awaitTermination())
     total = (spark.read.schema(_COUNTS).parquet(changes).groupBy("id", "part", "mask")
              .agg(F.sum("n").alias("n")).filter("n <> 0"))
     known = labels.groupBy(F.col("doc_id").alias("id")).agg(
