@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import CHAT_SQL, q_chat
 from .columnbwt import q_suffix_dedup
+from .debruijn import q_substring_dedup
 from .filteraudit import AUDIT_SQL, q_filter_audit
 from .licenses import q_licenses
 from .lzprint import q_lzprint
@@ -13,6 +14,7 @@ from .packing import q_packing
 from .ppm import q_ppm
 from .rulelist import q_rulelist
 from .simhash import q_simhash
+from .whitening import q_whitening
 
 QUERIES = {
     "op1_simhash_near_dedup": q_simhash,
@@ -25,11 +27,14 @@ QUERIES = {
     "op8_source_mixing": q_mixing,
     "op9_best_fit_packing": q_packing,
     "op10_ppm_score": q_ppm,
+    "op11_embedding_whitening": q_whitening,
+    "op12_substring_dedup": q_substring_dedup,
     "op13_filter_audit": q_filter_audit,
 }
 
 ORACLE_SQL = {
     "op7_chat_format": CHAT_SQL,
     "op8_source_mixing": MIXING_SQL,
+    "op11_embedding_whitening": q_whitening,
     "op13_filter_audit": AUDIT_SQL,
 }
