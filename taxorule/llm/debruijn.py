@@ -113,43 +113,67 @@ def _segments(parts: list[np.ndarray], window: int, key: int) -> tuple[np.ndarra
 
 _SEGMENT = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64()), ("v", pa.int64()),
                       ("w", pa.int64())])
-_SCAN = pa.schema([("t", pa.int64()), ("s", pa.int64()), ("n_words", pa.int64()), ("sha", pa.string()),
-                   ("z", pa.binary()), ("segs", pa.list_(_SEGMENT))])
+_TEXT = "t long, s long, n_words long"
+_SEGMENTS = "segs array<struct<start:int,n:int,anchor:long,v:long,w:long>>"
+
+
+def _identity(joined: bytes) -> tuple[int, int]:
+    digest = hashlib.blake2b(joined, digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
+def _words(text: pa.Scalar) -> list[bytes]:
+    return (text.as_py() or "").encode("utf-8", "surrogatepass").split()
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text) to id, identity of the word sequence, its length, its words compressed."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        rows = []
+        for text in batch.column(1):
+            words = _words(text)
+            joined = b" ".join(words)
+            rows.append((*_identity(joined), len(words), pack.compress(joined)))
+        if rows:
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
+                                             names=["id", "t", "s", "n_words", "z"])
 
 
 def _scan(window: int, key: int):
-    """Rows (id, text) to: id, 128-bit identity of the word sequence, its words and segments."""
+    """Rows (id, text) to id, 128-bit identity of the word sequence, its length, SHA-256 and segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, pack = _Hashes(), zstandard.ZstdCompressor(level=1)
+        hashes, types = _Hashes(), [pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
         def close(ids: pa.Array, rows: list[tuple], parts: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-            segs: list[list] = [[] for _ in rows]
-            while parts:
+            found, at = [tuple(np.empty(0, np.int64) for _ in range(6))], 0
+            while at < len(parts):
                 some, size = [], 0
-                while parts and (not some or size + len(parts[-1][2]) <= CHUNK):
-                    some.append(parts.pop())
-                    size += len(some[-1][2])
+                while at < len(parts) and (not some or size + len(parts[at][2]) <= CHUNK):
+                    some.append(parts[at])
+                    size += len(parts[at][2])
+                    at += 1
                 part, start, *rest = _segments([h for _, _, h in some], window, key)
-                start = start + np.array([at for _, at, _ in some], np.int64)[part] if len(part) else start
-                for p, *values in zip(part.tolist(), start.tolist(), *(c.tolist() for c in rest)):
-                    segs[some[p][0]].append(dict(zip(("start", "n", "anchor", "v", "w"), values)))
-            columns = [*zip(*rows), segs]
+                row, shift = (np.array(c, np.int64)[part] for c in zip(*((r, begin) for r, begin, _ in some)))
+                found.append((row, start + shift, *rest))
+            row, *fields = (np.concatenate(c) for c in zip(*found))
+            begins = np.cumsum([0, *np.bincount(row, minlength=len(rows))])
+            segs = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(c).cast(f.type) for c, f in zip(fields, _SEGMENT)], fields=list(_SEGMENT)))
             return pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(c, t) for c, t in zip(columns, _SCAN.types))], names=["id", *_SCAN.names])
+                [ids, *(pa.array(c, t) for c, t in zip(zip(*rows), types)), segs],
+                names=["id", "t", "s", "n_words", "sha", "segs"])
 
         for batch in batches:
             ids, rows, parts, size, begun = batch.column(0), [], [], 0, 0
             for text in batch.column(1):
-                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
+                words = _words(text)
                 if len(words) >= 1 << PLACE:
                     raise ValueError(f"a text of {len(words)} words; at most {(1 << PLACE) - 1} are supported")
                 joined = b" ".join(words)
-                digest = hashlib.blake2b(joined, digest_size=16).digest()
-                whole = len(words) >= window
-                rows.append((int.from_bytes(digest[:8], "little", signed=True),
-                             int.from_bytes(digest[8:], "little", signed=True), len(words),
-                             hashlib.sha256(joined).hexdigest(), pack.compress(joined)))
-                if whole:
+                rows.append((*_identity(joined), len(words), hashlib.sha256(joined).hexdigest()))
+                if len(words) >= window:
                     h = hashes.of(words)
                     for at in range(0, len(h) - window + 1, CHUNK):
                         parts.append((len(rows) - 1, at, h[at:at + CHUNK + window - 1]))
@@ -167,6 +191,13 @@ def _unpack(data: bytes) -> list[bytes]:
     return joined.split(b" ") if joined else []
 
 
+def _lists(column: pa.Array, *names: str) -> tuple[np.ndarray, ...]:
+    """Where each row's list of structs begins, and the fields of all of them (null: 0)."""
+    flat = column.flatten()
+    begins = np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()])
+    return begins, *(flat.field(n).fill_null(0).to_numpy(zero_copy_only=False) for n in names)
+
+
 def _edges(window: int):
     """Rows (u, z, wanted (start, n)) to the edges of the wanted segments: e, f (128 bits), the
     coordinate of the place, the offset in the segment, and the next edge there (0: the last)."""
@@ -180,18 +211,20 @@ def _edges(window: int):
                                               names=["e", "f", "at", "o", "after"])
         for batch in batches:
             held, size = [], 0
-            for u, z, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            begins, starts, counts = _lists(batch.column(2), "start", "n")
+            for k, (u, z) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                start, n = (c[begins[k]:begins[k + 1]].astype(np.int64) for c in (starts, counts))
                 h = hashes.of(_unpack(z.as_py()))
-                for seg in wanted:
-                    start, n = seg["start"], seg["n"]
-                    own = h[start:start + n - 1 + window]
-                    e, o = rolled(own, window, _BASES[0]), np.arange(n)
-                    held.append((e, rolled(own, window, _BASES[1]), (u << PLACE) + start + o, o,
-                                 np.append(e[1:], np.uint64(0))))
-                    size += n
-                    if size >= CHUNK:
-                        yield close(held)
-                        held, size = [], 0
+                e, f = rolled(h, window, _BASES[0]), rolled(h, window, _BASES[1])
+                o = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                at = np.repeat(start, n) + o
+                after = np.append(e, np.uint64(0))[at + 1]
+                after[np.cumsum(n) - 1] = 0
+                held.append((e[at], f[at], (u << PLACE) + at, o, after))
+                size += len(at)
+                if size >= CHUNK:
+                    yield close(held)
+                    held, size = [], 0
             if held:
                 yield close(held)
     return run
@@ -205,23 +238,22 @@ def _cut(window: int, digest: bool):
         hashes = _Hashes()
         for batch in batches:
             rows = []
-            for t, s, z, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                                      batch.column(3).to_pylist()):
+            begins, starts, counts, checks, firsts, lasts = _lists(batch.column(3), "start", "n", "check", "v", "w")
+            path = batch.column(3).flatten().field("check").is_valid().to_numpy(zero_copy_only=False)
+            for k, (t, s, z) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))):
+                own = slice(begins[k], begins[k + 1])
                 words = _unpack(z.as_py())
                 h = hashes.of(words)
+                e, f = (rolled(h, window, b).view(np.int64) for b in _BASES)
+                lo, hi = starts[own].astype(np.int64), (starts[own] + counts[own]).astype(np.int64)
+                sums = np.append(np.int64(0), np.bitwise_xor.accumulate(f))
+                right = np.where(path[own], sums[hi] ^ sums[lo] == checks[own],
+                                 (e[lo] == firsts[own]) & (f[hi - 1] == lasts[own]))
                 gone = np.zeros(len(words) + 1, np.int32)
-                for span in spans:
-                    lo, hi = span["start"], span["start"] + span["n"] - 1 + window
-                    own = rolled(h[lo:hi], window, _BASES[1]).view(np.int64)
-                    if span["check"] is None:
-                        right = own[-1] == span["w"] and rolled(h[lo:lo + window], window, _BASES[0]).view(np.int64)[0] == span["v"]
-                    else:
-                        right = np.bitwise_xor.reduce(own) == span["check"]
-                    if right:
-                        gone[lo] += 1
-                        gone[hi] -= 1
+                np.add.at(gone, lo[right], 1)
+                np.add.at(gone, hi[right] - 1 + window, -1)
                 kept = np.cumsum(gone[:-1]) == 0
-                left = b" ".join([w for w, k in zip(words, kept.tolist()) if k])
+                left = b" ".join([w for w, stays in zip(words, kept.tolist()) if stays])
                 rows.append((t, s, len(words) - int(kept.sum()), hashlib.sha256(left).hexdigest() if digest
                              else left.decode("utf-8", "surrogatepass")))
             if rows:
@@ -281,7 +313,7 @@ def _paths(edges: DataFrame) -> DataFrame:
         GROUP BY head""", stats=stats)
 
 
-def _repeats(found: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+def _repeats(found: DataFrame, packed: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """``t, s, m, spans``: for the texts that have any, the k-mer runs that a smaller id also has."""
     segs = keep(_of_text(found.select("id", "t", "s", "segs"), texts).select("u", "g", F.inline("segs")), "segments")
     often = keep(segs.groupBy("anchor").agg(F.min("u").alias("a"), F.max("u").alias("b")).filter("a < b")
@@ -296,7 +328,7 @@ def _repeats(found: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     wanted = mixed.groupBy(F.shiftright("source", PLACE).alias("u")).agg(F.collect_list(F.struct(
         F.col("source").bitwiseAND((1 << PLACE) - 1).cast("int").alias("start"), "n")).alias("wanted"))
     wanted = keep(texts.join(wanted, "u"), "wanted")
-    edges = keep(_of_text(found.select("id", "t", "s", "z"), wanted)
+    edges = keep(_of_text(packed, wanted)
                  .select("u", "z", "wanted").mapInArrow(_edges(window), "e long, f long, at long, o int, after long"),
                  "edges")
     paths = keep(_paths(edges), "paths")
@@ -330,13 +362,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     a window lose none. A null id counts as larger than every id. Rows with equal ids do not
     remove each other's words, so repeated rows fare alike. Other columns are not read, whatever
     their names; an empty table gives no rows."""
-    found = keep(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-                 .mapInArrow(_scan(window, key), f"id {docs.schema[id_col].dataType.simpleString()}, t long, s long, "
-                             "n_words long, sha string, z binary, segs array<struct<start:int,n:int,anchor:long,"
-                             "v:long,w:long>>"), "scanned")
+    base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    row = f"id {docs.schema[id_col].dataType.simpleString()}, {_TEXT}"
+    found = keep(base.mapInArrow(_scan(window, key), f"{row}, sha string, {_SEGMENTS}"), "scanned")
+    packed = base.mapInArrow(_packed, f"{row}, z binary")
+    movable = packed.filter(F.col("n_words") >= window).select("id", "t", "s", "z")
     texts = _numbered(found.filter(F.col("n_words") >= window))
-    spans = keep(_repeats(found, texts, window), "repeats")
-    cut = keep(_of_text(found.select("id", "t", "s", "z"), spans).select("t", "s", "z", "spans")
+    spans = keep(_repeats(found, movable, texts, window), "repeats")
+    cut = keep(_of_text(movable, spans).select("t", "s", "z", "spans")
                .mapInArrow(_cut(window, digest), "t long, s long, n_removed long, kept string")
                .dropDuplicates(["t", "s"]), "cut")
     known = keep(texts.join(cut, ["t", "s"], "left").select("t", "s", "m", "n_removed", "kept"), "texts")
@@ -344,7 +377,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     if digest:
         rows, whole = found.select("id", "t", "s", "n_words", "sha"), F.col("sha")
     else:
-        rows, whole = found.select("id", "t", "s", "n_words", "z"), F.pandas_udf(_joined, "string")("z")
+        rows, whole = packed, F.pandas_udf(_joined, "string")("z")
     copy = F.col("m").isNotNull() & ~F.col("id").eqNullSafe(F.col("m"))
     return rows.join(known, ["t", "s"], "left").select(
         F.col("id").alias(id_col), "n_words",
