@@ -13,9 +13,6 @@ that training does not hold meet the counts of shorter contexts in joins (see ``
 and each block gets its own grams' costs back.
 No task and no driver holds the model.
 
-``train`` is the small form of a bounded number of contexts: an automaton whose state times byte
-gives the log probability and the next state.
-
 ``adaptive_log10`` is the one-document form that learns as it reads.
 """
 
@@ -24,7 +21,6 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,14 +34,12 @@ from .common import keep, table
 
 MARK = 0xFF
 ORDER = 5
-#: Contexts of the small form (``train``); the query keeps all of them.
-MAX_CONTEXTS = 32_768
 #: Bytes of text in a block, in which a gram is asked for once; a longer text is a block of its own.
 BLOCK = 8 << 20
+#: Texts in a block at most: empty ones take next to no bytes.
+BLOCK_TEXTS = 1 << 18
 #: Bytes of a block's text whose grams are listed at a time.
 SLICE = 2 << 20
-#: Bytes scored side by side in one piece.
-PIECE = 1024
 #: Words counted more often than one in this many training tokens are looked up in a table sent
 #: to the tasks; there are fewer than this many of them. Others are joined.
 FREQUENT = 100_000
@@ -89,192 +83,13 @@ def adaptive_log10(data: bytes, order: int = ORDER) -> float:
     return total
 
 
-# ---------------------------------------------------------------- training counts
-
-def _ngrams(order: int):
-    """Distinct (order + 1)-grams of a batch with their counts, as big-endian numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = bytes([MARK]) * order
-        for batch in batches:
-            texts = [t.as_py() for t in batch.column(0)]
-            at = 0
-            while at < len(texts):
-                size, parts = 0, []
-                while at < len(texts) and size < 4 << 20:
-                    data = folded(texts[at])
-                    parts.append(lead + data)
-                    size += len(data) + order
-                    at += 1
-                flat = np.frombuffer(b"".join(parts) + lead + bytes([MARK]), np.uint8).astype(np.uint64)
-                code = np.zeros(len(flat) - order, np.uint64)
-                for i in range(order + 1):
-                    code = (code << np.uint64(8)) | flat[i:len(flat) - order + i]
-                # a window whose last bytes lead into the next document is cut after its first mark
-                lens = np.array([len(p) for p in parts])
-                ends = np.cumsum(lens)
-                use = np.ones(len(code), bool)
-                for i in range(1, order):
-                    # windows ending inside the lead of the next document, past its first mark
-                    use[ends - order + i] = False
-                use[ends[-1] - order + 1:] = False
-                grams, n = np.unique(code[use], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(n)], names=["gram", "n"])
-    return run
-
-
-@dataclass
-class Model:
-    """``next[state, column]`` and ``cost[state, column]`` (log10); ``column`` maps bytes to
-    columns, of which the last stands for every byte that training did not see; ``start`` is
-    the state after the lead marks."""
-
-    order: int
-    column: np.ndarray
-    next: np.ndarray
-    cost: np.ndarray
-    start: int
-
-
-def build(order: int, contexts: list[np.ndarray], counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
-    """The automaton. ``contexts[k]`` are the sorted codes of the kept contexts of order k;
-    ``counts[k]`` are (row in contexts[k], symbol, count). Kept contexts are suffix-closed, and
-    the empty one has seen every symbol."""
-    symbols = np.unique(counts[0][1]).astype(np.int64)
-    width, unseen = len(symbols), 256 - len(symbols)
-    column = np.full(256, width, np.int64)
-    column[symbols] = np.arange(width)
-    first = np.cumsum([0, *map(len, contexts)])
-    total = int(first[-1])
-    dense = np.zeros((total, width), np.float32)
-    shorter = np.zeros(total, np.int32)
-    for k, (row, symbol, n) in enumerate(counts):
-        dense[first[k] + row, column[symbol]] = n
-        if k:
-            tail = contexts[k] & ((1 << (8 * (k - 1))) - 1)
-            shorter[first[k]:first[k + 1]] = first[k - 1] + np.searchsorted(contexts[k - 1], tail)
-    cost = np.zeros((total, width + 1), np.float32)
-    for lo in range(0, total, 2048):
-        at = np.arange(lo, min(total, lo + 2048))
-        depth = np.searchsorted(first, at, "right") - 1
-        left = np.ones((len(at), width), bool)  # symbols not yet ruled out
-        spent, result = np.zeros(len(at)), np.zeros((len(at), width))
-        for _ in range(order + 1):
-            seen = dense[at].astype(np.float64) * left * (depth >= 0)[:, None]
-            known, mass = seen > 0, seen.sum(1)
-            escape = (seen == 1).sum(1) + 1
-            whole = np.log10(mass + escape)
-            share = np.log10(np.where(known, seen, 1)) - whole[:, None]
-            result = np.where(known, spent[:, None] + share, result)
-            left &= ~known
-            goes_on = (mass > 0) & (left.sum(1) + unseen > 0)
-            spent = spent + np.where(goes_on, np.log10(escape) - whole, 0)
-            depth, at = depth - 1, np.where(depth > 0, shorter[at], at)
-        rest = spent - np.log10(np.maximum(left.sum(1) + unseen, 1))
-        rows = slice(lo, lo + len(result))
-        cost[rows, :width] = np.where(left, rest[:, None], result)
-        cost[rows, width] = rest
-    del dense
-    # the next state is the longest kept suffix of context and symbol
-    nxt = np.zeros((total, width + 1), np.int32)
-    for k in range(order + 1):
-        rows = slice(int(first[k]), int(first[k + 1]))
-        if rows.start == rows.stop:
-            continue
-        found = nxt[shorter[rows]] if k else np.zeros((1, width + 1), np.int32)
-        if k < order and len(contexts[k + 1]) and width:
-            code = (contexts[k][:, None] << 8) | symbols[None, :]
-            i = np.minimum(np.searchsorted(contexts[k + 1], code), len(contexts[k + 1]) - 1)
-            hit = contexts[k + 1][i] == code
-            found[:, :width][hit] = (first[k + 1] + i)[hit]
-        nxt[rows] = found
-    state = 0
-    for _ in range(order):
-        state = int(nxt[state, column[MARK]])
-    return Model(order, column, nxt, cost, state)
-
-
-#: Contexts are ranked by their counts in bands of a factor 2 ** (1 / BANDS).
-BANDS = 4
-
-
-def train(texts: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> Model:
-    """The model of the column ``text``. All n-grams of all texts are counted, combined in each
-    task before the shuffle. The contexts of order 1 and more that the most symbols follow are
-    kept: whole bands of counts from the top, as long as they are ``max_contexts`` in all. A
-    context's shorter forms count at least as much, so they are kept with it. The empty context
-    is kept always. Only numbers per band and kept contexts' counts reach the driver.
-    """
-    grams = keep(texts.select("text").mapInArrow(_ngrams(order), "gram long, n long")
-                 .groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
-    band = F.floor(F.log2("all") * BANDS)
-
-    def counted(k: int) -> DataFrame:
-        return (grams.select(F.expr(f"(gram >> 8) & {(1 << (8 * k)) - 1}L").alias("context"),
-                             F.expr("cast(gram & 255 AS int)").alias("symbol"), "n")
-                .groupBy("context", "symbol").agg(F.sum("n").alias("n")))
-
-    totals = [counted(k).groupBy("context").agg(F.sum("n").alias("all")) for k in range(1, order + 1)]
-    bands: dict[int, int] = {}
-    for t in totals:
-        for b, n in t.groupBy(band.alias("band")).count().collect():
-            bands[b] = bands.get(b, 0) + n
-    kept, least = 0, 1 << 30
-    for b in sorted(bands, reverse=True):
-        if kept + bands[b] > max_contexts:
-            break
-        kept, least = kept + bands[b], b
-    contexts, counts = [], []
-    for k in range(order + 1):
-        rows = counted(k)
-        if k:
-            rows = rows.join(totals[k - 1].filter(band >= least).select("context"), "context")
-        local = rows.toPandas()
-        code = np.unique(local["context"].to_numpy(np.int64)) if k else np.zeros(1, np.int64)
-        contexts.append(code)
-        counts.append((np.searchsorted(code, local["context"].to_numpy(np.int64)),
-                       local["symbol"].to_numpy(np.int64), local["n"].to_numpy(np.float64)))
-    return build(order, contexts, counts)
-
-
-def log10_batch(model: Model, texts: list[bytes], piece: int = PIECE) -> np.ndarray:
-    """log10 probability of each text and its end under the pretrained model."""
-    lead = bytes([MARK]) * model.order
-    full = [lead + t + bytes([MARK]) for t in texts]
-    flat = model.column[np.frombuffer(b"".join(full), np.uint8)]
-    lens = np.array([len(f) for f in full])
-    base = np.cumsum(lens) - lens
-    pieces = [-(-(int(n) - model.order) // piece) for n in lens]
-    owner = np.repeat(np.arange(len(full)), pieces)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begin = base[owner] + number * piece  # of the lead-in
-    size = np.minimum(piece, lens[owner] - model.order - number * piece)
-    order = np.argsort(-size, kind="stable")
-    begin, size = begin[order], size[order]
-    state = np.zeros(len(begin), np.int32)
-    for i in range(model.order):
-        state = model.next[state, flat[begin + i]]
-    total = np.zeros(len(begin))
-    live = len(size)
-    begin = begin + model.order
-    nxt, cost, width = model.next.reshape(-1), model.cost.reshape(-1), model.next.shape[1]
-    for i in range(int(size[0]) if len(size) else 0):
-        while live and size[live - 1] <= i:
-            live -= 1
-        cell = state[:live].astype(np.int64) * width + flat[begin[:live] + i]
-        total[:live] += cost[cell]
-        state = nxt[cell]
-    out = np.zeros(len(full))
-    np.add.at(out, owner[order], total)
-    return out
-
-
 # ---------------------------------------------------------------- every context, as tables
 
 BLOCK_OUT = "block long, ids array<long>, held array<boolean>, lens array<long>, data binary"
 
 
-def _blocks(limit: int):
-    """Folded texts put together, about ``limit`` bytes a row."""
+def _blocks(limit: int, most: int):
+    """Folded texts put together, about ``limit`` bytes and at most ``most`` texts a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids, held, parts, size = TaskContext.get().partitionId() << 24, [], [], [], 0
 
@@ -288,7 +103,7 @@ def _blocks(limit: int):
         for batch in batches:
             for i, text, out in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 data = folded(text.as_py())
-                if parts and size + len(data) + ORDER > limit:
+                if parts and (size + len(data) + ORDER > limit or len(parts) >= most):
                     yield row()
                     block, ids, held, parts, size = block + 1, [], [], [], 0
                 ids.append(i)
@@ -442,7 +257,8 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                  pa.array(words.to_numpy(np.int64))], names=["word", "c"])
 
 
-SCORED = "row long, id long, n long, known long, base double, score double, rare array<long>, times array<long>"
+#: A text is known by its block and its place there.
+SCORED = "block long, row int, id long, n long, known long, base double, score double, rare array<long>, times array<long>"
 
 
 def _words(sent, n_total: int, v_total: int):
@@ -480,13 +296,13 @@ def _words(sent, n_total: int, v_total: int):
     return run
 
 
-def _rows(first: int, ids: list, scores: np.ndarray, words: tuple) -> pa.RecordBatch:
+def _rows(block: int, first: int, ids: list, scores: np.ndarray, words: tuple) -> pa.RecordBatch:
     n, n_known, base, rare, times = words
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(first, first + len(ids))), pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
+        [pa.array(np.full(len(ids), block)), pa.array(np.arange(first, first + len(ids), dtype=np.int32)), pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
          pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()),
          pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-        names=["row", "id", "n", "known", "base", "score", "rare", "times"])
+        names=["block", "row", "id", "n", "known", "base", "score", "rare", "times"])
 
 
 def _score_block(order: int, words):
@@ -495,30 +311,16 @@ def _score_block(order: int, words):
         ids, lens = block["ids"][0].as_py(), block["lens"][0].as_py()
         texts = _texts(block["data"][0].as_py(), lens)
         scores = _sums(texts, order, costs["gram"].to_numpy(), costs["cost"].to_numpy())
-        first, known, out = block["block"][0].as_py() << 20, {}, []
+        number, known, out = block["block"][0].as_py(), {}, []
         for at in range(0, len(ids), 1024):
             part = slice(at, at + 1024)
-            out.append(_rows(first + at, ids[part], scores[part], words(texts[part], known)))
+            out.append(_rows(number, at, ids[part], scores[part], words(texts[part], known)))
         return pa.Table.from_batches(out)
     return run
 
 
-def _score(sent, words):
-    """Scores under the small form of the model."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = Model(*sent.value), {}
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                data = [folded(t.as_py()) for t in part.column(1)]
-                yield _rows(row, part.column(0).to_pylist(), log10_batch(model, data), words(data, known))
-                row += len(data)
-    return run
-
-
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
-              max_contexts: int | None = None, frequent: int = FREQUENT, block: int = BLOCK) -> DataFrame:
+              frequent: int = FREQUENT, block: int = BLOCK, block_texts: int = BLOCK_TEXTS) -> DataFrame:
     """Word-unigram base score and PPM score of every row, both learned from the rows whose
     ``crc32(id) mod 7`` is not 2.
 
@@ -530,8 +332,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     are scored alike and count as often as they occur. Without training rows N = V = 0 and
     every byte is equally likely. Other columns are ignored. Empty tables give no rows.
 
-    Every context is kept. Only with a number of ``max_contexts`` the small form of the model
-    (``train``) scores instead.
+    Every context is kept.
     """
     spark = docs.sparkSession
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(7)) == 2
@@ -546,24 +347,19 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     often = vocabulary.filter(F.col("c") > cut).toPandas()
     bits = {int(w): math.log10(c + 1) for w, c in zip(often["word"], often["c"])}
     words = _words(spark.sparkContext.broadcast(bits), n_total, v_total)
-    if max_contexts is None:
-        # a page is closed after each block: else the writer gathers a task's blocks in memory
-        blocks = keep(rows.select("id", "text", "held").mapInArrow(_blocks(block), BLOCK_OUT), "blocks",
-                      **{"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"})
-        asked = blocks.select("block", "held", "lens", "data").mapInArrow(_asked(order), "block long, gram long, n long")
-        answers = gram_costs(asked, order)
-        scored = keep(blocks.groupBy("block").cogroup(answers.groupBy("block"))
-                      .applyInArrow(_score_block(order, words), SCORED), "scored")
-    else:
-        model = train(rows.filter("NOT held").select("text"), order, max_contexts)
-        sent = spark.sparkContext.broadcast((model.order, model.column, model.next, model.cost, model.start))
-        scored = keep(rows.select("id", "text").mapInArrow(_score(sent, words), SCORED), "scored")
-    pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
-        "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    found = (pairs.join(vocabulary.filter(F.col("c") <= cut), "word").groupBy("row")
+    # a page is closed after each block: else the writer gathers a task's blocks in memory
+    blocks = keep(rows.select("id", "text", "held").mapInArrow(_blocks(block, block_texts), BLOCK_OUT), "blocks",
+                  **{"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"})
+    asked = blocks.select("block", "held", "lens", "data").mapInArrow(_asked(order), "block long, gram long, n long")
+    answers = gram_costs(asked, order)
+    scored = keep(blocks.groupBy("block").cogroup(answers.groupBy("block"))
+                  .applyInArrow(_score_block(order, words), SCORED), "scored")
+    pairs = scored.select("block", "row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
+        "block", "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    found = (pairs.join(vocabulary.filter(F.col("c") <= cut), "word").groupBy("block", "row")
              .agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("gain")))
     end_known = 1 if n_docs else 0
-    out = scored.drop("rare", "times").join(found, "row", "left")
+    out = scored.drop("rare", "times").join(found, ["block", "row"], "left")
     return out.select(
         F.col("id").alias("doc_id"),
         (F.pmod(F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(7)) == 2).alias("held_out"),

@@ -53,30 +53,6 @@ def plain(seen, text, order, least=1):
     return total
 
 
-def test_pretrained_equals_the_definition(spark):
-    texts = corpus()
-    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
-    fresh = corpus(2, 10) + ["totally new ÿ bytes", "a" * 2500]
-    for order, most in ((3, 10**9), (2, 300), (5, 2000)):
-        model = M.train(df, order, most)
-        seen = tables(texts, order)
-        bands = Counter(math.floor(math.log2(sum(c.values())) * M.BANDS) for x, c in seen.items() if x)
-        top = [b for b in sorted(bands, reverse=True) if sum(n for a, n in bands.items() if a >= b) <= most]
-        least = 2 ** (min(top) / M.BANDS) - 1e-9
-        got = M.log10_batch(model, [M.folded(t) for t in fresh], piece=64)
-        want = [plain(seen, t, order, least) for t in fresh]
-        assert np.allclose(got, want, rtol=2e-5, atol=1e-3), (order, most)
-        if most < 10**6:
-            assert len(model.next) <= most + 1
-
-
-def test_every_state_is_a_distribution(spark):
-    df = spark.createDataFrame([(t,) for t in corpus()], "text string")
-    model = M.train(df, 3, 5000)
-    p = 10 ** model.cost.astype(float)
-    assert np.allclose(p[:, :-1].sum(1) + p[:, -1] * (257 - p.shape[1]), 1, atol=1e-4)
-
-
 def test_adaptive_learns_within_a_document():
     once, thrice = M.adaptive_log10(b"the cat sat. "), M.adaptive_log10(b"the cat sat. " * 3)
     assert thrice > 2 * once
@@ -101,8 +77,8 @@ def test_query_equals_brute_force(spark):
         want[i] = (held(i), len(tokens), sum(count[w] > 0 for w in tokens), n,
                    sum(math.log10((count[w] + 1) / (n + v + 1)) for w in tokens))
     seen = tables([t for i, t, _ in rows if not held(i)], 5)
-    for frequent in (10, 10**6):
-        got = M.lm_scores(docs, max_contexts=10**8, frequent=frequent).collect()
+    for frequent, block, block_texts in ((10, 700, 9), (10**6, M.BLOCK, M.BLOCK_TEXTS)):
+        got = M.lm_scores(docs, frequent=frequent, block=block, block_texts=block_texts).collect()
         assert len(got) == len(rows)
         for r in got:
             w = want[r.doc_id]
@@ -120,8 +96,7 @@ def test_held_out_beats_words(spark):
     assert got and all(r.score > 1.3 * r.base_score for r in got)
 
 
-def test_query_keeps_every_context(spark, monkeypatch):
-    monkeypatch.setattr(M, "MAX_CONTEXTS", 50)  # the model does not depend on it
+def test_query_keeps_every_context(spark):
     texts = corpus(7, 150) + ["totally new ÿ bytes"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     for order, block in ((5, 2000), (2, 1 << 20)):
@@ -133,3 +108,17 @@ def test_query_keeps_every_context(spark, monkeypatch):
             assert abs(r.score - want) < 1e-6 * max(1, abs(want)), (order, r.doc_id)
     alone = M.lm_scores(docs.filter("crc32(cast(doc_id AS string)) % 7 = 2")).collect()
     assert alone and all(abs(r.score + 8 * math.log10(2) * (len(M.folded(texts[r.doc_id])) + 1)) < 1e-6 * abs(r.score) for r in alone)
+
+
+def test_many_empty_texts_keep_their_own_counts(spark):
+    """More empty texts than a block holds, among some that are not."""
+    texts = {i: "" for i in range(3000)} | {k: f"word{k} word{k} again" for k in range(0, 3000, 700)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = M.lm_scores(docs, block_texts=500).collect()
+    count = Counter(w for i, t in texts.items() if not M.is_held_out(i) for w in [*t.split(), "end"])
+    n, v = sum(count.values()), len(count)
+    assert len(got) == len(texts)
+    for r in got:
+        tokens = [*texts[r.doc_id].split(), "end"]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(count[w] > 0 for w in tokens), n)
+        assert abs(r.base_score - sum(math.log10((count[w] + 1) / (n + v + 1)) for w in tokens)) < 1e-9 * abs(r.base_score) + 1e-9
