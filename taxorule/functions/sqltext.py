@@ -76,8 +76,52 @@ def as_dict(v: str) -> str:
     return f"try_variant_get({v}, '$', 'map<string,variant>')"
 
 
+_ROOT, _DOUBLE = "'$'", "'double'"
+
+
 def as_text(v: str) -> str:
-    return f"cast({v} AS string)"
+    """``str()`` of a JSON value as Python has it (null stays NULL). Strings and integers, nearly all
+    values, take the first branch. What VARIANT does not keep cannot come back: the order of an
+    object's keys, the sign of -0.0, integers beyond 38 digits, whether a whole number beyond 64
+    bits, or any in a list or object, had a decimal point (it counts as an integer)."""
+    kind, plain = f"schema_of_variant({v})", f"cast({v} AS string)"
+    return (f"(CASE WHEN coalesce({kind} IN ('STRING', 'BIGINT', 'VOID'), true) THEN {plain} "
+            f"WHEN {kind} = 'BOOLEAN' THEN initcap({plain}) "
+            f"WHEN {kind} LIKE 'ARRAY%' OR {kind} LIKE 'OBJECT%' THEN {python_container(f'to_json({v})')} "
+            f"WHEN {kind} LIKE 'DECIMAL(%,0)' AND try_variant_get({v}, '$', 'bigint') IS NULL THEN {plain} "
+            f"ELSE coalesce({python_float(f'try_variant_get({v}, {_ROOT}, {_DOUBLE})')}, {plain}) END)")
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` bound to ``value``, which is stated and evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def python_quoted(s: str) -> str:
+    """SQL: ``repr`` of a string: single quotes unless it holds those and no double ones; backslash,
+    line ends and what does not print as escapes."""
+    slash, hidden = "char(92)", lit(r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}[\p{Zs}&&[^ ]]]")
+    base = f"replace(s, {slash}, concat({slash}, {slash}))"
+    for code, letter in ((10, "n"), (13, "r"), (9, "t")):
+        base = f"replace({base}, char({code}), concat({slash}, {lit(letter)}))"
+    code = "lower(hex(ascii(c)))"
+    escaped = (f"CASE WHEN NOT b RLIKE {hidden} THEN b ELSE array_join(transform(split(b, ''), c -> "
+               f"CASE WHEN c = '' OR NOT c RLIKE {hidden} THEN c WHEN ascii(c) < 256 THEN concat({slash}, 'x', lpad({code}, 2, '0')) "
+               f"WHEN ascii(c) < 65536 THEN concat({slash}, 'u', lpad({code}, 4, '0')) "
+               f"ELSE concat({slash}, 'U', lpad({code}, 8, '0')) END), '') END")
+    body = (f"CASE WHEN NOT contains(s, char(39)) THEN concat(char(39), {_let(base, 'b', escaped)}, char(39)) "
+            f"WHEN NOT contains(s, char(34)) THEN concat(char(34), {_let(base, 'b', escaped)}, char(34)) "
+            f"ELSE concat(char(39), {_let(f'replace({base}, char(39), concat({slash}, char(39)))', 'b', escaped)}, char(39)) END")
+    return _let(s, "s", body)
+
+
+def python_container(json: str) -> str:
+    """SQL: the JSON text of a list or object as Python prints it, token by token, however deep."""
+    text = "get_json_object(concat(char(123), char(34), 'k', char(34), ':', t, char(125)), '$.k')"
+    return (f"array_join(transform({json_tokens(json)}, t -> CASE t WHEN ',' THEN ', ' WHEN ':' THEN ': ' "
+            f"WHEN 'true' THEN 'True' WHEN 'false' THEN 'False' WHEN 'null' THEN 'None' "
+            f"ELSE CASE WHEN startswith(t, char(34)) THEN {python_quoted(text)} "
+            f"WHEN t RLIKE '[.E]' THEN {python_number('t')} ELSE t END END), '')")
 
 
 def is_falsy(v: str) -> str:
@@ -95,8 +139,7 @@ def extraction_keywords(v: str) -> str:
     return (f"(CASE WHEN {is_missing(v)} THEN cast(array() AS array<string>) "
             f"WHEN {as_list(v)} IS NOT NULL THEN filter(transform({as_list(v)}, e -> {as_text('e')}), "
             f"s -> s IS NOT NULL AND {strip('s')} <> '') "
-            f"WHEN {strip(as_text(v))} <> '' THEN array({as_text(v)}) "
-            f"ELSE cast(array() AS array<string>) END)")
+            f"ELSE {_let(as_text(v), 'k', f"filter(array(k), s -> {strip('s')} <> '')")} END)")
 
 
 def _class_code(e: str) -> str:
@@ -112,6 +155,37 @@ def class_codes(v: str) -> str:
             f"ELSE array({_class_code(v)}) END)")
 
 
+# ---- JSON text, token by token ----
+
+#: Strings, brackets and separators, and everything else (numbers, true, false, null).
+_TOKENS = lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{}:,]|[^\[\]{}:,"\s]++')
+
+
+def json_tokens(text: str) -> str:
+    return f"regexp_extract_all({text}, {_TOKENS}, 0)"
+
+
+def python_float(d: str) -> str:
+    """A double as Python prints it: the shortest digits, with an exponent from 1e16 on and below 1e-4."""
+    # f is plain from 1e-3 to 1e7, otherwise one digit, point, digits, E, exponent; here n = digits, e = exponent
+    whole = "rpad(n, greatest(e + 1, length(n)), '0')"
+    spread = (f"CASE WHEN e >= 16 OR e < -4 THEN concat(substring(n, 1, 1), CASE WHEN length(n) > 1 THEN "
+              f"concat('.', substring(n, 2)) ELSE '' END, 'e', CASE WHEN e < 0 THEN '-' ELSE '+' END, "
+              f"lpad(cast(abs(e) AS string), greatest(2, length(cast(abs(e) AS string))), '0')) "
+              f"WHEN e < 0 THEN concat('0.', repeat('0', -e - 1), n) "
+              f"ELSE {_let(whole, 'w', 'concat(substring(w, 1, e + 1), char(46), CASE WHEN length(w) > e + 1 THEN substring(w, e + 2) ELSE char(48) END)')} END")
+    digits = "replace(regexp_replace(replace(element_at(split(f, 'E'), 1), '-', ''), '[.]0$', ''), '.', '')"
+    long = _let(digits, "n", _let("cast(element_at(split(f, 'E'), 2) AS int)", "e", spread))
+    body = ("CASE WHEN f IN ('Infinity', '-Infinity') THEN replace(lower(f), 'inity', '') WHEN f = 'NaN' THEN 'nan' "
+            f"WHEN NOT contains(f, 'E') THEN f ELSE concat(CASE WHEN startswith(f, '-') THEN '-' ELSE '' END, {long}) END")
+    return _let(f"cast({d} AS string)", "f", body)
+
+
+def python_number(token: str) -> str:
+    """A JSON number as Python prints it."""
+    return f"(CASE WHEN {token} RLIKE '[.eE]' THEN {python_float(f'cast({token} AS double)')} ELSE {token} END)"
+
+
 def run(spark: SparkSession, text: str, **dfs: DataFrame) -> DataFrame:
     """One SQL step over DataFrame arguments (``{name}`` placeholders)."""
     return spark.sql(text, **dfs) if dfs else spark.sql(text)

@@ -80,6 +80,19 @@ def pair_counts(records: DataFrame) -> DataFrame:
         GROUP BY pim_category_id, keyword""", r=records)
 
 
+def role_pair_counts(training: DataFrame, vendor: DataFrame, previous: DataFrame) -> DataFrame:
+    """``pair_counts`` from counts per role: ``training`` and ``previous`` are
+    ``pim_category_id, keyword, n``, ``vendor`` is the pair counts of the vendor's records."""
+    return q.run(training.sparkSession, """
+        SELECT pim_category_id, keyword, cast(sum(inside_count) AS bigint) AS inside_count,
+               cast(sum(vendor_inside_count) AS bigint) AS vendor_inside_count,
+               cast(sum(previous_count) AS bigint) AS previous_count
+        FROM (SELECT pim_category_id, keyword, n AS inside_count, 0L AS vendor_inside_count, 0L AS previous_count FROM {t}
+              UNION ALL SELECT pim_category_id, keyword, 0L, vendor_inside_count, 0L FROM {v}
+              UNION ALL SELECT pim_category_id, keyword, 0L, 0L, n FROM {p})
+        GROUP BY pim_category_id, keyword""", t=training, v=vendor, p=previous)
+
+
 def score_pairs(pairs: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
                 candidates_only: bool = True) -> DataFrame:
     """Keyword totals by a keyword-partitioned window over the pair counts (a keyword's

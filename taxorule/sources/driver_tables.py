@@ -3,7 +3,7 @@
 ``documents(doc_id, text, lang, source, n_chars)`` stands in for product data:
 
 * ``source = 'src<n>'``: n < 10 is vendor ``vendorA`` (the run's vendor), else ``vendorB``;
-* ``article_id = doc_id``; ``description_short`` = first 40 characters of the text;
+* ``article_id = doc_id``; ``description_short`` = the text;
 * keywords = the text split on ASCII whitespace ``[ \\t\\n\\r\\f]+``;
 * vendorA rows with ``doc_id % 10 = 0`` are untrusted ``ai_suggestion`` matches whose
   category is rotated (en->fr, fr->de, de->es, else->en); all others are trusted
@@ -92,6 +92,19 @@ def merge_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.run(spark, text, docs=bound_documents(spark, sf_dir))
 
 
+def earlier_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing set of the incremental checks: vendorB plus earlier versions of vendorA's src0/src1
+    rows, under categories of their own."""
+    docs = q.run(spark, f"""
+        SELECT * EXCEPT (pim_category_id, pim_category_name, pim_category_path), _cat AS pim_category_id,
+               upper(_cat) AS pim_category_name, concat('Products/', upper(_cat)) AS pim_category_path
+        FROM (SELECT *, CASE WHEN vendor_short_name = {q.lit(RUN_VENDOR)}
+                             THEN concat('earlier ', lang, doc_id % 3) ELSE pim_category_id END AS _cat
+              FROM {{docs}} WHERE vendor_short_name = {q.lit(OTHER_VENDOR)} OR doc_id % 20 <= 1)""",
+                 docs=bound_documents(spark, sf_dir))
+    return q.run(spark, _record_sql("true"), docs=docs)
+
+
 def match_document_lines(spark: SparkSession, sf_dir: str, vendor: str = RUN_VENDOR) -> DataFrame:
     """The vendor's match document as JSON Lines fragments (one product per line),
     rendered by Spark from the documents table: ``vendor_short_name, value, source``.

@@ -7,9 +7,8 @@
 
 Imports parse with VARIANT (schemaless) and explode the root array in parallel
 after the parse; a root of the wrong type fails (or, for a lenient reference read,
-yields nothing). A text too long for VARIANT always fails: it is no empty file. The
-formats hold a whole array in one text, so one task parses it; the snapshot store is
-the format that scales.
+yields nothing). A file too large to be one text is read in byte ranges, by many tasks,
+and parsed element by element.
 """
 
 from __future__ import annotations
@@ -21,15 +20,15 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext as q
 from ..schemas import STRING_FIELDS, TRAINING_COLUMNS
+from .json_scan import BadRoot, oversized, root_members
 from .match import json_dict_semantics
 
-#: Texts from this size on may exceed VARIANT's limit, so a failed parse is not taken for bad JSON.
-VARIANT_SAFE_BYTES = 16 << 20
 
-
-def _root_array(spark: SparkSession, path: str, what: str, lenient: bool) -> DataFrame:
+def _root_array(spark: SparkSession, path: str, what: str, lenient: bool, in_ranges: bool) -> DataFrame:
     """``position, item`` of the array that is the whole text of each file."""
     json_dict_semantics(spark)
+    if in_ranges or oversized(spark, path):
+        return _elements(spark, path, what, lenient)
     raw = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file_path"))
     if not lenient and raw.isEmpty():
@@ -40,17 +39,39 @@ def _root_array(spark: SparkSession, path: str, what: str, lenient: bool) -> Dat
     return q.run(spark, f"""
         SELECT posexplode(CASE
                  WHEN items IS NOT NULL AND ended IS NOT NULL THEN items
-                 WHEN w IS NULL AND octet_length(value) >= {VARIANT_SAFE_BYTES} THEN
-                   raise_error(concat('JSON text too large to parse, or malformed: ', file_path))
                  {'' if lenient else f'ELSE {wrong}'} END) AS (position, item)
         FROM (SELECT value, file_path, w, {q.as_list("try_variant_get(w, '$.root', 'variant')")} AS items,
                      try_variant_get(w, '$.end_of_root', 'int') AS ended
               FROM (SELECT value, file_path, {wrapped} AS w FROM {{raw}}))""", raw=raw)
 
 
-def read_stable_json(spark: SparkSession, path: str) -> DataFrame:
-    """Stable dataset from its JSON array file into typed training records."""
-    rows = _root_array(spark, path, "stable training dataset", lenient=False)
+def _elements(spark: SparkSession, path: str, what: str, lenient: bool) -> DataFrame:
+    """``_root_array`` of files whose elements are cut out by many tasks. Element numbers come from
+    the counts of the byte ranges before, so first- and last-wins rules hold. For a lenient read
+    every element is parsed once more beforehand: one that is malformed empties the whole file."""
+    message = f"{what} must be a JSON array"
+    nothing = "SELECT cast(NULL AS int) AS position, cast(NULL AS variant) AS item WHERE false"
+    try:
+        members = root_members(spark, path, "[", message)
+        rows = q.run(spark, f"""
+            SELECT member AS position, CASE WHEN w IS NULL {'' if lenient else f"""THEN raise_error(concat(
+                     {q.lit(message + ' and all of the text: ')}, file_path)) WHEN false"""} THEN NULL
+                   ELSE variant_get(w, '$.item', 'variant') END AS item
+            FROM (SELECT member, file_path,
+                         try_parse_json(concat('\\u007B"item":', text, '\\u007D')) AS w FROM {{m}})""", m=members)
+        if lenient and not rows.where("item IS NULL").isEmpty():
+            return spark.sql(nothing)
+        return rows
+    except Exception as e:
+        if lenient and ("BadRoot" in str(e) or isinstance(e, BadRoot) or "without empty members" in str(e)):
+            return spark.sql(nothing)
+        raise
+
+
+def read_stable_json(spark: SparkSession, path: str, in_ranges: bool = False) -> DataFrame:
+    """Stable dataset from its JSON array file into typed training records; ``in_ranges`` reads a
+    small file the way of a large one."""
+    rows = _root_array(spark, path, "stable training dataset", False, in_ranges)
     fields = ", ".join(f"{q.as_text(f'r[{q.lit(c)}]')} AS {c}" for c in STRING_FIELDS)
     return q.run(spark, f"""
         SELECT {fields}, {q.extraction_keywords("r['keywords']")} AS keywords,
@@ -76,8 +97,8 @@ def _values(v: str) -> str:
             f"WHEN {q.is_falsy(v)} THEN cast(array() AS array<string>) END)")
 
 
-def read_reference_json(spark: SparkSession, path: str,
-                        lenient: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_reference_json(spark: SparkSession, path: str, lenient: bool = False,
+                        in_ranges: bool = False) -> tuple[DataFrame, DataFrame]:
     """Mapping reference file -> (categories, rules), flat.
 
     Entries that are not objects or lack a non-blank id are skipped. A rule is left out as
@@ -85,7 +106,7 @@ def read_reference_json(spark: SparkSession, path: str,
     value list cannot be iterated: it has no identity, so no change log may name it.
     ``lenient`` turns an unreadable file into an empty reference.
     """
-    rows = _root_array(spark, path, "mapping reference", lenient)
+    rows = _root_array(spark, path, "mapping reference", lenient, in_ranges)
     entries = q.run(spark, f"""
         SELECT {q.strip(q.as_text("e['pim_category_id']"))} AS cat_key, e, entry_json,
                cast(position AS bigint) AS position

@@ -3,7 +3,9 @@ change log) under one shared root, in Parquet.
 
 Layout (``<ts>`` = run stamp ``yyyyMMdd-HHmmss``)::
 
-    runs/run_ts=<ts>/OPEN, DONE                              run markers
+    commits/<number>                                         what each committed run left behind
+    runs/run_ts=<ts>/OPEN, BASE-<number>, CLAIM-<number>, DONE   run markers
+    counts/snapshot=<ts>/categories|pairs|names/             statistics over the snapshot's records
     stable/records/snapshot=<ts>/vendor_key=<v>/             training records a run wrote
     stable/manifest/snapshot=<ts>/                           the partitions that make up a snapshot
     products/vendor=<v>/run_ts=<ts>/                         flattened match products of a run
@@ -12,12 +14,16 @@ Layout (``<ts>`` = run stamp ``yyyyMMdd-HHmmss``)::
     changes/vendor=<v>/run_ts=<ts>/header|rules/             change log
 
 A table is complete when Spark's ``_SUCCESS`` marker is present, and a snapshot counts for
-later runs when its run is done: a run opens with a marker and writes the other one last.
-A run that died half-way is therefore invisible to every other run; retried under its own
-stamp it reuses the tables it completed and overwrites the others. Every run writes fresh
-directories (Spark cannot overwrite a path it is reading), and "previous" is the latest
-snapshot of a done run strictly before the run, so a retry computes what the first attempt
-would have.
+later runs when its run is committed. Commits are numbered; a run builds on the last one (its
+base) and commits the next number, which only one run can create. A run that died half-way is
+therefore invisible to every other run; retried under its own stamp it reuses the tables it
+completed, if its base is still the last commit. If another run has committed meanwhile, the tables
+are left behind and the run builds anew on that commit, so no delivery's records are lost. Every
+run writes fresh directories (Spark cannot overwrite a path it is reading). Before the first commit
+"previous" is the latest snapshot of a done run, or of none (an import), before the run.
+
+Creating a commit needs a file system whose rename does not replace a file, as HDFS's, or a local
+one with hard links; an object store whose rename replaces cannot hold ``commits``.
 
 The stable set is partitioned by vendor. A delivery rewrites its own vendor's partition; the
 manifest (a row per vendor) carries the others over from the snapshots that wrote them.
@@ -25,9 +31,13 @@ manifest (a row per vendor) carries the others over from the snapshots that wrot
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RUN_TS_PATTERN
@@ -36,9 +46,20 @@ from ..schemas import (REFERENCE_CATEGORY_DDL, REFERENCE_RULE_DDL, TRAINING_COLU
                        TRAINING_DDL)
 
 _TS = re.compile(RUN_TS_PATTERN)
+#: Beside a table's files; readers skip names with an underscore.
+METRICS = "_metrics.json"
 MANIFEST_DDL = "vendor_key string, written string, next_ordinal bigint"
 
 
+class Head(NamedTuple):
+    """The last commit: its number (0: none yet), and the stamps whose tables are current."""
+
+    number: int
+    stable: str | None
+    reference: str | None
+    run_ts: str | None = None
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -64,6 +85,44 @@ class SnapshotStore:
         p, fs = self._fs_path(path)
         fs.create(p, True).close()
 
+    def put(self, path: str, text: str) -> None:
+        p, fs = self._fs_path(path)
+        out = fs.create(p, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def get(self, path: str) -> str:
+        """A small file of this store's own (a commit, a table's metrics)."""
+        p, fs = self._fs_path(path)
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def create_exclusive(self, path: str, text: str) -> bool:
+        """Create a file with its content at once; False if somebody else has created it."""
+        p, fs = self._fs_path(path)
+        draft = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+        self.put(draft, text)
+        d, _ = self._fs_path(draft)
+        if fs.getScheme() != "file":
+            if not fs.exists(p) and fs.rename(d, p):
+                return True
+            fs.delete(d, False)
+            return False
+        jvm = self.spark.sparkContext._jvm
+        local = [jvm.java.io.File(fs.makeQualified(x).toUri().getPath()).toPath() for x in (p, d)]
+        try:
+            jvm.java.nio.file.Files.createLink(*local)
+            return True
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
+            return False
+        finally:
+            fs.delete(d, False)
+
     def complete(self, path: str) -> bool:
         return self.exists(f"{path}/_SUCCESS")
 
@@ -86,6 +145,42 @@ class SnapshotStore:
     def done(self, run_ts: str) -> bool:
         return self.exists(f"{self._run(run_ts)}/DONE")
 
+    def _marked(self, run_ts: str, what: str) -> list[int]:
+        return sorted(int(n[len(what) + 1:]) for n in self.children(self._run(run_ts), files=True)
+                      if n.startswith(what + "-"))
+
+    def head(self, before: str | None = None, number: int | None = None) -> Head:
+        """The last commit, or the one with ``number``. Without commits, what ``latest`` finds."""
+        numbers = [int(n) for n in self.children(f"{self.root}/commits", files=True) if n.isdigit()]
+        number = max(numbers, default=0) if number is None else number
+        if number:
+            return Head(number, **json.loads(self.get(self._commit(number))))
+        return Head(0, self.latest_stable(before),
+                    self.latest(f"{self.root}/reference", "snapshot", before, marker="/rules"))
+
+    def _commit(self, number: int) -> str:
+        return f"{self.root}/commits/{number:012d}"
+
+    def base(self, run_ts: str) -> Head | None:
+        """The commit a run builds on: the last one, or the one that its tables are built on and
+        that it was committed after. None if its tables are built on an older one."""
+        for number in self._marked(run_ts, "CLAIM"):
+            if self.exists(self._commit(number)) and self.head(number=number).run_ts == run_ts:
+                return self.head(run_ts, number - 1)
+        head, begun = self.head(run_ts), self._marked(run_ts, "BASE")
+        if begun and begun != [head.number]:
+            return None
+        self.touch(f"{self._run(run_ts)}/BASE-{head.number}")
+        return head
+
+    def commit(self, base: Head, run_ts: str, stable: str, reference: str | None) -> bool:
+        """Make a run's snapshots the current ones, if ``base`` still is the last commit."""
+        number = base.number + 1
+        self.touch(f"{self._run(run_ts)}/CLAIM-{number}")
+        entry = {"run_ts": run_ts, "stable": stable, "reference": reference}
+        return (self.create_exclusive(self._commit(number), json.dumps(entry))
+                or self.head(number=number).run_ts == run_ts)
+
     def stamps(self, base: str, prefix: str) -> list[str]:
         """All run stamps with a directory under ``base``, complete or not, sorted."""
         names = [n.split("=", 1)[1] for n in self.children(base) if n.startswith(prefix + "=")]
@@ -123,13 +218,29 @@ class SnapshotStore:
         writer = df.write.mode("overwrite" if self.exists(path) else "errorifexists")
         (writer.partitionBy(partition) if partition else writer).parquet(path)
 
-    def once(self, path: str, build, partition: str | None = None) -> DataFrame:
+    def once(self, path: str, build, partition: str | None = None, measure: dict[str, str] | None = None) -> DataFrame:
         """The table at ``path``, written from ``build()`` unless an earlier attempt of the run
-        completed it."""
+        completed it. ``measure`` (name: SQL aggregate) is taken while it is written, without a
+        job of its own, and kept beside the table, where a retry finds it."""
         if not self.complete(path):
-            self.write(build(), path, partition)
+            df, seen = build(), Observation()
+            if measure:
+                df = df.observe(seen, *[F.expr(e).cast("bigint").alias(k) for k, e in measure.items()])
+            self.write(df, path, partition)
+            if measure:
+                self.put(f"{path}/{METRICS}", json.dumps(seen.get))
         return self.spark.read.parquet(path)
 
+    def measured(self, path: str, measure: dict[str, str]) -> dict[str, int]:
+        """What ``once`` measured. If the run died before it was noted, or the plan turned out
+        empty before it ran, it is counted on the written table."""
+        note = f"{path}/{METRICS}"
+        found = json.loads(self.get(note)) if self.exists(note) else {}
+        if set(found) != set(measure):
+            found = self.spark.read.parquet(path).agg(
+                *[F.expr(e).cast("bigint").alias(k) for k, e in measure.items()]).first().asDict()
+        return found
+
     # ---- stable training dataset ----
     def manifest_path(self, run_ts: str) -> str:
         return f"{self.root}/stable/manifest/snapshot={run_ts}"
@@ -148,15 +259,13 @@ class SnapshotStore:
         """Records of the named partitions; no other directory is listed or read."""
         if not entries:
             return self.spark.createDataFrame([], TRAINING_DDL)
-        by_snapshot: dict[str, list] = {}
-        for e in entries:
-            by_snapshot.setdefault(e.written, []).append(e.vendor_key)
-        out = None
-        for written, vendors in sorted(by_snapshot.items()):
-            part = (self.spark.read.schema(f"{TRAINING_DDL}, vendor_key string").parquet(self.records_path(written))
-                    .where(F.col("vendor_key").isin(vendors)).select(*TRAINING_COLUMNS))
-            out = part if out is None else out.unionByName(part)
-        return out
+        records = f"{self.root}/stable/records"
+        paths = sorted({self.records_path(e.written) for e in entries})
+        # one scan whatever the number of vendors; partitions are pruned by a hash set
+        return (self.spark.read.option("basePath", records)
+                .schema(f"{TRAINING_DDL}, snapshot string, vendor_key string").parquet(*paths)
+                .where(F.concat("snapshot", F.lit("/"), "vendor_key").isin([f"{e.written}/{e.vendor_key}" for e in entries]))
+                .select(*TRAINING_COLUMNS))
 
     def read_stable(self, before: str | None = None) -> tuple[DataFrame, str | None]:
         ts = self.latest_stable(before)
@@ -165,7 +274,7 @@ class SnapshotStore:
     def read_stable_at(self, run_ts: str) -> DataFrame:
         return self.read_records(self.manifest(run_ts))
 
-    def write_stable(self, records: DataFrame, run_ts: str, carried: list | None = None) -> DataFrame:
+    def write_stable(self, records: DataFrame, run_ts: str, carried: list | None = None) -> None:
         """Write the records, partitioned by vendor, as a snapshot that also holds the
         ``carried`` manifest rows of other vendors. Rows without a vendor have no key and could
         never be merged; they are left out, as the merge leaves them out."""
@@ -183,7 +292,17 @@ class SnapshotStore:
             return own.unionByName(rows).coalesce(1)
 
         self.once(self.manifest_path(run_ts), manifest)
-        return self.read_stable_at(run_ts)
+
+    # ---- statistics over a stable snapshot ----
+    def counts_path(self, run_ts: str) -> str:
+        return f"{self.root}/counts/snapshot={run_ts}"
+
+    def read_counts(self, ts: str | None) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+        """``categories, pairs, names`` of a snapshot; None if it was written without them."""
+        path = self.counts_path(ts or "")
+        if ts is None or not self.complete(f"{path}/names"):
+            return None
+        return tuple(self.spark.read.parquet(f"{path}/{t}") for t in ("categories", "pairs", "names"))
 
     # ---- per-run tables ----
     def run_path(self, kind: str, vendor: str, run_ts: str) -> str:
@@ -198,7 +317,9 @@ class SnapshotStore:
                 self.spark.createDataFrame([], REFERENCE_RULE_DDL))
 
     def read_reference(self, before: str | None = None) -> tuple[DataFrame, DataFrame, str | None]:
-        ts = self.latest(f"{self.root}/reference", "snapshot", before, marker="/rules")
+        return self.read_reference_at(self.latest(f"{self.root}/reference", "snapshot", before, marker="/rules"))
+
+    def read_reference_at(self, ts: str | None) -> tuple[DataFrame, DataFrame, str | None]:
         if ts is None:
             return (*self.empty_reference(), None)
         base = self.reference_path(ts)

@@ -1,0 +1,109 @@
+"""The single-file outputs are the bytes that json.dumps(indent=2, ensure_ascii=False) writes."""
+
+import json
+import os
+
+import pytest
+
+from taxorule.functions import sqltext as q
+from taxorule.operators import reference as ref
+from taxorule.plans.pipeline import run_vendor
+from taxorule.config import Thresholds
+from taxorule.schemas import REFERENCE_CATEGORY_DDL, REFERENCE_RULE_DDL
+from taxorule.sources import array_file as A
+from taxorule.sources.json_io import read_reference_json
+
+
+def method(k):
+    return {"field_name": "KEYWORD", "values_include": [k], "values_exclude": [], "operator": "contains_any"}
+
+
+def text(path):
+    with open(path, encoding="utf-8", newline="") as f:
+        return f.read()
+
+
+def dumps(x):
+    return json.dumps(x, indent=2, ensure_ascii=False)
+
+
+def _proposals(spark, rows):
+    stats = ", ".join(f"'{c}', 10L" for c in ("inside_count", "train_total_count", "hard_outside_count", "vendor_inside_count",
+                                              "vendor_total_count", "vendor_outside_count"))
+    return q.run(spark, f"""SELECT c AS pim_category_id, concat('N', c) AS pim_category_name, 'KEYWORD' AS field_name,
+        'contains_any' AS operator, array(k) AS values_include, cast(array() AS array<string>) AS values_exclude,
+        named_struct({stats}, 'vendor_status', s) AS stats FROM {{r}}""", r=spark.createDataFrame(rows, "c string, k string, s string"))
+
+
+GOLDEN = [("A", "k1", "supported"), ("A", "k4", "new"), ("A", "k2", "violated"), ("C", "k5", "not_impacted")]
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 7])
+def test_reference_and_change_log_golden(spark, scratch, partitions):
+    """FIXTURES 2g, as the files that the job would write (its lists sorted)."""
+    old = [{"pim_category_id": "A", "pim_category_name": "NA", "vendor_mappings": None, "mapping_methods": [method("k1"), method("k2")]},
+           {"pim_category_id": "B", "pim_category_name": "NB", "vendor_mappings": [{"v": [1, {}]}], "mapping_methods": [method("k3")]},
+           {"pim_category_id": "A", "mapping_methods": []}, {"pim_category_id": " "}]
+    path = os.path.join(scratch, "old.json")
+    with open(path, "w") as f:
+        json.dump(old, f)
+    cats, rules = read_reference_json(spark, path)
+    dim = spark.createDataFrame([("C", "Cee", None)], "pim_category_id string, pim_category_name string, pim_category_path string")
+    new_cats, new_rules = ref.rebuild_reference(cats, _proposals(spark, GOLDEN), dim)
+    entry = lambda c, n, ks, vm=(): {"pim_category_id": c, "pim_category_name": n, "pim_category_path": None,
+                                     "vendor_mappings": list(vm), "mapping_methods": [method(k) for k in ks]}
+    A.write_reference_file(new_cats, new_rules, os.path.join(scratch, "ref.json"), partitions)
+    assert text(os.path.join(scratch, "ref.json")) == dumps(
+        [entry("A", "NA", ["k1", "k4"]), entry("B", "NB", [], [{"v": [1, {}]}]), entry("C", "Cee", ["k5"])])
+    header = spark.createDataFrame([("v", "t", None, "new")], "vendor_name string, timestamp string, old_reference_key string, new_reference_key string")
+    changes = ref.rule_changes(cats, rules, new_cats, new_rules)
+    sort = lambda m: dict(sorted(m.items()))  # noqa: E731  (verbatim old rules come with sorted keys)
+    A.write_change_file(header, changes, os.path.join(scratch, "log.json"), partitions)
+    want = {"vendor_name": "v", "timestamp": "t", "old_reference_key": None, "new_reference_key": "new", "changes": [
+        {"pim_category_id": "A", "pim_category_name": "NA", "added_rules": [method("k4")], "removed_rules": [sort(method("k2"))]},
+        {"pim_category_id": "B", "pim_category_name": "NB", "added_rules": [], "removed_rules": [sort(method("k3"))]},
+        {"pim_category_id": "C", "pim_category_name": "Cee", "added_rules": [method("k5")], "removed_rules": []}]}
+    assert text(os.path.join(scratch, "log.json")) == dumps(want)
+    assert sorted(os.listdir(scratch)) == sorted(n for n in os.listdir(scratch) if not n.startswith("_"))
+
+
+def test_proposals_with_odd_texts(spark, scratch):
+    odd = ['q"uote', "back\\slash", "tab\there", "line\nend", "\x01\x0b\x1f\x7f", "é€😀 ", "\\u000B", "/", ""]
+    rows = [("A", k, "new") for k in odd] + [("B", "x", None)]
+    A.write_proposals_file(_proposals(spark, rows), os.path.join(scratch, "p.json"), 3)
+    got = text(os.path.join(scratch, "p.json"))
+    assert got == dumps(json.loads(got)) and [p["values_include"][0] for p in json.loads(got)] == sorted(odd) + ["x"]
+    assert list(json.loads(got)[0]) == ["pim_category_id", "pim_category_name", "field_name", "operator", "values_include", "values_exclude", "stats"]
+
+
+def test_empty_files(spark, scratch):
+    none = spark.createDataFrame([], REFERENCE_CATEGORY_DDL), spark.createDataFrame([], REFERENCE_RULE_DDL)
+    A.write_reference_file(*none, os.path.join(scratch, "r.json"))
+    A.write_proposals_file(_proposals(spark, [("A", "k", "new")]).limit(0), os.path.join(scratch, "p.json"))
+    header = spark.createDataFrame([("v", "t", "o", "n")], "vendor_name string, timestamp string, old_reference_key string, new_reference_key string")
+    A.write_change_file(header, ref.rule_changes(*none, *none), os.path.join(scratch, "c.json"))
+    assert text(os.path.join(scratch, "r.json")) == text(os.path.join(scratch, "p.json")) == "[]"
+    assert text(os.path.join(scratch, "c.json")) == dumps({"vendor_name": "v", "timestamp": "t", "old_reference_key": "o",
+                                                          "new_reference_key": "n", "changes": []})
+    with pytest.raises(FileExistsError):
+        A.write_reference_file(*none, os.path.join(scratch, "r.json"))
+
+
+def test_a_run_exports_files_that_import_again(spark, scratch):
+    products = [{"article_id": i, "keywords": ["shared", f"p{i}"], "class_codes": [{"system": "S", "code": i}]} for i in range(1, 13)]
+    doc = {"vc": {"pim_matches": [{"pim_category_id": "A", "assignment_source": "existing_category_match", "products": products}]}}
+    path = os.path.join(scratch, "m.json")
+    with open(path, "w") as f:
+        json.dump(doc, f)
+    root = os.path.join(scratch, "store")
+    res = run_vendor(spark, root, path, "acme", Thresholds(), run_ts="20260101-000000", export_json=True)
+    at = f"{root}/export/files"
+    stable = json.loads(text(f"{at}/stable_20260101-000000.json"))
+    assert [r["article_id"] for r in stable] == [str(i) for i in range(1, 13)] and stable[3]["class_codes"] == [{"system": "S", "code": "4"}]
+    assert text(f"{at}/stable_20260101-000000.json") == dumps(stable)
+    cats, rules = read_reference_json(spark, f"{at}/Category_Mapping_Reference_20260101-000000.json")
+    assert [r.cat_key for r in cats.collect()] == ["A"] and [r.values_include for r in rules.collect()] == [["shared"]]
+    [p] = json.loads(text(f"{at}/Category_Mapping_RuleProposals_acme_20260101-000000.json"))
+    assert p["values_include"] == ["shared"] and p["stats"]["vendor_status"] == "new"
+    log = json.loads(text(f"{at}/Category_Mapping_RuleChanges_acme_20260101-000000.json"))
+    assert log["changes"][0]["added_rules"] == [method("shared")] and res.metrics["proposals"] == 1

@@ -1,0 +1,119 @@
+"""One giant JSON file read in byte ranges gives what the whole text gives."""
+
+import json
+import os
+import random
+
+import pytest
+
+from taxorule.sources import json_io, json_scan, match
+
+SUFFIX = "_categoryMatchingProposals_oneVendor_to_onePim_match.json"
+
+
+@pytest.fixture()
+def small_splits(spark, monkeypatch):
+    """Files in ranges of some hundred bytes, looked at some texts at a time, all of them 'oversized'."""
+    keys = {"spark.sql.files.maxPartitionBytes": "900", "spark.sql.files.openCostInBytes": "600"}
+    before = {k: spark.conf.get(k) for k in keys}
+    monkeypatch.setattr(json_scan, "WHOLE_BYTES", 1)
+    monkeypatch.setattr(json_scan, "BLOCK", 90)
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+NASTY = ['br}ace', '{"in": "text"}', 'quo"te', 'back\\slash', 'end\\', '[,]', 'é€😀}', '', ',', '\\"', '}{', 'tab\there']
+
+
+def _document(seed, n=40):
+    rng = random.Random(seed)
+    product = lambda: rng.choice([None, 3, [], {"article_id": rng.choice([rng.randrange(99), rng.choice(NASTY)]),
+                                               "description_short": rng.choice(NASTY), "keywords": rng.choices(NASTY, k=2)}])
+    match_ = lambda: rng.choice([None, {"pim_category_id": rng.choice(NASTY), "assignment_source": "existing_category_match",
+                                        "products": [product() for _ in range(rng.randrange(5))]}])
+    some = lambda: {"vendor_category_name": rng.choice(NASTY), "pim_matches": [match_() for _ in range(rng.randrange(5))]}
+    return {f"vc{k} {rng.choice(NASTY)}": rng.choice([None, "}", some(), some(), some(), some()]) for k in range(n)}
+
+
+def _write(folder, name, text):
+    path = os.path.join(folder, name)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    return path
+
+
+COLUMNS = ["vendor_short_name", "vendor_category_id", "vendor_category_name", "pim_category_id", "article_id",
+           "description_short", "keywords", "vcat_pos", "match_pos", "product_pos", "article_id_falsy"]
+
+
+def _rows(df):
+    return [tuple(r)[:-1] for r in sorted(df.select(*COLUMNS, "ordinal").collect(), key=lambda r: r.ordinal)]
+
+
+@pytest.mark.parametrize("style", [{"indent": 2}, {"ensure_ascii": False, "separators": (",", ":")}])
+def test_match_document_in_byte_ranges(spark, scratch, small_splits, monkeypatch, style):
+    text = "\n " + json.dumps(_document(1), **style) + ("\n\n" if style else "")
+    path = _write(scratch, "acme" + SUFFIX, text)
+    members = match.read_match_members(spark, path)
+    got = match.match_products(members)
+    assert len({r.ordinal for r in got.collect()}) == got.count()
+    rows = _rows(got)
+    monkeypatch.setattr(json_scan, "WHOLE_BYTES", 1 << 40)
+    assert rows == _rows(match.read_match_products(spark, path)) and len(rows) > 10
+    raw = spark.read.option("lineSep", "}").text(path)
+    assert raw.rdd.getNumPartitions() > 4
+
+
+def test_repeated_keys_and_several_files(spark, scratch, small_splits):
+    one = '{"a": {"pim_matches": [{"products": [{"article_id": 1}]}]}, "b" : {"pim_matches": [{"products": [{"article_id": 2}]}]},' \
+          ' "\\u0061": {"pim_matches": [{"products": [{"article_id": 3}, {"article_id": 4}]}]}}'
+    paths = [_write(scratch, "v1" + SUFFIX, one), _write(scratch, "v2" + SUFFIX, json.dumps(_document(2, 10)))]
+    got = match.read_match_products(spark, paths)
+    mine = [(r.vendor_category_id, r.article_id) for r in sorted(got.where("vendor_short_name = 'v1'").collect(), key=lambda r: r.ordinal)]
+    assert mine == [("b", "2"), ("a", "3"), ("a", "4")]
+    assert {r.vendor_short_name for r in got.collect()} == {"v1", "v2"}
+    top = got.groupBy("vendor_short_name").agg({"ordinal": "max"}).collect()
+    low = got.groupBy("vendor_short_name").agg({"ordinal": "min"}).collect()
+    assert dict(top)["v1"] < dict(low)["v2"]
+
+
+@pytest.mark.parametrize("text", ["", " \n", "[]", '"{}"', "{}{}", '{"a":{}} x', 'x {"a":{}}', '{"a":{}', '{"a":"}', '{"a":{},}',
+                                  '{,}', '{"a":[}]}', '{"a":{}]', '{"a" {}}', "null", '{"a":{}}}'])
+def test_wrong_roots_raise(spark, scratch, small_splits, text):
+    path = _write(scratch, "acme" + SUFFIX, text)
+    with pytest.raises(Exception, match="JSON object|empty match document"):
+        match.read_match_products(spark, path).collect()
+
+
+def test_empty_object_has_no_products(spark, scratch, small_splits):
+    assert match.read_match_products(spark, _write(scratch, "a" + SUFFIX, ' {\n } ')).collect() == []
+
+
+def test_arrays_in_byte_ranges(spark, scratch, small_splits, monkeypatch):
+    rng = random.Random(3)
+    stable = [rng.choice([None, 7, "x}", {"article_id": rng.choice([k, str(k), 0]), "vendor_short_name": "v", "pim_category_id": rng.choice(NASTY),
+                                         "keywords": rng.choices(NASTY, k=3)}]) for k in range(60)]
+    reference = [rng.choice([None, {"pim_category_id": rng.choice(["A", " A", "B", "", None, 0]), "note": rng.choice(NASTY), "mapping_methods":
+                 [rng.choice([3, {"field_name": "KEYWORD", "operator": "contains_any", "values_include": rng.choices(NASTY, k=1)}])] * 2}])
+                 for _ in range(40)]
+    paths = [_write(scratch, n, json.dumps(x, indent=i)) for n, x, i in (("s.json", stable, None), ("r.json", reference, 2))]
+
+    def read():
+        cats, rules = json_io.read_reference_json(spark, paths[1])
+        return [sorted(map(repr, df.collect())) for df in (json_io.read_stable_json(spark, paths[0]), cats, rules)]
+    got = read()
+    lenient = sorted(map(repr, json_io.read_reference_json(spark, paths[1], lenient=True)[0].collect()))
+    monkeypatch.setattr(json_scan, "WHOLE_BYTES", 1 << 40)
+    assert got == read() and lenient == got[1] and all(len(x) > 10 for x in got)
+
+
+@pytest.mark.parametrize("text", ["{}", '[{"pim_category_id": "A"}, {"a": ]', '[{"pim_category_id": "A"}', "", "[1,]", "[] []"])
+def test_unreadable_reference(spark, scratch, small_splits, text):
+    path = _write(scratch, "r.json", text)
+    with pytest.raises(Exception, match="JSON array"):
+        json_io.read_reference_json(spark, path)[0].collect()
+    cats, rules = json_io.read_reference_json(spark, path, lenient=True)
+    assert cats.collect() == [] and rules.collect() == []
