@@ -54,10 +54,10 @@ def _elements(spark: SparkSession, path: str, what: str, lenient: bool) -> DataF
     try:
         members = root_members(spark, path, "[", message)
         rows = q.run(spark, f"""
-            SELECT member AS position, CASE WHEN w IS NULL {'' if lenient else f"""THEN raise_error(concat(
+            SELECT member AS position, CASE WHEN w IS NULL AND text IS NOT NULL {'' if lenient else f"""THEN raise_error(concat(
                      {q.lit(message + ' and all of the text: ')}, file_path)) WHEN false"""} THEN NULL
                    ELSE variant_get(w, '$.item', 'variant') END AS item
-            FROM (SELECT member, file_path,
+            FROM (SELECT member, file_path, text,
                          try_parse_json(concat('\\u007B"item":', text, '\\u007D')) AS w FROM {{m}})""", m=members)
         if lenient and not rows.where("item IS NULL").isEmpty():
             return spark.sql(nothing)
