@@ -79,17 +79,30 @@ def as_dict(v: str) -> str:
 _ROOT, _DOUBLE = "'$'", "'double'"
 
 
+def plain_text(v: str) -> str:
+    """A JSON value as Spark prints it: for fields that no key or rule is made of."""
+    return f"cast({v} AS string)"
+
+
 def as_text(v: str) -> str:
-    """``str()`` of a JSON value as Python has it (null stays NULL). Strings and integers, nearly all
-    values, take the first branch. What VARIANT does not keep cannot come back: the order of an
-    object's keys, the sign of -0.0, integers beyond 38 digits, whether a whole number beyond 64
-    bits, or any in a list or object, had a decimal point (it counts as an integer)."""
-    kind, plain = f"schema_of_variant({v})", f"cast({v} AS string)"
-    return (f"(CASE WHEN coalesce({kind} IN ('STRING', 'BIGINT', 'VOID'), true) THEN {plain} "
-            f"WHEN {kind} = 'BOOLEAN' THEN initcap({plain}) "
-            f"WHEN {kind} LIKE 'ARRAY%' OR {kind} LIKE 'OBJECT%' THEN {python_container(f'to_json({v})')} "
-            f"WHEN {kind} LIKE 'DECIMAL(%,0)' AND try_variant_get({v}, '$', 'bigint') IS NULL THEN {plain} "
-            f"ELSE coalesce({python_float(f'try_variant_get({v}, {_ROOT}, {_DOUBLE})')}, {plain}) END)")
+    """``str()`` of a JSON scalar as Python has it (null stays NULL); a list or object comes as JSON
+    text, for which ``python_text`` has Python's form. Strings and integers, nearly all values, take
+    the first branch; the expression is kept small, for it is stated for every field. VARIANT does not
+    keep the sign of -0.0, integers beyond 38 digits, and whether a whole number beyond 64 bits had a
+    decimal point (it counts as an integer)."""
+    return (f"(CASE WHEN coalesce(schema_of_variant({v}) IN ('STRING', 'BIGINT', 'VOID'), true) THEN cast({v} AS string) "
+            f"ELSE {_let(f'named_struct({_K}, schema_of_variant({v}), {_S}, cast({v} AS string))', 'x', _SCALAR)} END)")
+
+
+_K, _S = "'k'", "'s'"
+
+
+def python_text(v: str) -> str:
+    """``str()`` of any JSON value, lists and objects included (their whole floats and the order of
+    keys are what VARIANT keeps of them)."""
+    kind = f"schema_of_variant({v})"
+    return (f"(CASE WHEN {kind} LIKE 'ARRAY%' OR {kind} LIKE 'OBJECT%' THEN {python_container(f'to_json({v})')} "
+            f"ELSE {as_text(v)} END)")
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -124,6 +137,13 @@ def python_container(json: str) -> str:
             f"WHEN t RLIKE '[.E]' THEN {python_number('t')} ELSE t END END), '')")
 
 
+def _scalar_text() -> str:
+    """SQL over ``x`` (kind k, Spark's text s): booleans and floats as Python prints them."""
+    return (f"CASE WHEN x.k = 'BOOLEAN' THEN initcap(x.s) "
+            f"WHEN x.k = 'DOUBLE' OR (x.k LIKE 'DECIMAL%' AND (x.k NOT LIKE '%,0)' OR try_cast(x.s AS bigint) IS NOT NULL)) "
+            f"THEN {python_float('cast(x.s AS double)')} ELSE x.s END")
+
+
 def is_falsy(v: str) -> str:
     kind = f"schema_of_variant({v})"
     num = f"try_variant_get({v}, '$', 'double')"
@@ -144,9 +164,9 @@ def extraction_keywords(v: str) -> str:
 
 def _class_code(e: str) -> str:
     d = as_dict(e)
-    return (f"CASE WHEN {d} IS NOT NULL THEN named_struct('system', {as_text(d + '[' + lit('system') + ']')}, "
-            f"'code', {as_text(d + '[' + lit('code') + ']')}) "
-            f"ELSE named_struct('system', cast(NULL AS string), 'code', {as_text(e)}) END")
+    return (f"CASE WHEN {d} IS NOT NULL THEN named_struct('system', {plain_text(d + '[' + lit('system') + ']')}, "
+            f"'code', {plain_text(d + '[' + lit('code') + ']')}) "
+            f"ELSE named_struct('system', cast(NULL AS string), 'code', {plain_text(e)}) END")
 
 
 def class_codes(v: str) -> str:
@@ -186,6 +206,9 @@ def python_number(token: str) -> str:
     return f"(CASE WHEN {token} RLIKE '[.eE]' THEN {python_float(f'cast({token} AS double)')} ELSE {token} END)"
 
 
+_SCALAR = _scalar_text()
+
+
 def run(spark: SparkSession, text: str, **dfs: DataFrame) -> DataFrame:
     """One SQL step over DataFrame arguments (``{name}`` placeholders)."""
     return spark.sql(text, **dfs) if dfs else spark.sql(text)

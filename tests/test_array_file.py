@@ -38,7 +38,7 @@ def _proposals(spark, rows):
 GOLDEN = [("A", "k1", "supported"), ("A", "k4", "new"), ("A", "k2", "violated"), ("C", "k5", "not_impacted")]
 
 
-@pytest.mark.parametrize("partitions", [None, 1, 7])
+@pytest.mark.parametrize("partitions", [7])
 def test_reference_and_change_log_golden(spark, scratch, partitions):
     """FIXTURES 2g, as the files that the job would write (its lists sorted)."""
     old = [{"pim_category_id": "A", "pim_category_name": "NA", "vendor_mappings": None, "mapping_methods": [method("k1"), method("k2")]},

@@ -6,8 +6,10 @@ import pytest
 
 import __spark_entry__ as se
 from taxorule.plans.binding_plan import QUERIES
+from taxorule.plans.incremental_plan import INCREMENTAL_QUERIES, INCREMENTAL_SQL
 from taxorule.plans.ingest_plan import INGEST_QUERIES, INGEST_SQL
 from taxorule.plans.oracle import ORACLE_SQL
+from taxorule.plans.run_plan import RUN_QUERIES, RUN_SQL
 from taxorule.sources.driver_tables import TABLES
 
 from .conftest import SF0001
@@ -41,12 +43,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    own = set(QUERIES) | set(INGEST_QUERIES)
-    assert own <= set(se.queries()) and own == set(ORACLE_SQL) | set(INGEST_SQL)
+    own = {*QUERIES, *INGEST_QUERIES, *INCREMENTAL_QUERIES, *RUN_QUERIES}
+    assert own <= set(se.queries()) and own == {*ORACLE_SQL, *INGEST_SQL, *INCREMENTAL_SQL, *RUN_SQL}
     assert set(se.oracle_sql()) <= set(se.queries())
 
 
-@pytest.mark.parametrize("name", sorted({*EXPECTED_ROWS, *INGEST_QUERIES}))
+@pytest.mark.parametrize("name", sorted({*EXPECTED_ROWS, *INGEST_QUERIES, *INCREMENTAL_QUERIES, *RUN_QUERIES}))
 def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SF0001)
     cols = sorted(df.columns)

@@ -49,14 +49,14 @@ def _recount(store, ts):
     return records, categories, pairs
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_counts_follow_random_deliveries(spark, scratch, seed):
     rng = random.Random(seed)
     root, th = os.path.join(scratch, "store"), Thresholds(min_products=4, min_inside=2, min_vendor_inside=1)
     store = SnapshotStore(spark, root)
     crossed = set()
     before = set()
-    for k in range(5):
+    for k in range(4):
         vendor = rng.choice(["v1", "v2"])
         res = run_vendor(spark, root, _write(scratch, vendor, _document(rng, rng.randrange(2, 7)), k), vendor, th, run_ts=T[k])
         records, categories, pairs = _recount(store, T[k])

@@ -9,9 +9,9 @@ TEXTS = ["", "a", "it's", 'say "x"', "both ' and \"", "back\\slash", "tab\t nl\n
          "퟿", "\U000e0001"]
 
 
-def check(spark, texts):
+def check(spark, texts, form=q.as_text):
     df = spark.createDataFrame([(t,) for t in texts], "j string")
-    got = q.run(spark, f"SELECT j, {q.as_text('v')} AS s FROM (SELECT j, parse_json(j) AS v FROM {{d}})", d=df).collect()
+    got = q.run(spark, f"SELECT j, {form('v')} AS s FROM (SELECT j, parse_json(j) AS v FROM {{d}})", d=df).collect()
     assert len(got) == len(texts)
     for r in got:
         value = json.loads(r.j)
@@ -40,4 +40,5 @@ def test_random_floats(spark):
 def test_containers(spark):
     # whole floats in containers lose their point in VARIANT
     values = [[], {}, [1, "a", None, True, 1.5, 1e-7, 2e30], {"a": 1.25, "b": "x"}, [[1], [[]], {"k": [None]}], {"it's": ["\n", {"z": False}]}]
-    check(spark, [json.dumps(v) for v in values] + [json.dumps(TEXTS), json.dumps({t: t for t in sorted(TEXTS)})])
+    check(spark, [json.dumps(v) for v in values] + [json.dumps(TEXTS), json.dumps({t: t for t in sorted(TEXTS)}), "true", "1.0"],
+          q.python_text)
