@@ -148,8 +148,8 @@ def is_falsy(v: str) -> str:
     kind = f"schema_of_variant({v})"
     num = f"try_variant_get({v}, '$', 'double')"
     return (f"(CASE WHEN {is_missing(v)} THEN true "
-            f"WHEN {kind} = 'STRING' THEN {as_text(v)} = '' "
-            f"WHEN {kind} = 'BOOLEAN' THEN {as_text(v)} = 'false' "
+            f"WHEN {kind} = 'STRING' THEN {plain_text(v)} = '' "
+            f"WHEN {kind} = 'BOOLEAN' THEN {plain_text(v)} = 'false' "
             f"WHEN startswith({kind}, 'ARRAY') THEN size({as_list(v)}) = 0 "
             f"WHEN startswith({kind}, 'OBJECT') THEN size(map_keys({as_dict(v)})) = 0 "
             f"WHEN {num} IS NOT NULL THEN {num} = 0 ELSE false END)")
