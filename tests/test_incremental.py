@@ -124,7 +124,7 @@ def test_metrics_take_no_count_job(spark, scratch):
 
 def _doc(articles, keyword):
     return {"vc": {"pim_matches": [{"pim_category_id": "A", "assignment_source": "existing_category_match",
-                                    "products": [{"article_id": a, "keywords": [keyword]} for a in articles]}]}}
+                                    "products": [{"article_id": str(a), "keywords": [keyword]} for a in articles]}]}}
 
 
 @pytest.mark.parametrize("other", ["v2", "v1"])
