@@ -57,8 +57,9 @@ def _elements(spark: SparkSession, path: str, what: str, lenient: bool) -> DataF
             SELECT member AS position, CASE WHEN w IS NULL AND text IS NOT NULL {'' if lenient else f"""THEN raise_error(concat(
                      {q.lit(message + ' and all of the text: ')}, file_path)) WHEN false"""} THEN NULL
                    ELSE variant_get(w, '$.item', 'variant') END AS item
-            FROM (SELECT member, file_path, text,
-                         try_parse_json(concat('\\u007B"item":', text, '\\u007D')) AS w FROM {{m}})""", m=members)
+            -- a generator: a filter on the item would be evaluated with a parse of its own
+            FROM {{m}} LATERAL VIEW OUTER explode(array(try_parse_json(concat('\\u007B"item":', text, '\\u007D')))) p AS w""",
+                     m=members)
         if lenient and not rows.where("item IS NULL").isEmpty():
             return spark.sql(nothing)
         return rows
@@ -78,7 +79,7 @@ def read_stable_json(spark: SparkSession, path: str, in_ranges: bool = False) ->
                {q.class_codes("r['class_codes']")} AS class_codes, cast(position AS bigint) AS ordinal,
                {q.is_falsy("r['article_id']")} AS article_id_falsy,
                {q.is_falsy("r['pim_category_id']")} AS pim_category_id_falsy
-        FROM (SELECT position, {q.as_dict('item')} AS r FROM {{rows}}) WHERE r IS NOT NULL""",
+        FROM {{rows}} LATERAL VIEW OUTER explode(array({q.as_dict('item')})) d AS r WHERE r IS NOT NULL""",
                  rows=rows).select(*TRAINING_COLUMNS)
 
 
