@@ -100,18 +100,34 @@ def usable_categories(records: DataFrame, min_products: int = 10) -> DataFrame:
                  c=category_counts(records))
 
 
+#: Parts that the records of one category are dealt out in.
+_PARTS = 256
+
+
 def training_subset(records: DataFrame, min_products: int = 10,
                     normalize: bool = True) -> DataFrame:
     """Records of usable categories, normalized for training.
 
-    The usable-category table is category-level; AQE broadcasts it from its measured
-    size, or joins by shuffle and splits a hot category.
+    Only the category decides, but a category may hold most records, so it is not what the records
+    are dealt out by: each category is cut into up to ``_PARTS`` parts by record, its products are
+    summed over the parts, and records meet the part they are in. A part of the usable side is a
+    narrow row that some record stands behind, so that side never outgrows the records.
     """
-    usable = usable_categories(records, min_products)
+    spark = records.sparkSession
+    cat = q.strip("pim_category_id")
+    keys = [c for c in ("article_id", "ordinal") if c in records.columns]
+    part = f"pmod(xxhash64({q.cols(keys)}), {_PARTS})" if keys else "0L"
+    usable = q.run(spark, f"""
+        SELECT cat_key, part FROM (
+          SELECT cat_key, part, sum(n) OVER (PARTITION BY cat_key) AS n_products FROM (
+            SELECT cat_key, part, count(1) AS n FROM (SELECT {cat} AS cat_key, {part} AS part FROM {{r}})
+            WHERE cat_key IS NOT NULL AND cat_key <> '' GROUP BY cat_key, part))
+        WHERE n_products >= {int(min_products)}""", r=records)
     sel = ", ".join((q.clean_keywords("r.keywords") + " AS keywords") if (c == "keywords" and normalize)
                     else f"r.{c}" for c in records.columns)
-    return q.run(records.sparkSession, f"""
-        SELECT {sel} FROM {{r}} r LEFT SEMI JOIN {{u}} u ON {q.strip('r.pim_category_id')} = u.cat_key
+    return q.run(spark, f"""
+        SELECT {sel} FROM (SELECT *, {part} AS _part FROM {{r}}) r
+        LEFT SEMI JOIN {{u}} u ON {q.strip('r.pim_category_id')} = u.cat_key AND r._part = u.part
         WHERE NOT coalesce(r.pim_category_id_falsy, false)""", r=records, u=usable)
 
 
