@@ -18,7 +18,7 @@ from ..operators import reference as ref
 from ..operators import scoring as sc
 from ..operators import training as tr
 from ..schemas import STRING_FIELDS
-from ..session import cut_lineage
+from ..session import cut_lineage, word_tasks
 from ..sources import driver_tables as dt
 
 
@@ -115,15 +115,23 @@ class BindingRun:
     def late(self, records: DataFrame) -> DataFrame:
         """``records`` with late-materialized keyword lists: membership from their (narrow)
         plan, keyword tokens straight from the documents (raw; consumers strip after
-        exploding). Valid because a binding record's keywords are its document's."""
+        exploding). Valid because a binding record's keywords are its document's.
+
+        The documents are dealt out by the join's keys to as many tasks as their words need."""
         keys = q.run(self.spark, "SELECT DISTINCT vendor_short_name, article_id, pim_category_id FROM {t}",
                      t=records)
+        docs = dt.bound_documents(self.spark, self.sf_dir).repartition(
+            self.word_tasks(), "vendor_short_name", "article_id", "pim_category_id")
         return q.run(self.spark, f"""
             SELECT d.pim_category_id, d.article_id, split(d.text, {q.SPLIT}) AS keywords
             FROM {{d}} d LEFT SEMI JOIN {{k}} k
               ON d.vendor_short_name = k.vendor_short_name AND d.article_id = k.article_id
              AND d.pim_category_id = k.pim_category_id""",
-                     d=dt.bound_documents(self.spark, self.sf_dir), k=keys)
+                     d=docs, k=keys)
+
+    @_memo
+    def word_tasks(self) -> int:
+        return word_tasks(dt.read_table(self.spark, self.sf_dir, "documents"))
 
     @_memo
     def subset_late(self) -> DataFrame:
@@ -242,11 +250,15 @@ def q_training_subset(spark, sf_dir):
 
 
 def q_keyword_occurrences(spark, sf_dir):
-    occ = kw.keyword_occurrences(BindingRun.build(spark, sf_dir).subset_late())
+    run = BindingRun.build(spark, sf_dir)
+    occ = kw.keyword_occurrences(run.subset_late())
+    # nearly every (record, keyword) is another one: counted where they meet, in tasks of bounded size
+    dealt = occ.repartition(run.word_tasks(), "pim_category_id", "article_id", "keyword")
     return q.run(spark, """
-        SELECT pim_category_id, article_id, count(1) AS n_occurrences,
-               count(DISTINCT keyword) AS n_distinct_keywords
-        FROM {o} GROUP BY pim_category_id, article_id""", o=occ)
+        SELECT pim_category_id, article_id, sum(n) AS n_occurrences, count(1) AS n_distinct_keywords
+        FROM (SELECT pim_category_id, article_id, keyword, count(1) AS n
+              FROM {o} GROUP BY pim_category_id, article_id, keyword)
+        GROUP BY pim_category_id, article_id""", o=dealt)
 
 
 def q_keyword_stats(spark, sf_dir):

@@ -97,6 +97,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if splits < cores else df
 
 
+#: Bytes of input, as files hold them, that become one task where every word of a text becomes a row.
+WORD_TASK_BYTES = 8 << 20
+
+
+def word_tasks(table: DataFrame) -> int:
+    """How many tasks the words of a table's texts are dealt out to: so many that the memory of one
+    does not grow with the table. From the files' sizes, as planning knows them; no job runs."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(-(-size // WORD_TASK_BYTES), 1)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
