@@ -52,16 +52,17 @@ def record_changes(before: DataFrame, after: DataFrame, new: DataFrame) -> DataF
 
 
 def _occurrences(records: str, sign: str) -> str:
-    return f"""(SELECT pim_category_id, {q.strip('_raw')} AS keyword, n
+    return f"""(SELECT pim_category_id, {q.strip_word('_raw')} AS keyword, n
                 FROM (SELECT pim_category_id, {sign} AS n, explode_outer(keywords) AS _raw
-                      FROM {records} WHERE NOT coalesce(pim_category_id_falsy, false)))"""
+                      FROM {records} WHERE NOT coalesce(pim_category_id_falsy, false))
+                WHERE {q.visible_word('_raw')})"""
 
 
 def full_counts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``categories, pairs`` of a whole record set: the start of the incremental tables."""
     pairs = q.run(records.sparkSession, f"""
         SELECT pim_category_id, keyword, cast(sum(n) AS bigint) AS n FROM {_occurrences('{r}', '1')}
-        WHERE keyword <> '' GROUP BY pim_category_id, keyword""", r=records)
+        GROUP BY pim_category_id, keyword""", r=records)
     return category_counts(records), pairs
 
 
@@ -82,7 +83,7 @@ def updated_pairs(pairs: DataFrame, changes: DataFrame) -> DataFrame:
     return q.run(pairs.sparkSession, f"""
         SELECT pim_category_id, keyword, cast(sum(n) AS bigint) AS n
         FROM (SELECT pim_category_id, keyword, n FROM {{p}}
-              UNION ALL SELECT pim_category_id, keyword, n FROM {_occurrences('{d}', 'sign')} WHERE keyword <> '')
+              UNION ALL SELECT pim_category_id, keyword, n FROM {_occurrences('{d}', 'sign')})
         GROUP BY pim_category_id, keyword HAVING sum(n) <> 0""", p=pairs, d=changes)
 
 
@@ -121,7 +122,7 @@ def usable(categories: DataFrame, min_products: int) -> DataFrame:
 def usable_pairs(pairs: DataFrame, categories: DataFrame, min_products: int) -> DataFrame:
     """The pairs whose category reaches the threshold."""
     return q.run(pairs.sparkSession, f"""
-        SELECT p.* FROM {{p}} p LEFT SEMI JOIN {{u}} u ON {q.strip('p.pim_category_id')} = u.cat_key""",
+        SELECT p.* FROM {{p}} p LEFT SEMI JOIN {{u}} u ON {q.strip_word('p.pim_category_id')} = u.cat_key""",
                  p=pairs, u=usable(categories, min_products))
 
 

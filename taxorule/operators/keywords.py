@@ -21,17 +21,17 @@ def keyword_occurrences(records: DataFrame) -> DataFrame:
     """
     return q.run(records.sparkSession, f"""
         SELECT pim_category_id, article_id, keyword
-        FROM (SELECT pim_category_id, article_id, {q.strip('_raw')} AS keyword
-              FROM (SELECT pim_category_id, article_id, explode_outer(keywords) AS _raw FROM {{r}}))
-        WHERE keyword <> ''""", r=records)
+        FROM (SELECT pim_category_id, article_id, {q.strip_word('_raw')} AS keyword
+              FROM (SELECT pim_category_id, article_id, explode_outer(keywords) AS _raw FROM {{r}})
+              WHERE {q.visible_word('_raw')})""", r=records)
 
 
 def _stripped_keywords(records: DataFrame) -> DataFrame:
     return q.run(records.sparkSession, f"""
         SELECT pim_category_id, keyword FROM (
-          SELECT pim_category_id, {q.strip('_raw')} AS keyword
-          FROM (SELECT pim_category_id, explode_outer(keywords) AS _raw FROM {{r}}))
-        WHERE keyword <> ''""", r=records)
+          SELECT pim_category_id, {q.strip_word('_raw')} AS keyword
+          FROM (SELECT pim_category_id, explode_outer(keywords) AS _raw FROM {{r}})
+              WHERE {q.visible_word('_raw')})""", r=records)
 
 
 def keyword_pairs(records: DataFrame) -> DataFrame:

@@ -73,10 +73,10 @@ def pair_counts(records: DataFrame) -> DataFrame:
                cast(sum(in_training) AS bigint) AS inside_count,
                cast(sum(in_vendor) AS bigint) AS vendor_inside_count,
                cast(sum(in_previous) AS bigint) AS previous_count
-        FROM (SELECT pim_category_id, {q.strip('_raw')} AS keyword, in_training, in_vendor, in_previous
+        FROM (SELECT pim_category_id, {q.strip_word('_raw')} AS keyword, in_training, in_vendor, in_previous
               FROM (SELECT pim_category_id, in_training, in_vendor, in_previous,
-                           explode_outer(keywords) AS _raw FROM {{r}}))
-        WHERE keyword <> ''
+                           explode_outer(keywords) AS _raw FROM {{r}})
+              WHERE {q.visible_word('_raw')})
         GROUP BY pim_category_id, keyword""", r=records)
 
 

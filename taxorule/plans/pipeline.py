@@ -155,7 +155,10 @@ def _build(store: SnapshotStore, base: Head, res: RunResult, products: DataFrame
     known = store.read_counts(base.stable)
     if known is None:
         existing = store.read_records(manifest)
-        known = (*inc.full_counts(existing), inc.vendor_names(existing))
+        full = dict(zip(("categories", "pairs"), inc.full_counts(existing)), names=inc.vendor_names(existing))
+        # written: the new counts and the previous pairs of step D both read them
+        known = tuple(store.once(f"{store.run_path('base_counts', vendor, run_ts)}/{t}", lambda df=df: df)
+                      for t, df in full.items())
     categories, pairs, names = known
     changes = inc.record_changes(mine, merged, new)
     at = store.counts_path(run_ts)

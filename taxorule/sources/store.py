@@ -6,6 +6,7 @@ Layout (``<ts>`` = run stamp ``yyyyMMdd-HHmmss``)::
     commits/<number>                                         what each committed run left behind
     runs/run_ts=<ts>/OPEN, BASE-<number>, CLAIM-<number>, DONE   run markers
     counts/snapshot=<ts>/categories|pairs|names/             statistics over the snapshot's records
+    base_counts/vendor=<v>/run_ts=<ts>/                      the same of a run's base that came without
     stable/records/snapshot=<ts>/vendor_key=<v>/             training records a run wrote
     stable/manifest/snapshot=<ts>/                           the partitions that make up a snapshot
     products/vendor=<v>/run_ts=<ts>/                         flattened match products of a run
