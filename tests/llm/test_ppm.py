@@ -2,10 +2,12 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 
 from taxorule.llm import ppm as M
+from taxorule.session import checkpoint_dir
 
 MARK = 255
 
@@ -122,3 +124,16 @@ def test_many_empty_texts_keep_their_own_counts(spark):
         tokens = [*texts[r.doc_id].split(), "end"]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(count[w] > 0 for w in tokens), n)
         assert abs(r.base_score - sum(math.log10((count[w] + 1) / (n + v + 1)) for w in tokens)) < 1e-9 * abs(r.base_score) + 1e-9
+
+
+def test_written_tables_are_smaller_than_the_texts(spark):
+    """Neither the texts nor a row for each word or gram of a text are written."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(4, 9))) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=700)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    written = lambda: sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+    before = written()
+    assert M.lm_scores(docs, block=100_000).count() == len(texts)
+    assert written() - before < 0.3 * sum(map(len, texts))
