@@ -24,13 +24,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, row_key, shuffle_partitions, table
 
 WIDTH = 200
-KEY = 32
+#: Bytes of an anchor. Shorter ones make fewer segments, but many of them repeat in strings that do not.
+KEY = 64
 _POS = 20
 CHUNK = (1 << _POS) - 4096
 #: Segments that a task indexes at a time; anchors with more different segments than this are
@@ -112,7 +114,26 @@ class Chunk:
         return part, start - self.begins[part], count, offset, name.view(np.int64), variant.view(np.int64)
 
 
-def _bytes(text) -> bytes:
+def _packed(text: Column) -> Column:
+    """Texts as they move between tasks."""
+    @F.pandas_udf("binary")
+    def of(texts: pd.Series) -> pd.Series:
+        pack = zstandard.ZstdCompressor()
+        return pd.Series([None if t is None else pack.compress(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=object)
+    return of(text)
+
+
+def _unpacked(text: Column) -> Column:
+    @F.pandas_udf("string")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else _bytes(t).decode("utf-8", "surrogatepass") for t in texts], dtype=object)
+    return of(text)
+
+
+def _bytes(text: str | bytes | None) -> bytes:
+    """The bytes of a text, or of a packed one."""
+    if isinstance(text, bytes):
+        return zstandard.ZstdDecompressor().decompress(text)
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
@@ -237,7 +258,7 @@ def _index(width: int, collection: int):
 
 
 def _cut(width: int, digests: bool):
-    """Rows (text, segments): the bytes of each segment, or the digest of each of its strings."""
+    """Rows (packed text, segments): the bytes of each segment, or the digest of each of its strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -275,7 +296,7 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, collection: int = COLLEC
     def cut(some: DataFrame, digests: bool) -> DataFrame:
         wanted = some.groupBy(F.col("at.k").alias("k")).agg(F.collect_list(F.struct(
             "anchor", "v", "rel", "n", F.col("at.start").alias("start"))).alias("segs"))
-        return rows.join(wanted, "k").select("text", "segs").mapInArrow(
+        return rows.select("k", _packed(F.col("text")).alias("text")).join(wanted, "k").select("text", "segs").mapInArrow(
             _cut(width, digests), "anchor long, v long, rel int, n int, data "
             + ("array<long>" if digests else "binary"))
 
@@ -332,6 +353,14 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _packed_with_spans(docs: DataFrame, text_col: str, width: int, collection: int) -> DataFrame:
+    """``with_spans`` with the text packed, as it comes from the shuffle."""
+    text, k = F.col(f"`{text_col}`"), row_key(docs).alias("k")
+    spans = repeated_spans(docs.select(k, text.alias("text")), width, collection)
+    row = F.struct(*[_packed(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), k).join(spans, "k", "left").select("row", "spans")
+
+
 def with_spans(docs: DataFrame, text_col: str = "text", width: int = WIDTH,
                collection: int = COLLECTION) -> DataFrame:
     """``row`` (all columns of docs) and ``spans`` (null if nothing repeats) for every row.
@@ -339,10 +368,8 @@ def with_spans(docs: DataFrame, text_col: str = "text", width: int = WIDTH,
     Strings are judged on the input; matches do not cross texts. Null and empty texts, and texts
     shorter than ``width`` bytes, have no strings. A repeated row repeats all its strings.
     Original columns travel in ``row``, so no name can clash. Empty tables stay empty."""
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.col(f"`{text_col}`").alias("text"), row_key(docs).alias("k"))
-    spans = repeated_spans(base.select("k", "text"), width, collection)
-    return base.drop("text").join(spans, "k", "left").select("row", "spans")
+    found = _packed_with_spans(docs, text_col, width, collection)
+    return found.withColumn("row", F.col("row").withField(f"`{text_col}`", _unpacked(F.col("row").getField(text_col))))
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -359,5 +386,5 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH)
 
 
 def q_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = _packed_with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", WIDTH, COLLECTION)
     return found.select("row.doc_id", "row.text", "spans").mapInArrow(_digest, OUT)

@@ -98,3 +98,20 @@ def test_repeated_rows_null_ids_and_empty(spark):
     assert B.with_spans(docs.limit(0)).count() == 0
     left = B.remove_repeats(docs).collect()
     assert sorted("null" if r.text is None else r.text for r in left) == ["", "", "", "null", "short"]
+
+
+def test_anchors_of_common_phrases_do_not_repeat():
+    """Texts that share phrases of 48 bytes in different surroundings share next to no anchor."""
+    rng = random.Random(9)
+    letters = lambda n: bytes(rng.choices(range(97, 123), k=n))
+    phrases = [letters(48) for _ in range(5)]
+    texts = [b"".join(rng.choice(phrases) + letters(20) for _ in range(200)) for _ in range(20)]
+    _, _, _, _, anchors, _ = B.Chunk(texts).segments(200)
+    assert len(anchors) > 1000 and len(np.unique(anchors)) > 0.99 * len(anchors)
+
+
+def test_packed_texts_come_back(spark):
+    texts = ["", None, "é" * 300, "plain \0 text"]
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "`a.text` string, id long")
+    got = B.with_spans(docs, "a.text").select("row.*").collect()
+    assert sorted((r["id"], r["a.text"]) for r in got) == list(enumerate(texts))
