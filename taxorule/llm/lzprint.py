@@ -147,11 +147,18 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                        "near_edited", "near_next"])
 
 
+def _quarters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Up to four ids that split a range's ids evenly, its least id among them."""
+    ids = np.sort(np.concatenate([np.empty(0, np.int64), *(b.column(0).to_numpy() for b in batches)]))
+    if len(ids):
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(ids[::-(-len(ids) // 4)]))], names=["id"])
+
+
 def phrase_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, and both likenesses.
 
     Documents follow each other by (id, text), null ids first; the first follows the last. The
-    ids alone are range partitioned to find boundaries (one id per partition reaches the
+    ids alone are range partitioned to find boundaries (four ids per partition reach the
     driver); then texts move once, and only the first document of a part goes to two parts.
     Null and empty texts are empty: no phrase, all slots empty, likeness 1 among themselves.
     Equal ids are ordered by text; repeated rows follow each other. A single document follows
@@ -160,9 +167,8 @@ def phrase_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    ids = docs.select(key.alias("id")).repartitionByRange(4 * n, "id")
-    bounds = np.array(sorted(r[0] for r in ids.groupBy(F.spark_partition_id()).agg(F.min("id"))
-                             .select("min(id)").collect()) or [0], np.int64)
+    ids = docs.select(key.alias("id")).repartitionByRange(n, "id").mapInArrow(_quarters, "id long")
+    bounds = np.array(sorted(r[0] for r in ids.collect()) or [0], np.int64)
 
     @F.pandas_udf("struct<part:int,before:int>")
     def place(x: pd.Series) -> pd.DataFrame:

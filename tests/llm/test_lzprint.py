@@ -67,3 +67,20 @@ def test_likeness_orders_texts():
     print_of = lambda t: Z.Document(t).fingerprint
     assert Z.likeness(print_of(a), print_of(a)) == 1.0
     assert Z.likeness(print_of(a), print_of(near)) > 0.5 > 0.2 > Z.likeness(print_of(a), print_of(far))
+
+
+def test_boundaries_take_one_small_task_a_partition(spark):
+    """Four boundaries a partition, without four partitions (and their sort and aggregate memory) for them."""
+    docs = spark.createDataFrame([(i * 7 % 4001, f"text {i}") for i in range(4001)], "doc_id long, text string")
+    context, n = spark.sparkContext, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context.setJobGroup("boundaries", "boundaries")
+    try:
+        found = Z.phrase_fingerprints(docs)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("boundaries") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and all(s.numTasks <= max(n, context.defaultParallelism) for s in stages if s)
+    assert found.count() == 4001
+    (batch,) = Z._quarters(iter([Z.pa.RecordBatch.from_pydict({"id": list(range(100, 0, -1))})]))
+    assert batch.column(0).to_pylist() == [1, 26, 51, 76]
