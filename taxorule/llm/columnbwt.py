@@ -22,19 +22,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, row_key, shuffle_partitions, table
+from .common import keep, row_key, shuffle_partitions, slices, table
 
 WIDTH = 200
 #: Bytes of an anchor. Shorter ones make fewer segments, but many of them repeat in strings that do not.
 KEY = 64
-_POS = 20
-CHUNK = (1 << _POS) - 4096
+_POS = 19
+#: Bytes that a task hashes at a time, which takes about 64 times as much memory.
+CHUNK = 1 << 18
 #: Segments that a task indexes at a time; anchors with more different segments than this are
 #: compared string by string through the shuffle instead, by digest, which is exact as well.
 COLLECTION = 16_384
@@ -116,17 +116,17 @@ class Chunk:
 
 def _packed(text: Column) -> Column:
     """Texts as they move between tasks."""
-    @F.pandas_udf("binary")
-    def of(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("binary")
+    def of(texts: pa.Array) -> pa.Array:
         pack = zstandard.ZstdCompressor()
-        return pd.Series([None if t is None else pack.compress(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=object)
+        return pa.array([pack.compress(_bytes(t.as_py())) if t.is_valid else None for t in texts], pa.binary())
     return of(text)
 
 
 def _unpacked(text: Column) -> Column:
-    @F.pandas_udf("string")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else _bytes(t).decode("utf-8", "surrogatepass") for t in texts], dtype=object)
+    @F.arrow_udf("string")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([_bytes(t.as_py()).decode("utf-8", "surrogatepass") if t.is_valid else None for t in texts], pa.string())
     return of(text)
 
 
@@ -260,7 +260,7 @@ def _index(width: int, collection: int):
 def _cut(width: int, digests: bool):
     """Rows (packed text, segments): the bytes of each segment, or the digest of each of its strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text, segs in zip(batch.column(0), batch.column(1).to_pylist()):
                 data = _bytes(text.as_py())
@@ -341,7 +341,7 @@ OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 stri
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for doc_id, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             data = _bytes(text.as_py())
@@ -375,12 +375,12 @@ def with_spans(docs: DataFrame, text_col: str = "text", width: int = WIDTH,
 def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text. A character that loses some of
     its bytes goes whole; a text without repeats, null included, stays as it is."""
-    @F.pandas_udf("string")
-    def left(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([t if s is None or t is None else kept_bytes(_bytes(t), list(s))[0].decode("utf-8", "ignore")
-                          for t, s in zip(texts, spans)], dtype=object)
+    @F.arrow_udf("string")
+    def left(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([kept_bytes(_bytes(t.as_py()), s.as_py())[0].decode("utf-8", "ignore" if s.is_valid else "surrogatepass")
+                         if t.is_valid else None for t, s in zip(texts, spans)], pa.string())
 
-    found = with_spans(docs, text_col, width)
+    found = _packed_with_spans(docs, text_col, width, COLLECTION)
     return found.select(F.col("row").withField(f"`{text_col}`", left(F.col("row")[text_col], F.col("spans")))
                         .alias("row")).select("row.*")
 

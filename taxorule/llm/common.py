@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,14 @@ def keep(df: DataFrame, label: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows: workers live on between tasks and keep
+    what they once allocated, so the Python objects of a whole batch should not be alive at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def row_key(df: DataFrame) -> Column:
     """Hash of all columns of a row: tells rows with equal ids apart."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])

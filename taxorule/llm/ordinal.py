@@ -11,22 +11,23 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, table
+from .common import keep, slices, table
 
 #: The model is fitted on at most this many labelled documents, those with the least id hash.
 FIT_ROWS = 16_000
 #: A document is selected if its tail probability of the top grade is at least this.
 SELECT = 0.7
 TOP = 2
+#: Tokens whose features a rating task remembers.
+KNOWN = 100_000
 PREFIX = 5
 _EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„…"
 _UPPER = bytes(range(65, 91))
@@ -116,11 +117,12 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, epochs: int = 12, ra
     return w, np.concatenate([[first], first + np.cumsum(np.exp(steps))])
 
 
-def association(rows: list[np.ndarray], grades: np.ndarray, size: int) -> np.ndarray:
+def association(rows: Iterable[np.ndarray], grades: np.ndarray, size: int) -> np.ndarray:
     """Likelihood-ratio statistic of each feature's presence against the grade."""
     n = np.bincount(grades, minlength=TOP + 1).astype(float)[:, None]
-    with_it = np.stack([np.bincount(np.concatenate([np.empty(0, np.int64), *(r for r, x in zip(rows, grades) if x == g)]),
-                                    minlength=size) for g in range(TOP + 1)]).astype(float)
+    with_it = np.zeros((TOP + 1, size))
+    for r, g in zip(rows, grades):
+        np.add.at(with_it[g], r, 1)
     share = with_it.sum(0)[None, :] / n.sum()
     total = np.zeros(size)
     for seen, expected in ((with_it, n * share), (n - with_it, n * (1 - share))):
@@ -129,15 +131,31 @@ def association(rows: list[np.ndarray], grades: np.ndarray, size: int) -> np.nda
     return total
 
 
-def _pick(kinds: np.ndarray, lists: list[np.ndarray]) -> list[np.ndarray]:
+def _kinds(lists: list[np.ndarray], least: int) -> np.ndarray:
+    """The values, sorted, that at least ``least`` of the lists of distinct values hold."""
+    flat = np.concatenate(lists)
+    flat.sort()
+    n = max(0, len(flat) - least + 1)
+    return flat[:n][np.r_[True, flat[1:] != flat[:-1]][:n] & (flat[:n] == flat[least - 1:])]
+
+
+def _pick(kinds: np.ndarray, lists: list[np.ndarray]) -> Iterator[np.ndarray]:
     """Each list's positions in the sorted ``kinds``, values not in it left out."""
-    out = []
     for x in lists:
         i = np.searchsorted(kinds, x)
         ok = i < len(kinds)
         ok[ok] = kinds[i[ok]] == x[ok]
-        out.append(i[ok])
-    return out
+        yield i[ok]
+
+
+def _list_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (h, grade, text): the text's features in its place."""
+    for batch in slices(batches):
+        lists = [np.array(features(t.as_py()), np.int64) for t in batch.column(2)]
+        ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))],
+            names=["h", "grade", "features"])
 
 
 def _fit_task(min_docs: int):
@@ -150,15 +168,14 @@ def _fit_task(min_docs: int):
         for b in batches:
             order += b.column(0).to_pylist()
             grades += b.column(1).to_pylist()
-            lists += [np.array(x.values.to_numpy(), np.int64) for x in b.column(2)]
+            lists += [x.values.to_numpy().astype(np.uint32) for x in b.column(2)]
         if not lists:
             return
         by = np.argsort(np.array(order, np.int64), kind="stable")
         grades, lists = np.array(grades)[by], [lists[i] for i in by]
-        kinds, n = np.unique(np.concatenate(lists), return_counts=True)
-        kinds = kinds[n >= min_docs]
+        kinds = _kinds(lists, min_docs)
         kinds = kinds[association(_pick(kinds, lists), grades, len(kinds)) >= 15 + len(lists) / 250]
-        rows = _pick(kinds, lists)
+        rows = list(_pick(kinds, lists))
         w, cuts = fit_ordinal(rows, grades)
         w = w[: len(kinds)] if len(w) >= len(kinds) else np.r_[w, np.zeros(len(kinds) - len(w))]
         keys = np.r_[kinds, -1 - np.arange(TOP)]
@@ -177,12 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .agg(F.min(F.when(F.col("quality") <= 0, 0).when(F.col("toxic") > 0, 1).otherwise(2)).alias("grade"))
               .select("_id", "grade", F.xxhash64("_id").alias("h")).orderBy("h", "_id").limit(fit_rows))
 
-    @F.pandas_udf("array<long>")
-    def listed(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t) for t in texts])
-
     sample = keep(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-                  .join(F.broadcast(graded), "_id").select("h", "grade", listed("text").alias("features")), "graded")
+                  .join(F.broadcast(graded), "_id").select("h", "grade", "text")
+                  .mapInArrow(_list_features, "h long, grade int, features array<long>"), "graded")
     found = sample.repartition(1).mapInArrow(_fit_task(min_docs), "feature long, weight double").toPandas()
     if not len(found):
         return None
@@ -195,14 +209,14 @@ def score_udf(spark, model: Ordinal):
     """Column function: text to struct(expected_grade, tail_1, tail_top)."""
     sent = spark.sparkContext.broadcast((model.weights, model.cuts))
 
-    @F.pandas_udf("struct<expected_grade:double,tail_1:double,tail_top:double>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<expected_grade:double,tail_1:double,tail_top:double>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = Ordinal(*sent.value)
         weights, known = model.weights, {}
         for texts in batches:
             scores = np.zeros(len(texts))
             for i, text in enumerate(texts):
-                text = text or ""
+                text = text.as_py() or ""
                 tokens = text.lower().split()
                 kinds = set(tokens)
                 # words share prefixes: a feature counts once a document
@@ -213,10 +227,11 @@ def score_udf(spark, model: Ordinal):
                         f = known[t] = tuple(x for x in word_features(t) if x in weights)
                     own.update(f)
                 scores[i] = math.fsum(weights[x] for x in own if x in weights)
-            if len(known) > 400_000:
-                known.clear()
+                if len(known) > KNOWN:
+                    known.clear()
             tails = model.tails(scores)
-            yield pd.DataFrame({"expected_grade": tails.sum(1), "tail_1": tails[:, 0], "tail_top": tails[:, -1]})
+            yield pa.StructArray.from_arrays([pa.array(tails.sum(1)), pa.array(tails[:, 0]), pa.array(tails[:, -1])],
+                                             names=["expected_grade", "tail_1", "tail_top"])
     return of
 
 

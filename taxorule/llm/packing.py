@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, shuffle_partitions, table
+from .common import keep, shuffle_partitions, slices, table
 
 CAPACITY = 2048
 END_ID = 0
@@ -54,7 +54,7 @@ def _cut(ranks_path: str | None, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers as public
         enc = encoder(ranks_path or public.path(RANKS), public.PATTERN)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = enc.encode(text.as_py() or "", allowed_special="all", disallowed_special=())
@@ -261,8 +261,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in buckets.groupBy("length").agg(F.sum("n")).collect():
         counts[length] = n
-    runs = spark.createDataFrame(slots(plan(counts, capacity, groups)) or [(0, 0, 0, 0, 0)],
-                                 "length long, lo long, hi long, seq long, offset long")
+    # as an Arrow table: rows of Python would be read by Python workers, of another kind than those at hand
+    columns = zip(*(slots(plan(counts, capacity, groups)) or [(0, 0, 0, 0, 0)]))
+    runs = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns],
+                                          names=["length", "lo", "hi", "seq", "offset"]))
     return spark.sql("""
         SELECT p.doc_id, p.piece, p.start, p.length, p.ids_crc32, r.seq + p.rank - r.lo AS sequence_id, r.offset
         FROM (SELECT x.*, b.before + x.n_in_bucket - 1 AS rank

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -43,10 +42,10 @@ def simhash(text: str | None, width: int, seed: int) -> int:
 
 
 def fingerprint_udf(width: int, seed: int):
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        values = np.fromiter((simhash(t, width, seed) for t in texts), np.uint64, len(texts))
-        return pd.Series(values.view(np.int64))
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
+        values = np.fromiter((simhash(t.as_py(), width, seed) for t in texts), np.uint64, len(texts))
+        return pa.array(values.view(np.int64))
     return of
 
 

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from taxorule.llm import columnbwt as B
@@ -115,3 +117,14 @@ def test_packed_texts_come_back(spark):
     docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "`a.text` string, id long")
     got = B.with_spans(docs, "a.text").select("row.*").collect()
     assert sorted((r["id"], r["a.text"]) for r in got) == list(enumerate(texts))
+
+
+def test_a_task_hashes_little_at_a_time():
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcdefgh ", k=4000)) for _ in range(500)]
+    batch = pa.record_batch([pa.array(range(500)), pa.array(texts)], names=["k", "text"])
+    tracemalloc.start()
+    strings = sum(sum(b.column(2).to_pylist()) for b in B._segment_rows(200)(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert strings == 500 * 3801 and most < 32 << 20

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from taxorule.llm import ordinal as O
 
@@ -63,3 +65,37 @@ def test_edges(spark):
     rated = docs.select(O.rating(spark, model, docs.text).alias("r")).collect()
     assert len(rated) == 5 and rated[1].r == rated[2].r
     assert O.classify(docs.limit(0), labelled).count() == 0
+
+
+def peak(run):
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_fitting_task_holds_its_sample_little_more_than_once():
+    rng = np.random.default_rng(3)
+    lists = [np.unique(rng.integers(0, 1 << 32, 600)) for _ in range(1500)]
+    for i, x in enumerate(lists):
+        x[0] = i % 3  # tells the grades apart
+    size = 8 * sum(map(len, lists))
+    batch = pa.record_batch([pa.array(range(1500)), pa.array([i % 3 for i in range(1500)], pa.int32()), pa.array(lists)],
+                            names=["h", "grade", "features"])
+    out, most = peak(lambda: list(O._fit_task(3)(iter([batch]))))
+    assert {0, 1, 2} <= set(out[0].column(0).to_pylist()) and most < 2 * size
+    kinds, n = np.unique(np.concatenate(lists), return_counts=True)
+    assert O._kinds(lists, 2).tolist() == kinds[n >= 2].tolist()
+
+
+def test_rating_remembers_a_bounded_number_of_tokens(spark, monkeypatch):
+    model = O.Ordinal({f: 0.5 for f in O.features("aa bb cc")}, np.array([0.1, 0.2]))
+    texts = [*(" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(300)), "aa bb cc", None]
+
+    def rate():
+        return [x for a in O.score_udf(spark, model).func(iter([pa.array(texts)])) for x in a.to_pylist()]
+    whole, _ = peak(rate)
+    monkeypatch.setattr(O, "KNOWN", 5000)
+    less, most = peak(rate)
+    assert less == whole and less[-2]["tail_top"] > 0.7 and most < 8 << 20

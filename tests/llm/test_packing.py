@@ -74,3 +74,9 @@ def test_query_against_the_tokenizer(spark):
         assert at <= 2048
     low = -(-sum(r.length for r in got) // 2048)
     assert len(by) <= low + 2 and P.pack(docs.limit(0)).count() == 0
+
+
+def test_the_plan_needs_no_python_workers_of_its_own(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert "ExistingRDD" not in P.pack(docs)._jdf.queryExecution().toString()
+    assert P.pack(docs).count() == 2 and P.pack(docs.limit(0)).count() == 0
