@@ -24,11 +24,12 @@ from .json_scan import BadRoot, oversized, root_members
 from .match import json_dict_semantics
 
 
-def _root_array(spark: SparkSession, path: str, what: str, lenient: bool, in_ranges: bool) -> DataFrame:
-    """``position, item`` of the array that is the whole text of each file."""
+def _root_array(spark: SparkSession, path: str, what: str, lenient: bool, in_ranges: bool, copied: bool = True) -> DataFrame:
+    """``position, item`` of the array that is the whole text of each file; of a large one, its
+    elements are ``copied`` into a table if they are read more than once."""
     json_dict_semantics(spark)
     if in_ranges or oversized(spark, path):
-        return _elements(spark, path, what, lenient)
+        return _elements(spark, path, what, lenient, copied)
     raw = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file_path"))
     if not lenient and raw.isEmpty():
@@ -45,14 +46,14 @@ def _root_array(spark: SparkSession, path: str, what: str, lenient: bool, in_ran
               FROM (SELECT value, file_path, {wrapped} AS w FROM {{raw}}))""", raw=raw)
 
 
-def _elements(spark: SparkSession, path: str, what: str, lenient: bool) -> DataFrame:
+def _elements(spark: SparkSession, path: str, what: str, lenient: bool, copied: bool) -> DataFrame:
     """``_root_array`` of files whose elements are cut out by many tasks. Element numbers come from
     the counts of the byte ranges before, so first- and last-wins rules hold. For a lenient read
     every element is parsed once more beforehand: one that is malformed empties the whole file."""
     message = f"{what} must be a JSON array"
     nothing = "SELECT cast(NULL AS int) AS position, cast(NULL AS variant) AS item WHERE false"
     try:
-        members = root_members(spark, path, "[", message)
+        members = root_members(spark, path, "[", message, copied)
         rows = q.run(spark, f"""
             SELECT member AS position, CASE WHEN w IS NULL AND text IS NOT NULL {'' if lenient else f"""THEN raise_error(concat(
                      {q.lit(message + ' and all of the text: ')}, file_path)) WHEN false"""} THEN NULL
@@ -72,7 +73,7 @@ def _elements(spark: SparkSession, path: str, what: str, lenient: bool) -> DataF
 def read_stable_json(spark: SparkSession, path: str, in_ranges: bool = False) -> DataFrame:
     """Stable dataset from its JSON array file into typed training records; ``in_ranges`` reads a
     small file the way of a large one."""
-    rows = _root_array(spark, path, "stable training dataset", False, in_ranges)
+    rows = _root_array(spark, path, "stable training dataset", False, in_ranges, copied=False)
     fields = ", ".join(f"{q.as_text(f'r[{q.lit(c)}]')} AS {c}" for c in STRING_FIELDS)
     return q.run(spark, f"""
         SELECT {fields}, {q.extraction_keywords("r['keywords']")} AS keywords,

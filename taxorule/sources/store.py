@@ -45,6 +45,7 @@ from ..config import RUN_TS_PATTERN
 from ..functions import sqltext as q
 from ..schemas import (REFERENCE_CATEGORY_DDL, REFERENCE_RULE_DDL, TRAINING_COLUMNS,
                        TRAINING_DDL)
+from ..session import write_table
 
 _TS = re.compile(RUN_TS_PATTERN)
 #: Beside a table's files; readers skip names with an underscore.
@@ -216,8 +217,7 @@ class SnapshotStore:
         trusts it) is overwritten."""
         if self.complete(path):
             raise FileExistsError(f"already complete: {path}")
-        writer = df.write.mode("overwrite" if self.exists(path) else "errorifexists")
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        write_table(df, path, partition, "overwrite" if self.exists(path) else "errorifexists")
 
     def once(self, path: str, build, partition: str | None = None, measure: dict[str, str] | None = None) -> DataFrame:
         """The table at ``path``, written from ``build()`` unless an earlier attempt of the run
